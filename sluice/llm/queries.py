@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, langid, rules
+from sluice.llm import bpe, langid, rules, sharding, simhash
 from sluice.llm.common import id_remainder
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -36,8 +36,17 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(_table(spark, sf_dir, "documents"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.cluster(_table(spark, sf_dir, "documents"))
+
+
+def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(_table(spark, sf_dir, "documents"), shards=40)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_byte_bpe": op2_byte_bpe, "op3_language_id": op3_language_id, "op9_quality_rules": op9_quality_rules}
+    return {"op2_byte_bpe": op2_byte_bpe, "op3_language_id": op3_language_id, "op8_simhash": op8_simhash, "op9_quality_rules": op9_quality_rules, "op10_histogram_shards": op10_histogram_shards}
 
 
 def oracle_sql() -> dict[str, str]:
