@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, langid, rules, sharding, simhash
+from sluice.llm import bpe, decontam, langid, rules, sharding, simhash, urls
 from sluice.llm.common import id_remainder
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -36,6 +36,14 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(_table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op7_url_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.cluster(_table(spark, sf_dir, "documents"))
 
@@ -46,7 +54,7 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_byte_bpe": op2_byte_bpe, "op3_language_id": op3_language_id, "op8_simhash": op8_simhash, "op9_quality_rules": op9_quality_rules, "op10_histogram_shards": op10_histogram_shards}
+    return {"op2_byte_bpe": op2_byte_bpe, "op3_language_id": op3_language_id, "op5_decontamination": op5_decontamination, "op7_url_ratio": op7_url_ratio, "op8_simhash": op8_simhash, "op9_quality_rules": op9_quality_rules, "op10_histogram_shards": op10_histogram_shards}
 
 
 def oracle_sql() -> dict[str, str]:
