@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, decontam, langid, rules, sharding, simhash, urls
+from sluice.llm import bpe, decontam, langid, ngramlm, rules, sharding, simhash, urls
 from sluice.llm.common import id_remainder
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -36,6 +36,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(_table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramlm.score(_table(spark, sf_dir, "documents"), "crc32(cast(coalesce(cast(doc_id as string), '') as binary)) % 7 <> 2")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -54,7 +58,7 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_byte_bpe": op2_byte_bpe, "op3_language_id": op3_language_id, "op5_decontamination": op5_decontamination, "op7_url_ratio": op7_url_ratio, "op8_simhash": op8_simhash, "op9_quality_rules": op9_quality_rules, "op10_histogram_shards": op10_histogram_shards}
+    return {"op2_byte_bpe": op2_byte_bpe, "op3_language_id": op3_language_id, "op4_ngram_trie": op4_ngram_trie, "op5_decontamination": op5_decontamination, "op7_url_ratio": op7_url_ratio, "op8_simhash": op8_simhash, "op9_quality_rules": op9_quality_rules, "op10_histogram_shards": op10_histogram_shards}
 
 
 def oracle_sql() -> dict[str, str]:
