@@ -147,8 +147,8 @@ def decode(df: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).alias("ids")).mapInArrow(run, "doc_id long, bytes binary")
 
 
-def digests(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: each text encoded, its ids decoded again; ids aren't kept.
+def digests(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids): each text encoded, its ids decoded again.
 
     A null or empty text has 0 tokens and twice the digest of nothing.
     """
@@ -157,15 +157,15 @@ def digests(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: st
         own = tokenizer(_installed(vocabulary))
         names = [str(i) for i in range(len(own.table))]
         for pack in packs(batches, 4 << 20):
-            rows = []
-            for text in pack["text"]:
-                ids = own.encode(text or "")
-                joined = ",".join(map(names.__getitem__, ids))
-                rows.append((len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(own.decode(ids)).hexdigest()))
-            n, a, b = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(pack["doc_id"], pa.int64()), pa.array(n, pa.int64()), pa.array(a), pa.array(b)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return documents(df, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            encoded = [own.encode(text or "") for text in pack["text"]]
+            joined = [hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest() for ids in encoded]
+            decoded = [hashlib.sha256(own.decode(ids)).hexdigest() for ids in encoded]
+            columns = [pa.array(pack["doc_id"], pa.int64()), pa.array(list(map(len, encoded)), pa.int64()), pa.array(joined), pa.array(decoded)]
+            if with_ids:
+                columns.append(pa.array(encoded, pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(columns)])
+
+    return documents(df, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
 
 
 def _installed(vocabulary: str) -> str:

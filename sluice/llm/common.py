@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,20 +36,38 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def packs(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[dict[str, list]]:
-    """Rows as lists by column, in packs of about ``limit`` bytes of text: at most one text passes the limit.
+def slices(batches: Iterable[pa.RecordBatch], limit: int, text_col: str = "text") -> Iterator[pa.RecordBatch]:
+    """Batches cut to about ``limit`` bytes of text each: at most one text passes the limit.
 
-    An Arrow batch holds a number of rows, which says little of its size; packs bound what a task holds.
+    An Arrow batch holds a number of rows, which says little of its size; slices bound what a task holds besides it.
     """
     for batch in batches:
-        texts, start, held = batch.column("text"), 0, 0
-        for i in range(batch.num_rows):
-            held += len(texts[i].as_buffer() or b"") if texts[i].is_valid else 0
+        texts, start, held = batch.column(text_col), 0, 0
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+        for i, size in enumerate(sizes):
+            held += size
             if held >= limit:
-                yield batch.slice(start, i + 1 - start).to_pydict()
+                yield batch.slice(start, i + 1 - start)
                 start, held = i + 1, 0
         if start < batch.num_rows:
-            yield batch.slice(start).to_pydict()
+            yield batch.slice(start)
+
+
+def packs(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[dict[str, list]]:
+    """Slices as lists by column."""
+    for batch in slices(batches, limit):
+        yield batch.to_pydict()
+
+
+def keep_where(df: DataFrame, decide: Callable[[], Callable[[list], list]], text_col: str = "text", limit: int = 4 << 20) -> DataFrame:
+    """The rows of df, as they are, whose text is decided on with true; no shuffle. ``decide`` makes the decider in a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decider = decide()
+        for batch in slices(batches, limit, text_col):
+            yield batch.filter(pa.array(decider(batch.column(text_col).to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
 
 
 class Cache(dict):

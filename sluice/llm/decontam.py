@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import cut, documents, packs
+from sluice.llm.common import cut, documents, keep_where, packs
 
 WINDOW = 10
 #: Largest text of benchmark items, in bytes, that is sent to tasks at once; more items take more passes.
@@ -187,3 +187,26 @@ def _judge(shared, window: int, marks: bool):
             yield pa.RecordBatch.from_arrays([pa.array(pack["doc_id"], pa.int64()), pa.array(index.lengths), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array(digest), pa.array(np.asarray(n_hit) > 0)], _JUDGED.replace(" long", "").replace(" string", "").replace(" boolean", "").split(", "))
 
     return run
+
+
+def keep(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", block: int = ITEM_BLOCK) -> DataFrame:
+    """The rows of docs in which no window of any item occurs."""
+    for items in item_blocks(benchmark, item_id_col, item_text_col, block):
+        docs = keep_where(docs, _clean(docs.sparkSession.sparkContext.broadcast(items), window), text_col, 8 << 20)
+    return docs
+
+
+def _clean(shared, window: int):
+    def decide():
+        own = Phrases(shared.value, window)
+
+        def decider(texts: list) -> list:
+            index = Index([words(x) for x in texts], own.terms)
+            clean = np.ones(len(texts), dtype=bool)
+            for phrases, _ in own.by_length.values():
+                clean[index.doc(index.search(phrases)[1])] = False
+            return clean.tolist()
+
+        return decider
+
+    return decide

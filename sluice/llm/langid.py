@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Cache, documents, packs
+from sluice.llm.common import Cache, documents, keep_where, packs
 
 ORDERS = (5, 4, 3, 2, 1)
 _WORDS = regex.compile(r"\p{L}+")
@@ -145,3 +145,14 @@ def predict(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([pa.array(pack["doc_id"], pa.int64()), pa.array(lang), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return documents(df, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double")
+
+
+def keep(df: DataFrame, model: dict, least: float, text_col: str = "text") -> DataFrame:
+    """The rows whose text has a likeliest language with a score of ``least`` or more; ``und`` rows go."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def decide():
+        own = Scorer(shared.value)
+        return lambda texts: [lang != "und" and score >= least for lang, score in map(own.score, texts)]
+
+    return keep_where(df, decide, text_col)

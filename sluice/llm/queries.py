@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, decontam, langid, ngramlm, rules, sharding, simhash, urls
+from sluice.llm import bpe, decontam, langid, ngramlm, quality, recount, rules, sharding, simhash, urls
 from sluice.llm.common import id_remainder
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -22,6 +22,12 @@ def _held_out(scored: DataFrame, n: int, remainder: int) -> DataFrame:
     return scored.withColumn("held_out", id_remainder("doc_id", n) == remainder)
 
 
+def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.fit(docs.where(id_remainder("doc_id", 5) != 0), _table(spark, sf_dir, "labels"))
+    return _held_out(quality.score(docs, model), 5, 0).select("doc_id", "held_out", "score", "predicted")
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -44,6 +50,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op6_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recount.count(recount.with_redactions(_table(spark, sf_dir, "documents")), public_tokenizers.path(VOCABULARY))
+
+
 def op7_url_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages"))
 
@@ -58,7 +68,7 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_byte_bpe": op2_byte_bpe, "op3_language_id": op3_language_id, "op4_ngram_trie": op4_ngram_trie, "op5_decontamination": op5_decontamination, "op7_url_ratio": op7_url_ratio, "op8_simhash": op8_simhash, "op9_quality_rules": op9_quality_rules, "op10_histogram_shards": op10_histogram_shards}
+    return {"op1_quality_gam": op1_quality_gam, "op2_byte_bpe": op2_byte_bpe, "op3_language_id": op3_language_id, "op4_ngram_trie": op4_ngram_trie, "op5_decontamination": op5_decontamination, "op6_edit_counts": op6_edit_counts, "op7_url_ratio": op7_url_ratio, "op8_simhash": op8_simhash, "op9_quality_rules": op9_quality_rules, "op10_histogram_shards": op10_histogram_shards}
 
 
 def oracle_sql() -> dict[str, str]:

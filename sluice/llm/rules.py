@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from sluice.llm.common import documents, packs
+from sluice.llm.common import documents, keep_where, packs
 
 #: n-gram length to the largest share of word characters that may lie in repeated n-grams.
 COVERAGE = {5: 0.20, 6: 0.19, 7: 0.18, 8: 0.17, 9: 0.16, 10: 0.15}
@@ -123,3 +123,8 @@ def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", *_COUNTS, "base_failed", "kept", "broken"])
 
     return documents(df, id_col, text_col).mapInArrow(run, SCHEMA)
+
+
+def keep(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows whose text no rule rejects; null and empty texts go."""
+    return keep_where(df, lambda: lambda texts: [verdict(measure(x)) == (False, None) for x in texts], text_col)

@@ -189,3 +189,16 @@ def cluster(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: in
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
     return docs.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component: that of its least id, or one without an id where none has any.
+
+    Rows that repeat an id with the same text count as one document; all columns stay as they are.
+    """
+    clusters = cut(cluster(df, id_col, text_col))
+    first = clusters.where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = df.join(first, F.col(id_col).cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    if clusters.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return kept
+    return kept.withColumn("_text", F.xxhash64(text_col)).dropDuplicates([id_col, "_text"]).drop("_text")
