@@ -46,16 +46,18 @@ def grid_lon(grid: Column) -> Column:
     return F.when(_valid(grid), base + F.when(F.length(g) == 6, (F.ascii(F.substring(g, 5, 1)) - 65 + 0.5) / 12.0).otherwise(1.0))
 
 
-def path_geometry(tx_grid: Column, rx_grid: Column) -> dict[str, Column]:
-    """km, azimuths at both ends, coordinates and the path's northern- or southernmost point; null without both grids."""
-    tx_lat, tx_lon, rx_lat, rx_lon = grid_lat(tx_grid), grid_lon(tx_grid), grid_lat(rx_grid), grid_lon(rx_grid)
+def path_geometry(tx_lat: Column, tx_lon: Column, rx_lat: Column, rx_lon: Column, angle: Column) -> dict[str, Column]:
+    """km, azimuths at both ends and the path's northern- or southernmost point, from coordinates and their angle()."""
     p, q, d = F.radians(tx_lat), F.radians(rx_lat), F.radians(tx_lon - rx_lon)
-    half = F.pow(F.sin((p - q) / 2), 2) + F.cos(q) * F.cos(p) * F.pow(F.sin(d / 2), 2)
-    angle = 2 * F.atan2(F.sqrt(F.greatest(F.lit(0.0), half)), F.sqrt(F.greatest(F.lit(0.0), 1 - half)))
     rx_az = F.pmod(F.degrees(F.atan2(F.sin(d) * F.cos(p), F.cos(q) * F.sin(p) - F.sin(q) * F.cos(p) * F.cos(d))), F.lit(360.0))
     tx_az = F.pmod(F.degrees(F.atan2(F.sin(-d) * F.cos(q), F.cos(p) * F.sin(q) - F.sin(p) * F.cos(q) * F.cos(d))), F.lit(360.0))
     top = F.when(angle > 1e-9, F.acos(F.least(F.lit(1.0), F.cos(q) * F.cos(p) * F.abs(F.sin(d / 2)) / F.sin(angle / 2)))).otherwise(q)
-    v_lat = F.degrees(top) * F.when(tx_lat > rx_lat, 1).otherwise(-1)
-    both = tx_lat.isNotNull() & rx_lat.isNotNull()
-    found = {"km": EARTH_KM * angle, "rx_az": rx_az, "rx_lat": rx_lat, "rx_lon": rx_lon, "tx_az": tx_az, "tx_lat": tx_lat, "tx_lon": tx_lon, "v_lat": v_lat, "v_lon": (tx_lon + rx_lon) / 2}
-    return {k: F.when(both, c) for k, c in found.items()}
+    v_lat = F.when(angle.isNotNull(), F.degrees(top) * F.when(tx_lat > rx_lat, 1).otherwise(-1))
+    return {"km": EARTH_KM * angle, "rx_az": rx_az, "tx_az": tx_az, "v_lat": v_lat, "v_lon": (tx_lon + rx_lon) / 2}
+
+
+def angle(tx_lat: Column, tx_lon: Column, rx_lat: Column, rx_lon: Column) -> Column:
+    """The great-circle angle between two points in radians; null where a coordinate is."""
+    p, q, d = F.radians(tx_lat), F.radians(rx_lat), F.radians(tx_lon - rx_lon)
+    half = F.pow(F.sin((p - q) / 2), 2) + F.cos(q) * F.cos(p) * F.pow(F.sin(d / 2), 2)
+    return F.when(half.isNotNull(), 2 * F.atan2(F.sqrt(half), F.sqrt(F.greatest(F.lit(0.0), 1 - half))))

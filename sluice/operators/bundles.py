@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions import lines
 from sluice.functions.fields import cycle_floor, filled, rx_site
-from sluice.functions.geo import ABSENT, NO_BAND, band_of, path_geometry
+from sluice.functions.geo import ABSENT, NO_BAND, angle, band_of, grid_lat, grid_lon, path_geometry
 from sluice.operators.dedup import best_spot, noise_last_wins
 from sluice.operators.predicates import reportable, supported_modes
 
@@ -27,8 +27,12 @@ def label_receivers(df: DataFrame, call: Sequence[str] = ("rx_call",), grid: Seq
 def enrich_paths(spots: DataFrame, receivers: DataFrame, on: Sequence[str] = ("receiver",), grid: str = "grid", rx_grid: str = "rx_grid", mhz: str = "mhz", compat: bool = False) -> DataFrame:
     """Spots with band, distance, azimuths and vertex; null where a grid isn't known. Receivers are a dimension."""
     joined = spots.join(receivers.select(*on, F.col(rx_grid).alias("_rx_grid")), list(on), "left")
-    columns = {"band": band_of(F.col(mhz), compat), **path_geometry(F.col(grid), F.col("_rx_grid"))}
-    return joined.withColumns(columns).drop("_rx_grid")
+    both = F.col("_tx").isNotNull() & F.col("_rx").isNotNull()
+    points = joined.withColumns({"_tx": grid_lat(F.col(grid)), "_rx": grid_lat(F.col("_rx_grid"))})
+    ends = {"tx_lat": F.col("_tx"), "tx_lon": grid_lon(F.col(grid)), "rx_lat": F.col("_rx"), "rx_lon": grid_lon(F.col("_rx_grid"))}
+    points = points.withColumns({name: F.when(both, c) for name, c in ends.items()}).withColumn("_angle", angle(*map(F.col, ends)))
+    columns = {"band": band_of(F.col(mhz), compat), **path_geometry(*map(F.col, [*ends, "_angle"]))}
+    return points.withColumns(columns).drop("_rx_grid", "_tx", "_rx", "_angle")
 
 
 def render_lines(spots: DataFrame, time: str = "time", into: str = "line") -> DataFrame:
