@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,7 @@ from sluice.operators import bundles, chunk, cycles, dedup, joins, predicates, s
 from sluice.plans.inputs import DELIVERABLES, OUTCOMES, QUEUE, SPOTS, deliverables, outcomes, queue, spots, table
 from sluice.sources import queue as source
 from sluice.sources import spool
+from sluice.streaming import delivery, gate
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -479,6 +482,22 @@ def enrich_paths(spark, sf_dir):
     return out.select("id", "band", *[F.round(n, 4).alias(n) for n in ("km", "rx_az", "tx_az")], *[F.round(n, 6).alias(n) for n in ("tx_lat", "rx_lon", "v_lon")], F.round("v_lat", 4).alias("v_lat"))
 
 
+_EXTENDED = ", ".join(
+    ["strftime(t, '%y%m%d')", "strftime(t, '%H%M')", "sync", "snr", "dt", "mhz", "call", "CASE WHEN grid = '' THEN 'none' ELSE grid END", "power", "drift", "k % 7", "k % 5", "k % 3", "CAST(round_even(k / 64.0::DOUBLE * 1000, 0) AS BIGINT)", "0", "1", "2", "kind", "0.0::DOUBLE", "0.0::DOUBLE", "band", "rx_grid", "rx_call"]
+    + ["CAST(coalesce(round_even(6371.0 * angle, 0), -999) AS BIGINT)"]
+    + [f"coalesce(CASE WHEN angle IS NOT NULL THEN {x} END, -999.0::DOUBLE)" for x in ("(degrees(atan2(sin(d) * cos(p), cos(q) * sin(p) - sin(q) * cos(p) * cos(d))) + 360) % 360", "rx_lat", "rx_lon", "(degrees(atan2(sin(-d) * cos(q), cos(p) * sin(q) - sin(p) * cos(q) * cos(d))) + 360) % 360", "tx_lat", "tx_lon", "degrees(CASE WHEN angle > 1e-9 THEN acos(least(1, cos(q) * cos(p) * abs(sin(d / 2)) / sin(angle / 2))) ELSE q END) * CASE WHEN tx_lat > rx_lat THEN 1 ELSE -1 END", "(tx_lon + rx_lon) / 2")]
+    + ["0", "0"]
+)
+
+
+@query(f"{_PATHS} SELECT id, printf('{lines.EXTENDED}', {_EXTENDED}) AS line FROM (SELECT *, make_timestamp(e * 1000000) AS t FROM a)")
+def extended_lines(spark, sf_dir):
+    rows = bundles.label_receivers(spots(spark, sf_dir))
+    k = F.col("k")
+    rows = rows.withColumns({"cycles": k % 7, "jitter": k % 5, "blocksize": k % 3, "metric": k / 64, "decodetype": F.lit(0), "ipass": F.lit(1), "nhardmin": F.lit(2)})
+    return bundles.extended_lines(bundles.enrich_paths(rows, rows.select("user_id", "rx_grid").distinct(), ("user_id",)), "ts").select("id", "line")
+
+
 @query(f"SELECT id, band, CASE CAST(floor(10 * mhz) AS INT) WHEN 18 THEN 160 WHEN 35 THEN 80 WHEN 70 THEN 40 WHEN 140 THEN 20 WHEN 281 THEN 10 WHEN 502 THEN 6 ELSE 9999 END AS by_key FROM ({_LABELLED})")
 def band_of(spark, sf_dir):
     return spots(spark, sf_dir).select("id", geo.band_of(F.col("mhz")).alias("band"), geo.band_of(F.col("mhz"), compat=True).alias("by_key"))
@@ -541,6 +560,35 @@ def budgeted(spark, sf_dir):
     return chunk.budgeted(batches, 6)
 
 
+@query(f"SELECT id // 500 AS batch_id, (['acked', 'retry_later', 'permanent'])[(id // 500) % 3 + 1] AS kind, CASE WHEN (id // 500) % 3 = 1 THEN 'ConnectionError: down' WHEN (id // 500) % 3 = 2 THEN 'bad' ELSE '' END AS reason, count(*) AS records, max(id) AS cursor_after FROM ({QUEUE}) GROUP BY 1, 2, 3")
+def deliver(spark, sf_dir):
+    def send(batch, rows):
+        if batch % 3 == 1:
+            raise ConnectionError("down")
+        return "acked" if batch % 3 == 0 else ("permanent", "bad")
+
+    return delivery.deliver(queue(spark, sf_dir).select("id", F.floor(F.col("id") / 500).alias("batch_id")), send)
+
+
+@query(f"""WITH q AS (SELECT station, e // {HOUR} * {HOUR} AS cycle, user_id % 3 AS r, epoch_ms(ts) AS ms FROM ({QUEUE})), w AS (SELECT max(ms) AS wm FROM q),
+ c AS (SELECT station, cycle, count(DISTINCT r) = 3 AS complete, string_agg(DISTINCT CAST(r AS VARCHAR), ',') AS seen FROM q GROUP BY 1, 2),
+ b AS (SELECT station, min(cycle) FILTER (NOT ((cycle + {HOUR}) * 1000 <= wm AND (complete OR (cycle + {HOUR} + 36000) * 1000 <= wm))) AS bad FROM c, w GROUP BY 1)
+ SELECT station::VARCHAR AS station, cycle, complete, coalesce((SELECT string_agg(CAST(x.r AS VARCHAR), ',' ORDER BY x.r) FROM (VALUES (0), (1), (2)) x(r) WHERE NOT contains(seen, CAST(x.r AS VARCHAR))), '') AS missing FROM c JOIN b USING (station) WHERE bad IS NULL OR cycle < bad""")
+def cycle_gate_stream(spark, sf_dir):
+    """The gate over events as a stream that is drained, its rows read back from the shared folder."""
+    schema = table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir).select((F.col("user_id") % 10).cast("string").alias("station"), F.col("ts").alias("time"), (F.col("user_id") % 3).cast("string").alias("reporter"))
+    out = scratch(spark)
+    delivery.drain(gate.cycle_gate_stream(stream, ["0", "1", "2"], 36000, seconds=HOUR).writeStream.outputMode("append").format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/progress"))
+    return seconds(spark.read.schema("station string, cycle timestamp, complete boolean, missing string").parquet(f"{out}/rows"), "cycle")
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder in the shared place for checkpoints, or a temporary one where none is set."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="stream-")
+
+
 # ---- delivery state ------------------------------------------------------------------------------------------------
 
 POLICY = state.RetryPolicy(max_attempts=8)

@@ -47,7 +47,7 @@ def cycle_gate_stream(df: DataFrame, expected: Sequence[str], backstop: int = 90
             state.setTimeoutTimestamp(max((first + limit) * 1000, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(out, columns=["station", "cycle", "complete", "missing"])
 
-    read = df.select(F.col(station).cast("string").alias("station"), F.col(time).alias("time"), F.col(reporter).cast("string").alias("reporter"))
+    read = df.select(F.col(station).cast("string").alias("station"), F.col(time).cast("timestamp").alias("time"), F.col(reporter).cast("string").alias("reporter"))
     timed = read.withWatermark("time", "0 seconds").withColumn("cycle", F.unix_timestamp(cycle_floor(F.col("time"), seconds)))
     return timed.groupBy("station").applyInPandasWithState(step, _OUT, "open string, gone long", "append", GroupStateTimeout.EventTimeTimeout)
 
