@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Cache, documents, keep_where, packs
+from sluice.llm.common import documents, keep_where, packs
 
 ORDERS = (5, 4, 3, 2, 1)
 _WORDS = regex.compile(r"\p{L}+")
@@ -87,11 +87,12 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", word_shar
     Entries under the shares are left to shorter n-grams. With no rows, or no words, there are no languages.
     """
     counted = word_counts(df, text_col, lang_col).persist()
-    both = counted.select("lang", F.lit(0).alias("k"), F.col("word").alias("gram"), "n").unionByName(ngram_counts(counted))
+    both = counted.select("lang", F.lit(0).alias("k"), F.col("word").alias("gram"), "n").unionByName(ngram_counts(counted)).persist()
     totals = both.groupBy("lang", "k").agg(F.sum("n").alias("total"))
     share = F.when(F.col("k") == 0, word_share).otherwise(gram_share)
     frequent = both.join(totals, ["lang", "k"]).where(F.col("n") >= share * F.col("total")).select("lang", "k", "gram", (F.col("n") / F.col("total")).alias("p"))
     rows = frequent.toPandas()
+    both.unpersist()
     counted.unpersist()
     langs = sorted(rows["lang"].unique())
     at = {x: i for i, x in enumerate(langs)}
@@ -103,33 +104,58 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", word_shar
 
 
 class Scorer:
-    def __init__(self, model: dict):
-        self.langs, self.tables, self.floors = model["langs"], model["tables"], model["floors"]
-        self.cache = Cache(self.word)
+    """Scores texts; the scores of words are rows of a matrix, which starts anew when it has grown large."""
+
+    def __init__(self, model: dict, limit: int = 400_000):
+        self.langs, self.floors, self.limit = model["langs"], model["floors"], limit
+        self.known = {k: {gram: i for i, gram in enumerate(table)} for k, table in model["tables"].items()}
+        self.shares = {k: np.array(list(table.values())).reshape(len(table), len(self.langs)) for k, table in model["tables"].items()}
+        self.rows, self.values = _Rows(self), np.zeros((1024, len(self.langs) + 1))
 
     def word(self, word: str) -> np.ndarray | None:
         """Log10 shares of a word by language; None if no order knows any part of it."""
-        if (found := self.tables[0].get(word)) is not None:
-            return found
+        if (at := self.known[0].get(word)) is not None:
+            return self.shares[0][at]
         for k in ORDERS:
-            table = self.tables[k]
+            known = self.known[k]
             grams = ngrams(word, k)
-            if hits := [table[g] for g in grams if g in table]:
-                return (np.sum(hits, axis=0) + (len(grams) - len(hits)) * self.floors[k]) / len(grams)
+            if hits := [known[g] for g in grams if g in known]:
+                return (self.shares[k][hits].sum(axis=0) + (len(grams) - len(hits)) * self.floors[k]) / len(grams)
         return None
 
     def score(self, text: str | None) -> tuple[str, float]:
         """The likeliest language and its share among all, by word evidence that grows with the root of the words."""
+        if len(self.rows) > self.limit:
+            self.rows.clear()
         found = words(text or "")
         if not found or not self.langs:
             return "und", 0.0
-        known = [x for x in map(self.cache.__getitem__, found) if x is not None]
-        total = np.sum(known, axis=0) if known else np.zeros(len(self.langs))
-        odds = np.exp((total - total.max()) * math.log(10) / math.sqrt(max(1, len(known))))
-        best = int(total.argmax())
+        rows = [self.rows[w] for w in found]  # may replace the matrix
+        *total, known = self.values[rows].sum(axis=0)
+        odds = np.exp((np.array(total) - max(total)) * math.log(10) / math.sqrt(max(1, known)))
+        best = int(odds.argmax())
         return self.langs[best], float(odds[best] / odds.sum())
 
 
+class _Rows(dict):
+    """Words to rows of a scorer's matrix; a row has the word's scores, and 1 if any part of it is known."""
+
+    def __init__(self, scorer: Scorer):
+        super().__init__()
+        self.scorer = scorer
+
+    def __missing__(self, word: str) -> int:
+        own, at = self.scorer, len(self)
+        if at == len(own.values):
+            own.values = np.concatenate([own.values, np.zeros_like(own.values)])
+        found = own.word(word)
+        own.values[at] = 0.0
+        if found is not None:
+            own.values[at, :-1], own.values[at, -1] = found, 1.0
+        self[word] = at
+        return at
+
+
 def predict(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score of each whole text.
 
