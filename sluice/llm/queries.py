@@ -71,5 +71,35 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_quality_gam": op1_quality_gam, "op2_byte_bpe": op2_byte_bpe, "op3_language_id": op3_language_id, "op4_ngram_trie": op4_ngram_trie, "op5_decontamination": op5_decontamination, "op6_edit_counts": op6_edit_counts, "op7_url_ratio": op7_url_ratio, "op8_simhash": op8_simhash, "op9_quality_rules": op9_quality_rules, "op10_histogram_shards": op10_histogram_shards}
 
 
+_WORDS5 = "coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+_OP5 = f"""WITH d AS (SELECT doc_id, {_WORDS5} AS w FROM documents), b AS (SELECT item_id, {_WORDS5} AS w FROM benchmark),
+ win AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM b WHERE len(w) > 0)),
+ dw AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS s FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+ hit AS (SELECT DISTINCT doc_id, i, n, item_id FROM dw JOIN win USING (n, s)),
+ pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY 1),
+ it AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256 FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY 1)
+ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)"""
+
+
+def _op9() -> str:
+    repeats = ", ".join(
+        f"""r{n} AS (SELECT doc_id, count(*) AS n_words, sum(length(w[p])) AS chars FROM (SELECT DISTINCT doc_id, unnest(range(i, i + {n})) AS p FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS c
+ FROM (SELECT doc_id, i, array_to_string(w[i:i + {n - 1}], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - {n} + 2)) AS i FROM d WHERE len(w) >= {n}))) WHERE c > 1) JOIN d USING (doc_id) GROUP BY 1)"""
+        for n in rules.COVERAGE
+    )
+    columns = ", ".join(f"CAST(coalesce(r{n}.chars, 0) AS BIGINT) AS repeat_chars_{n}" for n in rules.COVERAGE)
+    joins = " ".join(f"LEFT JOIN r{n} USING (doc_id)" for n in rules.COVERAGE)
+    broken = " ".join(f"WHEN repeat_chars_{n} > {most}::DOUBLE * word_chars THEN 'repeat_{n}'" for n, most in rules.COVERAGE.items())
+    return rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents), {repeats},
+ l AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (rn > 1) AS n_dup_lines, coalesce(sum(chars) FILTER (rn > 1), 0) AS dup_line_chars FROM (SELECT doc_id, row_number() OVER (PARTITION BY doc_id, line) AS rn, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars
+ FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')) GROUP BY 1),
+ m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+ coalesce(r5.n_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, CAST(coalesce(dup_line_chars, 0) AS BIGINT) AS dup_line_chars, {columns} FROM d LEFT JOIN l USING (doc_id) {joins}),
+ v AS (SELECT *, n_words < {rules.LEAST_WORDS} OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
+ x AS (SELECT *, CASE WHEN base_failed THEN 'base' {broken} WHEN n_dup_lines > {rules.LINES}::DOUBLE * n_lines THEN 'dup_lines' WHEN dup_line_chars > {rules.LINE_CHARS}::DOUBLE * word_chars THEN 'dup_line_chars' WHEN n_symbols > {rules.SYMBOLS}::DOUBLE * n_words THEN 'symbols' END AS broken FROM v)
+ SELECT *, broken IS NULL AS kept FROM x"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL expresses the counts of words and windows; the other queries are held against brute force in tests."""
+    return {"op5_decontamination": _OP5, "op9_quality_rules": _op9()}
