@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions import fields, geo, lines
@@ -18,10 +18,15 @@ from sluice.streaming import delivery, gate
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
-NOW, NOW_SQL, NOW_S = F.lit("2024-01-20 12:30:00").cast("timestamp"), "TIMESTAMP '2024-01-20 12:30:00'", 1705753800
+NOW_SQL, NOW_S = "TIMESTAMP '2024-01-20 12:30:00'", 1705753800
 HOUR = 3600
 
 
+def now() -> Column:
+    """The time that queries take for the present."""
+    return F.timestamp_seconds(F.lit(NOW_S))
+
+
 def query(sql: str | None = None):
     def add(f):
         _QUERIES[f.__name__] = f
@@ -86,7 +91,7 @@ def route(spark, sf_dir):
 @query(f"SELECT coalesce(max(id), 0) AS cursor, 'now' AS start_at FROM ({QUEUE}) UNION ALL SELECT coalesce(max(id), 0), 'time' FROM ({QUEUE}) WHERE ts < {NOW_SQL} UNION ALL SELECT 0, 'beginning'")
 def start_anchor(spark, sf_dir):
     rows = queue(spark, sf_dir)
-    each = {"now": source.start_anchor(rows), "time": source.start_anchor(rows, NOW, F.col("ts")), "beginning": source.start_anchor(rows, "beginning")}
+    each = {"now": source.start_anchor(rows), "time": source.start_anchor(rows, now(), F.col("ts")), "beginning": source.start_anchor(rows, "beginning")}
     out = None
     for name, df in each.items():
         one = df.withColumn("start_at", F.lit(name))
@@ -143,7 +148,7 @@ def project_payload(spark, sf_dir):
 def record_time(spark, sf_dir):
     own = F.when(F.col("id") % 3 == 0, F.to_json(F.struct(F.date_format(F.timestamp_seconds(F.unix_timestamp("ts") + 60), "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("decode_time")))).otherwise(F.lit('{"time": "soon"}'))
     rows = queue(spark, sf_dir).withColumns({"payload_json": own, "queued_at": F.when(F.col("id") % 3 == 2, "never").otherwise(F.col("queued_at"))})
-    return seconds(predicates.with_record_time(predicates.quarantine(rows)[0], NOW).select("id", "time"), "time")
+    return seconds(predicates.with_record_time(predicates.quarantine(rows)[0], now()).select("id", "time"), "time")
 
 
 @query(f"SELECT id, id % 7 <> 0 AS good FROM ({QUEUE})")
@@ -261,7 +266,7 @@ def cycle_floor(spark, sf_dir):
 
 @query(f"SELECT DISTINCT e // 120 * 120 AS cycle FROM ({QUEUE}) WHERE e // 120 * 120 > {NOW_S - 86400} AND e < {NOW_S}")
 def closed_cycles(spark, sf_dir):
-    return seconds(cycles.closed_cycles(queue(spark, sf_dir), NOW, NOW - F.expr("interval 1 day"), time="ts"), "cycle")
+    return seconds(cycles.closed_cycles(queue(spark, sf_dir), now(), now() - F.expr("interval 1 day"), time="ts"), "cycle")
 
 
 @query(f"SELECT cycle, count(DISTINCT reporter) FILTER (reporter <> '4') AS n_seen, count(DISTINCT reporter) FILTER (reporter <> '4') = 4 AS complete FROM ({_HOURS}) GROUP BY 1")
@@ -279,7 +284,7 @@ def cycle_complete_by_station(spark, sf_dir):
 
 @query(f"SELECT DISTINCT cycle, cycle < {NOW_S} - ({HOUR} + 90) AS past FROM ({_HOURS})")
 def past_backstop(spark, sf_dir):
-    return seconds(_hours(spark, sf_dir).select("cycle", fields.past_backstop(F.col("cycle"), NOW, 90, HOUR).alias("past")).distinct(), "cycle")
+    return seconds(_hours(spark, sf_dir).select("cycle", fields.past_backstop(F.col("cycle"), now(), 90, HOUR).alias("past")).distinct(), "cycle")
 
 
 _COMPLETE = f"SELECT station, e // {HOUR} * {HOUR} AS cycle, count(DISTINCT user_id % 3) = 3 AS complete FROM ({QUEUE}) GROUP BY 1, 2"
@@ -293,7 +298,7 @@ def _complete(spark, sf_dir):
 @query(f"""WITH c AS ({_COMPLETE}), d AS (SELECT *, complete OR cycle < {NOW_S} - ({HOUR} + 36000) AS ready FROM c WHERE cycle < {NOW_S // HOUR * HOUR}), b AS (SELECT station, min(cycle) FILTER (NOT ready) AS bad FROM d GROUP BY 1)
  SELECT station, max(cycle) AS ceiling FROM d JOIN b USING (station) WHERE bad IS NULL OR cycle < bad GROUP BY 1""")
 def shippable_ceiling(spark, sf_dir):
-    return seconds(cycles.shippable_ceiling(_complete(spark, sf_dir), NOW, 36000, ("station",), seconds=HOUR), "ceiling")
+    return seconds(cycles.shippable_ceiling(_complete(spark, sf_dir), now(), 36000, ("station",), seconds=HOUR), "ceiling")
 
 
 @query(f"""WITH q AS (SELECT *, e // 120 * 120 AS cycle FROM ({QUEUE})), b AS (SELECT id, cycle, CASE target_table WHEN 'click' THEN 'spots' ELSE 'noise' END AS part FROM q WHERE target_table IN ('click', 'view'))
@@ -322,7 +327,7 @@ def backstop_alerts(spark, sf_dir):
     present = queue(spark, sf_dir).select("station", fields.cycle_floor(F.col("ts"), HOUR).alias("cycle"), (F.col("user_id") % 3).cast("string").alias("reporter"))
     missing = joins.missing_reporters(present, ["0", "1", "2"], ("station",))
     alerted = done.where((F.col("station") == 3) & (F.unix_timestamp("cycle") % (2 * HOUR) == 0)).select("station", "cycle")
-    return seconds(cycles.backstop_alerts(done, missing, alerted, NOW, 90, ("station",), seconds=HOUR), "cycle")
+    return seconds(cycles.backstop_alerts(done, missing, alerted, now(), 90, ("station",), seconds=HOUR), "cycle")
 
 
 @query(f"SELECT id, station FROM ({QUEUE}) WHERE e // 120 * 120 <= {NOW_S // 120 * 120} - station * 86400")
@@ -656,17 +661,17 @@ def backoff(spark, sf_dir):
 
 @query(f"SELECT id, pipeline FROM ({DELIVERABLES}) WHERE next_attempt_at <= {NOW_S}")
 def due(spark, sf_dir):
-    return state.due(deliverables(spark, sf_dir), NOW).select("id", "pipeline")
+    return state.due(deliverables(spark, sf_dir), now()).select("id", "pipeline")
 
 
 @query(f"SELECT id, pipeline FROM (SELECT *, row_number() OVER (PARTITION BY pipeline ORDER BY next_attempt_at, id) rn FROM ({DELIVERABLES}) WHERE next_attempt_at <= {NOW_S}) WHERE rn = 1")
 def due_one_each(spark, sf_dir):
-    return state.due(deliverables(spark, sf_dir), NOW, one_each=True).select("id", "pipeline")
+    return state.due(deliverables(spark, sf_dir), now(), one_each=True).select("id", "pipeline")
 
 
 @query(f"SELECT id, pipeline, enqueued_at, attempts + 1 AS attempts, {NOW_S} + CAST({_WAIT.format('attempts + 1')} AS BIGINT) AS next_attempt_at, cursor_after FROM ({DELIVERABLES})")
 def requeue(spark, sf_dir):
-    return seconds(state.requeue(deliverables(spark, sf_dir), NOW), "enqueued_at", "next_attempt_at")
+    return seconds(state.requeue(deliverables(spark, sf_dir), now()), "enqueued_at", "next_attempt_at")
 
 
 @query(f"{_REPLAYS} SELECT pipeline, coalesce(nullif(reason, ''), CASE fate WHEN 'permanent' THEN 'permanent_failure' ELSE 'max_attempts' END) AS final_error, count(*) AS n_dead FROM f WHERE fate IN ('permanent', 'dead_letter') GROUP BY 1, 2")
