@@ -151,6 +151,16 @@ def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     return plain.unionByName(meeting.join(least, "mid").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct())
 
 
+def least_of(df: DataFrame, key: str, value: str) -> DataFrame:
+    """key and its least value, dealt out by another number than the key.
+
+    A join on the key then shuffles both sides for itself, and of such a join Spark can split a key that holds a large
+    part of all rows; on top of an aggregate that is dealt by the same key it can't.
+    """
+    other = df.groupBy(F.bitwise_not(F.col(key)).alias("_other")).agg(F.min(value).alias(value))
+    return other.select(F.bitwise_not("_other").alias(key), value)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node and root (the least node of its component) of all nodes that are in links (a, b), in either direction.
 
@@ -163,7 +173,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     def star(df: DataFrame, large: bool) -> DataFrame:
         sides = df.unionByName(df.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else df.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = sides.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
+        least = least_of(sides, "a", "b").select("a", F.least("b", "a").alias("least"))
         joined = sides.join(least, "a")
         moved = joined.where("b > a" if large else "b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
         return (moved if large else moved.unionByName(least.select("a", F.col("least").alias("b")))).where("a <> b").distinct()
@@ -186,8 +196,7 @@ def cluster(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: in
     distinct = cut(docs.groupBy("fp").agg(F.min("doc_id").alias("first")))
     labels = components(links(distinct.select("fp"), crowd))
     rooted = distinct.join(labels, distinct["fp"] == labels["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
+    named = rooted.select("fp", "root").join(least_of(rooted, "root", "first"), "root").select("fp", F.col("first").alias("component_id"))
     return docs.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
