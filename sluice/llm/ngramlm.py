@@ -20,11 +20,13 @@ from __future__ import annotations
 import math
 import shutil
 import tempfile
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,10 +36,12 @@ from sluice.llm.eliasfano import Sequence
 
 NU, MU = 4.0, 2000.0
 #: Words of a piece, about; and the share of a piece at which a word has pieces of its own, by what stands before it.
-PIECE, HOT = 2_000_000, 4
+PIECE, HOT = 2_500_000, 4
 #: Words that a task gathers before it deals them out.
-GATHER = 1_500_000
+GATHER = 3_000_000
 END, START, OUTSIDE = 0, 1, 2
+#: Words with so large a share of all are named by their rank instead of their hash; at most 1 / FREQUENT words.
+FREQUENT = 5e-6
 #: Quantised log10 values lie in steps of 1 / STEPS from LEAST on.
 STEPS, LEAST = 2048.0, -14.0
 
@@ -56,23 +60,20 @@ def unigrams(df: DataFrame, text_col: str = "text") -> DataFrame:
     """word (hash as a signed long) and n over all texts, ends of text included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, hashes, ids, ends = _numbers(), [], [], 0
+        number, ids, ends = _numbers(), array("i"), 0
 
         def out():
-            counts = np.bincount(np.array(ids, dtype=np.int64), minlength=len(hashes))
-            words = np.array([*hashes, END], dtype=np.uint64).view(np.int64)
+            counts = np.bincount(np.frombuffer(ids, dtype=np.int32), minlength=len(number.hashes)) if ids else np.zeros(0, dtype=np.int64)
+            words = np.append(np.array(number.hashes, dtype=np.uint64), np.uint64(END)).view(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(words), pa.array(np.r_[counts, ends])], ["word", "n"])
 
-        hashes = number.hashes
         for pack in packs(batches, 4 << 20):
             for text in pack["text"]:
                 ids.extend(map(number.__getitem__, tokens(text)))
                 ends += 1
             if len(ids) >= GATHER:
                 yield out()
-                number.clear()
-                hashes.clear()
-                ids, ends = [], 0
+                number, ids, ends = _numbers(), array("i"), 0
         if ends:
             yield out()
 
@@ -84,7 +85,7 @@ class _numbers(dict):
 
     def __init__(self):
         super().__init__()
-        self.hashes: list[int] = []
+        self.hashes = array("Q")
 
     def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self.hashes)
@@ -97,53 +98,71 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _deal(batches: Iterator[pa.RecordBatch], pieces: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _deal(batches: Iterator[pa.RecordBatch], pieces: int, hot: np.ndarray, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows (piece, lot, kind, payload): what each piece needs of a lot of documents, and one row with their ids.
 
-    A payload has the lot's word hashes that it uses, and for each word dealt: its number, those of the two words
-    before it, its document's number, and whether that document is learnt from.
+    A payload has the words that it uses, as ranks of frequent ones and hashes of others, and for each word dealt: its
+    number, those of the two words before it, its document's number, and whether that document is learnt from.
     """
-    lot = 0
+    by_hash = np.argsort(frequent)
+    sorted_ = frequent[by_hash]
+    lot, squeeze = 0, zstandard.ZstdCompressor(level=5)
 
     def out(number, docs, lengths, ids):
         nonlocal lot
         task = TaskContext.get()
         key = (task.partitionId() if task else 0) << 32 | lot
         lot += 1
-        hashes = np.array([END, START, *number.hashes], dtype=np.uint64)
+        hashes = np.concatenate([np.array([END, START], dtype=np.uint64), np.array(number.hashes, dtype=np.uint64)])
         lengths = np.array(lengths, dtype=np.int64)
+        trained = np.array([t for _, t in docs], dtype=bool)
+        doc_ids = np.array([-(1 << 63) if d is None else d for d, _ in docs], dtype="<i8")
+        yield [(int(key % pieces), key, 0, b"".join([doc_ids.tobytes(), lengths.astype("<i8").tobytes(), trained.tobytes()]))]
         doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths + 1)
-        w = np.zeros(len(doc), dtype=np.int32)
         ends = np.cumsum(lengths + 1) - 1
+        first = np.r_[0, ends[:-1] + 1]
+        w = np.zeros(len(doc), dtype=np.int32)
         body = np.ones(len(doc), dtype=bool)
         body[ends] = False
-        w[body] = np.array(ids, dtype=np.int32) + 2
-        first = np.r_[0, ends[:-1] + 1] if len(ends) else ends
-        b = np.r_[1, w[:-1]].astype(np.int32)
+        w[body] = np.frombuffer(ids, dtype=np.int32) + 2 if ids else 0
+        b = np.r_[np.int32(1), w[:-1]]
         b[first] = 1
-        a = np.r_[1, b[:-1]].astype(np.int32)
+        a = np.r_[np.int32(1), b[:-1]]
         a[first] = 1
-        piece = (_mix(hashes) % np.uint64(pieces)).astype(np.int64)[w]
-        spread = np.isin(hashes, hot)[w]
-        piece[spread] = (_mix(hashes[w[spread]] ^ _mix(hashes[b[spread]])) % np.uint64(pieces)).astype(np.int64)
-        order = np.argsort(piece.astype(np.int32), kind="stable")
-        cuts = np.searchsorted(piece[order], np.arange(pieces + 1))
-        trained = np.array([t for _, t in docs], dtype=bool)
-        rows = [(int(key % pieces), key, 0, b"".join([np.array([-(1 << 63) if d is None else d for d, _ in docs], dtype="<i8").tobytes(), lengths.astype("<i8").tobytes(), trained.tobytes()]))]
-        used = np.zeros(len(hashes), dtype=np.int32)
+        mixed = _mix(hashes)
+        found = np.minimum(np.searchsorted(sorted_, hashes), max(0, len(sorted_) - 1))
+        rank = np.where(sorted_[found] == hashes, by_hash[found], -1) if len(sorted_) else np.full(len(hashes), -1)
+        piece = (mixed % np.uint64(pieces)).astype(np.int32)[w]
+        spread = np.flatnonzero(np.isin(hashes, hot)[w])
+        piece[spread] = _mix(hashes[w[spread]] ^ mixed[b[spread]]) % np.uint64(pieces)
+        order = np.argsort(piece, kind="stable").astype(np.int32)
+        cuts = np.r_[0, np.cumsum(np.bincount(piece, minlength=pieces))]
+        del piece, spread, body
+        used, place = np.zeros(len(hashes), dtype=bool), np.zeros(len(hashes), dtype=np.int32)
+        rows, held = [], 0
         for k in np.flatnonzero(np.diff(cuts)):
             own = order[cuts[k] : cuts[k + 1]]
-            used[:] = 0
-            used[w[own]] = used[b[own]] = used[a[own]] = 1
+            own = own[np.lexsort((b[own], w[own]))]  # like numbers lie together, which compresses
+            used[:] = False
+            used[w[own]] = used[b[own]] = used[a[own]] = True
             some = np.flatnonzero(used)
-            place = np.cumsum(used, dtype=np.int32) - 1
+            known = some[rank[some] >= 0]
+            known, other = known[np.argsort(rank[known])], some[rank[some] < 0]
+            place[known] = np.arange(len(known))
+            place[other] = np.arange(len(known), len(some))
             kind = "<u2" if max(len(some), len(docs)) < 1 << 16 else "<u4"
-            parts = [place[w[own]], place[b[own]], place[a[own]], doc[own]]
-            head = np.array([len(some), len(own), int(kind[-1])], dtype="<i8").tobytes()
-            rows.append((int(k), key, 1, b"".join([head, hashes[some].tobytes(), *(p.astype(kind).tobytes() for p in parts), np.packbits(trained[doc[own]]).tobytes()])))
-        return _blobs(rows)
-
-    number, docs, lengths, ids = _numbers(), [], [], []
+            head = np.array([len(known), len(other), len(own), int(kind[-1])], dtype="<i8").tobytes()
+            head += _planes(np.diff(rank[known], prepend=0).astype("<u4")) + hashes[other].tobytes()
+            parts = [_planes(x.astype(kind)) for x in (place[w[own]], place[b[own]], place[a[own]], doc[own])]
+            rows.append((int(k), key, 1, squeeze.compress(b"".join([head, *parts, np.packbits(trained[doc[own]]).tobytes()]))))
+            held += len(rows[-1][-1])
+            if held > 8 << 20:
+                yield rows
+                rows, held = [], 0
+        if rows:
+            yield rows
+
+    number, docs, lengths, ids = _numbers(), [], [], array("i")
     for pack in packs(batches, 2 << 20):
         for doc_id, text, trains in zip(pack["doc_id"], pack["text"], pack["trains"], strict=True):
             found = tokens(text)
@@ -151,12 +170,14 @@ def _deal(batches: Iterator[pa.RecordBatch], pieces: int, hot: np.ndarray) -> It
             docs.append((doc_id, trains))
             lengths.append(len(found))
         if len(ids) + len(docs) >= GATHER:
-            yield out(number, docs, lengths, ids)
-            number, docs, lengths, ids = _numbers(), [], [], []
+            yield from map(_blobs, out(number, docs, lengths, ids))
+            number, docs, lengths, ids = _numbers(), [], [], array("i")
     if docs:
-        yield out(number, docs, lengths, ids)
+        yield from map(_blobs, out(number, docs, lengths, ids))
 
 
+#: Of a document in a lot: its number, sums of scores (of quantised values) and of plain shares, and known words.
+_SUMS = ("<u4", "<f4", "<f8", "<u4")
 _DEALT = "piece int, lot long, kind int, payload binary"
 
 
@@ -165,13 +186,24 @@ def _blobs(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(piece, pa.int32()), pa.array(lot, pa.int64()), pa.array(kind, pa.int32()), pa.array(payload, pa.binary())], ["piece", "lot", "kind", "payload"])
 
 
-def _unpack(payload: bytes) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    words, n, width = np.frombuffer(payload, "<i8", 3)
-    hashes = np.frombuffer(payload, "<u8", words, 24)
-    at, out = 24 + 8 * int(words), []
+def _planes(values: np.ndarray) -> bytes:
+    """All low bytes, then all higher ones: equal high bytes of sorted numbers lie together for the compressor."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def _unplaned(payload: bytes, kind: str, n: int, at: int) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(payload, np.uint8, n * width, at).reshape(width, n).T).view(kind)[:, 0]
+
+
+def _unpack(payload: bytes, frequent: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    payload = zstandard.ZstdDecompressor().decompress(payload)
+    known, other, n, width = map(int, np.frombuffer(payload, "<i8", 4))
+    hashes = np.concatenate([frequent[np.cumsum(_unplaned(payload, "<u4", known, 32), dtype=np.int64)], np.frombuffer(payload, "<u8", other, 32 + 4 * known)])
+    at, out = 32 + 4 * known + 8 * other, []
     for _ in range(4):
-        out.append(np.frombuffer(payload, f"<u{width}", n, at).astype(np.int64))
-        at += int(n * width)
+        out.append(_unplaned(payload, f"<u{width}", n, at).astype(np.int32))
+        at += n * width
     return hashes, out, np.unpackbits(np.frombuffer(payload, np.uint8, -1, at), count=n).astype(bool)
 
 
@@ -246,25 +278,31 @@ class Trie:
         return top, under
 
 
-def _score_piece(table: pa.Table, eps: float, hot: np.ndarray, hot_counts: np.ndarray) -> pa.Table:
+def _score_piece(table: pa.Table, eps: float, hot: np.ndarray, hot_counts: np.ndarray, frequent: np.ndarray) -> pa.Table:
     """Sums by document of the words that a piece was dealt, a row for each lot, and what was passed through."""
-    rows = list(zip(*(table.column(c).to_pylist() for c in ("piece", "lot", "kind", "payload")), strict=True))
-    out = [r for r in rows if r[2] == 0]
-    dealt = [(lot, *_unpack(payload)) for _, lot, kind, payload in rows if kind == 1]
+    out, dealt = [], []
+    for lot, kind, payload in zip(table.column("lot").to_pylist(), table.column("kind").to_pylist(), table.column("payload"), strict=True):
+        if kind == 0:
+            out.append((0, lot, 0, payload.as_py()))
+        else:
+            dealt.append((lot, *_unpack(payload.as_py(), frequent)))
+    del table
     if dealt:
         hashes = np.unique(np.concatenate([h for _, h, _, _ in dealt]))
         n = len(hashes)
-        w, b, a = (np.concatenate([np.searchsorted(hashes, h)[part[j]] for _, h, part, _ in dealt]) for j in range(3))
+        numbers = [np.searchsorted(hashes, h).astype(np.int32) for _, h, _, _ in dealt]
+        w, b, a = (np.concatenate([number[part[j]] for number, (_, _, part, _) in zip(numbers, dealt, strict=True)]) for j in range(3))
         trained = np.concatenate([t for *_, t in dealt])
-        order = np.argsort((w * n + b) * n + a, kind="stable") if n < 1 << 20 else np.lexsort((a, b, w))
-        w, b, a, weight = w[order], b[order], a[order], trained[order].astype(np.int64)
+        dealt = [(lot, part[3]) for lot, _, part, _ in dealt]
+        order = np.lexsort((a, b, w)).astype(np.int32)
+        w, b, a, weight = w[order], b[order], a[order], trained[order].astype(np.int32)
         starts = np.flatnonzero(np.r_[True, (w[1:] != w[:-1]) | (b[1:] != b[:-1]) | (a[1:] != a[:-1])])
-        which = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(w)]))
-        counts = np.add.reduceat(weight, starts)
+        which = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(np.r_[starts, len(w)]))
+        counts = np.add.reduceat(weight, starts).astype(np.int64)
         totals = np.bincount(w, weights=weight, minlength=n).astype(np.int64)
         spread = np.flatnonzero(np.isin(hashes, hot))  # only a part of a hot word is here: its count is known before
         totals[spread] = hot_counts[np.searchsorted(hot, hashes[spread])]
-        queries = np.stack([w[starts], b[starts], a[starts]])
+        queries = np.stack([w[starts], b[starts], a[starts]]).astype(np.int64)
         learnt = counts > 0
         folder = tempfile.mkdtemp(prefix="trie-")
         try:
@@ -278,12 +316,12 @@ def _score_piece(table: pa.Table, eps: float, hot: np.ndarray, hot_counts: np.nd
         value[order] = (top - np.where(of_end, 0.0, under))[which]
         count = np.empty(len(w), dtype=np.int64)
         count[order] = totals[w]
-        at = 0
-        for lot, _, part, _ in dealt:
-            doc, to = part[3], at + len(part[3])
+        at, squeeze = 0, zstandard.ZstdCompressor(level=3)
+        for lot, doc in dealt:
+            to = at + len(doc)
             here, place = np.unique(doc, return_inverse=True)
             sums = [np.bincount(place, weights=x, minlength=len(here)) for x in (value[at:to], np.log10(count[at:to] + 1.0), count[at:to] > 0)]
-            out.append((0, lot, 1, b"".join([here.astype("<u4").tobytes(), *(s.astype("<f8").tobytes() for s in sums[:2]), sums[2].astype("<u4").tobytes()])))
+            out.append((0, lot, 1, squeeze.compress(b"".join(_planes(x.astype(t)) for x, t in zip((np.diff(here, prepend=0), *sums), _SUMS, strict=True)))))
             at = to
     return pa.Table.from_batches([_blobs(out)])
 
@@ -297,11 +335,15 @@ def _gather(table: pa.Table, base: float, n_tokens: int, start: float) -> pa.Tab
     score, plain, known = np.zeros(n), np.zeros(n), np.zeros(n, dtype=np.int64)
     for kind, payload in zip(kinds, payloads, strict=True):
         if kind == 1:
-            m = len(payload) // 24
-            doc = np.frombuffer(payload, "<u4", m)
-            score[doc] += np.frombuffer(payload, "<f8", m, 4 * m)
-            plain[doc] += np.frombuffer(payload, "<f8", m, 12 * m)
-            known[doc] += np.frombuffer(payload, "<u4", m, 20 * m)
+            payload = zstandard.ZstdDecompressor().decompress(payload)
+            m, at, columns = len(payload) // 20, 0, []
+            for kind_ in _SUMS:
+                columns.append(_unplaned(payload, kind_, m, at))
+                at += m * columns[-1].itemsize
+            doc = np.cumsum(columns[0])
+            score[doc] += columns[1]
+            plain[doc] += columns[2]
+            known[doc] += columns[3]
     many = words + 1
     columns = [pa.array(ids, mask=ids == -(1 << 63)), pa.array(~trained), pa.array(many), pa.array(known), pa.array(np.full(n, n_tokens, dtype=np.int64)), pa.array(plain - many * base), pa.array(score - start)]
     return pa.Table.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
@@ -318,19 +360,24 @@ def score(df: DataFrame, trains: str, id_col: str = "doc_id", text_col: str = "t
     counted = cut(unigrams(docs.where("trains")))
     n, v = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     pieces = max(1, round((docs.select(F.sum(F.octet_length("text"))).first()[0] or 0) / 6 / piece))
-    # At most HOT * pieces words have so large a share, which bounds this list.
-    frequent = counted.where(F.col("n") > max(1, n / pieces / HOT)).collect() if pieces > 1 else []
-    hot = np.array([r.word for r in frequent], dtype=np.int64).view(np.uint64)
-    rank = np.argsort(hot)
-    hot, hot_counts = hot[rank], np.array([r.n for r in frequent], dtype=np.int64)[rank]
+    # At most HOT * pieces words have so large a share to be spread, and 1 / FREQUENT to be ranked: that bounds the lists.
+    share = min(FREQUENT, 1 / pieces / HOT)
+    listed = counted.where((F.col("n") >= share * n) & ~F.col("word").isin(END, START)).toArrow().sort_by([("n", "descending"), ("word", "ascending")])
+    words, counts = (listed.column(c).to_numpy() for c in ("word", "n"))
+    frequent = words[counts >= FREQUENT * n].view(np.uint64)
+    ends = counted.where(F.col("word") == END).select("n").first()
+    words, counts = np.append(words, END), np.append(counts, ends.n if ends else 0)
+    spread = counts > max(1, n / pieces / HOT) if pieces > 1 else np.zeros(len(counts), dtype=bool)
+    order = np.argsort(words[spread].view(np.uint64))
+    hot, hot_counts = words[spread].view(np.uint64)[order], counts[spread][order]
     seen = max(1, n + v + 1)
     eps = MU / seen
     spark = df.sparkSession
-    shared = spark.sparkContext.broadcast((hot, hot_counts))
+    shared = spark.sparkContext.broadcast((hot, hot_counts, frequent))
     starts = docs.where("trains").count()
     start = math.log10(starts + NU * starts + MU)
     base = math.log10(seen)
-    dealt = docs.mapInArrow(lambda x: _deal(x, pieces, shared.value[0]), _DEALT)
+    dealt = docs.mapInArrow(lambda x: _deal(x, pieces, shared.value[0], shared.value[2]), _DEALT)
     summed = dealt.groupBy("piece").applyInArrow(lambda t: _score_piece(t, eps, *shared.value), _DEALT)
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return summed.groupBy("lot").applyInArrow(lambda t: _gather(t, base, n, start), schema)
