@@ -1,0 +1,155 @@
+"""Near copies by similarity: Jaccard of five-word shingles of 0.8 or more, found by MinHash bands and checked exactly.
+
+Texts with the same set of shingles are one throughout. Others meet in the cells of 20 bands of 5 minima each: of two
+with a similarity of 0.8 that happens with a chance of 0.9996, and more often above. Each cell's members are compared
+with its least first, which is linear in the members and joins most of a group; after that only pairs of a cell that
+aren't in one component yet are compared, those likeliest to be alike first. A link is always the exact similarity of
+two whole texts, and components are those of all links.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from itertools import accumulate
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from sluice.llm.common import cut, documents, packs, slices
+from sluice.llm.simhash import components
+
+WORDS, BANDS, ROWS = 5, 20, 5
+#: Similarity from which two texts are near copies, as a fraction.
+SIMILAR = (4, 5)
+#: Equal minima of BANDS * ROWS from which a pair is checked: four standard deviations below what 0.8 gives.
+LIKELY = 64
+#: Partners that a member of a cell is compared with in each round; 0: the cell's least, None: all that are likely.
+ROUNDS = (0, 2, None)
+_ODD = np.random.default_rng(8).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def shingles(text: str | None, k: int = WORDS) -> np.ndarray:
+    """Ascending distinct hashes of all runs of k words; of all words if there are fewer."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return np.zeros(0, dtype=np.uint64)
+    joined, k = b" ".join(words), min(k, len(words))
+    ends = list(accumulate(len(w) + 1 for w in words))
+    return np.unique(np.array([xxhash.xxh64_intdigest(joined[s : e - 1]) for s, e in zip([0, *ends], ends[k - 1 :], strict=False)], dtype=np.uint64))
+
+
+def alike(one: np.ndarray, two: np.ndarray) -> bool:
+    """Whether the Jaccard similarity of two sets of shingles is SIMILAR or more."""
+    both = len(np.intersect1d(one, two, assume_unique=True))
+    return SIMILAR[1] * both >= SIMILAR[0] * (len(one) + len(two) - both)
+
+
+def minima(sets: list[np.ndarray]) -> np.ndarray:
+    """BANDS * ROWS minima of each set (none empty) under as many orders."""
+    flat, starts = np.concatenate(sets), np.cumsum([0, *(len(s) for s in sets[:-1])])
+    return np.stack([np.minimum.reduceat(flat * odd, starts) for odd in _ODD], axis=1)
+
+
+def cells(least: np.ndarray) -> np.ndarray:
+    """A cell for each band: a hash of its number and its minima."""
+    bands = least.reshape(len(least), BANDS, ROWS)
+    out = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), bands.shape[:2]).copy()
+    for j in range(ROWS):
+        out = (out ^ bands[:, :, j]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out.view(np.int64)
+
+
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for pack in packs(batches, 2 << 20):
+        sets = [shingles(t) for t in pack["text"]]
+        full = [i for i, s in enumerate(sets) if len(s)]
+        least = minima([sets[i] for i in full]) if full else np.zeros((0, BANDS * ROWS), dtype=np.uint64)
+        at: list = [[]] * len(sets)
+        sketch = [b""] * len(sets)
+        for i, c, s in zip(full, cells(least), least.astype(np.uint8), strict=True):
+            at[i], sketch[i] = c, s.tobytes()
+        same = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+        columns = [pa.array(pack["_row"], pa.int64()), pa.array(pack["doc_id"], pa.int64()), pa.array(same, pa.binary()), pa.array([len(s) for s in sets], pa.int64())]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(at, pa.list_(pa.int64())), pa.array(sketch, pa.binary())], ["_row", "doc_id", "same", "n", "cells", "sketch"])
+
+
+def _partners(most: int | None):
+    return lambda table: _pairs(table, most)
+
+
+def _pairs(table: pa.Table, most: int | None) -> pa.Table:
+    """Pairs (a, b) of a cell's members from different components, for each member those likeliest to be alike."""
+    row, label, n = (table.column(c).to_numpy() for c in ("_row", "label", "n"))
+    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint8).reshape(len(row), -1)
+    kinds, kind, many = np.unique(label, return_inverse=True, return_counts=True)
+    found_a, found_b = [], []
+    small = np.flatnonzero(kind != many.argmax())  # every pair sought has a member outside the largest component
+    step = max(1, (8 << 20) // sketch.size)
+    for at in range(0, len(small), step):
+        own = small[at : at + step]
+        equal = (sketch[own][:, None, :] == sketch[None, :, :]).sum(axis=2, dtype=np.int16)
+        sizes = SIMILAR[1] * np.minimum(n[own][:, None], n[None, :]) >= SIMILAR[0] * np.maximum(n[own][:, None], n[None, :])
+        equal[~sizes | (kind[own][:, None] == kind[None, :])] = 0
+        if most is not None and most < len(row):
+            bound = np.partition(equal, -most, axis=1)[:, -most]
+            over = equal > bound[:, None]
+            tied = (equal == bound[:, None]) & ((np.cumsum(equal == bound[:, None], axis=1) + over.sum(axis=1)[:, None]) <= most)
+            equal[~(over | tied)] = 0
+        i, j = np.nonzero(equal >= LIKELY)
+        found_a.append(row[own[i]])
+        found_b.append(row[j])
+    a, b = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (found_a, found_b))
+    return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+
+
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices([batch], 4 << 20, "one"):
+            known: dict[str, np.ndarray] = {}
+            one, two = ([known[t] if t in known else known.setdefault(t, shingles(t)) for t in part.column(c).to_pylist()] for c in ("one", "two"))
+            yield part.select(["a", "b"]).filter(pa.array([alike(x, y) for x, y in zip(one, two, strict=True)], pa.bool_()))
+
+
+def checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of rows whose whole texts are alike. Texts come to pairs, so that no row's pairs meet in one task."""
+    sides = pairs.select("a", "b", F.col("a").alias("_row")).unionByName(pairs.select("a", "b", F.col("b").alias("_row")))
+    side = lambda c: F.max(F.when(F.col("_row") == F.col(c), F.col("text")))
+    met = sides.join(texts, "_row").groupBy("a", "b").agg(side("a").alias("one"), side("b").alias("two"))
+    return met.mapInArrow(_alike, "a long, b long")
+
+
+def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component of near copies: that of the least id, then of the least row number; null ids come last.
+
+    Texts that are null or have no words are copies of each other. Rows are told apart by a number that is kept with
+    them in the shared folder, so null and repeated ids lose or repeat nothing; all columns stay as they are.
+    """
+    rows = cut(df.withColumn("_row", F.monotonically_increasing_id()))
+    texts = documents(rows, id_col, text_col, "_row")
+    signed = cut(texts.mapInArrow(_signatures, "_row long, doc_id long, same binary, n long, cells array<long>, sketch binary"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_row").alias("row"))
+    sets = cut(signed.groupBy("same").agg(F.min("_row").alias("_row"), F.min(order).alias("first")).drop("same"))
+    own = signed.join(sets.select("_row"), "_row", "left_semi").select("_row", "n", "sketch", F.explode("cells").alias("cell"))
+    least = own.groupBy("cell").agg(F.min("_row").alias("b"), F.count("*").alias("m")).where("m > 1").drop("m")
+    shared = cut(own.select("cell", "_row").join(least, "cell"))
+    links = tried = labels = None
+    for most in ROUNDS:
+        if labels is None:
+            pairs = shared.where("_row <> b").select(F.col("_row").alias("a"), "b").distinct()
+        else:
+            labelled = shared.select("cell", "_row").join(labels, F.col("_row") == F.col("node"), "left").select("cell", "_row", F.coalesce("root", "_row").alias("label"))
+            open_ = labelled.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("cell")
+            members = labelled.join(open_, "cell").join(signed.select("_row", "n", "sketch"), "_row")
+            pairs = members.groupBy("cell").applyInArrow(_partners(most), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
+        pairs = cut(pairs)
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        found = cut(checked(pairs, texts.select("_row", "text")))
+        links = found if links is None else links.unionByName(found)
+        labels = components(links)
+    rooted = sets.join(labels, sets["_row"] == labels["node"], "left").select(F.coalesce("root", "_row").alias("root"), "first")
+    first = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))
+    return rows.join(first, "_row", "left_semi").drop("_row")

@@ -468,3 +468,70 @@ def test_stages_on_odd_tables(spark, odd, empty, sf_dir):
         for df in (odd, empty):
             assert stage(spark, df, sf_dir).count() <= df.count()
     assert keep_where(odd, lambda: lambda t: [None] * len(t)).count() == 0
+
+
+# ---- near copies by similarity -------------------------------------------------------------------------------------
+
+
+def alike_groups(rows):
+    """Number of each row's component by 5-word Jaccard of 0.8 and more, from all pairs that share a shingle."""
+    sets = []
+    for t in rows:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[i : i + min(5, len(w))]) for i in range(len(w) - min(5, len(w)) + 1)} if w else set())
+    parent, having = list(range(len(rows))), {}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, s in enumerate(sets):
+        met = Counter(j for x in s for j in having.get(x, ())) if s else Counter(j for j in range(i) if not sets[j])
+        for j, both in met.items():
+            if not s or 5 * both >= 4 * (len(s) + len(sets[j]) - both):
+                parent[max(find(i), find(j))] = min(find(i), find(j))
+        for x in s:
+            having.setdefault(x, []).append(i)
+    return [find(i) for i in range(len(rows))]
+
+
+def test_stage_drops_edited_copies(spark):
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows = []
+    for _ in range(40):
+        base = [word() for _ in range(200)]
+        rows.append(base)
+        for edits in (1, 2, 3, 4):  # each changes five shingles of 196: similarity 0.95 to 0.82
+            copy = list(base)
+            for at in rng.sample(range(5, 195, 10), edits):
+                copy[at] = word()
+            rows.append(copy)
+        rows.append([w if i % 9 else word() for i, w in enumerate(base)])  # no copy: most shingles differ
+    texts = [" ".join(r) for r in rows]
+    df = spark.createDataFrame([(1000 - i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.near_copies(spark, df, "").collect()}
+    groups = alike_groups(texts)
+    assert kept == {min(1000 - i for i, g in enumerate(groups) if g == wanted) for wanted in set(groups)} and len(kept) == 80
+
+
+def test_stage_on_given_documents(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    groups = alike_groups([t for _, t in rows])
+    first = {}
+    for (i, _), g in zip(rows, groups, strict=True):
+        first[g] = min(i, first.get(g, i))
+    assert {r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()} == set(first.values())
+
+
+def test_stage_keeps_one_row_of_null_and_repeated_ids(spark):
+    import corpus_pipeline
+
+    df = spark.createDataFrame([(None, "a b"), (None, "A  b"), (1, "c d"), (1, "e f"), (1, "c d"), (2, None), (3, "")], "doc_id long, text string")
+    assert sorted(map(str, (r.text for r in corpus_pipeline.near_copies(spark, df, "").collect()))) == ["None", "a b", "c d", "e f"]
