@@ -26,15 +26,16 @@ _KEY = ("h", "d", "u")
 _SCALE = 1 << 32
 
 
-def keys(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keys(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """doc_id, size (UTF-8 bytes, none for null, plus 16), text_crc32 (0 for null) and the key h, d, u.
 
-    u numbers the rows and is kept with them in the shared folder, so a row has the same key whenever it is read.
+    u numbers the rows and is kept with them in the shared folder, so a row has the same key whenever it is read. It
+    is ``row_col`` where the rows are numbered already.
     """
     text, own = F.col(text_col).cast("string"), F.col(id_col).cast("long")
     size = (F.coalesce(F.octet_length(text), F.lit(0)) + 16).cast("long").alias("size")
     crc = F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32")
-    key = [F.xxhash64(text).alias("h"), F.coalesce(own, F.lit(-(1 << 63))).alias("d"), F.monotonically_increasing_id().alias("u")]
+    key = [F.xxhash64(text).alias("h"), F.coalesce(own, F.lit(-(1 << 63))).alias("d"), (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("u")]
     return cut(df.select(own.alias("doc_id"), size, crc, *key))
 
 
@@ -128,7 +129,11 @@ def shard(df: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str
     A shard's bytes miss the ideal by no more than the rows at its two boundaries, or the tolerance. With fewer rows
     than shards some shards are empty; an empty table gives no rows. Repeated rows have keys of their own.
     """
-    keyed = keys(df, id_col, text_col)
+    return _placed(keys(df, id_col, text_col), shards, tolerance).drop("u")
+
+
+def _placed(keyed: DataFrame, shards: int, tolerance: float) -> DataFrame:
+    """What shard() returns, and the row number u."""
     begins, known = splitters(keyed, shards, tolerance)
     order = sorted(known)
     starts = sorted(begins)
@@ -145,10 +150,11 @@ def shard(df: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str
 
     placed = keyed.mapInArrow(run, "doc_id long, size long, text_crc32 long, h long, d long, u long, bin long, shard int, offset long")
     slot = F.col("offset") + F.row_number().over(Window.partitionBy("bin").orderBy(*_KEY)) - 1
-    return placed.select("doc_id", "size", "text_crc32", "shard", slot.cast("long").alias("slot"))
+    return placed.select("doc_id", "size", "text_crc32", "shard", slot.cast("long").alias("slot"), "u")
 
 
 def write(df: DataFrame, path: str, shards: int = 40, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """The rows of df as files by shard, each document once; ids must be unique for this."""
-    placed = shard(df, shards, id_col, text_col).select(F.col("doc_id").alias(id_col), "shard", "slot")
-    df.join(placed, id_col).repartition(shards, "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    """The rows of df as files by shard, each row once: rows meet their place by a number, so ids can be null or repeat."""
+    rows = cut(df.withColumn("_row", F.monotonically_increasing_id()))
+    placed = _placed(keys(rows, id_col, text_col, "_row"), shards, TOLERANCE).select(F.col("u").alias("_row"), "shard", "slot")
+    rows.join(placed, "_row").drop("_row").repartition(shards, "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -439,6 +439,17 @@ def test_shards_odd(odd, empty):
     assert {r.shard for r in sharding.shard(odd, 1).collect()} == {0}
 
 
+def test_write_moves_every_row_once(spark, tmp_path):
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text {i // 2}") for i in range(90)] + [(None, None), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sharding.write(df, f"{tmp_path}/out", 5)
+    got = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(rows)
+    for s in range(5):
+        slots = sorted(r.slot for r in got if r.shard == s)
+        assert slots and slots == list(range(len(slots)))
+
+
 # ---- pipeline ------------------------------------------------------------------------------------------------------
 
 
