@@ -140,7 +140,7 @@ def judge(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: s
 
     A word is hit if it lies in an occurrence of any window; items are those with an occurring window, in the order
     of their ids as strings. Null or empty texts and an empty benchmark give zero counts and the digest of nothing.
-    Repeated rows are judged each.
+    Repeated rows are judged each. A null item id is an id like others (n_items counts it once) that the digest leaves out.
     """
     blocks = item_blocks(benchmark, item_id_col, item_text_col, block)
     spark = docs.sparkSession
@@ -179,11 +179,11 @@ def _judge(shared, window: int, marks: bool):
             covered = np.cumsum(hit)[: index.span] > 0
             if marks:
                 hits = [np.flatnonzero(covered[s : s + m]).astype(np.int32) for s, m in zip(index.starts, index.lengths, strict=False)]
-                columns = [pa.array(pack["row"], pa.int64()), pa.array(pack["doc_id"], pa.int64()), pa.array(index.lengths), pa.array(hits, pa.list_(pa.int32())), pa.array([sorted(x) for x in items], pa.list_(pa.string()))]
+                columns = [pa.array(pack["row"], pa.int64()), pa.array(pack["doc_id"], pa.int64()), pa.array(index.lengths), pa.array(hits, pa.list_(pa.int32())), pa.array([list(x) for x in items], pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "n_words", "hits", "items"])
                 continue
             n_hit = np.diff(np.r_[0, np.cumsum(covered)][np.r_[index.starts[:-1], index.starts[-1]]]) if n else []
-            digest = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items]
+            digest = [hashlib.sha256(",".join(sorted(i for i in x if i is not None)).encode()).hexdigest() for x in items]
             yield pa.RecordBatch.from_arrays([pa.array(pack["doc_id"], pa.int64()), pa.array(index.lengths), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array(digest), pa.array(np.asarray(n_hit) > 0)], _JUDGED.replace(" long", "").replace(" string", "").replace(" boolean", "").split(", "))
 
     return run

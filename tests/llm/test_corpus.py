@@ -245,6 +245,21 @@ def test_phrases_and_proximity(spark, odd, empty):
     assert {r.n_hit for r in decontam.judge(odd, items.limit(0)).collect()} == {0}
 
 
+def test_null_item_ids_as_in_sql(spark):
+    import duckdb
+
+    text = "benchmark words that someone has copied into a document as they are"
+    documents = spark.createDataFrame([(1, text), (2, "nothing of it"), (3, "four"), (4, f"{text} four")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(None, text), (10, text), (None, "four"), (11, "unseen words")], "item_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", documents.toArrow())
+    con.register("benchmark", benchmark.toArrow())
+    expected = sorted(con.execute(queries.oracle_sql()["op5_decontamination"]).fetchall())
+    for block in (decontam.ITEM_BLOCK, 1):
+        assert sorted(map(tuple, decontam.judge(documents, benchmark, block=block).collect())) == expected
+    assert {r[0]: r[3] for r in expected} == {1: 2, 2: 0, 3: 1, 4: 2}
+
+
 # ---- 6 -------------------------------------------------------------------------------------------------------------
 
 
