@@ -220,7 +220,8 @@ class Trie:
 
     ``runs`` are ascending distinct (w, b, a) with their counts. Level 1 has one node for each w, level 2 for each
     (w, b), level 3 for each (w, b, a). A node has the log10 numerator of an n-gram that is known down to it and no
-    further, and the log10 denominator of what follows such a context; level 3 needs no denominators.
+    further, and the log10 denominator of what follows such a context; level 3 needs no denominators. A word with a
+    total has its node whether or not it has runs here, since runs of a spread word can all lie in other pieces.
     """
 
     def __init__(self, folder: str, runs: np.ndarray, counts: np.ndarray, totals: np.ndarray, words: int, eps: float):
@@ -229,10 +230,10 @@ class Trie:
         new2 = np.r_[True, (w[1:] != w[:-1]) | (b[1:] != b[:-1])] if len(w) else np.zeros(0, dtype=bool)
         start2 = np.flatnonzero(new2)
         w2, b2, c2 = w[start2], b[start2], np.add.reduceat(counts, start2) if len(start2) else counts
-        start1 = np.flatnonzero(np.r_[True, w2[1:] != w2[:-1]]) if len(w2) else start2
-        w1 = w2[start1]
+        w1 = np.flatnonzero(totals > 0)
+        start1 = np.searchsorted(w2, w1)
         c1 = totals[w1]
-        parent2 = np.repeat(np.arange(len(w1)), np.diff(np.r_[start1, len(w2)]))
+        parent2 = np.searchsorted(w1, w2)
         parent3 = np.repeat(np.arange(len(w2)), np.diff(np.r_[start2, len(w)]))
         base = eps * (c1 + 1)
         two = NU * c2 + base[parent2]
@@ -300,7 +301,8 @@ def _score_piece(table: pa.Table, eps: float, hot: np.ndarray, hot_counts: np.nd
         which = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(np.r_[starts, len(w)]))
         counts = np.add.reduceat(weight, starts).astype(np.int64)
         totals = np.bincount(w, weights=weight, minlength=n).astype(np.int64)
-        spread = np.flatnonzero(np.isin(hashes, hot))  # only a part of a hot word is here: its count is known before
+        # Only a part of a hot word is here: its count is known before. Words that are only context need none.
+        spread = np.flatnonzero(np.isin(hashes, hot) & (np.bincount(w, minlength=n) > 0))
         totals[spread] = hot_counts[np.searchsorted(hot, hashes[spread])]
         queries = np.stack([w[starts], b[starts], a[starts]]).astype(np.int64)
         learnt = counts > 0

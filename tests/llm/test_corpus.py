@@ -196,6 +196,18 @@ def test_ngram_scores(docs, texts, piece):
     assert {r.train_tokens for r in got.values()} == {sum(n for (i, _), (*_, n, _) in zip(texts, scores(texts), strict=True) if zlib.crc32(str(i).encode()) % 7 != 2)}
 
 
+def test_ngram_words_with_one_usual_predecessor(spark):
+    """Each word of a passage is spread, and all its training bigrams lie in one piece; other texts have others."""
+    passage = [f"w{i}" for i in range(20)]
+    rows = [(i, " ".join(passage)) for i in range(300)]
+    rows += [(i, " ".join(random.Random(i).sample(passage, 20))) for i in range(300, 400) if zlib.crc32(str(i).encode()) % 7 == 2]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in ngramlm.score(df, TRAINS, piece=100).collect()}
+    for (i, _), (score, base, n, known) in zip(rows, scores(rows), strict=True):
+        assert (got[i].n_known, got[i].n_tokens) == (known, n)
+        assert math.isclose(got[i].base_score, base, rel_tol=1e-9) and abs(got[i].score - score) < 1e-3 * n
+
+
 def test_ngram_odd(odd, empty):
     rows = ngramlm.score(odd, TRAINS).collect()
     assert len(rows) == odd.count() and sum(r.doc_id is None for r in rows) == 2 and sum(r.doc_id == 3 for r in rows) == 3
