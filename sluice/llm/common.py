@@ -7,15 +7,27 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+#: Classes whose counts are broadcast; more of them are joined.
+MOST_CLASSES = 10_000
+
+
 def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
     """Only the named columns, as doc_id (long), text (string) and ``more``; other columns can't clash."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *[F.col(c) for c in more])
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df has not, whatever the case of letters."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name = f"_{name}"
+    return name
+
+
 def id_remainder(id_col: str, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as the empty text."""
     return (F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % n).cast("int")
@@ -36,6 +48,31 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def sample(df: DataFrame, class_col: str, text_col: str, rows: int, size: int) -> DataFrame:
+    """class_col and text_col of a bounded sample of distinct texts in which all classes have the same part.
+
+    Of each class those with the least text hashes are taken, as many as rows / classes and size / classes (bytes)
+    allow; null classes and texts are left out, as are texts of over a sixteenth of those bytes, and copies of a text in
+    a class count as one. The result has at most ``rows`` rows (with more classes than that, one each of the first by
+    hash) and ``size`` bytes. Candidates are drawn by hash at a rate that follows from the count of their class, so that
+    no task orders more than a few times a class's part.
+    """
+    own = df.select(F.col(class_col).cast("string").alias("class"), F.col(text_col).cast("string").alias("text")).where("class is not null and text is not null")
+    counts = cut(own.groupBy("class").agg(F.count("*").alias("n")))
+    classes = max(1, counts.count())
+    part, part_size, scale = max(1, rows // classes), size // classes, 1 << 40
+    small = F.broadcast(counts) if classes <= MOST_CLASSES else counts
+    rate = F.lit(2 * part + 100) / F.col("n") * scale
+    drawn = own.where(F.octet_length("text") <= part_size // 16).withColumn("h", F.xxhash64("text")).join(small, "class").where(F.pmod("h", F.lit(scale)) < rate)
+    distinct = drawn.groupBy("class", "h").agg(F.min("text").alias("text"))  # in each task before the shuffle as well
+    order = Window.partitionBy("class").orderBy(F.pmod("h", F.lit(scale)), "h")
+    ranked = distinct.withColumn("rank", F.row_number().over(order)).withColumn("bytes", F.sum(F.octet_length("text")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    chosen = ranked.where((F.col("rank") <= part) & (F.col("bytes") <= part_size))
+    if classes > rows:
+        chosen = chosen.orderBy("h").limit(rows)
+    return chosen.select(F.col("class").alias(class_col), F.col("text").alias(text_col))
+
+
 def slices(batches: Iterable[pa.RecordBatch], limit: int, text_col: str = "text") -> Iterator[pa.RecordBatch]:
     """Batches cut to about ``limit`` bytes of text each: at most one text passes the limit.
 

@@ -2,8 +2,8 @@
 
 A word that is in the table of a language scores by its log frequency there. A word that no language knows is read as
 its character n-grams with edge marks: the longest order of which any n-gram is known decides, and shorter ones are
-only asked if none is. Tables hold what has at least a given share of a language's words (or n-grams of an order), so
-no language has more than 1 / share entries: that bounds what is broadcast, at any size of the corpus.
+only asked if none is. What is learnt from is a bounded sample of the labelled texts in which each language has the
+same part, so the tables that tasks are sent are bounded; within it every word and n-gram counts, however rare.
 """
 
 from __future__ import annotations
@@ -14,13 +14,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import documents, keep_where, packs
+from sluice.llm.common import documents, keep_where, packs, sample
 
 ORDERS = (5, 4, 3, 2, 1)
+#: Labelled texts that are learnt from at most, and their bytes.
+SAMPLE, SAMPLE_BYTES = 20_000, 32 << 20
 _WORDS = regex.compile(r"\p{L}+")
 
 
@@ -81,35 +84,37 @@ def ngram_counts(counted: DataFrame, orders: tuple[int, ...] = ORDERS) -> DataFr
     return counted.mapInArrow(run, "lang string, k int, gram string, n long").groupBy("lang", "k", "gram").agg(F.sum("n").alias("n"))
 
 
-def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", word_share: float = 2e-6, gram_share: float = 1e-5) -> dict:
-    """The tables, learnt from all rows with a language: {langs, words, grams}, each entry a log10 share by language.
+def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE, size: int = SAMPLE_BYTES) -> dict:
+    """The tables {langs, grams, shares, floors} by order (0: words), learnt from a sample of the rows with a language.
 
-    Entries under the shares are left to shorter n-grams. With no rows, or no words, there are no languages.
+    Of each language the texts of the least hashes are learnt from, as many as its part of ``rows`` and of ``size``
+    bytes allows. A gram has its log10 share in each language; where a language doesn't have it, that is the floor: half
+    an occurrence in the largest language. With no rows, or no words, there are no languages.
     """
-    counted = word_counts(df, text_col, lang_col).persist()
-    both = counted.select("lang", F.lit(0).alias("k"), F.col("word").alias("gram"), "n").unionByName(ngram_counts(counted)).persist()
-    totals = both.groupBy("lang", "k").agg(F.sum("n").alias("total"))
-    share = F.when(F.col("k") == 0, word_share).otherwise(gram_share)
-    frequent = both.join(totals, ["lang", "k"]).where(F.col("n") >= share * F.col("total")).select("lang", "k", "gram", (F.col("n") / F.col("total")).alias("p"))
-    rows = frequent.toPandas()
-    both.unpersist()
+    counted = word_counts(sample(df, lang_col, text_col, rows, size), text_col, lang_col).persist()
+    both = counted.select("lang", F.lit(0).alias("k"), F.col("word").alias("gram"), "n").unionByName(ngram_counts(counted)).toArrow()
     counted.unpersist()
-    langs = sorted(rows["lang"].unique())
-    at = {x: i for i, x in enumerate(langs)}
-    tables: dict[int, dict[str, np.ndarray]] = {k: {} for k in (0, *ORDERS)}
-    floors = {k: math.log10((word_share if k == 0 else gram_share) / 2) for k in tables}
-    for lang, k, gram, p in rows.itertuples(index=False):
-        tables[k].setdefault(gram, np.full(len(langs), floors[k]))[at[lang]] = math.log10(p)
-    return {"langs": langs, "tables": tables, "floors": floors}
+    lang, of_lang = np.unique(both.column("lang").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
+    order, n, gram = both.column("k").to_numpy(), both.column("n").to_numpy(), both.column("gram")
+    model: dict = {"langs": lang.tolist(), "grams": {}, "shares": {}, "floors": {}}
+    for k in (0, *ORDERS):
+        own = np.flatnonzero(order == k)
+        found = pc.dictionary_encode(gram.take(pa.array(own)).combine_chunks())
+        found = found.combine_chunks() if isinstance(found, pa.ChunkedArray) else found
+        totals = np.bincount(of_lang[own], n[own], len(lang))
+        floor = math.log10(0.5 / max(1.0, totals.max(initial=0.0)))
+        shares = np.full((len(found.dictionary), len(lang)), floor)
+        shares[found.indices.to_numpy(), of_lang[own]] = np.log10(n[own] / totals[of_lang[own]])
+        model["grams"][k], model["shares"][k], model["floors"][k] = found.dictionary.to_pylist(), shares, floor
+    return model
 
 
 class Scorer:
     """Scores texts; the scores of words are rows of a matrix, which starts anew when it has grown large."""
 
     def __init__(self, model: dict, limit: int = 400_000):
-        self.langs, self.floors, self.limit = model["langs"], model["floors"], limit
-        self.known = {k: {gram: i for i, gram in enumerate(table)} for k, table in model["tables"].items()}
-        self.shares = {k: np.array(list(table.values())).reshape(len(table), len(self.langs)) for k, table in model["tables"].items()}
+        self.langs, self.floors, self.shares, self.limit = model["langs"], model["floors"], model["shares"], limit
+        self.known = {k: {gram: i for i, gram in enumerate(grams)} for k, grams in model["grams"].items()}
         self.rows, self.values = _Rows(self), np.zeros((1024, len(self.langs) + 1))
 
     def word(self, word: str) -> np.ndarray | None:

@@ -4,7 +4,9 @@ The 64 bits are two halves of 16 segments, and a half's embedding is the number
 a bit moves one coordinate by one, so the Manhattan distance of embeddings never exceeds the Hamming distance. Of two
 fingerprints within 4 bits, one half differs in 2 or fewer: its embeddings are within 2, and some grid point lies
 within 1 of both. Each fingerprint goes to its own grid point and those next to it, in either half; the pairs that
-meet are checked exactly. Fingerprints that are equal are one row throughout.
+meet are checked exactly. Members of a crowded point are dealt again by a grid over the other half, as far as the
+first half leaves bits of the four; what is crowded even there, by a grid over segments of single bits, where the
+embedding is the fingerprint itself. Fingerprints that are equal are one row throughout.
 """
 
 from __future__ import annotations
@@ -21,10 +23,11 @@ from pyspark.sql import functions as F
 from sluice.llm.common import cut, documents, packs
 
 BITS, SEGMENTS, WIDTH = 4, 16, 2
-#: A grid point with more fingerprints than this is resolved by midpoints instead of pairs.
+#: A grid point with more fingerprints than this is dealt again by more of their bits instead of paired off.
 CROWD = 1024
 _SHIFTS = np.arange(SEGMENTS, dtype=np.uint64) * np.uint64(WIDTH)
 _PLACES = np.array([(WIDTH + 1) ** i for i in range(SEGMENTS)], dtype=np.int64)
+_POINTS = (WIDTH + 1) ** SEGMENTS
 
 
 def fingerprint(text: str | None, k: int = 4, seed: int = 42) -> int:
@@ -55,20 +58,84 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return documents(df, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
 
 
-def cells(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Grid points and fingerprints: each fingerprint at its own point and those at distance 1, in both halves."""
-    at, who, mask = [], [], np.uint64((1 << WIDTH) - 1)
+def embedding(fps: np.ndarray, half: int) -> np.ndarray:
+    """Set bits of each segment of a half."""
+    bits = (fps.view(np.uint64) >> np.uint64(32 * half)) & np.uint64(0xFFFFFFFF)
+    return np.bitwise_count((bits[:, None] >> _SHIFTS) & np.uint64((1 << WIDTH) - 1)).astype(np.int64)
+
+
+def cells(fps: np.ndarray, who: np.ndarray | None = None, grid: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Grid points and ``who`` (the fingerprints themselves): each at its own point and those at distance 1, in both
+    halves. Points of grids with other numbers never meet."""
+    who = fps if who is None else who
+    at, names = [], []
     for half in (0, 1):
-        bits = (fps.view(np.uint64) >> np.uint64(32 * half)) & np.uint64(0xFFFFFFFF)
-        counts = np.bitwise_count((bits[:, None] >> _SHIFTS) & mask).astype(np.int64)
-        own = counts @ _PLACES * 2 + half
+        counts = embedding(fps, half)
+        own = (counts @ _PLACES + grid * _POINTS) * 2 + half
         at.append(own)
-        who.append(fps)
+        names.append(who)
         for step, open_ in ((1, counts < WIDTH), (-1, counts > 0)):
             row, place = np.nonzero(open_)
             at.append(own[row] + 2 * step * _PLACES[place])
-            who.append(fps[row])
-    return np.concatenate(at), np.concatenate(who)
+            names.append(who[row])
+    return np.concatenate(at), np.concatenate(names)
+
+
+def _steps(radius: int) -> np.ndarray:
+    """All moves of at most ``radius`` (1 or 2) in the embedding of a half."""
+    one = np.concatenate([np.eye(SEGMENTS, dtype=np.int64), -np.eye(SEGMENTS, dtype=np.int64)])
+    moves = [np.zeros((1, SEGMENTS), dtype=np.int64), one]
+    if radius > 1:
+        moves.append((one[:, None, :] + one[None, :, :]).reshape(-1, SEGMENTS))
+    return np.unique(np.concatenate(moves), axis=0)
+
+
+_MOVES = {r: _steps(r) for r in (1, 2)}
+
+
+def subcells(cell: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Points of a crowded point's members in the other half's grid, and the members.
+
+    Of two fingerprints within 4 bits that meet at a point, one half takes 0 bits where both have it as their own, 1 where
+    one has, 2 where both are next to it (or have it as their own): so a member that has it as its own goes to points
+    within 2 of its other half, any other to points within 1, and the two meet again.
+    """
+    at, who = [], []
+    for half in (0, 1):
+        here = np.flatnonzero((cell & 1) == half)
+        own = (embedding(fps[here], half) @ _PLACES) * 2 + half == cell[here]
+        for radius, rows in ((2, here[own]), (1, here[~own])):
+            for lo in range(0, len(rows), 256):
+                some = rows[lo : lo + 256]
+                points = embedding(fps[some], 1 - half)[:, None, :] + _MOVES[radius][None, :, :]
+                row, move = np.nonzero(((points >= 0) & (points <= WIDTH)).all(axis=2))
+                at.append(cell[some][row] * _POINTS + points[row, move] @ _PLACES)
+                who.append(fps[some][row])
+    return np.concatenate([np.zeros(0, dtype=np.int64), *at]), np.concatenate([fps[:0], *who])
+
+
+def runs(sorted_rows: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
+    """Points, the starts and sizes of their runs and columns, from rows sorted by cell; each run comes whole, once."""
+
+    def whole(parts: list[list[np.ndarray]]):
+        at, *others = (np.concatenate(x) for x in zip(*parts, strict=True))
+        starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        return at, starts, np.diff(np.r_[starts, len(at)]), *others
+
+    held: list[list[np.ndarray]] = []
+    for batch in sorted_rows:
+        rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("cell", *columns)]
+        if not len(rows[0]):
+            continue
+        begin = int(np.searchsorted(rows[0], rows[0][-1]))  # of the last run, which can go on in the next batch
+        if held and held[0][0][0] == rows[0][-1]:
+            held.append(rows)
+            continue
+        if held or begin:
+            yield whole([*held, [x[:begin] for x in rows]])
+        held = [[x[begin:] for x in rows]]
+    if held:
+        yield whole(held)
 
 
 def linked(fps: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
@@ -84,18 +151,22 @@ def linked(fps: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pairs(sorted_cells: Iterator[pa.RecordBatch], crowd: int) -> Iterator[pa.RecordBatch]:
-    """Links (a, b) from rows sorted by point; b is null for a member of a point with more than ``crowd``."""
+    """Links (a, b, null) from rows sorted by point; (a, null, cell) for a member of a point with more than ``crowd``."""
 
-    def out(a, b, null=False):
+    def out(a, b, cell=None):
         if len(a):
-            yield pa.RecordBatch.from_arrays([pa.array(np.asarray(a).view(np.int64)), pa.array(np.asarray(b).view(np.int64), mask=np.full(len(b), null))], ["a", "b"])
+            none = pa.nulls(len(a), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), none if b is None else pa.array(b.view(np.int64)), none if cell is None else pa.array(np.full(len(a), cell))], ["a", "b", "cell"])
 
-    last_at, last = None, np.empty(0, dtype=np.uint64)
+    last_at, last, over = None, np.empty(0, dtype=np.uint64), False
     for batch in sorted_cells:
         at = np.concatenate([np.full(len(last), last_at if last_at is not None else 0, dtype=np.int64), batch.column("cell").to_numpy()])
         who = np.concatenate([last, batch.column("fp").to_numpy().view(np.uint64)])
         starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.empty(0, dtype=np.int64)
         sizes = np.diff(np.r_[starts, len(at)])
+        if over and len(starts) > 1:  # the run that was over the limit ends here
+            yield from out(who[: sizes[0]], None, at[0])
+            starts, sizes, over = starts[1:], sizes[1:], False
         # The last run can go on in the next batch: it waits, but for what is over the limit already.
         last_at, last = (at[-1], who[starts[-1] :]) if len(at) else (last_at, last)
         two = np.flatnonzero(sizes[:-1] == 2)
@@ -104,16 +175,21 @@ def _pairs(sorted_cells: Iterator[pa.RecordBatch], crowd: int) -> Iterator[pa.Re
         yield from out(np.maximum(a, b)[near], np.minimum(a, b)[near])
         for i in np.flatnonzero(sizes[:-1] > 2):
             run = who[starts[i] : starts[i] + sizes[i]]
-            yield from out(run, run, True) if len(run) > crowd else out(*linked(run))
-        if len(last) > 2 * crowd:
-            yield from out(last[crowd + 1 :], last[crowd + 1 :], True)
-            last = last[: crowd + 1]
-    if len(last) > 1:
-        yield from out(last, last, True) if len(last) > crowd else out(*linked(last))
+            yield from out(run, None, at[starts[i]]) if len(run) > crowd else out(*linked(run))
+        if over or len(last) > crowd:
+            yield from out(last[1:], None, last_at)
+            last, over = last[:1], True  # one member stays to tell the run by
+    if over:
+        yield from out(last, None, last_at)
+    elif len(last) > 1:
+        yield from out(*linked(last))
 
 
-def midpoints(fps: np.ndarray, radius: int = BITS // 2) -> tuple[np.ndarray, np.ndarray]:
-    """All values within ``radius`` bits of each fingerprint. Two that share one are within twice the radius."""
+def bit_cells(fps: np.ndarray, radius: int = BITS // 2) -> tuple[np.ndarray, np.ndarray]:
+    """Points within ``radius`` in the grid of single-bit segments, which are values within so many bits, and the members.
+
+    Two that share one are within twice the radius, and of two within twice the radius some value is within it of both.
+    """
     flips = [0, *(1 << i for i in range(64))]
     if radius > 1:
         flips += [1 << i | 1 << j for i in range(64) for j in range(i)]
@@ -124,31 +200,41 @@ def midpoints(fps: np.ndarray, radius: int = BITS // 2) -> tuple[np.ndarray, np.
 def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     """Links (a, b) between distinct fingerprints (column fp) whose components are those of all links within 4 bits.
 
-    A crowded point isn't paired off: its members meet at shared values within 2 bits instead, where all are links by
-    the triangle inequality, so that the least of each value stands for it; the work is linear in the members.
+    Three grids, each for the members of the crowded points of the one before: a half's, both halves', single bits'. All
+    members of a point of the last are links, so that the least stands for them; the work is linear in the members.
     """
+    n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 8192):
-                cell, who = cells(batch.column("fp").slice(at, 8192).to_numpy(zero_copy_only=False))
-                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(who)], ["cell", "fp"])
+    def level(df: DataFrame, *columns: str) -> DataFrame:
+        def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 8192):
+                    part = batch.slice(at, 8192)
+                    cell, who = (subcells if len(columns) > 1 else cells)(*(part.column(c).to_numpy(zero_copy_only=False) for c in columns))
+                    for lo in range(0, len(cell), 1 << 18):
+                        yield pa.RecordBatch.from_arrays([pa.array(cell[lo : lo + (1 << 18)]), pa.array(who[lo : lo + (1 << 18)])], ["cell", "fp"])
+
+        points = df.mapInArrow(spread, "cell long, fp long").repartition(n, "cell").sortWithinPartitions("cell")
+        return cut(points.mapInArrow(lambda x: _pairs(x, crowd), "a long, b long, cell long").distinct())
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
-                mid, who = midpoints(batch.column("fp").slice(at, 64).to_numpy(zero_copy_only=False).view(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(mid.view(np.int64)), pa.array(who.view(np.int64))], ["mid", "fp"])
-
-    n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread_out = fps.mapInArrow(spread, "cell long, fp long").repartition(n, "cell").sortWithinPartitions("cell")
-    found = cut(spread_out.mapInArrow(lambda x: _pairs(x, crowd), "a long, b long").distinct())
-    plain, crowded = found.where("b is not null"), found.where("b is null").select(F.col("a").alias("fp"))
-    if crowded.isEmpty():
-        return plain
-    meeting = crowded.mapInArrow(meet, "mid long, fp long")
-    least = meeting.groupBy("mid").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return plain.unionByName(meeting.join(least, "mid").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct())
+                point, who = bit_cells(batch.column("fp").slice(at, 64).to_numpy(zero_copy_only=False).view(np.uint64))
+                yield pa.RecordBatch.from_arrays([pa.array(point.view(np.int64)), pa.array(who.view(np.int64))], ["point", "fp"])
+
+    crowded = lambda found: found.where("b is null").select("cell", F.col("a").alias("fp"))
+    first = level(fps, "fp")
+    all_ = first.where("b is not null").select("a", "b")
+    if crowded(first).isEmpty():
+        return all_
+    second = level(crowded(first), "cell", "fp")
+    all_ = all_.unionByName(second.where("b is not null").select("a", "b"))
+    if crowded(second).isEmpty():
+        return all_
+    points = crowded(second).select("fp").distinct().mapInArrow(meet, "point long, fp long")
+    least = points.groupBy("point").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return all_.unionByName(points.join(least, "point").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct())
 
 
 def least_of(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -198,16 +284,3 @@ def cluster(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: in
     rooted = distinct.join(labels, distinct["fp"] == labels["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = rooted.select("fp", "root").join(least_of(rooted, "root", "first"), "root").select("fp", F.col("first").alias("component_id"))
     return docs.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component: that of its least id, or one without an id where none has any.
-
-    Rows that repeat an id with the same text count as one document; all columns stay as they are.
-    """
-    clusters = cut(cluster(df, id_col, text_col))
-    first = clusters.where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    kept = df.join(first, F.col(id_col).cast("long").eqNullSafe(F.col("_kept")), "left_semi")
-    if clusters.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    return kept.withColumn("_text", F.xxhash64(text_col)).dropDuplicates([id_col, "_text"]).drop("_text")
