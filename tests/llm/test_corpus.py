@@ -188,12 +188,14 @@ def test_elias_fano(tmp_path):
         sequence = eliasfano.Sequence.write(f"{tmp_path}/{i}", values)
         assert (np.concatenate([np.zeros(0, dtype=np.int64), *(sequence.block(k) for k in range(-(-len(values) // eliasfano.BLOCK)))]) == values).all()
         wanted = np.unique(rng.integers(0, int(values.max()) + 2 if len(values) else 9, 500))
-        found = sequence.find(np.unique(np.r_[wanted, values[::97]]))
-        for w, f in zip(np.unique(np.r_[wanted, values[::97]]), found, strict=True):
-            assert (f == -1 and w not in values) or values[f] == w
+        wanted = np.unique(np.r_[wanted, values[::97]])
+        place, equal = sequence.successor(wanted)
+        assert (place == np.searchsorted(values, wanted)).all() and (equal == np.isin(wanted, values)).all()
         if len(values):
             at = np.unique(rng.integers(0, len(values), 50))
             assert (sequence.at(at) == values[at]).all()
+            size = sum(x.size * 8 for x in (sequence.low, sequence.high) if x is not None)
+            assert size <= len(values) * (3 + sequence.bits) + 64 and sequence.bits <= max(0, math.log2(max(1, values[-1] / len(values))))
     assert sequence.n == 0
 
 
@@ -246,11 +248,85 @@ def test_ngram_words_with_one_usual_predecessor(spark):
     rows += [(i, " ".join(random.Random(i).sample(passage, 20))) for i in range(300, 400) if zlib.crc32(str(i).encode()) % 7 == 2]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r for r in ngramlm.score(df, TRAINS, piece=100).collect()}
+    agree(got, rows)
+
+
+def agree(got, rows):
     for (i, _), (score, base, n, known) in zip(rows, scores(rows), strict=True):
         assert (got[i].n_known, got[i].n_tokens) == (known, n)
         assert math.isclose(got[i].base_score, base, rel_tol=1e-9) and abs(got[i].score - score) < 1e-3 * n
 
 
+def test_ngram_pairs_that_are_half_of_all_words(spark):
+    """One pair is dealt to many pieces by the word before it, and has its count in each of them."""
+    rng = random.Random(14)
+    rows = [(i, " ".join(x for _ in range(12) for x in (f"v{rng.randrange(300)}", "of", "the"))) for i in range(250)]
+    rows += [(i, " ".join(rng.choice(["of", "the", "of the", "the of", f"v{rng.randrange(400)}"]) for _ in range(20))) for i in range(250, 300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    own = ngramlm.statistics(df.withColumn("trains", F.lit(True)), 300)
+    assert len(own.hot.pairs) > 0 and len(own.hot.words) <= ngramlm.HOT * own.pieces
+    agree({r.doc_id: r for r in ngramlm.score(df, TRAINS, piece=300).collect()}, rows)
+    shared = spark.sparkContext.broadcast((own.hot, own.frequent))
+    grams = lambda t: sum(len(ngramlm._unpack(r.payload, own.frequent)[1][0]) for r in t if r.kind == 1)
+    dealt = ngramlm._dealt(df.withColumn("trains", F.lit(True)), own.pieces, shared).collect()
+    by = {k: grams([r for r in dealt if r.piece == k]) for k in {r.piece for r in dealt}}
+    assert len(by) > own.pieces / 2 and max(by.values()) < 0.2 * sum(by.values())
+
+
+def test_ngram_hot_passage_is_one_gram_a_lot(spark):
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("the same passage in all of them").alias("text"), F.lit(True).alias("trains")).repartition(2)
+    own = ngramlm.statistics(df, 500)
+    shared = spark.sparkContext.broadcast((own.hot, own.frequent))
+    for r in ngramlm._dealt(df, own.pieces, shared).where("kind = 1").collect():
+        assert len(ngramlm._unpack(r.payload, own.frequent)[1][0]) <= 8
+
+
+def test_ngram_model_is_stored_and_asked_again(spark, tmp_path, docs, texts):
+    for piece in (ngramlm.PIECE, 1500):
+        at = f"{tmp_path}/{piece}"
+        ngramlm.fit(docs.where(TRAINS), at, piece=piece)
+        expected = {r.doc_id: r for r in ngramlm.score(docs, TRAINS, piece=piece).collect()}
+        got = ngramlm.score_with(docs, at).collect()
+        assert len(got) == len(expected)
+        for r in got:
+            e = expected[r.doc_id]
+            assert (r.n_tokens, r.n_known, r.train_tokens) == (e.n_tokens, e.n_known, e.train_tokens)
+            assert math.isclose(r.score, e.score, rel_tol=1e-5) and math.isclose(r.base_score, e.base_score, rel_tol=1e-9)
+    strange = spark.createDataFrame([(1, "words that nobody has seen qqq"), (2, None)], "doc_id long, text string")
+    assert {r.n_tokens for r in ngramlm.score_with(strange, at).collect()} == {7, 1} and ngramlm.score_with(strange.limit(0), at).count() == 0
+
+
+def test_ngram_search_stays_between_pointers(tmp_path):
+    rng = np.random.default_rng(15)
+    grams = np.unique(rng.integers(0, 40, (3000, 3)), axis=0)
+    counts = rng.integers(1, 9, len(grams))
+    nothing = ngramlm.Hot(*(np.zeros(0, dtype=t) for t in (np.uint64, np.int64, np.uint64, np.int64)))
+    words = np.arange(100, 140, dtype=np.uint64)
+    trie = ngramlm.Trie.write(str(tmp_path), words, grams.T, counts, nothing, 1e-3)
+    one, two = np.unique(grams[:, 0]), np.unique(grams[:, :2], axis=0)
+    parents, ranks = (x.ravel() for x in np.meshgrid(np.arange(len(one)), np.arange(40), indexing="ij"))
+    found = trie.children(2, parents, ranks)
+    expected = {(w, b): i for i, (w, b) in enumerate(two.tolist())}
+    assert found.tolist() == [expected.get((int(one[p]), r), -1) for p, r in zip(parents, ranks.tolist(), strict=True)]
+    assert trie.begin2.n == len(one) + 1 and trie.begin3.n == len(two) + 1 and trie.level3.n == len(grams)
+    top, under, count = trie.look_up(*grams.T, 1e-3, nothing, words)
+    c1, c2 = Counter(), Counter()
+    for (w, b, _), n in zip(grams.tolist(), counts.tolist(), strict=True):
+        c1[w] += n
+        c2[w, b] += n
+    assert count.tolist() == [c1[w] for w, *_ in grams.tolist()]
+    assert np.allclose(top, [math.log10(n + ngramlm.NU * c2[w, b] + 1e-3 * (c1[w] + 1)) for (w, b, _), n in zip(grams.tolist(), counts.tolist(), strict=True)], atol=1e-3)
+    assert np.allclose(under, [math.log10(c2[w, b] + ngramlm.NU * c1[w] + ngramlm.MU) for w, b, _ in grams.tolist()], atol=1e-3)
+
+
+def test_ngram_shares_of_unseen_text(spark):
+    """Held-out text is likelier than by plain shares and by pairs alone, and trained text likelier still."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").dropDuplicates(["text"])
+    rows = ngramlm.score(docs, TRAINS).collect()
+    mean = lambda held, c: sum(r[c] for r in rows if r.held_out == held) / sum(r.n_tokens for r in rows if r.held_out == held)
+    assert mean(True, "score") > mean(True, "base_score") + 0.3 and mean(False, "score") > mean(True, "score") + 0.5
+
+
 def test_ngram_odd(odd, empty):
     rows = ngramlm.score(odd, TRAINS).collect()
     assert len(rows) == odd.count() and sum(r.doc_id is None for r in rows) == 2 and sum(r.doc_id == 3 for r in rows) == 3
