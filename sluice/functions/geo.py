@@ -29,21 +29,25 @@ def band_of(mhz: Column, compat: bool = False) -> Column:
 
 
 def _valid(grid: Column) -> Column:
-    return F.upper(F.trim(grid)).rlike("^[A-R]{2}[0-9]{2}([A-X]{2})?$")
+    return F.upper(F.trim(grid)).rlike("^[A-R]{2}[0-9]{2}")
+
+
+def _six(g: Column) -> Column:
+    return g.rlike("^.{4}[A-X]{2}$")
 
 
 def grid_lat(grid: Column) -> Column:
-    """Latitude of the centre of a 4- or 6-character locator; null for anything else."""
+    """Latitude of a locator's centre: of the sub-square of 6 characters, of the square for other lengths; else null."""
     g = F.upper(F.trim(grid))
     base = (F.ascii(F.substring(g, 2, 1)) - 65) * 10.0 + (F.ascii(F.substring(g, 4, 1)) - 48) - 90.0
-    return F.when(_valid(grid), base + F.when(F.length(g) == 6, (F.ascii(F.substring(g, 6, 1)) - 65 + 0.5) / 24.0).otherwise(0.5))
+    return F.when(_valid(grid), base + F.when(_six(g), (F.ascii(F.substring(g, 6, 1)) - 65 + 0.5) / 24.0).otherwise(0.5))
 
 
 def grid_lon(grid: Column) -> Column:
-    """Longitude of the centre of a 4- or 6-character locator; null for anything else."""
+    """Longitude of a locator's centre: of the sub-square of 6 characters, of the square for other lengths; else null."""
     g = F.upper(F.trim(grid))
     base = (F.ascii(F.substring(g, 1, 1)) - 65) * 20.0 + (F.ascii(F.substring(g, 3, 1)) - 48) * 2.0 - 180.0
-    return F.when(_valid(grid), base + F.when(F.length(g) == 6, (F.ascii(F.substring(g, 5, 1)) - 65 + 0.5) / 12.0).otherwise(1.0))
+    return F.when(_valid(grid), base + F.when(_six(g), (F.ascii(F.substring(g, 5, 1)) - 65 + 0.5) / 12.0).otherwise(1.0))
 
 
 def path_geometry(tx_lat: Column, tx_lon: Column, rx_lat: Column, rx_lon: Column, angle: Column) -> dict[str, Column]:

@@ -11,7 +11,7 @@ from pyspark.sql.functions import pandas_udf
 EXTENDED = "%6s %4s %5.2f %6.2f %5.2f %12.7f %-14s %-6s %2d %2d %4d %4d %4d %4d %2d %3d %3d %2d %6.1f %6.1f %4d %6s %12s %5d %6.1f %6.1f %6.1f %6.1f %6.1f %6.1f %6.1f %6.1f %4d %4d"
 SHORT_W = "%-6s %4s %5.2f %3d %5.2f %12.7f %-14s %-6s %2d %2d %4d"
 SHORT_F = "%-6s %4s %5.1f %3.0f %5.2f %12.7f %-14s %-6s %2d  0 %4d"
-NOISE = " ".join(["%5.2f"] * 14 + ["%d"])
+NOISE = "%5.2f %5.2f %5.2f %5.2f %5.2f %5.2f %5.2f %5.2f %5.2f %5.2f %5.2f %5.2f %5.2f %5.2f %d"
 
 
 def render(layout: str, *values: Column) -> Column:
@@ -36,11 +36,17 @@ def noise_line(rms: Column, fft: Column, overloads: Column) -> Column:
 
 
 def short_line(ts: Column, sync: Column, snr: Column, dt: Column, mhz: Column, call: Column, grid: Column, power: Column, drift: Column, kind: Column, w_mode: Column) -> Column:
-    """The eleven-field line, in the layout of W or of F modes; null where it can't be rendered."""
-    date, hhmm = F.date_format(ts, "yyMMdd"), F.date_format(ts, "HHmm")
-    w = render(SHORT_W, date, hhmm, sync, snr.cast("long"), dt, mhz, call, grid, power, drift, kind)
-    f = render(SHORT_F, date, hhmm, sync, snr, dt, mhz, call, grid, power, kind)
-    return F.when(w_mode, w).otherwise(f)
+    """The eleven-field line, in the layout of W or of F modes; null where it can't be rendered. Each row is rendered once."""
+
+    @pandas_udf("string")
+    def line(w_mode: pd.Series, *columns: pd.Series) -> pd.Series:
+        out = []
+        for w, (*head, snr, dt, mhz, call, grid, power, drift, kind) in zip(w_mode, zip(*columns, strict=True), strict=True):
+            row = (*head, int(snr) if w and snr == snr else snr, dt, mhz, call, grid, power, *([drift] if w else []), kind)
+            out.append(None if any(v is None or v != v for v in row) else (SHORT_W if w else SHORT_F) % row)
+        return pd.Series(out, dtype="object")
+
+    return line(F.coalesce(w_mode, F.lit(False)), F.date_format(ts, "yyMMdd"), F.date_format(ts, "HHmm"), sync, snr.cast("double"), dt, mhz, call, grid, power, drift, kind)
 
 
 def spot_wire_size(call: Column, mode: Column, locator: Column, message: Column) -> Column:

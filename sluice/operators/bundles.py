@@ -98,8 +98,13 @@ def routing_flags(df: DataFrame, keys: tuple[str, ...] = (), receiver: Sequence[
     return of.select(*keys, "default_flag", F.to_json(F.map_from_entries(minority)).alias("overrides"))
 
 
-def report_body(spots: DataFrame, batch: tuple[str, ...] = (), time: str = "time") -> DataFrame:
-    """A body of lines for each batch: the best spots, rendered, by minute and frequency."""
+def report_body(spots: DataFrame, batch: tuple[str, ...], time: str = "time") -> DataFrame:
+    """A body of lines for each batch: the best spots, rendered, by minute and frequency.
+
+    A body is one value, so batches have to be bounded: number them by chunk_by_count and name batch_id among ``batch``.
+    """
+    if not batch:
+        raise ValueError("a body of all rows has no bound: cut them by chunk_by_count first")
     line = render_lines(best_spot(spots, batch, time), time).withColumns({"_minute": F.date_trunc("minute", time)})
     grouped = line.groupBy(*batch).agg(F.count("*").alias("n_lines"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_minute", "mhz", "line"))), lambda x: x["line"]), "\n").alias("body"))
     return grouped

@@ -8,35 +8,43 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluice.shared import cut
 
-def numbered(df: DataFrame, order: Sequence[str], into: str = "_n") -> DataFrame:
-    """Rows numbered from 0 in order over all: sorted by ranges, counted by partition, then numbered inside each.
 
-    A window over all rows would be one task; here only a count for each partition is put together.
+def numbered(df: DataFrame, order: Sequence[str], into: str = "_n", keys: Sequence[str] = ()) -> DataFrame:
+    """Rows numbered from 0 in order, over all or within each key: sorted by ranges, counted by partition, then numbered.
+
+    A window over all rows, or over a key that holds a large part of them, would be one task; here a key can lie in many
+    partitions, and only counts of keys by partition are put together. The sorted rows are kept in the shared folder,
+    as both steps have to see the same ranges.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).persist()
-    counts = ranged.groupBy("_part").agg(F.count("*").alias("_count"))
-    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_count")
-    return ranged.join(F.broadcast(offsets), "_part").withColumn(into, F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1 + F.col("_offset")).drop("_part", "_offset")
+    ranged = cut(df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order).withColumn("_part", F.spark_partition_id()))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy(*keys, "_part").agg(F.count("*").alias("_count")).withColumn("_offset", F.coalesce(F.sum("_count").over(before), F.lit(0))).drop("_count")
+    if not keys:
+        met = ranged.join(F.broadcast(offsets), "_part")  # one row for each partition
+    else:
+        same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in [*keys, "_part"]]
+        met = ranged.alias("l").join(offsets.alias("r"), same).select("l.*", "r._offset")
+    return met.withColumn(into, F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order)) - 1 + F.col("_offset")).drop("_part", "_offset")
 
 
 def chunk_by_count(df: DataFrame, n: int, order: Sequence[str], keys: tuple[str, ...] = ()) -> DataFrame:
     """batch_id from 0 in order, n rows each, by key or over all."""
-    if keys:
-        return df.withColumn("batch_id", F.floor((F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1) / n).cast("long"))
-    return numbered(df, order).withColumn("batch_id", F.floor(F.col("_n") / n).cast("long")).drop("_n")
+    return numbered(df, order, "_n", keys).withColumn("batch_id", F.floor(F.col("_n") / n).cast("long")).drop("_n")
 
 
-def chunk_by_bytes(df: DataFrame, max_len: int, overhead: int, size: str, order: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """packet from 0 in order within each key: filled while size and overhead fit; a larger row has one of its own.
+def chunk_by_bytes(df: DataFrame, max_len: int, overhead: int, size: str, order: Sequence[str], keys: Sequence[str], rows: int = 500) -> DataFrame:
+    """keys, order, size, batch_id and packet: within each key's batches of ``rows`` rows, packets from 0 in order.
 
-    The fill depends on what came before, so a key's sizes are one group: cut keys by chunk_by_count first, which
-    bounds them. Only keys, order and sizes go through it; the rows are joined back.
+    A packet is filled while size and overhead fit; a larger row has one of its own. The fill depends on what came
+    before, so a batch is one group, and the count bounds it, whatever a key holds. Other columns are left out: join
+    them by key and order where they are needed.
     """
     budget = max_len - overhead
     if budget <= 0:
         raise ValueError(f"{max_len} bytes don't hold an overhead of {overhead}")
-    slim = df.select(*keys, *[c for c in order if c not in keys], size)
+    slim = chunk_by_count(df.select(*keys, *[c for c in order if c not in keys], size), rows, order, tuple(keys))
     schema = slim.withColumn("packet", F.lit(0).cast("long")).schema
 
     def fill(rows: pd.DataFrame) -> pd.DataFrame:
@@ -49,7 +57,7 @@ def chunk_by_bytes(df: DataFrame, max_len: int, overhead: int, size: str, order:
             held += one
         return rows.assign(packet=packets)
 
-    return slim.groupBy(*keys).applyInPandas(fill, schema)
+    return slim.groupBy(*keys, "batch_id").applyInPandas(fill, schema)
 
 
 def budgeted(batches: DataFrame, budget: int | None, pipeline: str = "pipeline", batch: str = "batch_id", n: str = "n_rows") -> DataFrame:

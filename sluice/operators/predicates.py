@@ -58,9 +58,17 @@ def ceiling(df: DataFrame, column: str | Column, value: object | DataFrame | Non
     return df.where(at <= F.lit(value))
 
 
+def read_payload(df: DataFrame, payload: str = "payload_json") -> DataFrame:
+    """Rows with the payload as a variant, which is null where the payload is no JSON (or null): one scan for both kinds."""
+    return df.withColumn("payload", parsed(F.col(payload)))
+
+
 def quarantine(df: DataFrame, payload: str = "payload_json") -> tuple[DataFrame, DataFrame]:
-    """Rows with the payload as a variant, and the rows whose payload is no JSON (null ones too)."""
-    read = df.withColumn("payload", parsed(F.col(payload)))
+    """Rows with the payload as a variant, and the rows whose payload is no JSON (null ones too).
+
+    Where both are wanted at once, read_payload() has them in one scan.
+    """
+    read = read_payload(df, payload)
     return read.where("payload is not null"), read.where("payload is null").drop("payload")
 
 
@@ -74,10 +82,16 @@ def with_record_time(df: DataFrame, now: Column | None = None, payload: str = "p
     return df.withColumn(into, record_time(F.col(payload), F.col(queued), now))
 
 
+def with_accepted(df: DataFrame, accepted: DataFrame, targets: tuple[str, ...] = ("target_table",), version: str = "schema_version", into: str = "accepted") -> DataFrame:
+    """Every row and whether the table of (targets, version) lists it; nulls are not listed. One scan and one join."""
+    on = [*targets, version]
+    return df.join(accepted.select(*on).distinct().withColumn(into, F.lit(True)), on, "left").withColumn(into, F.coalesce(into, F.lit(False)))
+
+
 def accepts(df: DataFrame, accepted: DataFrame, targets: tuple[str, ...] = ("target_table",), version: str = "schema_version") -> tuple[DataFrame, DataFrame]:
     """Rows that the table of (targets, version) lists, and the rows that it doesn't (nulls among them)."""
-    on = [*targets, version]
-    return df.join(accepted.select(*on).distinct(), on, "left_semi"), df.join(accepted.select(*on).distinct(), on, "left_anti")
+    marked = with_accepted(df, accepted, targets, version, "_accepted")
+    return marked.where("_accepted").drop("_accepted"), marked.where("not _accepted").drop("_accepted")
 
 
 def reportable(df: DataFrame, call: str = "call", mhz: str = "mhz") -> DataFrame:

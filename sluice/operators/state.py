@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.fields import backoff
+from sluice.shared import cut
 from sluice.sources.queue import first_n
 
 
+#: The defaults of retries.
 @dataclass(frozen=True)
 class RetryPolicy:
     base: float = 2.0
@@ -33,29 +35,32 @@ def _attempt(outcome: Column, records: Column) -> list[Column]:
     return [F.col("ts"), F.col("pipeline"), outcome.alias("outcome"), records.alias("records"), F.col("n_bytes"), F.nullif(F.col("reason"), F.lit("")).alias("error")]
 
 
-def apply_outcomes(outcomes: DataFrame, policy: RetryPolicy = RetryPolicy(), keys: Sequence[str] = ("pipeline",)) -> dict[str, DataFrame]:
-    """First attempts, folded: new cursors, deliverables, dead letters and attempts, from one pass over outcomes.
+def apply_outcomes(outcomes: DataFrame, policy: RetryPolicy = RetryPolicy(), keys: Sequence[str] = ("pipeline",), compat: bool = False) -> dict[str, DataFrame]:
+    """First attempts, folded: new cursors, deliverables, dead letters and attempts, each a filter over outcomes.
 
     acked advances to the batch's cursor, partial_ack to the accepted one; retry_later waits; permanent is dead, and
-    with skip_permanent its cursor moves on, so that the same rows aren't offered at once again.
+    with skip_permanent its cursor moves on, so that the same rows aren't offered at once again. A partial_ack that
+    names no accepted cursor moves none, so no rejected row is lost; ``compat`` takes the batch's cursor then.
     """
     kind, at = F.col("kind"), F.col("ts")
     advances = kind.isin("acked", "partial_ack", *(["permanent"] if policy.skip_permanent else []))
-    to = F.when(kind == "partial_ack", F.coalesce("accepted_cursor", "cursor_after")).otherwise(F.col("cursor_after"))
+    accepted = F.coalesce("accepted_cursor", "cursor_after") if compat else F.col("accepted_cursor")
+    to = F.when(kind == "partial_ack", accepted).otherwise(F.col("cursor_after"))
     records = F.when(kind == "partial_ack", F.col("records") - F.coalesce("rejected", F.lit(0))).otherwise(F.col("records"))
     return {
-        "cursors": outcomes.where(advances).select(*keys, to.alias("cursor"), "ts", F.col("deliverable_id").alias("seq")),
+        "cursors": outcomes.where(advances & to.isNotNull()).select(*keys, to.alias("cursor"), "ts", F.col("deliverable_id").alias("seq")),
         "deliverables": outcomes.where(kind == "retry_later").select(F.col("deliverable_id").alias("id"), *keys, at.alias("enqueued_at"), F.lit(0).alias("attempts"), _next(at, F.lit(0), policy).alias("next_attempt_at"), "cursor_after"),
         "dead_letters": outcomes.where(kind == "permanent").select("ts", *keys, "deliverable_id", F.coalesce(F.nullif(F.col("reason"), F.lit("")), F.lit("permanent_failure")).alias("final_error")),
         "attempts": outcomes.select(*_attempt(kind, records)),
     }
 
 
-def apply_replays(outcomes: DataFrame, deliverables: DataFrame, policy: RetryPolicy = RetryPolicy()) -> dict[str, DataFrame]:
+def apply_replays(outcomes: DataFrame, deliverables: DataFrame, policy: RetryPolicy = RetryPolicy(), once: bool = False) -> dict[str, DataFrame]:
     """Replays of waiting deliverables, folded; a deliverable that waits on keeps all its columns, its cursor too.
 
     A retry that reaches max_attempts is dead; partial_ack of a replay counts as acked. Deliverables without an
-    outcome wait as they are.
+    outcome wait as they are. Each of the four outputs joins for itself; with ``once`` the joined rows are kept in the
+    shared folder and all four read them.
     """
     waiting = deliverables.select("id", "pipeline", "enqueued_at", "attempts", "next_attempt_at", "cursor_after")
     tried = outcomes.select(F.col("deliverable_id").alias("id"), "kind", "reason", "n_bytes", "ts")
@@ -63,6 +68,7 @@ def apply_replays(outcomes: DataFrame, deliverables: DataFrame, policy: RetryPol
     attempts = F.col("attempts") + 1
     fate = F.when(F.col("kind").isNull(), "waits").when((F.col("kind") == "retry_later") & (attempts >= policy.max_attempts), "dead_letter").when(F.col("kind").isin("retry_later", "permanent"), F.col("kind")).otherwise("acked")
     met = met.withColumn("fate", fate)
+    met = cut(met) if once else met
     retried = met.where("fate = 'retry_later'").select("id", "pipeline", "enqueued_at", attempts.cast("int").alias("attempts"), _next(F.col("ts"), attempts, policy).alias("next_attempt_at"), "cursor_after")
     error = F.coalesce(F.nullif(F.col("reason"), F.lit("")), F.when(F.col("fate") == "permanent", "permanent_failure").otherwise("max_attempts"))
     return {

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +13,9 @@ from sluice.operators import bundles, chunk, cycles, dedup, joins, predicates, s
 from sluice.plans.inputs import DELIVERABLES, OUTCOMES, QUEUE, SPOTS, deliverables, outcomes, queue, spots, table
 from sluice.sources import queue as source
 from sluice.sources import spool
+from sluice.shared import cut, scratch
 from sluice.streaming import delivery, gate
+from sluice.types import QUEUE as QUEUE_SCHEMA
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -59,11 +60,11 @@ def ready(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH q AS ({QUEUE}), g AS (SELECT * FROM q WHERE schema_version IN (1, 2) AND k <> 5),
  r AS (SELECT id, day, user_id, value, row_number() OVER (PARTITION BY day, user_id ORDER BY value DESC NULLS LAST, id) rn, min(id) OVER (PARTITION BY day, user_id) first_id FROM g)
- SELECT id, day, user_id, value, first_id FROM r WHERE rn = 1 AND first_id > 2000 ORDER BY first_id LIMIT 100""")
+ SELECT id, day, user_id, value, first_id FROM r WHERE rn = 1 AND first_id > 200 ORDER BY first_id LIMIT 100""")
 def owed_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best event of each day and user that no earlier slice has seen."""
     rows = predicates.payload_where(predicates.schema_gate(ready(spark, sf_dir), [1, 2]), [("k", "!=", 5)])
-    return dedup.best_of(rows.select("id", "day", "user_id", "value"), ["day", "user_id"], "value", cursor=2000, limit=100)
+    return dedup.best_of(rows.select("id", "day", "user_id", "value"), ["day", "user_id"], "value", cursor=200, limit=100)
 
 
 @query(f"SELECT id, target_table FROM ({QUEUE}) WHERE id > 500 ORDER BY id LIMIT 200")
@@ -154,15 +155,13 @@ def record_time(spark, sf_dir):
 @query(f"SELECT id, id % 7 <> 0 AS good FROM ({QUEUE})")
 def quarantine(spark, sf_dir):
     rows = queue(spark, sf_dir).withColumn("payload_json", F.when(F.col("id") % 7 == 0, F.expr("left(payload_json, 4)")).otherwise(F.col("payload_json")))
-    good, bad = predicates.quarantine(rows)
-    return good.select("id", F.lit(True).alias("good")).unionByName(bad.select("id", F.lit(False).alias("good")))
+    return predicates.read_payload(rows).select("id", F.col("payload").isNotNull().alias("good"))
 
 
 @query(f"SELECT id, (target_table = 'click' AND schema_version = 1) OR (target_table = 'view' AND schema_version IN (1, 3)) AS accepted FROM ({QUEUE})")
 def accepts(spark, sf_dir):
     accepted = spark.sql("SELECT * FROM VALUES ('click', 1), ('view', 1), ('view', 3) AS t(target_table, schema_version)")
-    yes, no = predicates.accepts(queue(spark, sf_dir), accepted)
-    return yes.select("id", F.lit(True).alias("accepted")).unionByName(no.select("id", F.lit(False).alias("accepted")))
+    return predicates.with_accepted(queue(spark, sf_dir), accepted).select("id", "accepted")
 
 
 @query(f"SELECT id, call FROM ({SPOTS}) WHERE call NOT IN ('', '<...>')")
@@ -217,10 +216,10 @@ def ride_along(spark, sf_dir):
     return seconds(joins.ride_along(clicks, rows.where("target_table = 'view'").select("id", "ts"), "ts").select("id", "cycle"), "cycle")
 
 
-@query(f"WITH q AS ({QUEUE}) SELECT c.id AS cycle_id, s.id FROM q c JOIN q s ON s.ts >= c.ts AND s.e - c.e < 120 WHERE c.target_table = 'click' AND s.target_table = 'view' AND c.id % 10 = 0")
+@query(f"WITH q AS ({QUEUE}) SELECT c.id AS cycle_id, s.id FROM q c JOIN q s ON s.ts >= c.ts AND s.e - c.e < 120 WHERE c.target_table = 'click' AND s.target_table = 'view'")
 def ride_along_off_grid(spark, sf_dir):
     rows = queue(spark, sf_dir)
-    starts = rows.where("target_table = 'click' AND id % 10 = 0").select(F.col("id").alias("cycle_id"), F.col("ts").alias("start"))
+    starts = rows.where("target_table = 'click'").select(F.col("id").alias("cycle_id"), F.col("ts").alias("start"))
     return joins.ride_along_off_grid(starts, rows.where("target_table = 'view'").select("id", "ts"), "ts").select("cycle_id", "id")
 
 
@@ -341,9 +340,9 @@ def late_rows(spark, sf_dir):
 
 
 @query(f"""WITH r AS (SELECT id, day, user_id, value, row_number() OVER (PARTITION BY day, user_id ORDER BY value DESC NULLS LAST, id) rn, min(id) OVER (PARTITION BY day, user_id) first_id FROM ({QUEUE}))
- SELECT id, day, user_id, value, first_id FROM r WHERE rn = 1 AND first_id > 1000 ORDER BY id LIMIT 150""")
+ SELECT id, day, user_id, value, first_id FROM r WHERE rn = 1 AND first_id > 200 ORDER BY id LIMIT 150""")
 def best_of_compat(spark, sf_dir):
-    return dedup.best_of(queue(spark, sf_dir).select("id", "day", "user_id", "value"), ["day", "user_id"], "value", 1000, 150, compat=True)
+    return dedup.best_of(queue(spark, sf_dir).select("id", "day", "user_id", "value"), ["day", "user_id"], "value", 200, 150, compat=True)
 
 
 @query(f"""SELECT id, day, user_id, value, first_id FROM (SELECT id, day, user_id, value, row_number() OVER (PARTITION BY day, user_id ORDER BY value DESC NULLS LAST, id) rn, min(id) OVER (PARTITION BY day, user_id) first_id FROM ({QUEUE})) WHERE rn = 1""")
@@ -407,10 +406,10 @@ def bundle_noise(spark, sf_dir):
     return bundles.bundle_noise(rows, "ts")
 
 
-@query(f"""WITH e AS (SELECT station, rx_site || '/' || receiver AS r, bool_and(k > 2) AS f FROM ({_LABELLED}) WHERE user_id > 20 GROUP BY 1, 2), d AS (SELECT station, 2 * count(*) FILTER (f) >= count(*) AS default_flag FROM e GROUP BY 1)
+@query(f"""WITH e AS (SELECT station, rx_site || '/' || receiver AS r, bool_and(k > 2) AS f FROM ({_LABELLED}) GROUP BY 1, 2), d AS (SELECT station, 2 * count(*) FILTER (f) >= count(*) AS default_flag FROM e GROUP BY 1)
  SELECT station, default_flag, '{{' || coalesce(string_agg('"' || r || '":' || f, ',' ORDER BY r) FILTER (f <> default_flag), '') || '}}' AS overrides FROM e JOIN d USING (station) GROUP BY 1, 2""")
 def routing_flags(spark, sf_dir):
-    rows = _labelled(spark, sf_dir).where("user_id > 20").withColumn("forward", F.when(F.col("k") > 50, None).otherwise(F.col("k") > 2))
+    rows = _labelled(spark, sf_dir).withColumn("forward", F.when(F.col("k") > 50, None).otherwise(F.col("k") > 2))
     return bundles.routing_flags(rows, ("station",))
 
 
@@ -423,9 +422,15 @@ def render_lines(spark, sf_dir):
     return bundles.render_lines(spots(spark, sf_dir), "ts").select("id", "line")
 
 
-@query(f"""SELECT station, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY e, mhz, line) AS body FROM (SELECT *, {_LINE} AS line FROM (SELECT *, make_timestamp(e * 1000000) AS t FROM ({_BEST})) WHERE call <> '<...>') GROUP BY 1""")
+_BODIES = f"""SELECT *, row_number() OVER (PARTITION BY station, batch_id, e // 60, call, round_even(mhz, 4) ORDER BY snr DESC, id) rn
+ FROM (SELECT * REPLACE (e // {HOUR} * {HOUR} AS e), (row_number() OVER (PARTITION BY station ORDER BY id) - 1) // 999 AS batch_id FROM ({SPOTS})) WHERE call <> ''"""
+
+
+@query(f"""SELECT station, batch_id, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY e, mhz, line) AS body FROM (SELECT *, {_LINE} AS line FROM (SELECT *, make_timestamp(e * 1000000) AS t FROM ({_BODIES}) WHERE rn = 1) WHERE call <> '<...>') GROUP BY 1, 2""")
 def report_body(spark, sf_dir):
-    return bundles.report_body(_batch(spark, sf_dir).withColumnRenamed("id", "pos"), ("station",), "ts")
+    """Bodies of up to 999 rows each, by station."""
+    rows = chunk.chunk_by_count(_batch(spark, sf_dir).withColumnRenamed("id", "pos"), 999, ("pos",), ("station",))
+    return bundles.report_body(rows, ("station", "batch_id"), "ts")
 
 
 @query(f"SELECT station, strftime(make_timestamp(e * 1000000), '%H:%M') AS hhmm, count(*) AS n_spots FROM (SELECT station, e FROM ({_BEST}) UNION ALL SELECT station, e // {HOUR} * {HOUR} FROM ({SPOTS}) WHERE call = '') GROUP BY 1, 2")
@@ -525,11 +530,139 @@ def layout_files(spark, sf_dir):
     return spool.layout_files(queue(spark, sf_dir).select("id", rel.alias("rel")), F.lit("S")).select("id", "arcname")
 
 
-@query(f"SELECT split_part(rel, '/', 1) AS dataset, count(*) AS n_files, sum(k) AS n_bytes, max(e) AS mtime, string_agg(substr(rel, 15), ',' ORDER BY substr(rel, 15)) AS files FROM (SELECT 'OBS' || day || '/' || 'ch' || (user_id % 3) || '/' || id AS rel, k, e FROM ({QUEUE}) WHERE user_id < 20) GROUP BY 1")
-def dataset_manifest(spark, sf_dir):
+_FILES = f"SELECT 'OBS' || day AS dataset, 'ch' || (user_id % 3) || '/' || id AS file, k, e FROM ({QUEUE})"
+
+
+def _files(spark, sf_dir):
     rel = F.concat(F.lit("OBS"), F.col("day"), F.lit("/ch"), (F.col("user_id") % 3).cast("string"), F.lit("/"), F.col("id").cast("string"))
-    out = spool.dataset_manifest(queue(spark, sf_dir).where("user_id < 20").select(rel.alias("rel"), F.col("k").alias("length"), F.col("ts").alias("mtime")))
-    return seconds(out.withColumn("files", F.array_join("files", ",")), "mtime")
+    return queue(spark, sf_dir).select(rel.alias("rel"), F.col("k").alias("length"), F.col("ts").alias("mtime"))
+
+
+@query(f"SELECT dataset, count(*) AS n_files, sum(k) AS n_bytes, max(e) AS mtime FROM ({_FILES}) GROUP BY 1")
+def datasets(spark, sf_dir):
+    return seconds(spool.datasets(_files(spark, sf_dir)), "mtime")
+
+
+@query(f"SELECT dataset, part, count(*) AS n_files, sum(k) AS n_bytes, string_agg(file, ',' ORDER BY file) AS files FROM (SELECT *, (row_number() OVER (PARTITION BY dataset ORDER BY file) - 1) // 100 AS part FROM ({_FILES})) GROUP BY 1, 2")
+def dataset_manifest(spark, sf_dir):
+    return spool.dataset_manifest(_files(spark, sf_dir), part=100).withColumn("files", F.array_join("files", ","))
+
+
+# ---- files in the shared folder ------------------------------------------------------------------------------------
+
+
+def _queue_files(spark, sf_dir, fmt: str) -> str:
+    at = f"{scratch(spark)}/queue"
+    queue(spark, sf_dir).select(*[f.name for f in QUEUE_SCHEMA.fields]).write.format(fmt).save(at)
+    return at
+
+
+@query(f"SELECT id, 'main' AS target_db, target_table, schema_version, payload_json, queued_at FROM ({QUEUE})")
+def read_queue(spark, sf_dir):
+    """Events written as a queue in JSON and read back with the fixed schema."""
+    return source.read_queue(spark, _queue_files(spark, sf_dir, "json"), "json")
+
+
+@query(f"SELECT id, target_table FROM ({QUEUE}) WHERE target_table = 'click'")
+def stream_queue(spark, sf_dir):
+    """The same rows as a stream of files that is drained, routed and written back."""
+    out = scratch(spark)
+    stream = source.route(source.stream_queue(spark, _queue_files(spark, sf_dir, "parquet"), files_per_trigger=2), "main", "click").select("id", "target_table")
+    delivery.drain(stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/progress"))
+    return spark.read.schema("id long, target_table string").parquet(f"{out}/rows")
+
+
+_SPOOL_SPECS = [spool.FileSpec("**/kind=click/**", "clicks"), spool.FileSpec("**/kind=view/**", "views"), spool.FileSpec("**/kind=error/**", "bad")]
+
+
+def _spool(spark, sf_dir) -> str:
+    """Events as text files, one for each kind and day; what isn't click, view or error has no spec."""
+    at = f"{scratch(spark)}/spool"
+    rows = queue(spark, sf_dir).select(F.col("target_table").alias("kind"), "day", F.concat_ws(",", F.col("id").cast("string"), "queued_at").alias("line"))
+    spool.write_bundles(rows, at, ("kind", "day"))
+    return at
+
+
+def _click_lines(path: str, content: bytes) -> list[dict]:
+    return [dict(zip(("id", "time"), line.split(","), strict=True)) for line in content.decode().splitlines()]
+
+
+def _view_line(path: str, content: bytes) -> dict:
+    return {"n_lines": content.count(b"\n"), "time": "2024-01-01T00:00:00Z"}
+
+
+def _bad(path: str, content: bytes) -> dict:
+    raise ValueError("unreadable")
+
+
+_PARSERS = {"clicks": _click_lines, "views": _view_line, "bad": _bad}
+
+
+@query(f"SELECT 'click' AS kind, day, count(*) AS n_lines FROM ({QUEUE}) WHERE target_table = 'click' GROUP BY 2 UNION ALL SELECT target_table, day, count(*) FROM ({QUEUE}) WHERE target_table <> 'click' GROUP BY 1, 2")
+def write_bundles(spark, sf_dir):
+    """Lines of the files that were written, by folder."""
+    return spark.read.schema("value string, kind string, day string").text(_spool(spark, sf_dir)).groupBy("kind", "day").agg(F.count("*").alias("n_lines"))
+
+
+@query(f"SELECT CASE target_table WHEN 'click' THEN 'clicks' WHEN 'view' THEN 'views' ELSE 'bad' END AS \"table\", count(DISTINCT day) AS n_files, sum(length(CAST(id AS VARCHAR)) + 22) AS n_bytes FROM ({QUEUE}) WHERE target_table IN ('click', 'view', 'error') GROUP BY 1")
+def file_spool(spark, sf_dir):
+    files = spool.file_spool(spark, _spool(spark, sf_dir), _SPOOL_SPECS)
+    return files.groupBy("table").agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))
+
+
+@query(f"SELECT count(DISTINCT (target_table, day)) AS n_files, count(DISTINCT (target_table, day)) AS n_distinct FROM ({QUEUE}) WHERE target_table IN ('click', 'view', 'error')")
+def spool_keep_cursor(spark, sf_dir):
+    """Slices of 25 files, each from the cursor after the one before: together every file once."""
+    root, after, taken = _spool(spark, sf_dir), None, None
+    while True:
+        files = cut(spool.file_spool(spark, root, _SPOOL_SPECS, after, 25).select("path", "mtime"))
+        taken = files if taken is None else taken.unionByName(files)
+        last = spool.spool_keep_cursor(files).first()
+        if last.path is None:
+            return taken.agg(F.count("*").alias("n_files"), F.count_distinct("path").alias("n_distinct"))
+        after = (last.mtime, last.path)
+
+
+def _parsed(spark, root):
+    return spool.parse_spool(spool.file_spool(spark, root, _SPOOL_SPECS, content=True), _PARSERS)
+
+
+@query(f"SELECT 'clicks' AS \"table\", e AS time, CAST(id AS VARCHAR) AS id, NULL AS n_lines FROM ({QUEUE}) WHERE target_table = 'click' UNION ALL SELECT 'views', 1704067200, NULL, CAST(count(*) AS VARCHAR) FROM ({QUEUE}) WHERE target_table = 'view' GROUP BY day")
+def parse_spool(spark, sf_dir):
+    records = _parsed(spark, _spool(spark, sf_dir))[0]
+    return seconds(records.select("table", "time", F.try_element_at("columns", F.lit("id")).alias("id"), F.try_element_at("columns", F.lit("n_lines")).alias("n_lines")), "time")
+
+
+@query(f"SELECT 'bad' AS \"table\", 'ValueError: unreadable' AS error, count(DISTINCT day) AS n_files FROM ({QUEUE}) WHERE target_table = 'error' HAVING count(*) > 0")
+def spool_rejects(spark, sf_dir):
+    return _parsed(spark, _spool(spark, sf_dir))[1].groupBy("table", "error").agg(F.count("*").alias("n_files"))
+
+
+@query(f"SELECT CASE target_table WHEN 'view' THEN 'views' ELSE 'bad' END AS \"table\", count(DISTINCT day) AS n_files FROM ({QUEUE}) WHERE target_table IN ('view', 'error') GROUP BY 1")
+def delete_acked(spark, sf_dir):
+    """Files of acknowledged clicks are deleted; those of the others, and of files that failed, stay."""
+    root = _spool(spark, sf_dir)
+    acked = spool.spool_files_of(_parsed(spark, root)[0].where(F.col("table") == "clicks"))
+    spool.delete_acked(acked, root)
+    return spool.file_spool(spark, root, _SPOOL_SPECS).groupBy("table").agg(F.count("*").alias("n_files"))
+
+
+@query(f"SELECT CASE target_table WHEN 'click' THEN 'clicks' ELSE 'views' END AS \"table\", count(DISTINCT day) AS n_files FROM ({QUEUE}) WHERE target_table IN ('click', 'view') GROUP BY 1")
+def spool_files_of(spark, sf_dir):
+    files = spool.spool_files_of(_parsed(spark, _spool(spark, sf_dir))[0])
+    return files.groupBy(spool.chosen(spool.relative(F.col("path"), "/"), _SPOOL_SPECS).alias("table")).agg(F.count("*").alias("n_files"))
+
+
+@query(f"SELECT 'ok' AS status, count(DISTINCT (target_table, day)) AS n_files, sum(length(CAST(id AS VARCHAR)) + 22) AS n_bytes FROM ({QUEUE})")
+def spool_health(spark, sf_dir):
+    return spool.spool_health(spark, _spool(spark, sf_dir)).drop("newest")
+
+
+@query(f"SELECT id // 100 AS deliverable_id, id, payload_json FROM ({QUEUE}) WHERE (id // 100) % 3 = 0")
+def freeze_payload(spark, sf_dir):
+    """Payloads frozen by deliverable, of which those that wait are read back."""
+    rows = queue(spark, sf_dir).select(F.floor(F.col("id") / 100).cast("long").alias("deliverable_id"), "id", "payload_json").repartition("deliverable_id")
+    return spool.freeze_payload(rows, f"{scratch(spark)}/frozen").where("deliverable_id % 3 = 0")
 
 
 # ---- chunks --------------------------------------------------------------------------------------------------------
@@ -550,9 +683,9 @@ def spot_wire_size(spark, sf_dir):
     return spots(spark, sf_dir).select("id", lines.spot_wire_size(F.col("call"), F.col("mode"), F.col("grid"), F.repeat(F.lit("x"), (F.col("id") % 5).cast("int"))).alias("size"))
 
 
-@query(f"""WITH RECURSIVE s AS (SELECT station, id, 14 + octet_length(encode(call)) + octet_length(encode(mode)) + octet_length(encode(grid)) AS size, row_number() OVER (PARTITION BY station ORDER BY id) n FROM ({SPOTS})),
- p AS (SELECT station, id, n, size, size AS held, 0 AS packet FROM s WHERE n = 1 UNION ALL SELECT s.station, s.id, s.n, s.size, CASE WHEN p.held + s.size > 500 THEN s.size ELSE p.held + s.size END, CASE WHEN p.held + s.size > 500 THEN p.packet + 1 ELSE p.packet END FROM p JOIN s ON s.station = p.station AND s.n = p.n + 1)
- SELECT station, id, size, packet FROM p""")
+@query(f"""WITH RECURSIVE s AS (SELECT *, (n - 1) // 500 AS batch_id FROM (SELECT station, id, 14 + octet_length(encode(call)) + octet_length(encode(mode)) + octet_length(encode(grid)) AS size, row_number() OVER (PARTITION BY station ORDER BY id) n FROM ({SPOTS}))),
+ p AS (SELECT station, id, n, size, batch_id, size AS held, 0 AS packet FROM s WHERE (n - 1) % 500 = 0 UNION ALL SELECT s.station, s.id, s.n, s.size, s.batch_id, CASE WHEN p.held + s.size > 500 THEN s.size ELSE p.held + s.size END, CASE WHEN p.held + s.size > 500 THEN p.packet + 1 ELSE p.packet END FROM p JOIN s ON s.station = p.station AND s.batch_id = p.batch_id AND s.n = p.n + 1)
+ SELECT station, id, size, batch_id, packet FROM p""")
 def plan_packets(spark, sf_dir):
     rows = spots(spark, sf_dir).withColumn("size", lines.spot_wire_size(F.col("call"), F.col("mode"), F.col("grid"), F.lit("")))
     return chunk.chunk_by_bytes(rows, 600, 100, "size", ("id",), ("station",))
@@ -565,14 +698,74 @@ def budgeted(spark, sf_dir):
     return chunk.budgeted(batches, 6)
 
 
-@query(f"SELECT id // 500 AS batch_id, (['acked', 'retry_later', 'permanent'])[(id // 500) % 3 + 1] AS kind, CASE WHEN (id // 500) % 3 = 1 THEN 'ConnectionError: down' WHEN (id // 500) % 3 = 2 THEN 'bad' ELSE '' END AS reason, count(*) AS records, max(id) AS cursor_after FROM ({QUEUE}) GROUP BY 1, 2, 3")
+_BATCHES = f"""SELECT id // 100 AS b, 'p' || (id // 100) % 3 AS pipeline, count(*) AS records, min(id) AS least, max(id) AS cursor_after, sum(length(payload_json)) AS n_bytes FROM ({QUEUE}) GROUP BY 1, 2"""
+_SENT = f"""SELECT b AS deliverable_id, pipeline, (['acked', 'retry_later', 'permanent', 'partial_ack'])[b % 4 + 1] AS kind, CASE b % 4 WHEN 1 THEN 'ConnectionError: down' WHEN 2 THEN 'bad' ELSE '' END AS reason,
+ CASE WHEN b % 4 = 3 AND b % 8 = 3 THEN least END AS accepted_cursor, records, CASE WHEN b % 4 = 3 THEN records - 1 ELSE 0 END AS rejected, CASE WHEN b % 4 <> 1 AND b % 4 <> 2 THEN n_bytes END AS n_bytes, cursor_after FROM ({_BATCHES})"""
+PRESENT = datetime(2024, 1, 20, 12, 30)
+
+
+def _send(batch, rows):
+    """Acknowledges, is down, refuses, or takes the first row only (and then names it or not)."""
+    if batch % 4 == 1:
+        raise ConnectionError("down")
+    if batch % 4 == 2:
+        return "permanent", "bad"
+    size = int(rows["payload_json"].str.len().sum())
+    if batch % 4 == 3:
+        return delivery.Sent("partial_ack", "", int(rows["id"].min()) if batch % 8 == 3 else None, len(rows) - 1, size)
+    return delivery.Sent("acked", n_bytes=size)
+
+
+def _batches(spark, sf_dir):
+    batch = F.floor(F.col("id") / 100).cast("long")
+    return queue(spark, sf_dir).select("id", "payload_json", batch.alias("batch_id"), F.concat(F.lit("p"), (batch % 3).cast("string")).alias("pipeline"))
+
+
+def _delivered(spark, sf_dir):
+    return delivery.deliver(_batches(spark, sf_dir), _send, pipeline=F.col("pipeline"), now=PRESENT)
+
+
+@query(f"SELECT * FROM ({_SENT})")
 def deliver(spark, sf_dir):
-    def send(batch, rows):
-        if batch % 3 == 1:
-            raise ConnectionError("down")
-        return "acked" if batch % 3 == 0 else ("permanent", "bad")
+    return _delivered(spark, sf_dir).drop("ts")
+
+
+def _folded(folded: dict[str, DataFrame]) -> DataFrame:
+    """The four outputs of a fold as one table: part, pipeline, deliverable_id, and a number and a text of each."""
+    row = lambda part, of, number, text: folded[part].select(F.lit(part).alias("part"), "pipeline", of.cast("long").alias("deliverable_id"), number.cast("long").alias("number"), text.cast("string").alias("text"))
+    none = F.lit(None)
+    out = row("cursors", F.col("seq"), F.col("cursor"), none).unionByName(row("deliverables", F.col("id"), F.unix_timestamp("next_attempt_at"), F.col("attempts")))
+    return out.unionByName(row("dead_letters", F.col("deliverable_id"), none, F.col("final_error"))).unionByName(row("attempts", none, F.col("records"), F.col("outcome")))
+
 
-    return delivery.deliver(queue(spark, sf_dir).select("id", F.floor(F.col("id") / 500).alias("batch_id")), send)
+_DELIVER_FOLD = f"""WITH o AS ({_SENT}) SELECT 'cursors' AS part, pipeline, deliverable_id, CASE kind WHEN 'partial_ack' THEN accepted_cursor ELSE cursor_after END AS number, NULL AS text FROM o WHERE kind IN ('acked', 'permanent') OR accepted_cursor IS NOT NULL
+ UNION ALL SELECT 'deliverables', pipeline, deliverable_id, {NOW_S} + 1, '0' FROM o WHERE kind = 'retry_later' UNION ALL SELECT 'dead_letters', pipeline, deliverable_id, NULL, reason FROM o WHERE kind = 'permanent'
+ UNION ALL SELECT 'attempts', pipeline, NULL, CASE kind WHEN 'partial_ack' THEN records - rejected ELSE records END, kind FROM o"""
+
+
+@query(_DELIVER_FOLD)
+def deliver_fold(spark, sf_dir):
+    """Batches sent for the first time, and their outcomes folded."""
+    return _folded(state.apply_outcomes(cut(_delivered(spark, sf_dir)), POLICY))
+
+
+@query(f"""WITH o AS ({_SENT}), d AS (SELECT *, CASE WHEN deliverable_id % 5 = 2 THEN 'lost' WHEN deliverable_id % 5 = 3 THEN 'retry_later' WHEN deliverable_id % 5 = 4 THEN 'permanent' ELSE 'acked' END AS fate FROM o WHERE kind = 'retry_later')
+ SELECT 'cursors' AS part, pipeline, deliverable_id, cursor_after AS number, NULL AS text FROM d WHERE fate = 'acked' UNION ALL SELECT 'deliverables', pipeline, deliverable_id, {NOW_S} + 60 + 2, '1' FROM d WHERE fate = 'retry_later'
+ UNION ALL SELECT 'dead_letters', pipeline, deliverable_id, NULL, CASE fate WHEN 'lost' THEN 'no payload was frozen' ELSE 'refused' END FROM d WHERE fate IN ('lost', 'permanent') UNION ALL SELECT 'attempts', pipeline, NULL, NULL, CASE fate WHEN 'lost' THEN 'permanent' ELSE fate END FROM d""")
+def replay_fold(spark, sf_dir):
+    """What waits after the first attempts is frozen, and sent again from there when its time has come; a fifth lost its payload."""
+    waiting = cut(state.apply_outcomes(_delivered(spark, sf_dir), POLICY)["deliverables"])
+    rows = _batches(spark, sf_dir).select(F.col("batch_id").alias("deliverable_id"), "id", "payload_json")
+    frozen = spool.freeze_payload(rows.join(waiting.select(F.col("id").alias("deliverable_id")), "deliverable_id", "left_semi").where("deliverable_id % 5 <> 2").repartition("deliverable_id"), f"{scratch(spark)}/frozen")
+
+    def again(deliverable, rows):
+        if deliverable % 5 == 3:
+            raise ConnectionError("still down")
+        return ("permanent", "refused") if deliverable % 5 == 4 else "acked"
+
+    later = F.timestamp_seconds(F.lit(NOW_S + 60))
+    outcomes_ = delivery.replay(state.due(waiting, later), frozen, again, now=datetime(2024, 1, 20, 12, 31))
+    return _folded(state.apply_replays(cut(outcomes_), waiting, POLICY, once=True))
 
 
 @query(f"""WITH q AS (SELECT station, e // {HOUR} * {HOUR} AS cycle, user_id % 3 AS r, epoch_ms(ts) AS ms FROM ({QUEUE})), w AS (SELECT max(ms) AS wm FROM q),
@@ -588,12 +781,6 @@ def cycle_gate_stream(spark, sf_dir):
     return seconds(spark.read.schema("station string, cycle timestamp, complete boolean, missing string").parquet(f"{out}/rows"), "cycle")
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder in the shared place for checkpoints, or a temporary one where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="stream-")
-
-
 # ---- delivery state ------------------------------------------------------------------------------------------------
 
 POLICY = state.RetryPolicy(max_attempts=8)
@@ -630,8 +817,8 @@ _REPLAYS = f"""WITH d AS ({DELIVERABLES}), o AS (SELECT deliverable_id AS id, ki
  f AS (SELECT *, CASE WHEN kind IS NULL THEN 'waits' WHEN kind = 'retry_later' AND attempts + 1 >= 8 THEN 'dead_letter' WHEN kind IN ('retry_later', 'permanent') THEN kind ELSE 'acked' END AS fate FROM d LEFT JOIN o USING (id))"""
 
 
-def _replays(spark, sf_dir):
-    return state.apply_replays(outcomes(spark, sf_dir).where("deliverable_id % 4 <> 0"), deliverables(spark, sf_dir), POLICY)
+def _replays(spark, sf_dir, once: bool = False):
+    return state.apply_replays(outcomes(spark, sf_dir).where("deliverable_id % 4 <> 0"), deliverables(spark, sf_dir), POLICY, once)
 
 
 @query(f"{_REPLAYS} SELECT id AS seq, pipeline, cursor_after AS cursor FROM f WHERE fate = 'acked'")
@@ -692,7 +879,7 @@ def recent_attempts(spark, sf_dir):
 @query(f"""{_REPLAYS} SELECT p.pipeline, c.cursor, coalesce(w.n, 0) AS n_waiting, coalesce(x.n, 0) AS n_dead, m.newest - coalesce(c.cursor, 0) AS lag FROM (SELECT target_table AS pipeline, max(id) AS newest FROM ({QUEUE}) GROUP BY 1) m JOIN (SELECT DISTINCT target_table AS pipeline FROM ({QUEUE})) p USING (pipeline)
  LEFT JOIN (SELECT pipeline, max(cursor_after) AS cursor FROM f WHERE fate = 'acked' AND pipeline <> 'view' GROUP BY 1) c USING (pipeline) LEFT JOIN (SELECT pipeline, count(*) AS n FROM f WHERE fate IN ('waits', 'retry_later') GROUP BY 1) w USING (pipeline) LEFT JOIN (SELECT pipeline, count(*) AS n FROM f WHERE fate IN ('permanent', 'dead_letter') AND pipeline <> 'click' GROUP BY 1) x USING (pipeline)""")
 def delivery_status(spark, sf_dir):
-    rows, folded = queue(spark, sf_dir).withColumnRenamed("target_table", "pipeline"), _replays(spark, sf_dir)
+    rows, folded = queue(spark, sf_dir).withColumnRenamed("target_table", "pipeline"), _replays(spark, sf_dir, once=True)
     cursors = folded["cursors"].where("pipeline <> 'view'").groupBy("pipeline").agg(F.max("cursor").alias("cursor"))
     return state.delivery_status(rows, cursors, folded["deliverables"], folded["dead_letters"].where("pipeline <> 'click'"), rows.groupBy("pipeline").agg(F.max("id").alias("newest")))
 

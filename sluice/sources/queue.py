@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sluice.shared import exists
 from sluice.types import QUEUE
 
 
@@ -59,6 +60,17 @@ def start_anchor(df: DataFrame, start_at: str | Column = "now", time: Column | N
     return past.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long").alias("cursor"))
 
 
+def stored_anchor(df: DataFrame, path: str, start_at: str | Column = "now", time: Column | None = None, id_col: str = "id") -> DataFrame:
+    """The anchor that was stored under ``path``, or that of start_anchor(), stored there first.
+
+    A destination that starts again so goes on where it began, and loses no row that came in between.
+    """
+    spark = df.sparkSession
+    if not exists(spark, f"{path}/_SUCCESS"):
+        start_anchor(df, start_at, time, id_col).write.mode("overwrite").parquet(path)
+    return spark.read.schema("cursor long").parquet(path)
+
+
 def retained(df: DataFrame, cursors: DataFrame, targets: tuple[str, ...] = ("target_table",), id_col: str = "id") -> DataFrame:
     """What may not be deleted: rows past the least cursor among a target's destinations; targets without any stay."""
     least = cursors.groupBy(*targets).agg(F.min("cursor").alias("_least"))

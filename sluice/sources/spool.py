@@ -10,6 +10,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.operators.chunk import chunk_by_count
+from sluice.shared import exists, filesystem
+
 #: path, modified, length and content of a file.
 FILES = "path string, modificationTime timestamp, length long, content binary"
 
@@ -102,12 +105,61 @@ def spool_files_of(records: DataFrame) -> DataFrame:
     return records.select("path").distinct()
 
 
-def dataset_manifest(files: DataFrame, dataset: str = r"(^|.*/)(OBS[^/]+)", rel: str = "rel") -> DataFrame:
-    """Data sets that are folders: name, files, bytes, newest time, and the sorted list of their files."""
-    name = F.regexp_extract(rel, f"{dataset}/", 2)
-    inside = F.regexp_replace(F.col(rel), f"{dataset}/", "")
-    grouped = files.withColumns({"dataset": name, "_inside": inside}).where("dataset <> ''").groupBy("dataset")
-    return grouped.agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"), F.max("mtime").alias("mtime"), F.sort_array(F.collect_list("_inside")).alias("files"))
+def delete_acked(paths: DataFrame, root: str) -> int:
+    """Deletes the files (column path) whose records the destination acknowledged, then folders that are left empty below root.
+
+    Files of records that wait or failed aren't among ``paths`` and stay. A path that is gone already counts as none.
+    The driver asks the file system for one path after the other and holds none but the folders.
+    """
+    spark = paths.sparkSession
+    files, top = filesystem(spark, root)
+    top, deleted, folders = files.makeQualified(top), 0, {}
+    for row in paths.select("path").distinct().toLocalIterator():
+        at = files.makeQualified(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(row.path))
+        deleted += bool(files.delete(at, False))
+        folders[at.getParent().toString()] = at.getParent()
+    for at in folders.values():
+        while at.toString().startswith(f"{top.toString().rstrip('/')}/") and files.exists(at) and not len(files.listStatus(at)):
+            files.delete(at, False)
+            at = at.getParent()
+    return deleted
+
+
+def spool_health(spark: SparkSession, root: str) -> DataFrame:
+    """One row: status (ok, empty, or unreachable where the root can't be listed), n_files, n_bytes, newest."""
+    nothing = "0L AS n_files, 0L AS n_bytes, cast(null AS timestamp) AS newest"
+    if not exists(spark, root):
+        return spark.range(1).selectExpr("'unreachable' AS status", *nothing.split(", "))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    sums = files.agg(F.count("*").alias("n_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("n_bytes"), F.max("modificationTime").alias("newest"))
+    return sums.select(F.when(F.col("n_files") > 0, "ok").otherwise("empty").alias("status"), "n_files", "n_bytes", "newest")
+
+
+def _in_dataset(files: DataFrame, dataset: str, rel: str) -> DataFrame:
+    named = files.withColumns({"dataset": F.regexp_extract(rel, f"{dataset}/", 2), "file": F.regexp_replace(F.col(rel), f"{dataset}/", "")})
+    return named.where("dataset <> ''")
+
+
+def datasets(files: DataFrame, dataset: str = r"(^|.*/)(OBS[^/]+)", rel: str = "rel", after: tuple | None = None) -> DataFrame:
+    """Data sets that are folders: dataset, n_files, n_bytes and newest mtime.
+
+    ``after`` is the (mtime, dataset) of the last data set taken in keep mode; one that has grown since comes again.
+    """
+    out = _in_dataset(files, dataset, rel).groupBy("dataset").agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"), F.max("mtime").alias("mtime"))
+    if after is not None:
+        out = out.where((F.col("mtime") > F.lit(after[0])) | ((F.col("mtime") == F.lit(after[0])) & (F.col("dataset") > F.lit(after[1]))))
+    return out
+
+
+def datasets_keep_cursor(found: DataFrame) -> DataFrame:
+    """The (mtime, dataset) after a slice of data sets."""
+    return found.agg(F.max(F.struct("mtime", "dataset")).alias("_last")).select("_last.*")
+
+
+def dataset_manifest(files: DataFrame, dataset: str = r"(^|.*/)(OBS[^/]+)", rel: str = "rel", part: int = 1000) -> DataFrame:
+    """The files of data sets in parts of at most ``part``, which bounds a row: dataset, part, n_files, n_bytes, files by name."""
+    parts = chunk_by_count(_in_dataset(files, dataset, rel).select("dataset", "file", "length"), part, ("file",), ("dataset",)).withColumnRenamed("batch_id", "part")
+    return parts.groupBy("dataset", "part").agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"), F.sort_array(F.collect_list("file")).alias("files"))
 
 
 def layout_files(files: DataFrame, site: Column, top: str = "spool", rel: str = "rel") -> DataFrame:
@@ -132,5 +184,9 @@ def write_bundles(df: DataFrame, path: str, by: Sequence[str] = ("cycle",), mode
 def freeze_payload(df: DataFrame, path: str, key: str = "deliverable_id") -> DataFrame:
     """Rendered rows, written once by deliverable; every retry reads the same bytes."""
     df.write.mode("overwrite").partitionBy(key).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return frozen_payloads(df.sparkSession, path, df.schema)
+
 
+def frozen_payloads(spark: SparkSession, path: str, schema) -> DataFrame:
+    """What freeze_payload() wrote; a filter on the key reads those deliverables' folders only."""
+    return spark.read.schema(schema).parquet(path)

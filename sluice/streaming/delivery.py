@@ -1,48 +1,89 @@
-"""Delivery of batches and micro-batches by a function of the user's."""
+"""Delivery of batches and micro-batches, and replays of what was frozen, by a function of the user's."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from datetime import datetime, timezone
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from sluice.operators.chunk import chunk_by_count
 
-#: send(batch_id, rows) -> kind, or (kind, reason); kinds are acked, partial_ack, retry_later and permanent.
-Send = Callable[[int, pd.DataFrame], str | tuple[str, str]]
-_OUTCOME = "batch_id long, kind string, reason string, records long, cursor_after long"
 
+@dataclass(frozen=True)
+class Sent:
+    """What a destination made of a batch: acked, partial_ack, retry_later or permanent.
 
-def deliver(df: DataFrame, send: Send, batch: str = "batch_id", id_col: str = "id", order: Sequence[str] = ("id",)) -> DataFrame:
-    """An outcome for each batch_id: tasks call ``send`` with a batch's rows, in order.
+    A partial_ack names the last id that was accepted; rows after it stay owed.
+    """
+
+    kind: str
+    reason: str = ""
+    accepted_cursor: int | None = None
+    rejected: int = 0
+    n_bytes: int | None = None
+
+
+#: send(deliverable_id, rows) -> Sent, or its kind, or (kind, reason).
+Send = Callable[[int, pd.DataFrame], Sent | str | tuple[str, str]]
+OUTCOME = "deliverable_id long, pipeline string, kind string, reason string, accepted_cursor long, records long, rejected long, n_bytes long, cursor_after long, ts timestamp"
+
+
+def deliver(df: DataFrame, send: Send, batch: str = "batch_id", id_col: str = "id", order: Sequence[str] = ("id",), pipeline: Column | None = None, now: datetime | None = None) -> DataFrame:
+    """An outcome for each batch, as apply_outcomes() and apply_replays() take them: tasks call ``send`` with a batch's rows.
 
     A batch is one call, so cap batches by count before. A failure of the function is retry_later with its reason.
-    Tasks can run twice: send should know a batch by its id.
+    Tasks can run twice: send should know a batch by its id, which has to be unique over all deliveries. ``pipeline`` is
+    one for each batch; ``now`` is the time of the call unless given.
     """
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(list(order), kind="stable")
+        name, after = rows["_pipeline"].iloc[0], rows[id_col].max()
         try:
-            said = send(key[0], rows)
-            kind, reason = said if isinstance(said, tuple) else (said, "")
+            said = send(key[0], rows.drop(columns="_pipeline"))
+            said = said if isinstance(said, Sent) else Sent(*said) if isinstance(said, tuple) else Sent(said)
         except Exception as e:  # any failure of the other side means to try again
-            kind, reason = "retry_later", f"{type(e).__name__}: {e}"
-        return pd.DataFrame([(key[0], kind, reason, len(rows), rows[id_col].max())], columns=["batch_id", "kind", "reason", "records", "cursor_after"])
+            said = Sent("retry_later", f"{type(e).__name__}: {e}")
+        ts = now or datetime.now(timezone.utc)
+        row = (key[0], name, said.kind, said.reason, said.accepted_cursor, len(rows), said.rejected, said.n_bytes, after, ts.replace(tzinfo=timezone.utc) if ts.tzinfo is None else ts)
+        return pd.DataFrame([row], columns=[c.split()[0] for c in OUTCOME.split(", ")]).astype({"accepted_cursor": "Int64", "n_bytes": "Int64"})
+
+    name = F.lit(None).cast("string") if pipeline is None else pipeline.cast("string")
+    return df.withColumn("_pipeline", name).groupBy(F.col(batch).cast("long").alias(batch)).applyInPandas(run, OUTCOME)
 
-    return df.groupBy(F.col(batch).cast("long").alias(batch)).applyInPandas(run, _OUTCOME)
 
+def replay(due: DataFrame, payloads: DataFrame, send: Send, key: str = "deliverable_id", id_col: str = "id", order: Sequence[str] = ("id",), now: datetime | None = None) -> DataFrame:
+    """Outcomes of deliverables (id, pipeline) whose time has come, sent again with the rows that were frozen for them.
 
-def deliver_stream(df: DataFrame, send: Send, log: str, checkpoint: str, batch_rows: int = 1000, id_col: str = "id") -> DataStreamWriter:
+    ``payloads`` has the rows by ``key``. A deliverable without any is a permanent failure, as no retry could mend it.
+    """
+    waiting = due.select(F.col("id").alias(key), F.col("pipeline").alias("_of"))
+    sent = deliver(payloads.join(waiting, key), send, key, id_col, order, F.col("_of"), now)
+    at = F.current_timestamp() if now is None else F.lit(now.replace(tzinfo=timezone.utc) if now.tzinfo is None else now)
+    lost = waiting.join(payloads.select(key), key, "left_anti")
+    none = lambda kind: F.lit(None).cast(kind)
+    return sent.unionByName(lost.select(F.col(key).alias("deliverable_id"), F.col("_of").alias("pipeline"), F.lit("permanent").alias("kind"), F.lit("no payload was frozen").alias("reason"), none("long").alias("accepted_cursor"), F.lit(0).cast("long").alias("records"), F.lit(0).cast("long").alias("rejected"), none("long").alias("n_bytes"), none("long").alias("cursor_after"), at.alias("ts")))
+
+
+#: Batches of one epoch have ids below this, and an epoch's begin at its number times this.
+EPOCH = 1 << 32
+
+
+def deliver_stream(df: DataFrame, send: Send, log: str, checkpoint: str, batch_rows: int = 1000, id_col: str = "id", pipeline: str = "stream") -> DataStreamWriter:
     """A stream's writer: each micro-batch is cut, sent, and its outcomes written under its epoch.
 
-    An epoch that is tried again overwrites its own outcomes, so folding the log gives each outcome once.
+    Batches have ids that are unique over epochs and the same whenever an epoch is tried again; its outcomes overwrite
+    those of the try before, so folding the log gives each outcome once.
     """
+
     def epoch(rows: DataFrame, n: int) -> None:
-        cut = chunk_by_count(rows, batch_rows, (id_col,))
-        deliver(cut, send, "batch_id", id_col, (id_col,)).withColumn("epoch", F.lit(n)).write.mode("overwrite").parquet(f"{log}/epoch={n}")
+        cut = chunk_by_count(rows, batch_rows, (id_col,)).withColumn("batch_id", F.col("batch_id") + n * EPOCH)
+        deliver(cut, send, "batch_id", id_col, (id_col,), F.lit(pipeline)).write.mode("overwrite").parquet(f"{log}/epoch={n}")
 
     return df.writeStream.foreachBatch(epoch).option("checkpointLocation", checkpoint)
 

@@ -25,10 +25,12 @@ def text(v):
     return str(v)
 
 
-def compare(df, con, sql):
+def compare(df, con, sql, empty=False):
+    """``empty``: no rows are to be expected; otherwise there have to be some, or nothing is compared."""
     got = df.collect()
     found = con.sql(sql)
     columns = sorted(found.columns)
     assert sorted(df.columns) == columns
     places = [found.columns.index(c) for c in columns]
+    assert empty or got
     assert sorted(tuple(text(r[c]) for c in columns) for r in got) == sorted(tuple(text(r[i]) for i in places) for r in found.fetchall())

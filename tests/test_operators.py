@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sluice.functions import fields, geo, lines
 from sluice.operators import bundles, chunk, cycles, dedup, joins, predicates, state
 from sluice.sources import queue, spool
+from sluice.streaming import delivery
 
 T0 = datetime(2026, 5, 7, 0, 42)
 
@@ -208,6 +209,71 @@ def test_spool(spark, tmp_path):
     assert [r.rel for r in spool.file_spool(spark, str(root), specs, after=(last.mtime, last.path)).collect()] == ["HF1/14M/210508_1200_wd_spots.txt"]
 
 
+def test_acked_files_go_and_empty_folders_with_them(spark, tmp_path):
+    for name in ("a/x/1.txt", "a/x/2.txt", "a/3.txt", "b/y/4.txt"):
+        (tmp_path / "s" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "s" / name).write_text("1")
+    root = str(tmp_path / "s")
+    files = spool.file_spool(spark, root, [spool.FileSpec("**")])
+    assert spool.delete_acked(files.where("rel in ('a/x/1.txt', 'b/y/4.txt')"), root) == 2
+    assert (tmp_path / "s/a/x/2.txt").exists() and (tmp_path / "s/a/x").exists() and not (tmp_path / "s/b").exists()
+    assert spool.delete_acked(spark.createDataFrame([(f"{root}/a/x/2.txt",), (f"{root}/gone.txt",), (f"{root}/a/3.txt",)], "path string"), root) == 2
+    assert (tmp_path / "s").exists() and not (tmp_path / "s/a").exists()
+    assert rows(spool.spool_health(spark, root), "status", "n_files") == [("empty", 0)]
+    assert rows(spool.spool_health(spark, f"{root}/none"), "status", "n_files") == [("unreachable", 0)]
+
+
+def test_data_sets_grow(spark):
+    files = spark.createDataFrame([("OBS1/a/1", 5, T0), ("OBS1/2", 6, T0 + timedelta(1)), ("x/OBS2/b", 1, T0), ("plain", 9, T0)], "rel string, length long, mtime timestamp")
+    assert rows(spool.datasets(files), "dataset", "n_files", "n_bytes") == [("OBS1", 2, 11), ("OBS2", 1, 1)]
+    last = spool.datasets_keep_cursor(spool.datasets(files.where("rel <> 'OBS1/2'"))).first()
+    assert (last.mtime, last.dataset) == (T0, "OBS2") and rows(spool.datasets(files, after=(last.mtime, last.dataset)), "dataset") == [("OBS1",)]
+    assert rows(spool.dataset_manifest(files, part=1), "dataset", "part") == [("OBS1", 0), ("OBS1", 1), ("OBS2", 0)]
+
+
+def test_anchor_stays_over_restarts(spark, tmp_path):
+    df = spark.range(1, 11)
+    assert rows(queue.stored_anchor(df, str(tmp_path / "a"))) == [(10,)]
+    assert rows(queue.stored_anchor(spark.range(1, 21), str(tmp_path / "a"))) == [(10,)]
+
+
+def test_partial_ack_loses_no_row(spark):
+    """Of 5 rows 3 are accepted: the next slice begins at the fourth; without an accepted cursor none is passed over."""
+    df = spark.range(1, 6).select("id", F.lit(0).alias("batch_id"))
+    for accepted, after in ((3, [(3,)]), (None, [])):
+        sent = delivery.deliver(df, lambda batch, rows, a=accepted: delivery.Sent("partial_ack", accepted_cursor=a, rejected=2), pipeline=F.lit("p"), now=T0)
+        assert rows(sent, "pipeline", "kind", "records", "rejected", "cursor_after", "ts") == [("p", "partial_ack", 5, 2, 5, T0)]
+        folded = state.apply_outcomes(sent)
+        assert rows(folded["cursors"], "cursor") == after and rows(folded["attempts"], "records") == [(3,)]
+    assert rows(state.apply_outcomes(sent, compat=True)["cursors"], "cursor") == [(5,)]
+
+
+def test_replay_sends_what_was_frozen(spark, tmp_path):
+    frozen = spool.freeze_payload(spark.createDataFrame([(1, 2, "b"), (1, 1, "a"), (2, 3, "c")], "deliverable_id long, id long, line string"), str(tmp_path / "f"))
+    due = spark.createDataFrame([(1, "p"), (3, "p")], "id long, pipeline string")
+
+    def send(deliverable, rows):
+        assert "".join(rows["line"]) == "ab" and deliverable == 1
+        return "acked"
+
+    assert rows(delivery.replay(due, frozen, send, now=T0), "deliverable_id", "kind", "records") == [(1, "acked", 2), (3, "permanent", 0)]
+
+
+def test_numbers_within_keys(spark):
+    df = spark.range(2000).select("id", F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 5 > 0, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k"))
+    seen = {}
+    for i, k, n in sorted(rows(chunk.numbered(df.repartition(7), ("id",), "n", ("k",)), "id", "k", "n")):
+        assert n == seen.get(k, 0)
+        seen[k] = n + 1
+    assert sum(seen.values()) == 2000
+
+
+def test_locators_of_other_lengths(spark):
+    df = spark.createDataFrame([("FN42aa",), ("FN42",), ("FN42aa11",), ("FN42z",), ("FN42zz",), ("F",), ("",), (None,), ("ZZ99",)], "g string")
+    got = [r[0] for r in df.select(geo.grid_lat(F.col("g"))).collect()]
+    assert got[1] == got[2] == got[3] == got[4] == 42.5 and round(got[0], 4) == 42.0208 and got[5:] == [None] * 4
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, "c1", "x"), (2, "c2", "y"), (3, "c1", "z")], "deliverable_id long, cycle string, line string")
     spool.write_bundles(df, str(tmp_path / "out"))

@@ -23,5 +23,6 @@ def test_query(spark, sf_dir, con, name):
 def test_entry(spark):
     import __spark_entry__ as entry
 
-    assert entry.entry(spark).columns == ["id", "day", "user_id", "value", "first_id"]
+    got = entry.entry(spark)
+    assert got.columns == ["id", "day", "user_id", "value", "first_id"] and got.count() == 100
     assert set(entry.oracle_sql()) <= set(entry.queries())

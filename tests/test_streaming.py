@@ -41,8 +41,13 @@ def test_delivery_is_logged_once(spark, tmp_path):
     for _ in range(2):  # the second run has nothing left to take
         delivery.drain(delivery.deliver_stream(queue.stream_queue(spark, str(tmp_path / "q")), send, str(tmp_path / "log"), str(tmp_path / "check"), 10), 120)
     log = spark.read.parquet(str(tmp_path / "log"))
-    assert sorted((r.batch_id, r.kind, r.records, r.cursor_after) for r in log.collect()) == [(0, "acked", 10, 10), (1, "acked", 10, 20), (2, "retry_later", 5, 25)]
+    first = [(0, "acked", 10, 10), (1, "acked", 10, 20), (2, "retry_later", 5, 25)]
+    assert sorted((r.deliverable_id, r.kind, r.records, r.cursor_after) for r in log.collect()) == first
     assert len(list(sent.iterdir())) == 3
+    df.withColumn("id", F.col("id") + 100).coalesce(1).write.mode("append").parquet(str(tmp_path / "q"))  # a second epoch
+    delivery.drain(delivery.deliver_stream(queue.stream_queue(spark, str(tmp_path / "q")), send, str(tmp_path / "log"), str(tmp_path / "check"), 10), 120)
+    ids = [(r.deliverable_id, r.epoch, r.cursor_after) for r in spark.read.parquet(str(tmp_path / "log")).collect()]
+    assert len({i for i, *_ in ids}) == 6 and sorted(ids)[3:] == [(delivery.EPOCH + i, 1, at) for i, at in enumerate((110, 120, 125))]
 
 
 def test_spool_stream_archives(spark, tmp_path):
