@@ -376,6 +376,31 @@ def test_phrases_and_proximity(spark, odd, empty):
     assert {r.n_hit for r in decontam.judge(odd, items.limit(0)).collect()} == {0}
 
 
+def test_proximity_ends_with_the_text(spark):
+    """However wide the tolerance: terms of two texts that follow each other are no match."""
+    docs = spark.createDataFrame([(1, "alpha beta"), (2, "gamma delta"), (3, "alpha x x x x x x x x x x x gamma")], "doc_id long, text string").coalesce(1)
+    items = spark.createDataFrame([(1, "alpha gamma"), (2, "beta gamma")], "item_id long, text string")
+    for slop in (1, 9, 10, 25):
+        assert {r.doc_id for r in decontam.matches(docs, items, slop).collect()} == ({3} if slop > 10 else set())
+    assert decontam.matches(docs, items, 0, window=40).count() == 0
+
+
+def test_an_index_is_kept_and_asked_again(spark, docs, sf_dir, tmp_path):
+    """The stored index has all words' postings, and answers benchmarks that weren't known when it was made."""
+    decontam.build(docs.repartition(3)).write.parquet(f"{tmp_path}/index")
+    index = spark.read.parquet(f"{tmp_path}/index")
+    rows = [(r.doc_id, decontam.words(r.text)) for r in docs.collect()]
+    blocks = [decontam.Index.load(r.asDict()) for r in index.collect()]
+    assert sum(int(b.counts.sum()) for b in blocks) == sum(len(w) for _, w in rows) and sum(len(b.lengths) for b in blocks) == len(rows)
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    for items in (benchmark, docs.where("doc_id % 40 = 3").select(F.col("doc_id").alias("item_id"), "text"), benchmark.limit(0)):
+        got = sorted(decontam.judge_in(index, items).collect())
+        assert got == sorted(decontam.judge(docs, items).collect())
+    windows = {tuple(w[i : i + 10]) for r in benchmark.collect() for w in [decontam.words(r.text)] for i in range(max(1, len(w) - 9)) if w}
+    expected = sorted((d, i) for d, w in rows for i in range(len(w)) if any(tuple(w[i : i + n]) in windows for n in {len(x) for x in windows}))
+    assert sorted({(r.doc_id, r.position) for r in decontam.matches_in(index, benchmark).collect()}) == expected and expected
+
+
 def test_null_item_ids_as_in_sql(spark):
     import duckdb
 
