@@ -424,7 +424,7 @@ def test_edits_count_as_if_encoded_anew(own):
     word = lambda n: "".join(rng.choice("ab 's're\n\t  ñ漢12.,'ll") for _ in range(rng.randrange(n)))
     for _ in range(400):
         text = word(rng.choice([5, 50, 400, 4000]))
-        tree = recount.Tree(text, own)
+        tree = recount.Tree.of(text, own)
         for _ in range(rng.randrange(1, 6)):
             start = rng.randrange(len(text) + 1)
             end, new = min(len(text), start + rng.choice([0, 1, 5, 60])), word(rng.choice([1, 4, 30, 300]))
@@ -432,19 +432,54 @@ def test_edits_count_as_if_encoded_anew(own):
             tree.edit(start, end, new)
             assert tree.text() == text and len(tree) == len(own.encode(text)) and tree.chars[1] == len(text)
             assert [t for leaf in tree.leaves for t in leaf] == own.pretokens(text)
-    long = recount.Tree("some words and more " * 20_000, own)
+            if rng.random() < 0.3:  # stored, and taken up again
+                tree = recount.Tree(own, *tree.row())
+    long = recount.Tree.of("some words and more " * 20_000, own)
     long.edit(200_000, 200_004, "other")
     assert long.encoded < 200
 
 
 def test_edit_counts(spark, own, odd, empty):
     text = "mail me@x.org or 10.0.0.1\nsame line\nsame line\ncall 555 123 45678"
-    row = recount.count(recount.with_redactions(spark.createDataFrame([(1, text)], "doc_id long, text string")), VOCABULARY).first()
+    state = recount.build(spark.createDataFrame([(1, text)], "doc_id long, text string"), VOCABULARY)
+    for find in (recount.personal, recount.repeated_lines):
+        state = recount.apply(recount.with_edits(state, find), VOCABULARY)
+    row = recount.counts(state).first()
     after = "mail <redacted> or <redacted>\nsame line\ncall <redacted>"
-    assert (row.n_tokens, row.n_edits, row.n_tokens_after, row.n_chars_after) == (len(own.encode(text)), 4, len(own.encode(after)), len(after))
-    assert recount.count(recount.with_redactions(odd), VOCABULARY).count() == odd.count() and recount.count(recount.with_redactions(empty), VOCABULARY).count() == 0
+    assert (row.n_tokens, row.n_edits, row.n_tokens_after, row.n_chars_after, state.first().text) == (len(own.encode(text)), 4, len(own.encode(after)), len(after), after)
+    for df in (odd, empty):
+        assert recount.counts(recount.apply(recount.with_edits(recount.build(df, VOCABULARY), recount.personal), VOCABULARY)).count() == df.count()
     given = odd.withColumn("edits", F.expr("if(doc_id = 3, null, array(named_struct('start', 0L, 'end', 9999999L, 'text', cast(null as string))))"))
     assert {r.n_tokens_after for r in recount.count(given, VOCABULARY).where("doc_id <> 3 or doc_id is null").collect()} == {0}
+    assert recount.count(empty.withColumn("edits", F.expr("cast(null as array<struct<start:long,end:long,text:string>>)")), VOCABULARY).count() == 0
+
+
+def test_stored_trees_are_edited_again(spark, own, docs, texts, tmp_path):
+    """Two rounds on trees that are written in between: counts are those of the whole text, and little is encoded again."""
+    recount.build(docs, VOCABULARY).write.parquet(f"{tmp_path}/0")
+    after = {i: t or "" for i, t in texts}
+    for n, word in enumerate(("first", "second")):
+        state = spark.read.parquet(f"{tmp_path}/{n}").withColumn("edits", F.expr(f"array(named_struct('start', length(text) div 2 + 0L, 'end', length(text) div 2 + 3L, 'text', '{word}'))"))
+        recount.apply(state, VOCABULARY).write.parquet(f"{tmp_path}/{n + 1}")
+        after = {i: t[: len(t) // 2] + word + t[len(t) // 2 + 3 :] for i, t in after.items()}
+    state = spark.read.parquet(f"{tmp_path}/2")
+    assert {r.doc_id: r.text for r in state.collect()} == after
+    got = {r.doc_id: r for r in recount.counts(state).collect()}
+    assert {i: r.n_tokens_after for i, r in got.items()} == {i: len(own.encode(t)) for i, t in after.items()}
+    assert all(r.n_edits == 2 and r.n_encoded <= 300 for r in got.values()) and sum(r.n_encoded for r in got.values()) < 0.2 * sum(r.n_pretokens for r in got.values())
+
+
+def test_edit_query_agrees_with_whole_texts(spark, sf_dir, own, texts):
+    def edited(text, edits):
+        for start, end, new in edits:
+            text = text[:start] + new + text[end:]
+        return text
+
+    got = {r.doc_id: r for r in queries.op6_edit_counts(spark, sf_dir).collect()}
+    for i, t in texts:
+        after = edited(t or "", recount.personal(t or ""))
+        after = edited(after, recount.repeated_lines(after))
+        assert (got[i].n_tokens, got[i].n_tokens_after, got[i].n_chars_after) == (len(own.encode(t or "")), len(own.encode(after)), len(after))
 
 
 # ---- 7 -------------------------------------------------------------------------------------------------------------
