@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Classes whose counts are broadcast; more of them are joined.
 MOST_CLASSES = 10_000
+#: Steps of the hash between which a class's sample ends.
+STEPS = 400
 
 
 def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
@@ -52,22 +54,25 @@ def sample(df: DataFrame, class_col: str, text_col: str, rows: int, size: int) -
     """class_col and text_col of a bounded sample of distinct texts in which all classes have the same part.
 
     Of each class those with the least text hashes are taken, as many as rows / classes and size / classes (bytes)
-    allow; null classes and texts are left out, as are texts of over a sixteenth of those bytes, and copies of a text in
-    a class count as one. The result has at most ``rows`` rows (with more classes than that, one each of the first by
-    hash) and ``size`` bytes. Candidates are drawn by hash at a rate that follows from the count of their class, so that
-    no task orders more than a few times a class's part.
+    allow, to within a 100th; null classes and texts are left out, as are texts of over a 64th of those bytes, and
+    copies of a text in a class count as one. The result has at most ``rows`` rows (with more classes than that, one
+    each of the first by hash) and ``size`` bytes. Candidates are drawn by hash at a rate that follows from the count of
+    their class, and the hash up to which they are taken from sums by steps of the hash, so no task has a class whole.
     """
     own = df.select(F.col(class_col).cast("string").alias("class"), F.col(text_col).cast("string").alias("text")).where("class is not null and text is not null")
     counts = cut(own.groupBy("class").agg(F.count("*").alias("n")))
     classes = max(1, counts.count())
     part, part_size, scale = max(1, rows // classes), size // classes, 1 << 40
-    small = F.broadcast(counts) if classes <= MOST_CLASSES else counts
-    rate = F.lit(2 * part + 100) / F.col("n") * scale
-    drawn = own.where(F.octet_length("text") <= part_size // 16).withColumn("h", F.xxhash64("text")).join(small, "class").where(F.pmod("h", F.lit(scale)) < rate)
-    distinct = drawn.groupBy("class", "h").agg(F.min("text").alias("text"))  # in each task before the shuffle as well
-    order = Window.partitionBy("class").orderBy(F.pmod("h", F.lit(scale)), "h")
-    ranked = distinct.withColumn("rank", F.row_number().over(order)).withColumn("bytes", F.sum(F.octet_length("text")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    chosen = ranked.where((F.col("rank") <= part) & (F.col("bytes") <= part_size))
+    small = (lambda x: F.broadcast(x)) if classes <= MOST_CLASSES else (lambda x: x)
+    rate = F.least(F.lit(1.0), F.lit(2 * part + 100) / F.col("n")) * scale
+    hashed = own.where(F.octet_length("text") <= part_size // 64).withColumn("h", F.xxhash64("text")).join(small(counts), "class")
+    drawn = hashed.withColumn("step", F.floor(F.pmod("h", F.lit(scale)) / rate * STEPS).cast("int")).where(F.col("step") < STEPS)
+    distinct = cut(drawn.groupBy("class", "h", "step").agg(F.min("text").alias("text")))  # in each task before the shuffle as well
+    sums = distinct.groupBy("class", "step").agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes"))
+    upto = Window.partitionBy("class").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    fits = sums.withColumns({"rows": F.sum("rows").over(upto), "bytes": F.sum("bytes").over(upto)}).where((F.col("rows") <= part) & (F.col("bytes") <= part_size))
+    last = fits.groupBy("class").agg(F.max("step").alias("last"))
+    chosen = distinct.join(small(last), "class").where(F.col("step") <= F.col("last"))
     if classes > rows:
         chosen = chosen.orderBy("h").limit(rows)
     return chosen.select(F.col("class").alias(class_col), F.col("text").alias(text_col))
