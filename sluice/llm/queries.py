@@ -52,11 +52,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trees of all texts, edited twice: personal data is redacted, then repeated lines are dropped."""
-    vocabulary = public_tokenizers.path(VOCABULARY)
-    state = recount.build(_table(spark, sf_dir, "documents"), vocabulary)
-    for find in (recount.personal, recount.repeated_lines):
-        state = recount.apply(recount.with_edits(state, find), vocabulary)
-    return recount.counts(state)
+    return recount.counts(recount.edited(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), (recount.personal, recount.repeated_lines)))
 
 
 def op7_url_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:

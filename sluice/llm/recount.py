@@ -200,38 +200,55 @@ def repeated_lines(text: str) -> Edits:
 EDITS = "array<struct<start:long,end:long,text:string>>"
 _EDITS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("text", pa.string())]))
 #: A tree: the text, lengths of pre-tokens, pre-tokens and tokens of each leaf (unsigned, 4 bytes each); of the first
-#: text the numbers of tokens and pre-tokens; edits so far and the pre-tokens that they encoded again.
-STATE = "doc_id long, text string, lengths binary, sizes binary, tokens binary, n_tokens long, n_pretokens long, n_edits long, n_encoded long"
+#: text the numbers of tokens and pre-tokens; edits so far, tokens after them, and pre-tokens that they encoded again.
+STATE = "doc_id long, text string, lengths binary, sizes binary, tokens binary, n_tokens long, n_pretokens long, n_edits long, n_tokens_after long, n_encoded long"
 _STATE = [c.split()[0] for c in STATE.split(", ")]
 _bytes = lambda x: np.asarray(x).astype("<u4").tobytes()
 _numbers = lambda x: np.frombuffer(x, "<u4")
 
 
-def build(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The trees (STATE) of whole texts; a null text is empty. Repeated rows have a tree each."""
+def _built(batches: Iterator[pa.RecordBatch], own: Tokenizer) -> Iterator[pa.RecordBatch]:
+    for pack in packs(batches, 4 << 20):
+        texts = [t or "" for t in pack["text"]]
+        rows = [Tree.rows(t, own) for t in texts]
+        none, tokens = pa.array([0] * len(rows), pa.int64()), pa.array([int(r[2].sum()) for r in rows], pa.int64())
+        columns = [pa.array(pack["doc_id"], pa.int64()), pa.array(texts, pa.string()), *(pa.array([_bytes(r[i]) for r in rows], pa.binary()) for i in range(3))]
+        yield pa.RecordBatch.from_arrays([*columns, tokens, pa.array([len(r[0]) for r in rows], pa.int64()), none, tokens, none], _STATE)
+
+
+def _found(batches: Iterator[pa.RecordBatch], find: Callable[[str], Edits]) -> Iterator[pa.RecordBatch]:
+    for part in (x for batch in batches for x in slices([batch], 4 << 20)):
+        edits = [[dict(zip(("start", "end", "text"), e, strict=True)) for e in find(t)] for t in part.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*part.columns, pa.array(edits, _EDITS)], [*part.schema.names, "edits"])
+
+
+def _applied(batches: Iterator[pa.RecordBatch], own: Tokenizer) -> Iterator[pa.RecordBatch]:
+    for part in (x for batch in batches for x in slices([batch], 4 << 20)):
+        columns = {c: part.column(c).to_pylist() for c in _STATE}
+        for i, edits in enumerate(part.column("edits").to_pylist()):
+            if not edits:
+                continue
+            tree = Tree(own, columns["text"][i], *(_numbers(columns[c][i]) for c in ("lengths", "sizes", "tokens")))
+            for e in edits:
+                tree.edit(e["start"] or 0, e["end"] or 0, e["text"] or "")
+            columns["text"][i], *rest = tree.row()
+            for c, x in zip(("lengths", "sizes", "tokens"), rest, strict=True):
+                columns[c][i] = _bytes(x)
+            columns["n_edits"][i] += len(edits)
+            columns["n_tokens_after"][i] = len(tree)
+            columns["n_encoded"][i] += tree.encoded
+        kinds = [pa.int64(), pa.string(), *[pa.binary()] * 3, *[pa.int64()] * 5]
+        yield pa.RecordBatch.from_arrays([pa.array(columns[c], k) for c, k in zip(_STATE, kinds, strict=True)], _STATE)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = tokenizer(_installed(vocabulary))
-        for pack in packs(batches, 4 << 20):
-            texts = [t or "" for t in pack["text"]]
-            rows = [Tree.rows(t, own) for t in texts]
-            none = pa.array([0] * len(rows), pa.int64())
-            columns = [pa.array(pack["doc_id"], pa.int64()), pa.array(texts, pa.string()), *(pa.array([_bytes(r[i]) for r in rows], pa.binary()) for i in range(3))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([int(r[2].sum()) for r in rows]), pa.array([len(r[0]) for r in rows]), none, none], _STATE)
 
-    return documents(df, id_col, text_col).mapInArrow(run, STATE)
+def build(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The trees (STATE) of whole texts; a null text is empty. Repeated rows have a tree each."""
+    return documents(df, id_col, text_col).mapInArrow(lambda x: _built(x, tokenizer(_installed(vocabulary))), STATE)
 
 
 def with_edits(state: DataFrame, find: Callable[[str], Edits]) -> DataFrame:
     """Trees and the edits that ``find`` makes of their texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices([batch], 4 << 20):
-                edits = [[dict(zip(("start", "end", "text"), e, strict=True)) for e in find(t)] for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(edits, _EDITS)], [*part.schema.names, "edits"])
-
-    return state.select(*_STATE).mapInArrow(run, f"{STATE}, edits {EDITS}")
+    return state.select(*_STATE).mapInArrow(lambda x: _found(x, find), f"{STATE}, edits {EDITS}")
 
 
 def apply(state: DataFrame, vocabulary: str, edits_col: str = "edits") -> DataFrame:
@@ -239,27 +256,24 @@ def apply(state: DataFrame, vocabulary: str, edits_col: str = "edits") -> DataFr
 
     Null edits are none, and a null text of one is empty. Only leaves that an edit touches are encoded again.
     """
+    own = state.select(*_STATE, F.col(edits_col).cast(EDITS).alias("edits"))
+    return own.mapInArrow(lambda x: _applied(x, tokenizer(_installed(vocabulary))), STATE)
+
+
+def edited(df: DataFrame, vocabulary: str, rounds: tuple[Callable[[str], Edits], ...], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Trees (STATE) of texts after rounds of edits: build(), then with_edits() and apply() for each, in one pass.
+
+    The rounds share one Python worker and its tokenizer; each takes up the trees that the one before has left.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(_installed(vocabulary))
-        for batch in batches:
-            for part in slices([batch], 4 << 20):
-                columns = {c: part.column(c).to_pylist() for c in _STATE}
-                for i, edits in enumerate(part.column("edits").to_pylist()):
-                    if not edits:
-                        continue
-                    tree = Tree(own, columns["text"][i], *(_numbers(columns[c][i]) for c in ("lengths", "sizes", "tokens")))
-                    for e in edits:
-                        tree.edit(e["start"] or 0, e["end"] or 0, e["text"] or "")
-                    columns["text"][i], *rest = tree.row()
-                    for c, x in zip(("lengths", "sizes", "tokens"), rest, strict=True):
-                        columns[c][i] = _bytes(x)
-                    columns["n_edits"][i] += len(edits)
-                    columns["n_encoded"][i] += tree.encoded
-                kinds = [pa.int64(), pa.string(), *[pa.binary()] * 3, *[pa.int64()] * 4]
-                yield pa.RecordBatch.from_arrays([pa.array(columns[c], k) for c, k in zip(_STATE, kinds, strict=True)], _STATE)
-
-    return state.select(*_STATE, F.col(edits_col).cast(EDITS).alias("edits")).mapInArrow(run, STATE)
+        out = _built(batches, own)
+        for find in rounds:
+            out = _applied(_found(out, find), own)
+        return out
+
+    return documents(df, id_col, text_col).mapInArrow(run, STATE)
 
 
 _COUNTS = ("n_tokens", "n_edits", "n_tokens_after", "n_chars_after", "n_pretokens", "n_encoded")
@@ -270,13 +284,7 @@ def counts(state: DataFrame) -> DataFrame:
 
     n_encoded is how many pre-tokens the edits encoded again, of n_pretokens that the first text had.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sums = [pa.array([int(_numbers(x.as_py()).sum(dtype=np.int64)) for x in batch.column(c)], pa.int64()) for c in ("tokens", "lengths")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_tokens"), batch.column("n_edits"), *sums, batch.column("n_pretokens"), batch.column("n_encoded")], ["doc_id", *_COUNTS])
-
-    return state.drop("text", "sizes").mapInArrow(run, "doc_id long, " + ", ".join(f"{c} long" for c in _COUNTS))
+    return state.withColumn("n_chars_after", F.length("text").cast("long")).select("doc_id", *_COUNTS)
 
 
 def count(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", edits_col: str = "edits") -> DataFrame:
