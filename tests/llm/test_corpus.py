@@ -897,9 +897,11 @@ def test_a_dense_group_of_near_copies(spark):
     df = spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(rows)], "doc_id long, text string").repartition(4)
     kept = sorted(r.doc_id for r in simhash_similar.keep_first(df).collect())
     assert kept == [0, *range(401, 451)]
-    words = np.array([simhash_similar.long_fingerprint(simhash_similar.shingles(" ".join(r)))[0] for r in rows[:401]])
-    a, b, dense = simhash_similar._near(np.unique(words))
-    assert dense and len(a) <= 2 * len(words) and (np.bitwise_count(np.unique(words)[a] ^ np.unique(words)[b]) <= simhash_similar.NEAR).all()
+    words = np.unique([simhash_similar.long_fingerprint(simhash_similar.shingles(" ".join(r)))[0] for r in rows[:401]])
+    leader = simhash_similar._leaders(words)
+    assert np.bincount(leader).max() > simhash_similar.DENSE and (np.bitwise_count(words ^ words[leader]) <= simhash_similar.CLOSE).all()
+    near = {(int(a), int(b)) for x, y in simhash_similar._near(words) for a, b in zip(x, y, strict=True)}
+    assert near == {(i, j) for i in range(len(words)) for j in range(i) if int(words[i] ^ words[j]).bit_count() <= simhash_similar.NEAR}
 
 
 def test_stage_keeps_one_row_of_null_and_repeated_ids(spark):
