@@ -247,15 +247,17 @@ def least_of(df: DataFrame, key: str, value: str) -> DataFrame:
     return other.select(F.bitwise_not("_other").alias(key), value)
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node and root (the least node of its component) of all nodes that are in links (a, b), in either direction.
+def stars(edges: DataFrame) -> DataFrame:
+    """(a, b): all nodes in links (a, b), in either direction, but the least of each component, with that least.
 
-    Large and small stars in turn until nothing changes: rounds grow as the logarithm of the longest chain, every
-    round is aggregates and joins, and only a count and a checksum reach the driver.
+    Large and small stars in turn until no node has two links or is an end of one and the start of another: rounds grow
+    as the logarithm of the longest chain, every round is aggregates and joins, and only whether to go on reaches the
+    driver.
     """
 
-    def state(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a").cast("decimal(38,0)"))).first())
+    def settled(df: DataFrame) -> bool:
+        ends = df.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(df.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1").isEmpty()
 
     def star(df: DataFrame, large: bool) -> DataFrame:
         sides = df.unionByName(df.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else df.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -264,11 +266,15 @@ def components(edges: DataFrame) -> DataFrame:
         moved = joined.where("b > a" if large else "b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
         return (moved if large else moved.unionByName(least.select("a", F.col("least").alias("b")))).where("a <> b").distinct()
 
-    now = cut(edges.select("a", "b").where("a <> b").distinct())
-    was, is_ = None, state(now)
-    while was != is_:
+    now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    while not settled(now):
         now = cut(star(star(now, True), False))
-        was, is_ = is_, state(now)
+    return now
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """node and root (the least node of its component) of all nodes that are in links (a, b), in either direction."""
+    now = stars(edges)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
