@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, decontam, langid, ngramlm, quality, recount, rules, sharding, simhash, urls
+from sluice.llm import bpe, decontam, exact, langid, ngramlm, quality, recount, rules, sharding, simhash, urls
 from sluice.llm.common import id_remainder
+from sluice.shared import scratch
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -68,8 +69,15 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as a stream that is drained, then what its log says of each."""
+    at = scratch(spark)
+    exact.dedup(exact.documents_stream(spark, sf_dir), f"{at}/log", f"{at}/progress", available_now=True).awaitTermination()
+    return exact.classes(spark, f"{at}/log").withColumnRenamed("digest", "text_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_quality_gam": op1_quality_gam, "op2_byte_bpe": op2_byte_bpe, "op3_language_id": op3_language_id, "op4_ngram_trie": op4_ngram_trie, "op5_decontamination": op5_decontamination, "op6_edit_counts": op6_edit_counts, "op7_url_ratio": op7_url_ratio, "op8_simhash": op8_simhash, "op9_quality_rules": op9_quality_rules, "op10_histogram_shards": op10_histogram_shards}
+    return {"op1_quality_gam": op1_quality_gam, "op2_byte_bpe": op2_byte_bpe, "op3_language_id": op3_language_id, "op4_ngram_trie": op4_ngram_trie, "op5_decontamination": op5_decontamination, "op6_edit_counts": op6_edit_counts, "op7_url_ratio": op7_url_ratio, "op8_simhash": op8_simhash, "op9_quality_rules": op9_quality_rules, "op10_histogram_shards": op10_histogram_shards, "op11_stream_dedup": op11_stream_dedup}
 
 
 _WORDS5 = "coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
@@ -101,6 +109,10 @@ def _op9() -> str:
  SELECT *, broken IS NULL AS kept FROM x"""
 
 
+_OP11 = """WITH g AS (SELECT coalesce(text, '') AS t, max(doc_id) AS keep_id, count(*) AS group_size FROM documents GROUP BY 1)
+ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM documents JOIN g ON coalesce(text, '') = t"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL expresses the counts of words and windows; the other queries are held against brute force in tests."""
-    return {"op5_decontamination": _OP5, "op9_quality_rules": _op9()}
+    return {"op5_decontamination": _OP5, "op9_quality_rules": _op9(), "op11_stream_dedup": _OP11}
