@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, decontam, exact, langid, ngramlm, quality, recount, rules, sharding, simhash, urls
+from sluice.llm import bpe, decontam, exact, langid, ngramlm, quality, ranked, recount, rules, sharding, simhash, urls
 from sluice.llm.common import id_remainder
 from sluice.shared import scratch
 
@@ -76,8 +76,12 @@ def op11_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.classes(spark, f"{at}/log").withColumnRenamed("digest", "text_sha256")
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 50)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_quality_gam": op1_quality_gam, "op2_byte_bpe": op2_byte_bpe, "op3_language_id": op3_language_id, "op4_ngram_trie": op4_ngram_trie, "op5_decontamination": op5_decontamination, "op6_edit_counts": op6_edit_counts, "op7_url_ratio": op7_url_ratio, "op8_simhash": op8_simhash, "op9_quality_rules": op9_quality_rules, "op10_histogram_shards": op10_histogram_shards, "op11_stream_dedup": op11_stream_dedup}
+    return {"op1_quality_gam": op1_quality_gam, "op2_byte_bpe": op2_byte_bpe, "op3_language_id": op3_language_id, "op4_ngram_trie": op4_ngram_trie, "op5_decontamination": op5_decontamination, "op6_edit_counts": op6_edit_counts, "op7_url_ratio": op7_url_ratio, "op8_simhash": op8_simhash, "op9_quality_rules": op9_quality_rules, "op10_histogram_shards": op10_histogram_shards, "op11_stream_dedup": op11_stream_dedup, "op12_ranked_search": op12_ranked_search}
 
 
 _WORDS5 = "coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
@@ -113,6 +117,14 @@ _OP11 = """WITH g AS (SELECT coalesce(text, '') AS t, max(doc_id) AS keep_id, co
  SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM documents JOIN g ON coalesce(text, '') = t"""
 
 
+_TERMS = "unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term"
+_OP12 = f"""WITH d AS (SELECT doc_id, {_TERMS} FROM documents), q AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, {_TERMS} FROM benchmark)),
+ tf AS (SELECT doc_id, term, count(*) AS tf FROM d WHERE term IN (SELECT term FROM q) GROUP BY 1, 2), len AS (SELECT doc_id, count(*) AS n FROM d GROUP BY 1), s AS (SELECT count(*)::BIGINT AS nd, sum(n)::BIGINT AS l FROM len),
+ w AS (SELECT term, CAST(floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM tf, s GROUP BY term, nd), m AS (SELECT doc_id, 50 + (50 * n * nd) // l AS m FROM len, s),
+ x AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score FROM q JOIN tf USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY 1, 2)
+ SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM x WHERE score > 0) WHERE rank <= 50"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL expresses the counts of words and windows; the other queries are held against brute force in tests."""
-    return {"op5_decontamination": _OP5, "op9_quality_rules": _op9(), "op11_stream_dedup": _OP11}
+    return {"op5_decontamination": _OP5, "op9_quality_rules": _op9(), "op11_stream_dedup": _OP11, "op12_ranked_search": _OP12}
