@@ -1,9 +1,10 @@
 """Exact dedup of a stream of documents: state by digest keeps where a text was first seen, and hits are checked byte by byte.
 
-A micro-batch is read once. Tasks put rows with the same bytes together, so a group of any size is a few rows when it
-reaches its key. The keyed state, in RocksDB and without expiry, holds a digest's first row: its id and its place in the
-source (file and row number), no text. A row whose digest is known is a hit; the texts of both places are then read again
-and compared as a whole. Rows that share a digest only, and not the text, are kept apart by their text.
+The keyed state, in RocksDB and without expiry, is a streaming aggregate: of each digest the first row's id and place in
+the source (file and row number), how many rows there are, and no text. Tasks combine rows before the shuffle, so a digest
+of any number of rows is a few when it reaches its key. Of each micro-batch the digests that changed come out, and with
+them its files: tasks put rows with equal bytes together, and where the digest was first seen elsewhere, the texts of both
+places are read and compared as a whole. Rows that share a digest only, and not the text, are kept apart by their text.
 """
 
 from __future__ import annotations
@@ -11,21 +12,23 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from urllib.parse import unquote
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from sluice.llm.common import slices
 from sluice.shared import exists, filesystem
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk; without files that are allocated ahead, which for many small partitions would be most of it.
+STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 #: Of at most so many places (about 200 bytes each) a list goes to every task; more are joined.
 MOST_PLACES = 100_000
 _FOUND = "digest string, file string, row long, ids string, rows string, n long, best_id long, best_row long"
 _SEEN = _FOUND + ", first_file string, first_row long"
+_GROUP = "digest string, n long, first_id long, first_file string, first_row long"
+#: Keys of this beginning are of files, not of texts: they say which files a micro-batch has.
+_FILE = "file:"
 _APART = "file string, row long, other string"
 
 
@@ -63,17 +66,6 @@ def _by_file(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             start = i
 
 
-def _remember(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Every row with the place at which its digest was first seen."""
-    first = state.get[:2] if state.exists else None
-    for batch in batches:
-        if first is None and len(batch):
-            first = (batch["file"].iloc[0], int(batch["row"].iloc[0]))
-            best = batch["best_id"].iloc[0]
-            state.update((*first, None if pd.isna(best) else int(best)))
-        yield batch.assign(first_file=first[0] if first else None, first_row=first[1] if first else None)
-
-
 def _texts(spark: SparkSession, places: DataFrame, text_col: str, normal: Callable[[Column], Column]) -> DataFrame:
     """The places (file, row and more) with the texts that lie there. Only the files that are named are read."""
     files = [unquote(r.file) for r in places.select("file").distinct().toLocalIterator()]
@@ -91,13 +83,25 @@ def dedup(docs: DataFrame, log: str, checkpoint: str, available_now: bool = Fals
     what it had written. A weak ``digest`` costs comparisons and never merges different texts.
     """
     spark, text = docs.sparkSession, normal(F.col(text_col))
-    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), digest(text).alias("digest"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    seen = read.mapInArrow(_gathered, _FOUND).groupBy("digest").applyInPandasWithState(_remember, _SEEN, "file string, row long, id long", "append", GroupStateTimeout.NoTimeout)
-
-    def check(rows: DataFrame, epoch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{log}/rows/epoch={epoch}")  # once, as the state goes with what this run saw
-        own = spark.read.schema(_SEEN).parquet(f"{log}/rows/epoch={epoch}")
-        hits = own.where("file <> first_file OR row <> first_row")
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
+    read = docs.select(digest(text).alias("digest"), F.col(id_col).cast("long").alias("doc_id"), *place).withColumn("at", F.current_timestamp())
+    keys = F.when(F.col("row") == 0, F.array("digest", F.concat(F.lit(_FILE), "file"))).otherwise(F.array("digest"))
+    # the time is that of the micro-batch, the same when it is tried again, so an older place always comes first
+    first = F.min(F.struct("at", "file", "row", "doc_id"))
+    groups = read.withColumn("digest", F.explode(keys)).groupBy("digest").agg(F.count("*").alias("n"), first.alias("first"))
+    seen = groups.select("digest", "n", F.col("first.doc_id").alias("first_id"), F.col("first.file").alias("first_file"), F.col("first.row").alias("first_row"))
+
+    def check(changed: DataFrame, epoch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{log}/groups/epoch={epoch}")
+        groups = spark.read.schema(_GROUP).parquet(f"{log}/groups/epoch={epoch}")
+        files = [unquote(r.first_file) for r in groups.where(F.col("digest").startswith(_FILE)).toLocalIterator()]
+        if not files:
+            return
+        again = spark.read.parquet(*files)
+        text = normal(again[text_col])
+        gathered = again.select(again[id_col].cast("long").alias("doc_id"), text.alias("text"), digest(text).alias("digest"), *place).mapInArrow(_gathered, _FOUND)
+        gathered.join(groups.select("digest", "first_file", "first_row"), "digest").write.mode("overwrite").parquet(f"{log}/rows/epoch={epoch}")
+        hits = spark.read.schema(_SEEN).parquet(f"{log}/rows/epoch={epoch}").where("file <> first_file OR row <> first_row")
         if hits.isEmpty():
             return
         places = hits.select("digest", "file", "row", F.lit(False).alias("is_first")).unionByName(hits.select("digest", F.col("first_file").alias("file"), F.col("first_row").alias("row"), F.lit(True).alias("is_first")).distinct())
@@ -106,13 +110,15 @@ def dedup(docs: DataFrame, log: str, checkpoint: str, available_now: bool = Fals
         apart = mine.join(theirs, "digest").where("text <> first_text").select("file", "row", F.col("text").alias("other"))
         apart.write.mode("overwrite").parquet(f"{log}/apart/epoch={epoch}")
 
-    writer = seen.writeStream.foreachBatch(check).option("checkpointLocation", checkpoint)
-    name, old = "spark.sql.streaming.stateStore.providerClass", spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
-    spark.conf.set(name, ROCKSDB)  # a query keeps what holds as it starts
+    writer = seen.writeStream.outputMode("update").foreachBatch(check).option("checkpointLocation", checkpoint)
+    old = {name: spark.conf.get(name, None) for name in STATE}
+    for name, value in STATE.items():
+        spark.conf.set(name, value)  # a query keeps what holds as it starts
     try:
         return (writer.trigger(availableNow=True) if available_now else writer).start()
     finally:
-        spark.conf.set(name, old) if old else spark.conf.unset(name)
+        for name, value in old.items():
+            spark.conf.set(name, value) if value else spark.conf.unset(name)
 
 
 def documents_stream(spark: SparkSession, folder: str, name: str = "documents.parquet", **options) -> DataFrame:

@@ -50,7 +50,7 @@ def test_state_outlives_a_run(spark, tmp_path):
     for _ in range(2):
         assert got(run(spark, tmp_path, tmp_path / "s")) == expected(ROWS + LATER)
     state = spark.read.format("statestore").load(f"{tmp_path}/s/progress")
-    assert state.count() == len({t or "" for _, t in ROWS + LATER})  # one entry for each text, none expired
+    assert state.where("not startswith(key.digest, 'file:')").count() == len({t or "" for _, t in ROWS + LATER})  # one entry for each text, none expired
 
 
 def test_bytes_are_checked_on_hits(spark, tmp_path):
