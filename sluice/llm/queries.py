@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, decontam, exact, langid, ngramlm, quality, ranked, recount, rules, sharding, simhash, urls
+from sluice.llm import bpe, decontam, exact, langid, ngramlm, prefixtree, quality, ranked, recount, rules, sharding, simhash, urls
 from sluice.llm.common import id_remainder
 from sluice.shared import scratch
 
@@ -80,8 +80,13 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 50)
 
 
+def op13_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lead = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    return prefixtree.tree(_table(spark, sf_dir, "conversations"), lead, F.col("conv_id") - F.col("conv_id") % 100)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_quality_gam": op1_quality_gam, "op2_byte_bpe": op2_byte_bpe, "op3_language_id": op3_language_id, "op4_ngram_trie": op4_ngram_trie, "op5_decontamination": op5_decontamination, "op6_edit_counts": op6_edit_counts, "op7_url_ratio": op7_url_ratio, "op8_simhash": op8_simhash, "op9_quality_rules": op9_quality_rules, "op10_histogram_shards": op10_histogram_shards, "op11_stream_dedup": op11_stream_dedup, "op12_ranked_search": op12_ranked_search}
+    return {"op1_quality_gam": op1_quality_gam, "op2_byte_bpe": op2_byte_bpe, "op3_language_id": op3_language_id, "op4_ngram_trie": op4_ngram_trie, "op5_decontamination": op5_decontamination, "op6_edit_counts": op6_edit_counts, "op7_url_ratio": op7_url_ratio, "op8_simhash": op8_simhash, "op9_quality_rules": op9_quality_rules, "op10_histogram_shards": op10_histogram_shards, "op11_stream_dedup": op11_stream_dedup, "op12_ranked_search": op12_ranked_search, "op13_prefix_tree": op13_prefix_tree}
 
 
 _WORDS5 = "coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
@@ -125,6 +130,18 @@ _OP12 = f"""WITH d AS (SELECT doc_id, {_TERMS} FROM documents), q AS (SELECT DIS
  SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM x WHERE score > 0) WHERE rank <= 50"""
 
 
+_CRC = "xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, [ascii(x)::BIGINT FOR x IN string_split(CAST(conv_id AS VARCHAR), '')]), lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))))"
+_OP13 = f"""WITH t AS (SELECT conv_id, h, n, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, h) AS pos FROM (SELECT conv_id, turn, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS h, length(coalesce(text, '')) AS n FROM conversations)),
+ c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_CRC} % 6 AS lead FROM (SELECT DISTINCT conv_id FROM t)),
+ r AS (SELECT c.conv_id, t.pos, 0 AS own, t.h, t.n FROM c JOIN t ON t.conv_id = c.base AND t.pos <= c.lead UNION ALL SELECT c.conv_id, t.pos, 1, t.h, t.n FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos > c.lead),
+ p AS (SELECT conv_id, n, row_number() OVER w AS depth, array_to_string(list(h) OVER w, '') AS key FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY own, pos) UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+ nd AS (SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(n) AS n FROM p GROUP BY 1, 2), l AS (SELECT conv_id, max(depth) AS depth FROM p GROUP BY 1),
+ e AS (SELECT key, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends FROM p JOIN l USING (conv_id, depth) GROUP BY 1),
+ k AS (SELECT a.key, count(b.key) AS n_children, any_value(a.n_convs) AS n_convs, any_value(a.n) AS n FROM nd a LEFT JOIN nd b ON b.depth = a.depth + 1 AND left(b.key, length(a.key)) = a.key GROUP BY 1),
+ s AS (SELECT a.key, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum((k.n_convs - 1) * k.n) AS BIGINT) AS saved_tokens FROM nd a JOIN k ON left(k.key, length(a.key)) = a.key GROUP BY 1)
+ SELECT nd.conv_id, nd.depth, up.conv_id AS parent_conv_id, nd.n_convs, n_children, n_leaves, saved_tokens, coalesce(ends, sha256('')) AS ends_sha256 FROM nd JOIN k USING (key) JOIN s USING (key) LEFT JOIN e USING (key) LEFT JOIN nd up ON nd.depth > 0 AND up.key = left(nd.key, (nd.depth - 1) * 64)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL expresses the counts of words and windows; the other queries are held against brute force in tests."""
-    return {"op5_decontamination": _OP5, "op9_quality_rules": _op9(), "op11_stream_dedup": _OP11, "op12_ranked_search": _OP12}
+    return {"op5_decontamination": _OP5, "op9_quality_rules": _op9(), "op11_stream_dedup": _OP11, "op12_ranked_search": _OP12, "op13_prefix_tree": _OP13}
