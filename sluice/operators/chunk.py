@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.shared import cut
+from sluice.shared import cut, fresh
 
 
 def numbered(df: DataFrame, order: Sequence[str], into: str = "_n", keys: Sequence[str] = ()) -> DataFrame:
@@ -18,20 +18,23 @@ def numbered(df: DataFrame, order: Sequence[str], into: str = "_n", keys: Sequen
     partitions, and only counts of keys by partition are put together. The sorted rows are kept in the shared folder,
     as both steps have to see the same ranges.
     """
-    ranged = cut(df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order).withColumn("_part", F.spark_partition_id()))
-    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ranged.groupBy(*keys, "_part").agg(F.count("*").alias("_count")).withColumn("_offset", F.coalesce(F.sum("_count").over(before), F.lit(0))).drop("_count")
+    part, offset = fresh(df, "_part"), fresh(df, "_offset")
+    ranged = cut(df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order).withColumn(part, F.spark_partition_id()))
+    before = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy(*keys, part).agg(F.count("*").alias(offset))
+    offsets = counts.withColumn(offset, F.coalesce(F.sum(offset).over(before), F.lit(0)))
     if not keys:
-        met = ranged.join(F.broadcast(offsets), "_part")  # one row for each partition
+        met = ranged.join(F.broadcast(offsets), part)  # one row for each partition
     else:
-        same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in [*keys, "_part"]]
-        met = ranged.alias("l").join(offsets.alias("r"), same).select("l.*", "r._offset")
-    return met.withColumn(into, F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order)) - 1 + F.col("_offset")).drop("_part", "_offset")
+        same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in [*keys, part]]
+        met = ranged.alias("l").join(offsets.alias("r"), same).select("l.*", F.col(f"r.{offset}"))
+    return met.withColumn(into, F.row_number().over(Window.partitionBy(*keys, part).orderBy(*order)) - 1 + F.col(offset)).drop(part, offset)
 
 
 def chunk_by_count(df: DataFrame, n: int, order: Sequence[str], keys: tuple[str, ...] = ()) -> DataFrame:
     """batch_id from 0 in order, n rows each, by key or over all."""
-    return numbered(df, order, "_n", keys).withColumn("batch_id", F.floor(F.col("_n") / n).cast("long")).drop("_n")
+    at = fresh(df, "_n")
+    return numbered(df, order, at, keys).withColumn("batch_id", F.floor(F.col(at) / n).cast("long")).drop(at)
 
 
 def chunk_by_bytes(df: DataFrame, max_len: int, overhead: int, size: str, order: Sequence[str], keys: Sequence[str], rows: int = 500) -> DataFrame:

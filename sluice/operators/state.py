@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,50 +36,110 @@ def _attempt(outcome: Column, records: Column) -> list[Column]:
     return [F.col("ts"), F.col("pipeline"), outcome.alias("outcome"), records.alias("records"), F.col("n_bytes"), F.nullif(F.col("reason"), F.lit("")).alias("error")]
 
 
-def apply_outcomes(outcomes: DataFrame, policy: RetryPolicy = RetryPolicy(), keys: Sequence[str] = ("pipeline",), compat: bool = False) -> dict[str, DataFrame]:
+#: What can become of a batch.
+KINDS = ("acked", "partial_ack", "retry_later", "permanent")
+
+
+def known_kind(kind: Column) -> Column:
+    """The kind; reading a row of one that isn't known fails, so that nothing vanishes between the outputs of a fold."""
+    return F.when(kind.isin(*KINDS), kind).otherwise(F.raise_error(F.concat(F.lit("unknown outcome kind: "), F.coalesce(kind, F.lit("null")))).cast("string"))
+
+
+def same(keys: Sequence[str], left: str = "l", right: str = "r") -> Column:
+    """Rows of two frames (by alias) with equal keys; null equals null."""
+    return reduce(Column.__and__, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
+
+
+def first_gaps(outcomes: DataFrame, policy: RetryPolicy = RetryPolicy(), keys: Sequence[str] = ("pipeline",), order: str = "deliverable_id") -> DataFrame:
+    """keys and gap: of each key the first batch whose rows weren't all settled.
+
+    Settled are batches that were taken, that wait as a deliverable with their rows, or that are dead and skipped. A
+    partial_ack that names no cursor, or one before its batch's, leaves rows that only the queue still has.
+    """
+    kind, accepted = known_kind(F.col("kind")), F.col("accepted_cursor")
+    left = (kind == "partial_ack") & (accepted.isNull() | (accepted < F.col("cursor_after")))
+    gap = left if policy.skip_permanent else left | (kind == "permanent")
+    return outcomes.where(gap).groupBy(*keys).agg(F.min(order).alias("gap"))
+
+
+def apply_outcomes(outcomes: DataFrame, policy: RetryPolicy = RetryPolicy(), keys: Sequence[str] = ("pipeline",), compat: bool = False, run: Sequence[str] = (), order: str = "deliverable_id") -> dict[str, DataFrame]:
     """First attempts, folded: new cursors, deliverables, dead letters and attempts, each a filter over outcomes.
 
-    acked advances to the batch's cursor, partial_ack to the accepted one; retry_later waits; permanent is dead, and
-    with skip_permanent its cursor moves on, so that the same rows aren't offered at once again. A partial_ack that
-    names no accepted cursor moves none, so no rejected row is lost; ``compat`` takes the batch's cursor then.
+    acked advances to the batch's cursor, partial_ack to the accepted one, or nowhere if it names none; retry_later
+    waits; permanent is dead, and with skip_permanent its cursor moves on, so that the same rows aren't offered at once
+    again. Cursors stop at the first gap of their key in batch order (first_gaps()): what a later batch acknowledges
+    moves none past rows that aren't settled, which the next slice offers again. ``run`` are columns that tell slices
+    apart, each of which began at the cursor that the one before left. ``compat`` has the older rule, in which each
+    batch stands alone and a partial_ack without a cursor takes its batch's. A kind that isn't known fails.
     """
-    kind, at = F.col("kind"), F.col("ts")
+    kind, at = known_kind(F.col("kind")), F.col("ts")
     advances = kind.isin("acked", "partial_ack", *(["permanent"] if policy.skip_permanent else []))
     accepted = F.coalesce("accepted_cursor", "cursor_after") if compat else F.col("accepted_cursor")
     to = F.when(kind == "partial_ack", accepted).otherwise(F.col("cursor_after"))
     records = F.when(kind == "partial_ack", F.col("records") - F.coalesce("rejected", F.lit(0))).otherwise(F.col("records"))
+    moved = outcomes.where(advances & to.isNotNull())
+    if not compat:
+        within = [*keys, *run]
+        met = moved.alias("l").join(first_gaps(outcomes, policy, within, order).alias("r"), same(within), "left")
+        moved = met.where(F.col("r.gap").isNull() | (F.col(f"l.{order}") <= F.col("r.gap"))).select("l.*")
     return {
-        "cursors": outcomes.where(advances & to.isNotNull()).select(*keys, to.alias("cursor"), "ts", F.col("deliverable_id").alias("seq")),
+        "cursors": moved.select(*keys, to.alias("cursor"), "ts", F.col("deliverable_id").alias("seq")),
         "deliverables": outcomes.where(kind == "retry_later").select(F.col("deliverable_id").alias("id"), *keys, at.alias("enqueued_at"), F.lit(0).alias("attempts"), _next(at, F.lit(0), policy).alias("next_attempt_at"), "cursor_after"),
         "dead_letters": outcomes.where(kind == "permanent").select("ts", *keys, "deliverable_id", F.coalesce(F.nullif(F.col("reason"), F.lit("")), F.lit("permanent_failure")).alias("final_error")),
         "attempts": outcomes.select(*_attempt(kind, records)),
     }
 
 
+def settled_cursors(outcomes: DataFrame, policy: RetryPolicy = RetryPolicy(), keys: Sequence[str] = ("pipeline",), run: Sequence[str] = ()) -> DataFrame:
+    """keys and cursor: how far each key's rows are settled without a gap, from a log of first attempts."""
+    return apply_outcomes(outcomes, policy, keys, run=run)["cursors"].groupBy(*keys).agg(F.max("cursor").alias("cursor"))
+
+
 def apply_replays(outcomes: DataFrame, deliverables: DataFrame, policy: RetryPolicy = RetryPolicy(), once: bool = False) -> dict[str, DataFrame]:
     """Replays of waiting deliverables, folded; a deliverable that waits on keeps all its columns, its cursor too.
 
-    A retry that reaches max_attempts is dead; partial_ack of a replay counts as acked. Deliverables without an
-    outcome wait as they are. Each of the four outputs joins for itself; with ``once`` the joined rows are kept in the
-    shared folder and all four read them.
+    A deliverable is known by its pipeline and id. A retry that reaches max_attempts is dead; partial_ack of a replay
+    counts as acked; a kind that isn't known fails. Deliverables without an outcome wait as they are. Each of the four
+    outputs joins for itself; with ``once`` the joined rows are kept in the shared folder and all four read them.
     """
     waiting = deliverables.select("id", "pipeline", "enqueued_at", "attempts", "next_attempt_at", "cursor_after")
-    tried = outcomes.select(F.col("deliverable_id").alias("id"), "kind", "reason", "n_bytes", "ts")
-    met = waiting.join(tried, "id", "left")
+    tried = outcomes.select(F.col("deliverable_id").alias("id"), "pipeline", known_kind(F.col("kind")).alias("kind"), "reason", "n_bytes", "ts")
+    met = waiting.alias("l").join(tried.alias("r"), same(["id", "pipeline"]), "left").select("l.*", "r.kind", "r.reason", "r.n_bytes", "r.ts")
     attempts = F.col("attempts") + 1
     fate = F.when(F.col("kind").isNull(), "waits").when((F.col("kind") == "retry_later") & (attempts >= policy.max_attempts), "dead_letter").when(F.col("kind").isin("retry_later", "permanent"), F.col("kind")).otherwise("acked")
     met = met.withColumn("fate", fate)
     met = cut(met) if once else met
-    retried = met.where("fate = 'retry_later'").select("id", "pipeline", "enqueued_at", attempts.cast("int").alias("attempts"), _next(F.col("ts"), attempts, policy).alias("next_attempt_at"), "cursor_after")
-    error = F.coalesce(F.nullif(F.col("reason"), F.lit("")), F.when(F.col("fate") == "permanent", "permanent_failure").otherwise("max_attempts"))
     return {
         "cursors": met.where("fate = 'acked'").select("pipeline", F.col("cursor_after").alias("cursor"), "ts", F.col("id").alias("seq")),
-        "deliverables": met.where("fate = 'waits'").select(*waiting.columns).unionByName(retried),
-        "dead_letters": met.where("fate in ('permanent', 'dead_letter')").select("ts", "pipeline", F.col("id").alias("deliverable_id"), error.alias("final_error")),
+        "deliverables": met.where("fate = 'waits'").select(*waiting.columns).unionByName(met.where("fate = 'retry_later'").select("id", "pipeline", "enqueued_at", attempts.cast("int").alias("attempts"), _next(F.col("ts"), attempts, policy).alias("next_attempt_at"), "cursor_after")),
+        "dead_letters": met.where("fate in ('permanent', 'dead_letter')").select("ts", "pipeline", F.col("id").alias("deliverable_id"), _final(F.col("fate")).alias("final_error")),
         "attempts": met.where("fate <> 'waits'").select(*_attempt(F.col("fate"), F.lit(None).cast("long"))),
     }
 
 
+def _final(fate: Column) -> Column:
+    return F.coalesce(F.nullif(F.col("reason"), F.lit("")), F.when(fate == "permanent", "permanent_failure").otherwise("max_attempts"))
+
+
+def fold_replays(deliverables: DataFrame, replays: DataFrame, policy: RetryPolicy = RetryPolicy(), run: str = "run") -> dict[str, DataFrame]:
+    """A whole log of replays (outcomes and the number of their run) folded at once, as apply_replays() run by run would.
+
+    The last outcome decides, and how many there were is the number of attempts: one aggregate by pipeline and id.
+    """
+    tried = replays.withColumn("kind", known_kind(F.col("kind"))).groupBy(F.col("deliverable_id").alias("id"), "pipeline").agg(F.count("*").cast("int").alias("tries"), F.max_by(F.struct("kind", "reason", "n_bytes", "ts"), run).alias("last"))
+    waiting = deliverables.select("id", "pipeline", "enqueued_at", "attempts", "next_attempt_at", "cursor_after")
+    met = waiting.alias("l").join(tried.alias("r"), same(["id", "pipeline"]), "left").select("l.*", "r.tries", "r.last.*")
+    attempts = (F.col("attempts") + F.coalesce("tries", F.lit(0))).cast("int")
+    fate = F.when(F.col("kind").isNull(), "waits").when((F.col("kind") == "retry_later") & (attempts >= policy.max_attempts), "dead_letter").when(F.col("kind").isin("retry_later", "permanent"), F.col("kind")).otherwise("acked")
+    met = met.withColumns({"attempts": attempts, "fate": fate})
+    again = F.when(F.col("fate") == "waits", F.col("next_attempt_at")).otherwise(_next(F.col("ts"), F.col("attempts"), policy))
+    return {
+        "cursors": met.where("fate = 'acked'").select("pipeline", F.col("cursor_after").alias("cursor"), "ts", F.col("id").alias("seq")),
+        "deliverables": met.where("fate IN ('waits', 'retry_later')").select("id", "pipeline", "enqueued_at", "attempts", again.alias("next_attempt_at"), "cursor_after"),
+        "dead_letters": met.where("fate IN ('permanent', 'dead_letter')").select("ts", "pipeline", F.col("id").alias("deliverable_id"), _final(F.col("fate")).alias("final_error")),
+    }
+
+
 def due(deliverables: DataFrame, now: Column, one_each: bool = False) -> DataFrame:
     """Deliverables whose time has come, oldest first; one of each pipeline if asked."""
     ready = deliverables.where(F.col("next_attempt_at") <= now)

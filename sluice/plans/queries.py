@@ -658,6 +658,20 @@ def spool_health(spark, sf_dir):
     return spool.spool_health(spark, _spool(spark, sf_dir)).drop("newest")
 
 
+@query(f"SELECT 'p' || (id % 2) AS pipeline, id // 2000 AS deliverable_id, count(*) AS records, CASE WHEN id // 2000 % 2 = 0 THEN 'again' ELSE 'first' END AS try FROM ({QUEUE}) GROUP BY id % 2, id // 2000")
+def payload_epochs(spark, sf_dir):
+    """Two pipelines with the same ids, frozen in two epochs, one of them tried twice; what each replay then sends."""
+    at = f"{scratch(spark)}/frozen"
+    rows = queue(spark, sf_dir).select(F.concat(F.lit("p"), (F.col("id") % 2).cast("string")).alias("pipeline"), F.floor(F.col("id") / 2000).cast("long").alias("deliverable_id"), "id")
+    of = lambda epoch, text: rows.where(F.col("deliverable_id") % 2 == epoch).withColumn("try", F.lit(text))
+    for epoch, text in ((0, "first"), (1, "first"), (0, "again")):
+        spool.freeze_payload(of(epoch, text), at, delivery.KEYS, epoch)
+    frozen = spool.frozen_payloads(spark, at, of(0, "").schema, places=True)
+    waiting = rows.select("pipeline", F.col("deliverable_id").alias("id")).distinct()
+    sent = delivery.replay(waiting, frozen, lambda i, r: ("acked", r["try"].max()), now=PRESENT)
+    return sent.select("pipeline", "deliverable_id", "records", F.col("reason").alias("try"))
+
+
 @query(f"SELECT id // 100 AS deliverable_id, id, payload_json FROM ({QUEUE}) WHERE (id // 100) % 3 = 0")
 def freeze_payload(spark, sf_dir):
     """Payloads frozen by deliverable, of which those that wait are read back."""
@@ -738,14 +752,15 @@ def _folded(folded: dict[str, DataFrame]) -> DataFrame:
     return out.unionByName(row("dead_letters", F.col("deliverable_id"), none, F.col("final_error"))).unionByName(row("attempts", none, F.col("records"), F.col("outcome")))
 
 
-_DELIVER_FOLD = f"""WITH o AS ({_SENT}) SELECT 'cursors' AS part, pipeline, deliverable_id, CASE kind WHEN 'partial_ack' THEN accepted_cursor ELSE cursor_after END AS number, NULL AS text FROM o WHERE kind IN ('acked', 'permanent') OR accepted_cursor IS NOT NULL
+_DELIVER_FOLD = f"""WITH o AS ({_SENT}), g AS (SELECT pipeline, min(deliverable_id) AS gap FROM o WHERE kind = 'partial_ack' AND coalesce(accepted_cursor < cursor_after, true) GROUP BY 1)
+ SELECT 'cursors' AS part, pipeline, deliverable_id, CASE kind WHEN 'partial_ack' THEN accepted_cursor ELSE cursor_after END AS number, NULL AS text FROM o LEFT JOIN g USING (pipeline) WHERE (kind IN ('acked', 'permanent') OR accepted_cursor IS NOT NULL) AND (gap IS NULL OR deliverable_id <= gap)
  UNION ALL SELECT 'deliverables', pipeline, deliverable_id, {NOW_S} + 1, '0' FROM o WHERE kind = 'retry_later' UNION ALL SELECT 'dead_letters', pipeline, deliverable_id, NULL, reason FROM o WHERE kind = 'permanent'
  UNION ALL SELECT 'attempts', pipeline, NULL, CASE kind WHEN 'partial_ack' THEN records - rejected ELSE records END, kind FROM o"""
 
 
 @query(_DELIVER_FOLD)
 def deliver_fold(spark, sf_dir):
-    """Batches sent for the first time, and their outcomes folded."""
+    """Batches sent for the first time, and their outcomes folded; cursors end at a pipeline's first batch that was taken in part."""
     return _folded(state.apply_outcomes(cut(_delivered(spark, sf_dir)), POLICY))
 
 
@@ -755,8 +770,8 @@ def deliver_fold(spark, sf_dir):
 def replay_fold(spark, sf_dir):
     """What waits after the first attempts is frozen, and sent again from there when its time has come; a fifth lost its payload."""
     waiting = cut(state.apply_outcomes(_delivered(spark, sf_dir), POLICY)["deliverables"])
-    rows = _batches(spark, sf_dir).select(F.col("batch_id").alias("deliverable_id"), "id", "payload_json")
-    frozen = spool.freeze_payload(rows.join(waiting.select(F.col("id").alias("deliverable_id")), "deliverable_id", "left_semi").where("deliverable_id % 5 <> 2").repartition("deliverable_id"), f"{scratch(spark)}/frozen")
+    rows = _batches(spark, sf_dir).select("pipeline", F.col("batch_id").alias("deliverable_id"), "id", "payload_json")
+    frozen = spool.freeze_payload(rows.join(waiting.select("pipeline", F.col("id").alias("deliverable_id")), ["pipeline", "deliverable_id"], "left_semi").where("deliverable_id % 5 <> 2"), f"{scratch(spark)}/frozen", delivery.KEYS)
 
     def again(deliverable, rows):
         if deliverable % 5 == 3:
@@ -793,9 +808,58 @@ def current_cursors(spark, sf_dir):
     return state.current_cursors(log)
 
 
-@query(f"SELECT deliverable_id AS seq, pipeline, CASE kind WHEN 'partial_ack' THEN accepted_cursor ELSE cursor_after END AS cursor FROM ({OUTCOMES}) WHERE kind <> 'retry_later'")
+_RUNS = f"""WITH o AS (SELECT *, e // {HOUR} AS run FROM ({OUTCOMES})), g AS (SELECT pipeline, run, min(deliverable_id) AS gap FROM o WHERE kind = 'partial_ack' GROUP BY 1, 2),
+ c AS (SELECT deliverable_id AS seq, pipeline, CASE kind WHEN 'partial_ack' THEN accepted_cursor ELSE cursor_after END AS cursor FROM o LEFT JOIN g USING (pipeline, run) WHERE kind <> 'retry_later' AND (gap IS NULL OR deliverable_id <= gap))"""
+
+
+def _runs(spark, sf_dir):
+    """Outcomes by hour, each hour's slice read from the cursor that the hour before left."""
+    return outcomes(spark, sf_dir).withColumn("run", F.floor(F.unix_timestamp("ts") / HOUR))
+
+
+@query(f"{_RUNS} SELECT * FROM c")
 def outcome_cursors(spark, sf_dir):
-    return state.apply_outcomes(outcomes(spark, sf_dir), POLICY)["cursors"].select("seq", "pipeline", "cursor")
+    """What moves cursors in each slice, up to the first batch of it that was taken in part."""
+    return state.apply_outcomes(_runs(spark, sf_dir), POLICY, run=("run",))["cursors"].select("seq", "pipeline", "cursor")
+
+
+@query(f"{_RUNS} SELECT pipeline, max(cursor) AS cursor FROM c GROUP BY 1")
+def settled_cursors(spark, sf_dir):
+    return state.settled_cursors(_runs(spark, sf_dir), POLICY, run=("run",))
+
+
+@query(f"SELECT deliverable_id AS seq, pipeline, CASE kind WHEN 'partial_ack' THEN accepted_cursor ELSE cursor_after END AS cursor FROM ({OUTCOMES}) WHERE kind <> 'retry_later'")
+def outcome_cursors_compat(spark, sf_dir):
+    """The older rule: each batch moves its cursor for itself."""
+    return state.apply_outcomes(outcomes(spark, sf_dir), POLICY, compat=True)["cursors"].select("seq", "pipeline", "cursor")
+
+
+@query(f"SELECT 'p' || station AS pipeline, count(*) AS n_taken, 0 AS n_waiting, 0 AS n_dead FROM ({QUEUE}) GROUP BY station")
+def deliver_stream(spark, sf_dir):
+    """Events as a stream to ten pipelines, of which some are down and some take parts, then two replays: rows that were
+    taken, and what still waits or is dead."""
+    at = scratch(spark)
+    queue(spark, sf_dir).select("id", "payload_json", F.concat(F.lit("p"), F.col("station").cast("string")).alias("pipeline")).write.parquet(f"{at}/in")
+    schema = spark.read.parquet(f"{at}/in").schema
+
+    def first(deliverable, rows):
+        if rows["pipeline"].iloc[0] in ("p1", "p4"):
+            raise ConnectionError("down")
+        if rows["pipeline"].iloc[0] in ("p2", "p7") and len(rows) > 1:
+            return delivery.Sent("partial_ack", accepted_cursor=int(rows["id"].iloc[len(rows) // 2]), rejected=len(rows) - len(rows) // 2 - 1)
+        return "acked"
+
+    def later(deliverable, rows):
+        return ("retry_later", "busy") if rows["pipeline"].iloc[0] == "p4" else "acked"
+
+    stream = spark.readStream.schema(schema).parquet(f"{at}/in")
+    delivery.drain(delivery.deliver_stream(stream, first, f"{at}/log", f"{at}/progress", 100, pipeline=F.col("pipeline"), now=PRESENT))
+    delivery.replay_stream(spark, later, f"{at}/log", schema, 0, POLICY, datetime(2024, 1, 20, 12, 31))
+    delivery.replay_stream(spark, lambda i, rows: "acked", f"{at}/log", schema, 1, POLICY, datetime(2024, 1, 20, 12, 41))
+    log = spark.read.parquet(f"{at}/log").select("pipeline", "kind", "records", "rejected").unionByName(spark.read.parquet(f"{at}/log/_replays").select("pipeline", "kind", "records", "rejected"))
+    taken = log.where("kind IN ('acked', 'partial_ack')").groupBy("pipeline").agg(F.sum(F.col("records") - F.col("rejected")).alias("n_taken"))
+    left = delivery.logged(spark, f"{at}/log", POLICY)
+    return state.delivery_status(taken, taken.limit(0).withColumn("cursor", F.lit(0)), left["deliverables"], left["dead_letters"]).drop("cursor").join(taken, "pipeline")
 
 
 @query(f"SELECT deliverable_id AS id, pipeline, e AS enqueued_at, 0 AS attempts, e + 1 AS next_attempt_at, cursor_after FROM ({OUTCOMES}) WHERE kind = 'retry_later'")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,12 +17,41 @@ def scratch(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="stream-")
 
 
+_CUTS: contextvars.ContextVar[list[DataFrame] | None] = contextvars.ContextVar("cuts", default=None)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df, computed once and kept in the shared folder: reading it again gives the same rows in the same partitions."""
     jsc = df.sparkSession.sparkContext._jsc.sc()
     if jsc.getCheckpointDir().isEmpty():
         df.sparkSession.sparkContext.setCheckpointDir(scratch(df.sparkSession))
-    return df.checkpoint()
+    out = df.checkpoint()
+    if (held := _CUTS.get()) is not None:
+        held.append(out)
+    return out
+
+
+@contextlib.contextmanager
+def passing() -> Iterator[None]:
+    """What cut() keeps within is deleted at the end; for work that is written by then, as in a micro-batch."""
+    token = _CUTS.set([])
+    try:
+        yield
+    finally:
+        for df in _CUTS.get():
+            kept = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+            if kept.isDefined():
+                files, at = filesystem(df.sparkSession, kept.get())
+                files.delete(at, True)
+        _CUTS.reset(token)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df has not, whatever the case of letters."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name = f"_{name}"
+    return name
 
 
 def filesystem(spark: SparkSession, path: str) -> tuple:

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from sluice.operators.chunk import chunk_by_count
 from sluice.shared import exists, filesystem
@@ -181,12 +182,31 @@ def write_bundles(df: DataFrame, path: str, by: Sequence[str] = ("cycle",), mode
     df.repartition(*by).sortWithinPartitions(*by).select(*by, F.col("line").alias("value")).write.mode(mode).partitionBy(*by).text(path)
 
 
-def freeze_payload(df: DataFrame, path: str, key: str = "deliverable_id") -> DataFrame:
-    """Rendered rows, written once by deliverable; every retry reads the same bytes."""
-    df.write.mode("overwrite").partitionBy(key).parquet(path)
+#: Fixed: folders of an epoch's payloads; stores that were written keep their number.
+BUCKETS = 64
+
+
+def payload_bucket(*keys: Column) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
+
+def freeze_payload(df: DataFrame, path: str, keys: Sequence[str] = ("deliverable_id",), epoch: int = 0) -> DataFrame:
+    """Rendered rows, written once for their deliverable, so that every retry reads the same bytes; all that ``path`` has.
+
+    An epoch's payloads lie in a fixed number of folders by hash of the keys. Writing an epoch again replaces what its
+    first try left and touches no other, so what waits stays. The keys name a deliverable: where several pipelines
+    share a store, the pipeline is one.
+    """
+    dealt = df.withColumn("bucket", payload_bucket(*[F.col(k) for k in keys]))
+    dealt.repartition("bucket", *keys).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/epoch={epoch}")
     return frozen_payloads(df.sparkSession, path, df.schema)
 
 
-def frozen_payloads(spark: SparkSession, path: str, schema) -> DataFrame:
-    """What freeze_payload() wrote; a filter on the key reads those deliverables' folders only."""
-    return spark.read.schema(schema).parquet(path)
+def frozen_payloads(spark: SparkSession, path: str, schema: StructType, places: bool = False) -> DataFrame:
+    """What freeze_payload() wrote over all epochs; with ``places`` also bucket and epoch, which joins can prune by."""
+    more = StructType([StructField("epoch", LongType()), StructField("bucket", IntegerType())])
+    if not exists(spark, path):
+        read = spark.createDataFrame([], StructType([*schema.fields, *more.fields]))
+    else:
+        read = spark.read.schema(StructType([*schema.fields, *more.fields])).parquet(path)
+    return read if places else read.drop("epoch", "bucket")

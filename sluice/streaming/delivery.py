@@ -7,11 +7,15 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from sluice.operators.chunk import chunk_by_count
+from sluice.operators.state import KINDS, RetryPolicy, apply_outcomes, due, fold_replays, same
+from sluice.shared import cut, exists, filesystem, fresh, passing
+from sluice.sources.spool import freeze_payload, frozen_payloads, payload_bucket
 
 
 @dataclass(frozen=True)
@@ -33,64 +37,126 @@ Send = Callable[[int, pd.DataFrame], Sent | str | tuple[str, str]]
 OUTCOME = "deliverable_id long, pipeline string, kind string, reason string, accepted_cursor long, records long, rejected long, n_bytes long, cursor_after long, ts timestamp"
 
 
+def said(send: Send, deliverable: int, rows: pd.DataFrame) -> Sent:
+    """What send makes of a batch. A failure is retry_later with its reason, and so is a kind that isn't known."""
+    try:
+        answer = send(deliverable, rows)
+        answer = answer if isinstance(answer, Sent) else Sent(*answer) if isinstance(answer, tuple) else Sent(answer)
+    except Exception as e:  # any failure of the other side means to try again
+        return Sent("retry_later", f"{type(e).__name__}: {e}")
+    return answer if answer.kind in KINDS else Sent("retry_later", f"unknown outcome kind: {answer.kind}")
+
+
 def deliver(df: DataFrame, send: Send, batch: str = "batch_id", id_col: str = "id", order: Sequence[str] = ("id",), pipeline: Column | None = None, now: datetime | None = None) -> DataFrame:
-    """An outcome for each batch, as apply_outcomes() and apply_replays() take them: tasks call ``send`` with a batch's rows.
+    """An outcome for each batch of each pipeline, as apply_outcomes() and apply_replays() take them: tasks call ``send``
+    with a batch's rows, which keep all their columns.
 
     A batch is one call, so cap batches by count before. A failure of the function is retry_later with its reason.
-    Tasks can run twice: send should know a batch by its id, which has to be unique over all deliveries. ``pipeline`` is
-    one for each batch; ``now`` is the time of the call unless given.
+    Tasks can run twice: send should know a batch by its id, which has to be unique over all deliveries of a pipeline.
+    ``now`` is the time of the call unless given.
     """
+    of = fresh(df, "_pipeline")
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(list(order), kind="stable")
-        name, after = rows["_pipeline"].iloc[0], rows[id_col].max()
-        try:
-            said = send(key[0], rows.drop(columns="_pipeline"))
-            said = said if isinstance(said, Sent) else Sent(*said) if isinstance(said, tuple) else Sent(said)
-        except Exception as e:  # any failure of the other side means to try again
-            said = Sent("retry_later", f"{type(e).__name__}: {e}")
-        ts = now or datetime.now(timezone.utc)
-        row = (key[0], name, said.kind, said.reason, said.accepted_cursor, len(rows), said.rejected, said.n_bytes, after, ts.replace(tzinfo=timezone.utc) if ts.tzinfo is None else ts)
+        answer, ts = said(send, key[0], rows.drop(columns=of)), now or datetime.now(timezone.utc)
+        row = (key[0], key[1], answer.kind, answer.reason, answer.accepted_cursor, len(rows), answer.rejected, answer.n_bytes, rows[id_col].max(), ts.replace(tzinfo=timezone.utc) if ts.tzinfo is None else ts)
         return pd.DataFrame([row], columns=[c.split()[0] for c in OUTCOME.split(", ")]).astype({"accepted_cursor": "Int64", "n_bytes": "Int64"})
 
     name = F.lit(None).cast("string") if pipeline is None else pipeline.cast("string")
-    return df.withColumn("_pipeline", name).groupBy(F.col(batch).cast("long").alias(batch)).applyInPandas(run, OUTCOME)
+    return df.withColumn(of, name).groupBy(F.col(batch).cast("long").alias(batch), of).applyInPandas(run, OUTCOME)
 
 
 def replay(due: DataFrame, payloads: DataFrame, send: Send, key: str = "deliverable_id", id_col: str = "id", order: Sequence[str] = ("id",), now: datetime | None = None) -> DataFrame:
     """Outcomes of deliverables (id, pipeline) whose time has come, sent again with the rows that were frozen for them.
 
-    ``payloads`` has the rows by ``key``. A deliverable without any is a permanent failure, as no retry could mend it.
+    ``payloads`` has the rows by pipeline and ``key``; only those of a store for one pipeline can lack the pipeline. Where
+    they have a bucket (frozen_payloads(places=True)), the join prunes folders by it. A deliverable without any rows is
+    a permanent failure, as no retry could mend it.
     """
-    waiting = due.select(F.col("id").alias(key), F.col("pipeline").alias("_of"))
-    sent = deliver(payloads.join(waiting, key), send, key, id_col, order, F.col("_of"), now)
+    of = fresh(payloads, "_of")
+    keys = [key, *(["pipeline"] if "pipeline" in payloads.columns else [])]
+    waiting = due.select(F.col("id").alias(key), "pipeline").withColumn(of, F.col("pipeline"))
+    places = [c for c in ("bucket", "epoch") if c in payloads.columns]
+    on = same(keys)
+    if "bucket" in places:
+        waiting = waiting.withColumn("bucket", payload_bucket(*[F.col(k) for k in reversed(keys)]))
+        on = on & (F.col("l.bucket") == F.col("r.bucket"))
+    met = payloads.alias("l").join(waiting.alias("r"), on).select("l.*", f"r.{of}").drop(*places)
+    sent = deliver(met, lambda i, rows: send(i, rows.drop(columns=of)), key, id_col, order, F.col(of), now)
     at = F.current_timestamp() if now is None else F.lit(now.replace(tzinfo=timezone.utc) if now.tzinfo is None else now)
-    lost = waiting.join(payloads.select(key), key, "left_anti")
+    lost = waiting.alias("l").join(payloads.alias("r"), same(keys), "left_anti")
     none = lambda kind: F.lit(None).cast(kind)
-    return sent.unionByName(lost.select(F.col(key).alias("deliverable_id"), F.col("_of").alias("pipeline"), F.lit("permanent").alias("kind"), F.lit("no payload was frozen").alias("reason"), none("long").alias("accepted_cursor"), F.lit(0).cast("long").alias("records"), F.lit(0).cast("long").alias("rejected"), none("long").alias("n_bytes"), none("long").alias("cursor_after"), at.alias("ts")))
+    return sent.unionByName(lost.select(F.col(key).alias("deliverable_id"), F.col(of).alias("pipeline"), F.lit("permanent").alias("kind"), F.lit("no payload was frozen").alias("reason"), none("long").alias("accepted_cursor"), F.lit(0).cast("long").alias("records"), F.lit(0).cast("long").alias("rejected"), none("long").alias("n_bytes"), none("long").alias("cursor_after"), at.alias("ts")))
 
 
 #: Batches of one epoch have ids below this, and an epoch's begin at its number times this.
 EPOCH = 1 << 32
+#: What a payload is known by.
+KEYS = ("pipeline", "deliverable_id")
 
 
-def deliver_stream(df: DataFrame, send: Send, log: str, checkpoint: str, batch_rows: int = 1000, id_col: str = "id", pipeline: str = "stream") -> DataStreamWriter:
-    """A stream's writer: each micro-batch is cut, sent, and its outcomes written under its epoch.
+def unsettled(rows: DataFrame, outcomes: DataFrame, id_col: str = "id") -> DataFrame:
+    """Of rows (pipeline, deliverable_id and more) those that no destination has: all of a batch that is to be tried
+    again, and of a partial_ack those after its accepted cursor, all if it names none."""
+    left = outcomes.where("kind IN ('retry_later', 'partial_ack')").select(*KEYS, "kind", "accepted_cursor")
+    met = rows.alias("l").join(left.alias("r"), same(KEYS))
+    return met.where((F.col("r.kind") == "retry_later") | F.col("r.accepted_cursor").isNull() | (F.col(f"l.{id_col}") > F.col("r.accepted_cursor"))).select("l.*")
 
-    Batches have ids that are unique over epochs and the same whenever an epoch is tried again; its outcomes overwrite
-    those of the try before, so folding the log gives each outcome once.
-    """
 
+def deliver_stream(df: DataFrame, send: Send, log: str, checkpoint: str, batch_rows: int = 1000, id_col: str = "id", pipeline: str | Column = "stream", now: datetime | None = None) -> DataStreamWriter:
+    """A stream's writer: each micro-batch is cut, sent, and its outcomes written under its epoch; what wasn't taken is
+    frozen under the same epoch, and replay_stream() sends it again.
+
+    Batches are those of a pipeline, which is a name or a column of rows; their ids are unique over its epochs and the
+    same whenever an epoch is tried again. Outcomes and payloads of the try before are overwritten. The rest of a
+    partial_ack waits as a deliverable of its batch's id, since a stream doesn't offer rows again. Rows are frozen before
+    outcomes are written, so an outcome that waits always has its rows.
+    """
     def epoch(rows: DataFrame, n: int) -> None:
-        cut = chunk_by_count(rows, batch_rows, (id_col,)).withColumn("batch_id", F.col("batch_id") + n * EPOCH)
-        deliver(cut, send, "batch_id", id_col, (id_col,), F.lit(pipeline)).write.mode("overwrite").parquet(f"{log}/epoch={n}")
+        with passing():
+            named = rows.withColumn("pipeline", F.lit(pipeline) if isinstance(pipeline, str) else pipeline.cast("string"))
+            ready = cut(chunk_by_count(named, batch_rows, (id_col,), ("pipeline",)).withColumn("deliverable_id", F.col("batch_id") + n * EPOCH).drop("batch_id"))
+            outcomes = cut(deliver(ready, send, "deliverable_id", id_col, (id_col,), F.col("pipeline"), now))
+            freeze_payload(unsettled(ready, outcomes, id_col), f"{log}/_payloads", KEYS, n)
+            outcomes.write.mode("overwrite").parquet(f"{log}/epoch={n}")
 
     return df.writeStream.foreachBatch(epoch).option("checkpointLocation", checkpoint)
 
 
+def logged(spark: SparkSession, log: str, policy: RetryPolicy = RetryPolicy()) -> dict[str, DataFrame]:
+    """What a delivery log comes to: deliverables that wait, dead letters, and attempts of outcomes and replays.
+
+    The rest of a partial_ack waits like a batch that failed. There are no cursors: a stream's checkpoint is its cursor.
+    """
+    schema, at = StructType.fromDDL(OUTCOME), lambda part: f"{log}/{part}".rstrip("/")
+    read = lambda part, by: spark.read.schema(StructType([*schema.fields, StructField(by, LongType())])).parquet(at(part)) if exists(spark, at(part)) else spark.createDataFrame([], StructType([*schema.fields, StructField(by, LongType())]))
+    first, again = read("", "epoch"), read("_replays", "run")
+    rest = F.col("accepted_cursor").isNull() | (F.col("accepted_cursor") < F.col("cursor_after"))
+    waits = first.withColumn("kind", F.when((F.col("kind") == "partial_ack") & rest, "retry_later").otherwise(F.col("kind")))
+    folded, after = apply_outcomes(waits, policy), fold_replays(apply_outcomes(waits, policy)["deliverables"], again, policy)
+    return {"deliverables": after["deliverables"], "dead_letters": folded["dead_letters"].unionByName(after["dead_letters"]), "attempts": first.select("ts", "pipeline", "deliverable_id", "kind", "records").unionByName(again.select("ts", "pipeline", "deliverable_id", "kind", "records"))}
+
+
+def replay_stream(spark: SparkSession, send: Send, log: str, schema: StructType, run: int, policy: RetryPolicy = RetryPolicy(), now: datetime | None = None, id_col: str = "id", most: int | None = None) -> int:
+    """Sends what waits in a delivery log and whose time has come, once, and logs it as replay number ``run``.
+
+    ``schema`` is of the stream's rows. A run that is tried again replaces what it had logged. Returns how many were sent.
+    """
+    at = F.current_timestamp() if now is None else F.lit(now.replace(tzinfo=timezone.utc) if now.tzinfo is None else now)
+    files, place = filesystem(spark, f"{log}/_replays/run={run}")
+    files.delete(place, True)
+    have = StructType([f for f in schema.fields if f.name not in KEYS] + [StructField("pipeline", StringType()), StructField("deliverable_id", LongType())])
+    with passing():
+        ready = due(logged(spark, log, policy)["deliverables"], at)
+        ready = cut(ready if most is None else ready.limit(most))
+        sent = replay(ready, frozen_payloads(spark, f"{log}/_payloads", have, places=True), send, id_col=id_col, order=(id_col,), now=now)
+        sent.write.mode("overwrite").parquet(f"{log}/_replays/run={run}")
+        return ready.count()
+
+
 def drain(writer: DataStreamWriter, timeout: int | None = None) -> None:
     """Runs a stream until all that is there has been taken."""
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination(timeout) if timeout else query.awaitTermination()
     query.stop()
-

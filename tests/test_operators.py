@@ -294,3 +294,80 @@ def test_empty_tables(spark):
 def test_rows_of_outcomes(spark):
     df = spark.createDataFrame([Row(batch_id=1, server="a", pos=0, ok=False), Row(batch_id=1, server="b", pos=1, ok=True), Row(batch_id=2, server="a", pos=0, ok=False)])
     assert rows(state.first_success(df), "batch_id", "server", "delivered", "n_tried") == [(1, "b", True, 2), (2, None, False, 1)]
+
+
+def test_cursors_stop_at_the_first_gap(spark):
+    """Batch 0 is partly taken, without a cursor or with one, and batch 1 acknowledged: no row of batch 0 is passed."""
+    for accepted, want in ((None, [("q", 9)]), (4, [("p", 4), ("q", 9)]), (10, [("p", 20), ("q", 9)])):
+        log = spark.createDataFrame([(0, "p", "partial_ack", "", accepted, 10, 3, None, 10, T0), (1, "p", "acked", "", None, 10, 0, None, 20, T0), (0, "q", "acked", "", None, 9, 0, None, 9, T0)], delivery.OUTCOME)
+        assert rows(state.settled_cursors(log), "pipeline", "cursor") == want
+    # the next slice began at the cursor, so its acknowledgement counts again
+    both = log.withColumn("slice", F.lit(0)).unionByName(log.where("deliverable_id = 1").withColumn("slice", F.lit(1)))
+    gap = both.withColumn("accepted_cursor", F.lit(4))
+    assert rows(state.settled_cursors(gap, run=("slice",)), "pipeline", "cursor") == [("p", 20), ("q", 9)]
+    dead = spark.createDataFrame([(0, None, "permanent", "", None, 1, 0, None, 5, T0), (1, None, "acked", "", None, 1, 0, None, 6, T0)], delivery.OUTCOME)
+    assert rows(state.settled_cursors(dead), "cursor") == [(6,)] and rows(state.settled_cursors(dead, state.RetryPolicy(skip_permanent=False)), "cursor") == []
+
+
+def test_replays_keep_pipelines_apart(spark):
+    """Two pipelines wait with the same id: what one of them did says nothing of the other."""
+    waiting = spark.createDataFrame([(0, p, T0, 0, T0, c) for p, c in (("a", 7), ("b", 8), (None, 9))], state_schema())
+    tried = spark.createDataFrame([(0, "a", "acked", "", None, 1, 0, None, None, T0), (0, None, "permanent", "x", None, 1, 0, None, None, T0)], delivery.OUTCOME)
+    for folded in (state.apply_replays(tried, waiting), state.fold_replays(waiting, tried.withColumn("run", F.lit(1)))):
+        assert rows(folded["cursors"], "pipeline", "cursor") == [("a", 7)]
+        assert rows(folded["deliverables"], "pipeline", "attempts") == [("b", 0)]
+        assert rows(folded["dead_letters"], "pipeline", "final_error") == [(None, "x")]
+
+
+def state_schema():
+    from sluice.types import DELIVERABLE
+
+    return DELIVERABLE
+
+
+def test_a_log_of_replays_folds_like_its_runs(spark):
+    """Runs folded one after the other and the whole log at once give the same state."""
+    policy, waiting = state.RetryPolicy(max_attempts=3), spark.createDataFrame([(i, "p", T0, 0, T0, i) for i in range(6)], state_schema())
+    said = [["retry_later"] * 6, [None, "acked", "permanent", "retry_later", "retry_later", "partial_ack"], [None, None, None, "retry_later", "acked", None]]
+    now, ended = waiting, {"cursors": [], "dead_letters": []}
+    log = None
+    for n, kinds in enumerate(said):
+        one = spark.createDataFrame([(i, "p", k, "", None, 1, 0, None, None, T0 + timedelta(minutes=n)) for i, k in enumerate(kinds) if k], delivery.OUTCOME)
+        log = one.withColumn("run", F.lit(n)) if log is None else log.unionByName(one.withColumn("run", F.lit(n)))
+        folded = state.apply_replays(one, now, policy)
+        now = folded["deliverables"]
+        for part in ended:
+            ended[part] += [tuple(map(str, r)) for r in folded[part].collect()]
+    whole = state.fold_replays(waiting, log, policy)
+    names = ("id", "attempts", "next_attempt_at", "cursor_after")
+    assert rows(whole["deliverables"], *names) == rows(now, *names)
+    for part in ended:
+        assert sorted(tuple(map(str, r)) for r in whole[part].collect()) == sorted(ended[part])
+
+
+def test_payloads_of_epochs_stay(spark, tmp_path):
+    """A later epoch deletes nothing of an earlier one; the same epoch again leaves one copy; folders are bounded."""
+    path, keys = str(tmp_path / "f"), ("pipeline", "deliverable_id")
+    make = lambda ids, text: spark.createDataFrame([(p, i, i * 10, text) for p in "ab" for i in ids], "pipeline string, deliverable_id long, id long, line string")
+    spool.freeze_payload(make(range(200), "x"), path, keys, 0)
+    spool.freeze_payload(make([500], "lost"), path, keys, 1)
+    frozen = spool.freeze_payload(make([501], "y"), path, keys, 1)
+    assert frozen.count() == 402 and rows(frozen.where("deliverable_id >= 500"), "pipeline", "deliverable_id", "line") == [("a", 501, "y"), ("b", 501, "y")]
+    assert len(list((tmp_path / "f").glob("epoch=*/bucket=*"))) <= 2 * spool.BUCKETS
+    due = spark.createDataFrame([(501, "a"), (3, "b"), (3, "c")], "id long, pipeline string")
+    places = spool.frozen_payloads(spark, path, frozen.schema, places=True)
+    seen = delivery.replay(due, places, lambda i, r: "acked", now=T0)
+    assert rows(seen, "deliverable_id", "pipeline", "kind", "records") == [(3, "b", "acked", 1), (3, "c", "permanent", 0), (501, "a", "acked", 1)]
+
+
+def test_columns_that_operators_use_inside_stay(spark):
+    """_part, _count, _offset, _n and _pipeline of a user come through numbering and delivery."""
+    df = spark.createDataFrame([(i, "p", i, i, i, i) for i in range(7)], "id long, _pipeline string, _part long, _count long, _offset long, _n long")
+    cut = chunk.chunk_by_count(df, 3, ("id",))
+    assert rows(cut, "batch_id", "_part", "_count", "_offset", "_n") == [(i // 3, i, i, i, i) for i in range(7)]
+
+    def send(i, rows):
+        assert list(rows["_pipeline"]) == ["p"] * len(rows) and list(rows["_n"]) == list(rows["id"])
+        return "acked"
+
+    assert rows(delivery.deliver(cut, send, now=T0), "deliverable_id", "kind", "reason", "records") == [(0, "acked", "", 3), (1, "acked", "", 3), (2, "acked", "", 1)]

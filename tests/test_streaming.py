@@ -1,10 +1,13 @@
 """Streams against the same rows in a batch."""
 
+import os
 from datetime import datetime, timedelta
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
+from sluice.operators import state
 from sluice.streaming import delivery, gate
 from sluice.sources import queue, spool
 
@@ -59,3 +62,98 @@ def test_spool_stream_archives(spark, tmp_path):
     query.awaitTermination(60)
     assert spark.read.parquet(str(tmp_path / "out")).first().length == 1
     assert spool.spool_stream(spark, str(root), "archive", archive=str(done)).isStreaming
+
+
+QUEUE = "id long, pipeline string, deliverable_id string, _pipeline string, _part int, text string"
+
+
+def _arrive(spark, folder, ids, pipelines=("a", "b")):
+    spark.createDataFrame([(i, p, "own", "mine", 7, f"{p}{i}") for p in pipelines for i in ids], QUEUE).coalesce(1).write.mode("append").parquet(str(folder))
+
+
+def _taken(folder) -> list[str]:
+    return sorted(line for f in folder.iterdir() for line in f.read_text().split())
+
+
+def test_what_fails_is_frozen_and_sent_again(spark, tmp_path):
+    """Two pipelines with the same ids and two epochs: b is down at first, a takes parts; in the end each row is taken once."""
+    sink, log, source = tmp_path / "sink", str(tmp_path / "log"), tmp_path / "in"
+    sink.mkdir()
+    up = tmp_path / "up"
+
+    def send(deliverable: int, rows: pd.DataFrame):
+        assert set(rows.columns) >= {"_pipeline", "_part"} and rows["_pipeline"].eq("mine").all()
+        name, first = rows["pipeline"].iloc[0], int(rows["id"].min())
+        if name == "b" and not up.exists():
+            raise ConnectionError("down")
+        n = 2 if name == "a" and len(rows) == 3 else len(rows)
+        (sink / f"{name}-{first}-{len(rows)}").write_text("\n".join(rows["text"].head(n)))
+        if n < len(rows):
+            return delivery.Sent("partial_ack", accepted_cursor=int(rows["id"].iloc[n - 1]), rejected=1)
+        return "acked"
+
+    def run():
+        stream = spark.readStream.schema(QUEUE).parquet(str(source))
+        delivery.drain(delivery.deliver_stream(stream.drop("deliverable_id"), send, log, str(tmp_path / "check"), 3, pipeline=F.col("pipeline"), now=T0), 120)
+
+    for ids in (range(1, 6), range(6, 10)):
+        _arrive(spark, source, ids)
+        run()
+    waits = delivery.logged(spark, log)["deliverables"]
+    # of 5 rows a batch of 3 and one of 2, of 4 rows one of 3 and one of 1: all of b, and what a left of its threes
+    assert sorted((r.pipeline, r.id, r.attempts) for r in waits.collect()) == [("a", 0, 0), ("a", delivery.EPOCH, 0), *[("b", e * delivery.EPOCH + i, 0) for e in (0, 1) for i in (0, 1)]]
+    schema = spark.read.parquet(str(source)).drop("deliverable_id").schema
+    again = lambda n, seconds: delivery.replay_stream(spark, send, log, schema, n, now=T0 + timedelta(seconds=seconds))
+    assert again(0, 0) == 0  # nothing is due yet
+    assert again(1, 5) == 6
+    assert sorted((r.pipeline, r.id, r.attempts) for r in delivery.logged(spark, log)["deliverables"].collect()) == [("b", e * delivery.EPOCH + i, 1) for e in (0, 1) for i in (0, 1)]
+    up.touch()
+    assert again(2, 60) == 4 and again(3, 600) == 0
+    assert _taken(sink) == sorted(f"{p}{i}" for p in "ab" for i in range(1, 10))
+    ended = delivery.logged(spark, log)
+    assert ended["deliverables"].count() == ended["dead_letters"].count() == 0
+
+
+def test_an_epoch_tried_again_leaves_one_copy(spark, tmp_path):
+    log = str(tmp_path / "log")
+
+    def send(deliverable, rows):
+        raise ConnectionError("down")
+
+    def run():
+        stream = spark.readStream.schema(QUEUE).parquet(str(tmp_path / "in")).drop("deliverable_id", "pipeline")
+        delivery.drain(delivery.deliver_stream(stream, send, log, str(tmp_path / "check"), 4), 120)
+
+    _arrive(spark, tmp_path / "in", range(1, 8), ("a",))
+    run()
+    before = len(list(tmp_path.glob("log/_payloads/epoch=0/*/*.parquet")))
+    for f in tmp_path.glob("check/commits/*0*"):  # the commit was lost
+        f.unlink()
+    run()
+    payloads = spark.read.parquet(f"{log}/_payloads")
+    assert sorted(r.id for r in payloads.collect()) == list(range(1, 8)) and payloads.select("deliverable_id").distinct().count() == 2
+    assert len(list(tmp_path.glob("log/_payloads/epoch=0/*/*.parquet"))) == before and spark.read.parquet(log).count() == 2
+
+
+def test_micro_batches_leave_no_checkpoints(spark, tmp_path):
+    from sluice import shared
+
+    shared.cut(spark.range(1))
+    folder = spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:")
+    count = lambda: sum(len(d) for _, d, _ in os.walk(folder))
+    before = count()
+    _arrive(spark, tmp_path / "in", range(1, 8), ("a",))
+    stream = spark.readStream.schema(QUEUE).parquet(str(tmp_path / "in")).drop("deliverable_id", "pipeline")
+    delivery.drain(delivery.deliver_stream(stream, lambda i, rows: "acked", str(tmp_path / "log"), str(tmp_path / "check"), 4), 120)
+    assert count() == before and spark.read.parquet(str(tmp_path / "log")).count() == 2
+
+
+def test_kinds_that_are_not_known(spark):
+    """A send that answers with something else is tried again; a fold that reads such a kind fails."""
+    df = spark.createDataFrame([(0, 1), (0, 2)], "batch_id long, id long")
+    sent = delivery.deliver(df, lambda i, rows: "ok", now=T0).collect()
+    assert [(r.kind, r.reason) for r in sent] == [("retry_later", "unknown outcome kind: ok")]
+    odd = spark.createDataFrame([(0, "p", "ok", "", None, 1, 0, None, 9, T0)], delivery.OUTCOME)
+    for part in ("cursors", "deliverables", "dead_letters", "attempts"):
+        with pytest.raises(Exception, match="unknown outcome kind: ok"):
+            state.apply_outcomes(odd)[part].collect()
