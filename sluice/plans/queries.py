@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions import fields, geo, lines
-from sluice.operators import bundles, chunk, cycles, dedup, joins, predicates, state
+from sluice.operators import bundles, chunk, claims, cycles, dedup, joins, predicates, state
 from sluice.plans.inputs import DELIVERABLES, OUTCOMES, QUEUE, SPOTS, deliverables, outcomes, queue, spots, table
 from sluice.sources import queue as source
-from sluice.sources import spool
-from sluice.shared import cut, scratch
-from sluice.streaming import delivery, gate
+from sluice.sources import spool, versions
+from sluice.shared import cut, exists, scratch
+from sluice.streaming import delivery, gate, retry, ride, tally
 from sluice.types import QUEUE as QUEUE_SCHEMA
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -796,6 +796,58 @@ def cycle_gate_stream(spark, sf_dir):
     return seconds(spark.read.schema("station string, cycle timestamp, complete boolean, missing string").parquet(f"{out}/rows"), "cycle")
 
 
+_EARLY, _FAR = "k < 60", 400 * 86400
+
+
+@query(f"""WITH a AS (SELECT station, e // {HOUR} * {HOUR} AS cycle, user_id % 3 AS r, epoch_ms(ts) AS ms FROM ({QUEUE}) WHERE {_EARLY}), w AS (SELECT max(ms) AS wm FROM a),
+ c AS (SELECT station, cycle, count(DISTINCT r) = 3 AS complete FROM a GROUP BY 1, 2), d AS (SELECT *, (cycle + {HOUR}) * 1000 <= wm AND (complete OR (cycle + {HOUR} + 36000) * 1000 <= wm) AS goes FROM c, w),
+ b AS (SELECT station, min(cycle) FILTER (NOT goes) AS bad FROM d GROUP BY 1), p AS (SELECT station, max(cycle) AS passed FROM d JOIN b USING (station) WHERE bad IS NULL OR cycle < bad GROUP BY 1)
+ SELECT id, station::VARCHAR AS station, e // {HOUR} * {HOUR} AS cycle FROM ({QUEUE}) JOIN p USING (station) WHERE NOT {_EARLY} AND e // {HOUR} * {HOUR} <= passed""")
+def late_rows_stream(spark, sf_dir):
+    """Events of which some arrive after the gate has let their cycles through: what comes out as late."""
+    out, rows = scratch(spark), queue(spark, sf_dir).select("id", F.col("station").cast("string").alias("station"), F.col("ts").alias("time"), (F.col("user_id") % 3).cast("string").alias("reporter"), "k")
+    for arrives in (_EARLY, f"NOT ({_EARLY})"):
+        rows.where(arrives).write.mode("append").parquet(f"{out}/in")
+        gated = gate.gate_with_late(spark.readStream.schema(rows.schema).parquet(f"{out}/in"), ["0", "1", "2"], _FAR, 36000, seconds=HOUR)
+        delivery.drain(gated.writeStream.outputMode("append").format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/progress"))
+    return seconds(spark.read.schema("part string, station string, cycle timestamp, id long").parquet(f"{out}/rows").where("part = 'late'").select("id", "station", "cycle"), "cycle")
+
+
+@query(f"WITH q AS ({QUEUE}) SELECT s.id, (s.e // 120) * 120 AS cycle FROM q s WHERE target_table = 'view' AND (s.e // 120) IN (SELECT e // 120 FROM q WHERE target_table = 'click')")
+def ride_along_stream(spark, sf_dir):
+    """Views that fall in a cycle of clicks, both as streams that are drained."""
+    out, rows = scratch(spark), queue(spark, sf_dir).select("id", "ts", "target_table")
+    rows.write.partitionBy("target_table").parquet(f"{out}/in")
+    read = lambda kind: spark.readStream.schema(rows.drop("target_table").schema).parquet(f"{out}/in/target_table={kind}")
+    clicks = read("click").select(fields.cycle_floor(F.col("ts")).alias("cycle"))
+    met = ride.ride_along_stream(clicks, read("view"), "ts", late="400 days")
+    delivery.drain(met.select("id", "cycle").writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/progress"))
+    return seconds(spark.read.schema("id long, cycle timestamp").parquet(f"{out}/rows"), "cycle")
+
+
+@query(f"""SELECT 'p' || station AS pipeline, CASE station % 3 WHEN 0 THEN 'acked' WHEN 1 THEN 'acked' ELSE 'dead_letter' END AS kind, CASE station % 3 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 2 END AS attempt, count(*) AS n_rows FROM ({QUEUE}) GROUP BY station""")
+def deliver_retrying(spark, sf_dir):
+    """Events as a stream to ten pipelines: some take all at once, some after two failures, some never; retries are the
+    stream's own, and it is stopped and started again before they are over."""
+    out, rows = scratch(spark), queue(spark, sf_dir).select("id", F.concat(F.lit("p"), F.col("station").cast("string")).alias("pipeline"), "payload_json")
+    rows.write.parquet(f"{out}/in")
+    total, log = rows.count(), f"{out}/log"
+
+    def send(deliverable, batch):
+        of = int(batch["pipeline"].iloc[0][1:]) % 3
+        return ("retry_later", "down") if of == 2 or (of == 1 and batch.attrs["attempt"] < 2) else "acked"
+
+    def known(kinds):
+        read = spark.read.schema(retry.ATTEMPT).parquet(log) if exists(spark, f"{log}/_spark_metadata") else spark.createDataFrame([], retry.ATTEMPT)
+        return read.where(F.col("kind").isin(*kinds))
+
+    for kinds in (["acked", "retry_later"], ["acked", "dead_letter"]):
+        stream = spark.readStream.schema(rows.schema).parquet(f"{out}/in")
+        sent = retry.deliver_retrying(stream, send, 5_000_000, pipeline=F.col("pipeline"), policy=state.RetryPolicy(base=1.0, max_attempts=3))
+        retry.run_until(retry.start_retrying(sent, log, f"{out}/progress"), lambda kinds=kinds: (known(kinds).where("kind = 'acked' OR attempt IN (0, 2)").agg(F.sum("records")).first()[0] or 0) >= total)
+    return known(["acked", "dead_letter"]).groupBy("pipeline", "kind", "attempt").agg(F.sum("records").alias("n_rows"))
+
+
 # ---- delivery state ------------------------------------------------------------------------------------------------
 
 POLICY = state.RetryPolicy(max_attempts=8)
@@ -975,3 +1027,67 @@ def attempts_rollup(spark, sf_dir):
 def first_success(spark, sf_dir):
     tries = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("batch_id"), F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("server"), (F.col("l_linenumber") - 1).alias("pos"), (F.col("l_returnflag") == "R").alias("ok"))
     return state.first_success(tries)
+
+
+# ---- tables that are rewritten, leases, tallies --------------------------------------------------------------------
+
+
+@query(f"SELECT id, target_table FROM ({QUEUE}) WHERE target_table = 'view' OR (target_table = 'click' AND id > 300) OR (target_table = 'error' AND id > 10) OR target_table NOT IN ('view', 'click', 'error')")
+def compact_queue(spark, sf_dir):
+    """A queue of two appended parts, rewritten without what all destinations have; a reader of the old version still reads it."""
+    at, rows = f"{scratch(spark)}/queue", queue(spark, sf_dir).select(*QUEUE_SCHEMA.fieldNames())
+    for part in ("schema_version < 2", "schema_version >= 2"):
+        versions.append(rows.where(part), at)
+    old = versions.read_version(spark, at, QUEUE_SCHEMA)
+    cursors = spark.sql("SELECT * FROM VALUES ('click', 'a', 300L), ('click', 'b', 900L), ('error', 'a', 10L), ('view', 'a', -1L) AS t(target_table, dest_id, cursor)")
+    versions.compact_queue(spark, at, QUEUE_SCHEMA, cursors)
+    now_ = versions.read_version(spark, at, QUEUE_SCHEMA)
+    return now_.join(old.select("id"), "id", "left_semi").select("id", "target_table")
+
+
+@query(f"SELECT id, station FROM (SELECT *, row_number() OVER (PARTITION BY station ORDER BY id DESC) rn FROM ({QUEUE})) WHERE rn <= 20")
+def compact_attempts(spark, sf_dir):
+    at, rows = f"{scratch(spark)}/attempts", queue(spark, sf_dir).select("id", "station")
+    versions.append(rows, at)
+    versions.compact_attempts(spark, at, rows.schema, 20, ("station",), "id")
+    versions.vacuum(spark, at, 1)
+    return versions.read_version(spark, at, rows.schema)
+
+
+@query("SELECT l_suppkey AS source_id, l_linenumber AS dest_id, l_returnflag AS table_name, arg_max(l_orderkey, (l_shipdate, l_orderkey * 10 + l_linenumber)) AS cursor, strftime(max(l_shipdate), '%Y-%m-%d') AS last_ack FROM lineitem GROUP BY 1, 2, 3")
+def cursors_since(spark, sf_dir):
+    """The cursors of a log that grows by epochs, of which the first were folded into a snapshot."""
+    at, keys = scratch(spark), ("source_id", "dest_id", "table_name")
+    log = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("source_id"), F.col("l_linenumber").alias("dest_id"), F.col("l_returnflag").alias("table_name"), F.col("l_orderkey").alias("cursor"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("ts"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"))
+    for epoch in range(3):
+        log.where(F.col("seq") % 3 == epoch).write.parquet(f"{at}/log/epoch={epoch}")
+        if epoch < 2:
+            versions.snapshot_cursors(spark, f"{at}/log", f"{at}/snapshots", log.schema, keys, epoch)
+    return versions.cursors_since(spark, f"{at}/log", f"{at}/snapshots", log.schema, keys)
+
+
+@query(f"SELECT id, target_table AS pipeline, CASE WHEN k >= 60 THEN 'b' WHEN k >= 20 AND k < 30 THEN 'd' ELSE 'c' END AS owner FROM ({QUEUE})")
+def holders(spark, sf_dir):
+    """Runners whose claims overlap: a leased first, b what a hadn't, c what had run out by then, and d what a gave back."""
+    rows = queue(spark, sf_dir).select(F.col("target_table").alias("pipeline"), "id", "k")
+    at = lambda s: F.timestamp_seconds(F.lit(NOW_S + s))
+    log = claims.claim(rows.where("k < 60"), "a", at(0), 60)
+    for more in (claims.claim(rows.where("k > 30"), "b", at(10), 60), claims.release(rows.where("k >= 20 AND k < 30"), "a", at(20)), claims.claim(rows.where("k >= 20 AND k < 30"), "d", at(30), 60), claims.claim(rows, "c", at(60), 60)):
+        log = log.unionByName(more)
+    return claims.holders(log, at(65)).select("id", "pipeline", "owner")
+
+
+@query(f"SELECT mode, count(*) AS n_rows FROM ({SPOTS}) GROUP BY 1")
+def live_tallies(spark, sf_dir):
+    """Rows by mode as a stream observed them while it was written."""
+    out, rows = scratch(spark), spots(spark, sf_dir).select("id", "mode")
+    rows.write.parquet(f"{out}/in")
+    seen = tally.Tallies("modes")
+    spark.streams.addListener(seen)
+    try:
+        stream = tally.observed(spark.readStream.schema(rows.schema).parquet(f"{out}/in"), "modes", "mode", ["W2", "F2", "F5", "ft8", "FT4", "msk144", "js8"])
+        delivery.drain(stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/progress"))
+        counts = seen.wait(rows.count())
+    finally:
+        spark.streams.removeListener(seen)
+    return spark.createDataFrame([(m, n) for m, n in counts.items() if n], "mode string, n_rows long")

@@ -46,6 +46,23 @@ def passing() -> Iterator[None]:
         _CUTS.reset(token)
 
 
+#: State of streams on disk, without files that are allocated ahead: with many small partitions these would be most of it.
+ON_DISK = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
+
+
+@contextlib.contextmanager
+def on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams that start within keep their state on disk; afterwards the session's settings are as they were."""
+    old = {name: spark.conf.get(name, None) for name in ON_DISK}
+    for name, value in ON_DISK.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value) if value else spark.conf.unset(name)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df has not, whatever the case of letters."""
     have = {c.lower() for c in df.columns}

@@ -5,14 +5,16 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from urllib.parse import quote, unquote
 
 import pandas as pd
+from pyarrow.fs import FileSelector, FileSystem, FileType, LocalFileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from sluice.operators.chunk import chunk_by_count
-from sluice.shared import exists, filesystem
+from sluice.shared import cut, exists, filesystem
 
 #: path, modified, length and content of a file.
 FILES = "path string, modificationTime timestamp, length long, content binary"
@@ -106,24 +108,57 @@ def spool_files_of(records: DataFrame) -> DataFrame:
     return records.select("path").distinct()
 
 
+def _place(path: str) -> tuple:
+    """The file system of a path in a task, and the path as that names it."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file" or not rest:
+        return LocalFileSystem(), "/" + (rest or path).lstrip("/")
+    found, at = FileSystem.from_uri(f"{scheme}:{quote(rest)}")
+    return found, unquote(at)
+
+
+def _delete(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Deletes files; the folder of each that was there."""
+    for batch in batches:
+        gone = []
+        for path in batch["path"]:
+            files, at = _place(path)
+            if files.get_file_info(at).type == FileType.File:
+                files.delete_file(at)
+                gone.append(path.rpartition("/")[0])
+        yield pd.DataFrame({"path": pd.Series(gone, dtype=object)})
+
+
+def _prune(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Deletes folders that are empty; the folder above each that was."""
+    for batch in batches:
+        gone = []
+        for path in batch["path"]:
+            files, at = _place(path)
+            if files.get_file_info(at).type == FileType.Directory and not files.get_file_info(FileSelector(at)):
+                files.delete_dir(at)
+                gone.append(path.rpartition("/")[0])
+        yield pd.DataFrame({"path": pd.Series(gone, dtype=object)})
+
+
 def delete_acked(paths: DataFrame, root: str) -> int:
     """Deletes the files (column path) whose records the destination acknowledged, then folders that are left empty below root.
 
-    Files of records that wait or failed aren't among ``paths`` and stay. A path that is gone already counts as none.
-    The driver asks the file system for one path after the other and holds none but the folders.
+    Tasks delete their parts of the paths by the paths' own file system, and then, level by level, folders: no path goes
+    through the driver. Files of records that wait or failed aren't among ``paths`` and stay. A path that is gone
+    already counts as none, so a second run does nothing.
     """
-    spark = paths.sparkSession
-    files, top = filesystem(spark, root)
-    top, deleted, folders = files.makeQualified(top), 0, {}
-    for row in paths.select("path").distinct().toLocalIterator():
-        at = files.makeQualified(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(row.path))
-        deleted += bool(files.delete(at, False))
-        folders[at.getParent().toString()] = at.getParent()
-    for at in folders.values():
-        while at.toString().startswith(f"{top.toString().rstrip('/')}/") and files.exists(at) and not len(files.listStatus(at)):
-            files.delete(at, False)
-            at = at.getParent()
-    return deleted
+    files, top = filesystem(paths.sparkSession, root)
+    below = files.makeQualified(top).toString().rstrip("/") + "/"
+    store = below.removesuffix(files.makeQualified(top).toUri().getPath().rstrip("/") + "/")  # of paths that name none
+    named = F.when(F.col("path").rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.col("path")).otherwise(F.concat(F.lit(store), "path"))
+    gone = cut(paths.select(named.alias("path")).where("path is not null").distinct().mapInPandas(_delete, "path string"))
+    deleted = gone.count()
+    while True:
+        folders = gone.where(F.concat("path", F.lit("/")) != below).where(F.col("path").startswith(below)).distinct()
+        gone = cut(folders.mapInPandas(_prune, "path string"))
+        if gone.isEmpty():
+            return deleted
 
 
 def spool_health(spark: SparkSession, root: str) -> DataFrame:

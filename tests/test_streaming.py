@@ -7,8 +7,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.operators import state
-from sluice.streaming import delivery, gate
+from sluice.operators import cycles, joins, state
+from sluice.streaming import delivery, gate, retry, ride
 from sluice.sources import queue, spool
 
 T0 = datetime(2026, 5, 7, 0, 0)
@@ -157,3 +157,89 @@ def test_kinds_that_are_not_known(spark):
     for part in ("cursors", "deliverables", "dead_letters", "attempts"):
         with pytest.raises(Exception, match="unknown outcome kind: ok"):
             state.apply_outcomes(odd)[part].collect()
+
+
+def test_retries_inside_the_stream(spark, tmp_path):
+    """b fails twice and is then taken, c dies, a is taken in parts; the query is stopped in between and goes on from its state."""
+    sink = tmp_path / "sink"
+    sink.mkdir()
+    rows = lambda df: sorted((r.pipeline, r.deliverable_id, r.attempt, r.kind, r.records) for r in df.collect())
+
+    def send(deliverable: int, rows: pd.DataFrame):
+        name, attempt = rows["pipeline"].iloc[0], rows.attrs["attempt"]
+        if (name == "b" and attempt < 2) or name == "c":
+            raise ConnectionError("down")
+        n = 2 if name == "a" and len(rows) > 2 else len(rows)
+        with (sink / f"{name}-{deliverable}-{attempt}").open("a") as f:
+            f.write("\n".join(rows["text"].head(n)) + "\n")
+        return delivery.Sent("partial_ack", accepted_cursor=int(rows["id"].iloc[n - 1])) if n < len(rows) else "acked"
+
+    policy, log = state.RetryPolicy(base=1.0, max_attempts=3), str(tmp_path / "log")
+    known = lambda: spark.read.schema(retry.ATTEMPT).parquet(log) if os.path.isdir(f"{log}/_spark_metadata") else spark.createDataFrame([], retry.ATTEMPT)
+
+    def start():
+        stream = spark.readStream.schema(QUEUE).parquet(str(tmp_path / "in"))
+        return retry.start_retrying(retry.deliver_retrying(stream, send, 10, pipeline=F.col("pipeline"), policy=policy), log, str(tmp_path / "check"), "1 second")
+
+    _arrive(spark, tmp_path / "in", [1, 2, 3, 11, 12], ("a", "b", "c"))
+    retry.run_until(start(), lambda: known().where("kind = 'retry_later'").count() >= 4, 120)
+    before = known().count()
+    retry.run_until(start(), lambda: known().where("kind IN ('acked', 'dead_letter')").count() == 6, 120)
+    got = rows(known())
+    assert len(got) > before
+    assert [x for x in got if x[0] == "b"] == [("b", 1, 0, "retry_later", 3), ("b", 1, 1, "retry_later", 3), ("b", 1, 2, "acked", 3), ("b", 11, 0, "retry_later", 2), ("b", 11, 1, "retry_later", 2), ("b", 11, 2, "acked", 2)]
+    assert [x for x in got if x[0] == "c"] == [("c", i, t, k, n) for i, n in ((1, 3), (11, 2)) for t, k in ((0, "retry_later"), (1, "retry_later"), (2, "dead_letter"))]
+    assert [x for x in got if x[0] == "a"] == [("a", 1, 0, "partial_ack", 2), ("a", 3, 0, "acked", 1), ("a", 11, 0, "acked", 2)]
+    assert _taken(sink) == sorted(f"{p}{i}" for p in "ab" for i in (1, 2, 3, 11, 12))
+
+
+def _stage(spark, folder, rows, schema):
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(folder))
+
+
+def _drained(df, out, check):
+    query = df.writeStream.format("parquet").option("path", str(out)).option("checkpointLocation", str(check)).trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    return query
+
+
+def test_late_rows_come_out_of_the_gate(spark, tmp_path):
+    """Rows of cycles that have gone, out of order and over a restart, are those that late_rows() finds."""
+    at, schema = lambda m: T0 + timedelta(minutes=m), "id long, station string, time timestamp, reporter string"
+    early = [(i, s, at(m), r) for i, (s, m, r) in enumerate([("s", 0, "B4"), ("s", 1, "B5"), ("s", 2, "B4"), ("s", 3, "B5"), ("t", 0, "B4"), ("s", 6, "B4"), ("t", 6, "B5")])]
+    later = [(100 + i, s, at(m), r) for i, (s, m, r) in enumerate([("s", 3.5, "B4"), ("s", 0.5, "XX"), ("t", 1, "B5"), ("t", 4, "B4"), ("s", 7, "B5"), ("s", 7.5, None), ("u", 0, "B4")])]
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        _drained(gate.gate_with_late(stream, ["B4", "B5"], 86400), tmp_path / "out", tmp_path / "check")
+        return spark.read.parquet(str(tmp_path / "out"))
+
+    _stage(spark, tmp_path / "in", early, schema)
+    passed = run().where("part = 'cycle'").groupBy("station").agg(F.max("cycle").alias("cycle"))
+    assert sorted(map(tuple, passed.collect())) == [("s", at(2)), ("t", at(0))]
+    passed = spark.createDataFrame(passed.collect(), passed.schema)
+    _stage(spark, tmp_path / "in", later, schema)
+    late = run().where("part = 'late'")
+    want = cycles.late_rows(spark.createDataFrame(later, schema), passed, ("station",))
+    got = sorted((r.id, r.station, r.reporter, r.time) for r in late.collect())
+    assert got == sorted((r.id, r.station, r.reporter, r.time) for r in want.collect()) and [g[0] for g in got] == [100, 101, 102]
+
+
+def test_ride_along_of_streams_ends_without_state(spark, tmp_path):
+    """Two streams in several files, out of order within the lateness: the rows of ride_along(), and no state is left."""
+    at = lambda s: T0 + timedelta(seconds=s)
+    starts = [("a", at(0)), ("a", at(0)), ("b", at(120)), ("a", at(240)), ("a", at(600))]
+    side = [("a", at(0), 1), ("a", at(119.5), 2), ("b", at(100), 3), ("b", at(239), 4), ("a", at(359), 5), ("a", at(360), 6), (None, at(5), 7)]
+    far = at(86_400)
+    for i in range(3):
+        _stage(spark, tmp_path / "c", starts[i::3] + [("z", far)] * (i == 2), "station string, cycle timestamp")
+        _stage(spark, tmp_path / "s", side[i::3] + [("y", far, 9)] * (i == 2), "station string, time timestamp, n long")
+    read = lambda name, schema: spark.readStream.schema(schema).parquet(str(tmp_path / name))
+    for how in ("inner", "left", "right"):
+        met = ride.ride_along_stream(read("c", "station string, cycle timestamp"), read("s", "station string, time timestamp, n long"), keys=("station",), how=how)
+        query = _drained(met, tmp_path / f"out-{how}", tmp_path / f"check-{how}")
+        want = joins.ride_along(spark.createDataFrame(starts, "station string, cycle timestamp"), spark.createDataFrame(side, "station string, time timestamp, n long"), keys=("station",), how=how)
+        got = spark.read.parquet(str(tmp_path / f"out-{how}")).where("station IS NULL OR station NOT IN ('y', 'z')")
+        assert sorted(map(str, got.select("station", "cycle", "time", "n").collect())) == sorted(map(str, want.select("station", "cycle", "time", "n").collect()))
+        left = query.lastProgress["stateOperators"]
+        assert sum(o["numRowsTotal"] for o in left) <= 3  # the rows that pushed the time on, and no others
