@@ -3,9 +3,12 @@
 A similarity of 0.8 puts about 15 of 100 bits of a fingerprint apart, too many for one 64-bit value to be searched, so a
 text has ``WORDS64`` of them. Each half of each goes to the grid as in ``simhash``: two texts meet in a half whose
 segment popcounts are within a Manhattan distance of 2. Where they meet, the bits of another of their values are
-compared, then those of all; pairs that are left get the exact Jaccard similarity of their whole texts, which alone
-makes a link. Of pairs at 0.8 the halves miss about a quarter, of those at 0.9 under a hundredth; groups lose less,
-since any link to one of their members is enough. Texts with the same set of shingles are one throughout.
+compared, then those of all. Texts that are near in these bits, directly or by others between them, are a family, and
+within a family the exact Jaccard similarity of all whole texts decides, which alone makes a link. A family's sets of
+shingles are put together once; a large family is cut into blocks, and tasks get pairs of blocks.
+
+Of pairs at 0.8 the grid misses about one in fourteen, of those at 0.85 one in a hundred; groups lose less, since any
+link to one of their members is enough. Texts with the same set of shingles are one throughout.
 """
 
 from __future__ import annotations
@@ -17,24 +20,24 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import cut, documents, fresh, packs, slices
 from sluice.llm.simhash import cells, least_of, runs, stars
 
-SHINGLE, WORDS64 = 5, 7
+SHINGLE, WORDS64 = 5, 8
 #: Similarity from which two texts are near copies, as a fraction.
 SIMILAR = (4, 5)
 #: Most differing bits of one 64-bit value, and share of all bits, of a pair that is checked: at 0.8 they are 9.7 and
 #: 0.15 on average, and both limits lie over three standard deviations above.
 NEAR, NEAR_ALL = 20, 0.22
-#: A point with more members than this around one of them, within so many bits, is resolved by stars and rounds, not by
-#: all pairs; unrelated texts are hardly ever so close.
-DENSE, CLOSE = 64, 12
-#: Partners, those with the fewest differing bits, that a text is compared with first; then all that aren't in its group.
-FEW = (16, None)
-#: Candidates' digests are broadcast up to this number (16 bytes each and a number), else joined.
+#: A point with more members than this around one of them, within so many bits, gives a link of each to that one, and of
+#: any two such groups the closest members, not all pairs; unrelated texts are hardly ever so close.
+DENSE, CLOSE = 8, 12
+#: Texts, and bytes of hashed shingles, of a block of a family.
+BLOCK, BLOCK_BYTES = 512, 16 << 20
+#: Texts' digests are broadcast up to this number (16 bytes each and a number), else joined.
 BROADCAST = 500_000
 _ODD = np.random.default_rng(8).integers(0, 1 << 63, WORDS64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -105,13 +108,29 @@ def _near(words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield i[before] + at, j[before]
 
 
+def _closest(words: np.ndarray, leader: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each two leaders' groups with near members, the places of the two that are closest."""
+    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    step = max(1, (1 << 22) // len(words))
+    for at in range(0, len(words), step):
+        bits = np.bitwise_count(words[at : at + step, None] ^ words[None, :])
+        i, j = np.nonzero((bits <= NEAR) & (leader[at : at + step, None] > leader[None, :]))
+        order = np.lexsort((bits[i, j], leader[j], leader[i + at]))
+        i, j = i[order], j[order]
+        new = np.flatnonzero(np.r_[True, (leader[i[1:] + at] != leader[i[:-1] + at]) | (leader[j[1:]] != leader[j[:-1]])]) if len(i) else order
+        for x, y in zip(i[new], j[new], strict=True):
+            key, value = (int(leader[x + at]), int(leader[y])), (int(bits[x, y]), int(x + at), int(y))
+            best[key] = min(best.get(key, value), value)
+    return np.array([v[1] for v in best.values()], np.int64), np.array([v[2] for v in best.values()], np.int64)
+
+
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Near pairs (a, b, null) of the points' words, and rows (word, its leader, cell) of the members of dense points."""
+    """Near pairs (a, b) of the points' words; of dense points those that keep its near members together."""
 
-    def out(a: np.ndarray, b: np.ndarray, cell: int | None):
-        return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(np.full(len(a), cell or 0), mask=np.full(len(a), cell is None))], ["a", "b", "cell"])
+    def out(a: np.ndarray, b: np.ndarray):
+        return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
-    for at, starts, sizes, words in runs(batches, "word"):
+    for _, starts, sizes, words in runs(batches, "word"):
         words = words.view(np.uint64)
         end = np.repeat(starts + sizes, sizes)
         place, shift = np.flatnonzero((np.repeat(sizes, sizes) > 1) & (np.repeat(sizes, sizes) <= DENSE)), 1
@@ -119,46 +138,80 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bits = np.bitwise_count(words[place] ^ words[place + shift])
             near = place[(bits <= NEAR) & (bits > 0)]
             if len(near):
-                yield out(words[near], words[near + shift], None)
+                yield out(words[near], words[near + shift])
             shift += 1
         for i in np.flatnonzero(sizes > DENSE):
             own = np.unique(words[starts[i] : starts[i] + sizes[i]])
             leader = _leaders(own)
             if np.bincount(leader).max() > DENSE:
-                yield out(own, own[leader], int(at[starts[i]]))
+                others = np.flatnonzero(leader != np.arange(len(own)))
+                yield out(own[others], own[leader[others]])
+                a, b = _closest(own, leader)
+                yield out(own[a], own[b])
                 continue
             for a, b in _near(own):
-                yield out(own[a], own[b], None)
+                yield out(own[a], own[b])
+
+
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each two of the sets share."""
+    m = len(sets)
+    ids, at = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(m), [len(s) for s in sets])
+    often = np.flatnonzero(np.bincount(at, minlength=len(ids)) > 1)
+    column = np.full(len(ids), -1)
+    column[often] = np.arange(len(often))
+    place = column[at]
+    row, place = row[place >= 0], place[place >= 0]
+    order = np.argsort(place, kind="stable")
+    row, place = row[order], place[order]
+    found = np.zeros((m, m), np.float32)
+    step = max(64, (1 << 23) // max(1, m))  # columns that are held at once
+    for lo in range(0, len(often), step):
+        here = slice(*np.searchsorted(place, (lo, lo + step)))
+        held = np.zeros((m, min(step, len(often) - lo)), np.float32)
+        held[row[here], place[here] - lo] = 1
+        found += held @ held.T
+    return found.astype(np.int64)
+
+
+def similar(sets: list[np.ndarray]) -> np.ndarray:
+    """The least place that links of SIMILAR or more lead to from each of the sets."""
+    size, both = np.array([len(s) for s in sets], np.int64), overlaps(sets)
+    near = SIMILAR[1] * both >= SIMILAR[0] * (size[:, None] + size[None, :] - both)
+    np.fill_diagonal(near, True)
+    label, before = np.arange(len(sets)), None
+    while before is None or (label != before).any():
+        before = label
+        label = np.where(near, label[None, :], len(sets)).min(axis=1)
+        label = label[label]
+    return label
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of texts that are alike, from rows (family, one, two, node, own) sorted by the first three."""
+    key, nodes, sets = None, [], []
+
+    def out():
+        label = similar(sets) if len(sets) > 1 else np.zeros(len(sets), np.int64)
+        at = [i for i, x in enumerate(label) if x != i]
+        return pa.RecordBatch.from_arrays([pa.array([nodes[i] for i in at], pa.int64()), pa.array([nodes[label[i]] for i in at], pa.int64())], ["a", "b"])
+
+    for batch in batches:
+        for *group, node, own in zip(*(batch.column(c).to_pylist() for c in ("family", "one", "two", "node", "own")), strict=True):
+            if group != key:
+                yield out()
+                key, nodes, sets = group, [], []
+            nodes.append(node)
+            sets.append(np.frombuffer(own, np.uint64))
+    yield out()
 
 
-def _closest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each two components that meet in a dense point, the closest near members; from rows sorted by point."""
-    for _, starts, sizes, words, label in runs(batches, "word", "label"):
-        words = words.view(np.uint64)
-        for lo, m in zip(starts.tolist(), sizes.tolist(), strict=True):
-            w, kind = words[lo : lo + m], label[lo : lo + m]
-            best: dict[tuple[int, int], tuple[int, int, int]] = {}
-            step = max(1, (1 << 22) // m)
-            for at in range(0, m, step):
-                bits = np.bitwise_count(w[at : at + step, None] ^ w[None, :])
-                i, j = np.nonzero((bits <= NEAR) & (kind[at : at + step, None] > kind[None, :]))
-                order = np.lexsort((bits[i, j], kind[j], kind[i + at]))
-                i, j = i[order], j[order]
-                new = np.flatnonzero(np.r_[True, (kind[i[1:] + at] != kind[i[:-1] + at]) | (kind[j[1:]] != kind[j[:-1]])]) if len(i) else order
-                for x, y in zip(i[new], j[new], strict=True):
-                    key, value = (int(kind[x + at]), int(kind[y])), (int(bits[x, y]), int(x + at), int(y))
-                    best[key] = min(best.get(key, value), value)
-            if best:
-                a, b = (np.array([v[k] for v in best.values()]) for k in (1, 2))
-                yield pa.RecordBatch.from_arrays([pa.array(w[a].view(np.int64)), pa.array(w[b].view(np.int64))], ["a", "b"])
-
-
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _owned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as their sets of shingles."""
     for batch in batches:
-        for part in slices([batch], 4 << 20, "one"):
-            known: dict[str, np.ndarray] = {}
-            one, two = ([known[t] if t in known else known.setdefault(t, shingles(t)) for t in part.column(c).to_pylist()] for c in ("one", "two"))
-            yield part.select(["a", "b"]).filter(pa.array([alike(x, y) for x, y in zip(one, two, strict=True)], pa.bool_()))
+        for part in slices([batch], 4 << 20):
+            yield pa.RecordBatch.from_arrays([part.column("family"), part.column("node"), pa.array([shingles(t).tobytes() for t in part.column("text").to_pylist()], pa.binary())], ["family", "node", "own"])
 
 
 def _digest(text: Column) -> Column:
@@ -171,18 +224,21 @@ def apart(one: str, two: str) -> Column:
     return reduce(Column.__add__, [F.bit_count(F.col(one)[j].bitwiseXOR(F.col(two)[j])) for j in range(WORDS64)])
 
 
-def checked(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose whole texts are alike.
+def checked(families: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) between nodes of one family (node, family) whose whole texts are alike.
 
-    Texts come to pairs, so that no node's pairs meet in one task; only candidates' texts are moved.
+    Each text goes to its family once. A family beyond a block's texts or bytes is dealt to blocks, and every two of its
+    blocks are one group: the rows of a family of n texts grow as n * n / BLOCK, and no pair of texts is ever a row.
     """
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    needed = cut(nodes.join(sets, "node").select("node", F.col("first.digest").alias("digest")))
+    needed = cut(families.join(sets, "node").select("node", "family", F.col("first.digest").alias("digest")))
     wanted = F.broadcast(needed) if needed.count() <= BROADCAST else needed
-    texts = docs.join(wanted, "digest").groupBy("node").agg(F.min("text").alias("text"))
-    sides = pairs.select("a", "b", F.col("a").alias("node")).unionByName(pairs.select("a", "b", F.col("b").alias("node")))
-    of = lambda x: F.max(F.when(F.col("node") == F.col(x), F.col("text")))
-    return sides.join(texts, "node").groupBy("a", "b").agg(of("a").alias("one"), of("b").alias("two")).mapInArrow(_alike, "a long, b long")
+    texts = docs.join(wanted, "digest").groupBy("family", "node").agg(F.min("text").alias("text"))
+    owned = cut(texts.mapInArrow(_owned, "family long, node long, own binary"))
+    sizes = owned.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.octet_length("own")) / BLOCK_BYTES)).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    pair = F.when(F.col("blocks") == 1, F.array(F.struct(F.lit(0).alias("one"), F.lit(0).alias("two")))).otherwise(F.expr("transform(filter(sequence(0, blocks - 1), x -> x <> block), x -> struct(least(x, block) AS one, greatest(x, block) AS two))"))
+    dealt = owned.join(sizes, "family").withColumn("block", block).withColumn("pair", F.explode(pair)).select("family", "pair.one", "pair.two", "node", "own")
+    return dealt.repartition("family", "one", "two").sortWithinPartitions("family", "one", "two").mapInArrow(_linked, "a long, b long")
 
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -204,50 +260,21 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     near = apart("fp", "fp_b")
     most_bits = int(NEAR_ALL * 64 * WORDS64)
     shared = rep.where("rep < last").select("word", F.col("rep").alias("b"), "fp_b")
-    equal = named.join(shared, "word").where((F.col("node") != F.col("b")) & (near <= most_bits)).select(F.col("node").alias("a"), "b", near.alias("bits"))
+    equal = named.join(shared, "word").where((F.col("node") != F.col("b")) & (near <= most_bits)).select(F.col("node").alias("a"), "b")
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     grid = full.select("fp").mapInArrow(_spread, "cell long, word long").repartition(n, "cell").sortWithinPartitions("cell")
-    met = cut(grid.mapInArrow(_meet, "a long, b long, cell long").distinct())
-
-    def nodes(pairs: DataFrame) -> DataFrame:
-        """Of pairs of values those of their nodes whose fingerprints are near in all bits, with the number that differ."""
-        one, two = rep.select(F.col("word").alias("a"), F.col("rep").alias("x"), F.col("fp_b").alias("fp")), rep.select(F.col("word").alias("b"), F.col("rep").alias("y"), "fp_b")
-        found = pairs.join(one, "a").join(two, "b").where((F.col("x") != F.col("y")) & (near <= most_bits))
-        return found.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"), near.alias("bits")).distinct()
-
-    dense = cut(met.where("cell is not null").select("cell", F.col("a").alias("word"), F.col("b").alias("leader")).join(rep.select("word", "rep"), "word"))
-    # Of a dense point's members around one leader the least node stands for all; of a node's least ones, the least.
-    least = dense.groupBy("cell", "leader").agg(F.min("rep").alias("least"))
-    likely = dense.join(least, ["cell", "leader"]).groupBy(F.col("rep").alias("a")).agg(F.min("least").alias("b")).where("a <> b")
-    pairs = cut(nodes(met.where("cell is null").select("a", "b")).unionByName(equal).distinct())
-    rank = F.row_number().over(Window.partitionBy("a").orderBy("bits", "b"))
-    of = lambda x: labels.select(F.col("a").alias(x), F.col("b").alias(f"root_{x}"))
-    tried = labels = None
-    for most in FEW:
-        left = pairs
-        if labels is not None:  # all other pairs are tried as well, but for those that are in one component by now
-            left = pairs.join(tried, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left")
-            left = left.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-        left = (left if most is None else left.withColumn("rank", rank).where(F.col("rank") <= most)).select("a", "b")
-        left = cut(left.unionByName(likely).distinct() if labels is None else left)
-        if labels is not None and left.isEmpty():
-            break
-        tried = left if tried is None else tried.unionByName(left)
-        found = checked(left, sets, docs)
-        labels = stars(found if labels is None else labels.unionByName(found))
-    if not dense.isEmpty():
-        labelled = dense.join(labels, F.col("rep") == labels["a"], "left").select("cell", "word", F.coalesce(labels["b"], "rep").alias("label"))
-        open_ = labelled.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("cell")
-        left = cut(labelled.join(open_, "cell").repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(_closest, "a long, b long"))
-        again = cut(nodes(left).select("a", "b").join(tried, ["a", "b"], "left_anti"))
-        if not again.isEmpty():
-            labels = stars(labels.unionByName(checked(again, sets, docs)))
+    met = cut(grid.mapInArrow(_meet, "a long, b long").distinct())
+    one, two = rep.select(F.col("word").alias("a"), F.col("rep").alias("x"), F.col("fp_b").alias("fp")), rep.select(F.col("word").alias("b"), F.col("rep").alias("y"), "fp_b")
+    nodes = met.join(one, "a").join(two, "b").where((F.col("x") != F.col("y")) & (near <= most_bits)).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    families = stars(nodes.unionByName(equal))
+    families = families.select(F.col("a").alias("node"), F.col("b").alias("family")).unionByName(families.select(F.col("b").alias("node"), F.col("b").alias("family")).distinct())
+    labels = stars(checked(families, sets, docs))
     rooted = sets.join(labels, F.col("node") == F.col("a"), "left").select("first", F.coalesce("b", "node").alias("root"))
-    id_, digest, n_rows = (fresh(df, c) for c in ("id", "digest", "n"))
+    id_, digest, n_rows, own = (fresh(df, c) for c in ("id", "digest", "n", "own_digest"))
     first = cut(least_of(cut(rooted), "root", "first").select(F.col("first.id").alias(id_), F.col("first.digest").alias(digest), F.col("first.n").alias(n_rows)))
-    keyed = df.withColumn(f"own_{digest}", _digest(F.col(text_col).cast("string")))
-    here = F.col(id_col).cast("long").eqNullSafe(F.col(id_)) & (F.col(f"own_{digest}") == F.col(digest))
+    keyed = df.withColumn(own, _digest(F.col(text_col).cast("string")))
+    here = F.col(id_col).cast("long").eqNullSafe(F.col(id_)) & (F.col(own) == F.col(digest))
     kept = keyed.join(first.where(F.col(n_rows) == 1), here, "left_semi")
     if not (repeated := first.where(F.col(n_rows) > 1)).isEmpty():
-        kept = kept.unionByName(keyed.join(repeated, here, "left_semi").dropDuplicates([id_col, f"own_{digest}"]))
-    return kept.drop(f"own_{digest}")
+        kept = kept.unionByName(keyed.join(repeated, here, "left_semi").dropDuplicates([id_col, own]))
+    return kept.drop(own)
