@@ -54,19 +54,22 @@ def sample(df: DataFrame, class_col: str, text_col: str, rows: int, size: int) -
     """class_col and text_col of a bounded sample of distinct texts in which all classes have the same part.
 
     Of each class those with the least text hashes are taken, as many as rows / classes and size / classes (bytes)
-    allow, to within a 100th; null classes and texts are left out, as are texts of over a 64th of those bytes, and
-    copies of a text in a class count as one. The result has at most ``rows`` rows (with more classes than that, one
-    each of the first by hash) and ``size`` bytes. Candidates are drawn by hash at a rate that follows from the count of
-    their class, and the hash up to which they are taken from sums by steps of the hash, so no task has a class whole.
+    allow, to within a 100th; null classes and texts are left out, and copies of a text in a class count as one, however
+    many there are. A text of over a 64th of its class's bytes counts as pieces of at most that size. The result has at
+    most ``rows`` rows (with more classes than that, one each of the first by hash) and ``size`` bytes; with fewer in
+    all nothing is left out. Candidates are drawn by hash at a rate that follows from the number of their class's
+    distinct texts, and the hash up to which they are taken from sums by steps of the hash, so no task has a class whole.
     """
     own = df.select(F.col(class_col).cast("string").alias("class"), F.col(text_col).cast("string").alias("text")).where("class is not null and text is not null")
-    counts = cut(own.groupBy("class").agg(F.count("*").alias("n")))
-    classes = max(1, counts.count())
+    classes = max(1, own.select("class").distinct().count())
     part, part_size, scale = max(1, rows // classes), size // classes, 1 << 40
+    piece = max(1, part_size // 256)  # characters, of up to 4 bytes
+    pieces = F.when(F.octet_length("text") <= part_size // 64, F.array("text")).otherwise(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{piece}}}"), F.lit(0)))
+    hashed = own.withColumn("text", F.explode(pieces)).withColumn("h", F.xxhash64("text"))
+    counts = cut(hashed.groupBy("class").agg(F.approx_count_distinct("h").alias("n")))
     small = (lambda x: F.broadcast(x)) if classes <= MOST_CLASSES else (lambda x: x)
-    rate = F.least(F.lit(1.0), F.lit(2 * part + 100) / F.col("n")) * scale
-    hashed = own.where(F.octet_length("text") <= part_size // 64).withColumn("h", F.xxhash64("text")).join(small(counts), "class")
-    drawn = hashed.withColumn("step", F.floor(F.pmod("h", F.lit(scale)) / rate * STEPS).cast("int")).where(F.col("step") < STEPS)
+    rate = F.least(F.lit(1.0), F.lit(2 * part + 100) / F.greatest("n", F.lit(1))) * scale
+    drawn = hashed.join(small(counts), "class").withColumn("step", F.floor(F.pmod("h", F.lit(scale)) / rate * STEPS).cast("int")).where(F.col("step") < STEPS)
     distinct = cut(drawn.groupBy("class", "h", "step").agg(F.min("text").alias("text")))  # in each task before the shuffle as well
     sums = distinct.groupBy("class", "step").agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes"))
     upto = Window.partitionBy("class").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)

@@ -55,6 +55,27 @@ def test_queries_agree_with_sql(spark, sf_dir):
         oracle.compare(queries.queries()[name](spark, sf_dir), con, sql)
 
 
+# ---- samples -------------------------------------------------------------------------------------------------------
+
+
+def test_samples_of_repeated_texts_and_long_ones(spark):
+    """400,000 copies of a few texts leave all of them, and a class of long texts is learnt from in pieces."""
+    few = spark.range(400_000).select(F.lit("few").alias("c"), F.concat(F.lit("text "), (F.col("id") % 3).cast("string")).alias("t"))
+    long = spark.range(30).select(F.lit("long").alias("c"), F.repeat(F.concat(F.lit("wörter "), F.col("id").cast("string"), F.lit(" ")), 30_000).alias("t"))
+    rest = spark.range(50_000).select(F.lit("many").alias("c"), F.col("id").cast("string").alias("t"))
+    got = sample(few.unionByName(long).unionByName(rest).unionByName(spark.createDataFrame([(None, "x"), ("few", None), ("few", "")], "c string, t string")), "c", "t", 3_000, 3 << 20)
+    found = {r.c: (r.n, r.size) for r in got.groupBy("c").agg(F.count("*").alias("n"), F.sum(F.octet_length("t")).alias("size")).collect()}
+    assert found["few"][0] == 4 and 700 <= found["many"][0] <= 1000
+    assert 0.5 * (1 << 20) <= found["long"][1] <= 1 << 20 and got.where("c = 'long'").agg(F.max(F.octet_length("t"))).first()[0] <= (1 << 20) // 64
+
+
+def test_a_language_of_long_texts_is_known(spark):
+    rows = [(f"uno dos tres {i} ", "es") for i in range(300)] + [("eins zwei drei vier " * 40_000, "de")] * 3
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"), size=1 << 20)
+    got = langid.predict(spark.createDataFrame([(1, "drei vier"), (2, "dos tres")], "doc_id long, text string"), model)
+    assert {r.doc_id: r.lang_pred for r in got.collect()} == {1: "de", 2: "es"}
+
+
 # ---- 1 -------------------------------------------------------------------------------------------------------------
 
 
