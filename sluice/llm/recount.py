@@ -78,9 +78,13 @@ class Tree:
         return [self.leaf(i) for i in range(len(self._leaves))]
 
     def row(self) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
-        """The text and its row after edits; leaves that no edit has touched are taken over as they are."""
-        text, lengths, sizes = [], [], []
+        """The text and its row after edits; leaves that no edit has touched are taken over as they are, empty
+        ones are left out."""
+        text, lengths, sizes, tokens = [], [], [], []
         for i, own in enumerate(self._leaves):
+            if not (own is None or own):
+                continue  # all that was in it has gone
+            tokens.append(self.tokens[self.size + i])
             if own is None:
                 text.append(self._text[self._at[i] : self._at[i + 1]])
                 lengths.append(self._lengths[self._first[i] : self._first[i + 1]])
@@ -88,7 +92,9 @@ class Tree:
                 text += own
                 lengths.append(np.fromiter(map(len, own), dtype=np.int64, count=len(own)))
             sizes.append(len(lengths[-1]))
-        return "".join(text), np.concatenate(lengths), np.array(sizes), np.array(self.tokens[self.size : self.size + len(self._leaves)])
+        if not sizes:
+            return "", np.zeros(0, dtype=np.int64), np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        return "".join(text), np.concatenate(lengths), np.array(sizes), np.array(tokens)
 
     def _sum(self, leaf: int) -> None:
         own = self._leaves[leaf]
@@ -124,16 +130,16 @@ class Tree:
         start = min(max(start, 0), self.chars[1])
         end = min(max(end, start), self.chars[1])
         first, begin = self.find(max(start - AHEAD, 0))
-        last, _ = self.find(end)
-        old = [t for i in range(first, last + 1) for t in self.leaf(i)]
+        touched, old, to = [first], list(self.leaf(first)), begin + self.chars[self.size + first]
+        while to <= end and to < self.chars[1]:
+            to = self._take(to, touched, old)
         ends = [begin + e for e in accumulate(map(len, old))]
         skip = next((i for i, e in enumerate(ends) if e > start - AHEAD), len(old))
         from_ = ends[skip - 1] if skip else begin
         while True:
-            to = ends[-1] if ends else begin
             tail = "".join(old)
             region = tail[from_ - begin : start - begin] + text + tail[end - begin :]
-            whole = last + 1 >= len(self._leaves)
+            whole = to >= self.chars[1]
             found = self.own.pretokens(region)
             shift, behind, at = len(text) - (end - start), {e for e in ends if e >= end}, from_
             keep = None
@@ -146,29 +152,35 @@ class Tree:
                     break
             if keep is not None or whole:
                 break
-            last += 1
-            old += self.leaf(last)
+            to = self._take(to, touched, old)
             ends = [begin + e for e in accumulate(map(len, old))]
         fresh = found if keep is None else found[: keep + 1]
         rest = [] if keep is None else old[ends.index(at - shift) + 1 :]
         self.encoded += len(fresh)
-        self._replace(first, last, old[:skip] + fresh + rest)
-
-    def _replace(self, first: int, last: int, pretokens: list[str]) -> None:
-        many = last + 1 - first
-        each = -(-len(pretokens) // many) or 1
-        for i in range(many):
-            self._leaves[first + i] = pretokens[i * each : (i + 1) * each]
+        self._replace(touched, old[:skip] + fresh + rest)
+
+    def _take(self, at: int, touched: list[int], old: list[str]) -> int:
+        """Adds the leaf with the character ``at`` and its pre-tokens; where it ends. Leaves without any are passed over."""
+        leaf, _ = self.find(at)
+        touched.append(leaf)
+        old += self.leaf(leaf)
+        return at + self.chars[self.size + leaf]
+
+    def _replace(self, touched: list[int], pretokens: list[str]) -> None:
+        each = -(-len(pretokens) // len(touched)) or 1
+        for i, leaf in enumerate(touched):
+            self._leaves[leaf] = pretokens[i * each : (i + 1) * each]
         if each > 4 * LEAF:
             self._build([t for leaf in self.leaves for t in leaf])
             return
-        for i in range(first, last + 1):
-            self._sum(i)
-        lo, hi = (first + self.size) >> 1, (last + self.size) >> 1
-        while lo:
-            for node in range(lo, hi + 1):
+        nodes = set()
+        for leaf in touched:
+            self._sum(leaf)
+            nodes.add((leaf + self.size) >> 1)
+        while nodes and 0 not in nodes:
+            for node in nodes:
                 self._add(node)
-            lo, hi = lo >> 1, hi >> 1
+            nodes = {node >> 1 for node in nodes}
 
 
 #: What personal() replaces: addresses of mail and network, long numbers and keys.

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -55,6 +56,31 @@ def test_queries_agree_with_sql(spark, sf_dir):
         oracle.compare(queries.queries()[name](spark, sf_dir), con, sql)
 
 
+def test_many_edits_of_a_long_text(own):
+    """100,000 equal lines are dropped in seconds; what is left, and trees of random edits that empty whole leaves, count
+    as when they are encoded whole."""
+    text = "head\n" + "the same line, again 12\n" * 100_000 + "tail 7\n"
+    begin, tree = time.monotonic(), recount.Tree.of(text, own)
+    for e in recount.repeated_lines(text):
+        tree.edit(*e)
+    left = "head\nthe same line, again 12\ntail 7\n"
+    assert time.monotonic() - begin < 60 and tree.text() == left and len(tree) == len(recount.Tree.of(left, own)) and tree.chars[1] == len(left)
+    again = recount.Tree(own, *tree.row())
+    again.edit(0, 5, "")
+    assert again.text() == left[5:]
+    rng = random.Random(5)
+    text = " ".join(rng.choice(["a", "word", "it's", "12", "\n\n", "é漢"]) for _ in range(4000))
+    tree = recount.Tree.of(text, own)
+    for _ in range(300):
+        start = rng.randrange(len(text) + 1)
+        end, new = min(len(text), start + rng.choice([0, 3, 400])), rng.choice(["", "", " x", "y 1 " * 40])
+        text = text[:start] + new + text[end:]
+        tree.edit(start, end, new)
+        if rng.random() < 0.1:
+            tree = recount.Tree(own, *tree.row())
+    assert tree.text() == text and len(tree) == len(recount.Tree.of(text, own))
+
+
 # ---- samples -------------------------------------------------------------------------------------------------------
 
 
