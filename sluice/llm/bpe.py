@@ -137,12 +137,14 @@ def encode(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
 
 
 def decode(df: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """doc_id and the bytes that the ids stand for; null ids decode to no bytes."""
+    """doc_id and the bytes that the ids stand for; null ids decode to no bytes. An id that the vocabulary has not, and a
+    null among ids, stands for the replacement character."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(_installed(vocabulary))
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([own.decode(x or []) for x in batch.column("ids").to_pylist()], pa.binary())], ["doc_id", "bytes"])
+            found = [b"".join(own.table[i] if i is not None and 0 <= i < len(own.table) else b"\xef\xbf\xbd" for i in x or []) for x in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "bytes"])
 
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).alias("ids")).mapInArrow(run, "doc_id long, bytes binary")
 

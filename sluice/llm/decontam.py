@@ -13,7 +13,8 @@ from __future__ import annotations
 
 import hashlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -198,9 +199,15 @@ def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, limit: int)
         yield own
 
 
-def _shared(docs: DataFrame, benchmark: DataFrame, item_col: str, text_col: str, block: int, window: int) -> list:
-    """A broadcast for each block of items, whose windows are laid out once; the driver keeps no block."""
-    return [docs.sparkSession.sparkContext.broadcast(Phrases(items, window)) for items in item_blocks(benchmark, item_col, text_col, block)]
+def _each_block(df: DataFrame, blocks: Iterator[list], window: int, run_with: Callable, schema: str) -> DataFrame:
+    """df by each block of items, one after the other: a block's broadcast goes before the next is made."""
+    found = None
+    for items in blocks:
+        shared = df.sparkSession.sparkContext.broadcast(Phrases(items, window))
+        part = cut(df.mapInArrow(run_with(shared), schema))
+        shared.destroy()
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
 def _ids(index: Index) -> pa.Array:
@@ -235,11 +242,11 @@ def matches_in(index: DataFrame, benchmark: DataFrame, slop: int = 0, window: in
 
         return run
 
-    found = None
-    for shared in _shared(index, benchmark, item_id_col, item_text_col, block, window):
-        part = index.mapInArrow(run_with(shared), "doc_id long, item_id string, position long, length int")
-        found = part if found is None else found.unionByName(part)
-    return found
+    schema, blocks = "doc_id long, item_id string, position long, length int", item_blocks(benchmark, item_id_col, item_text_col, block)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return index.mapInArrow(run_with(index.sparkSession.sparkContext.broadcast(Phrases(first, window))), schema)
+    return _each_block(index, chain((first, second), blocks), window, run_with, schema)
 
 
 def judge(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", block: int = ITEM_BLOCK) -> DataFrame:
@@ -254,15 +261,13 @@ def judge(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: s
 
 def judge_in(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, item_id_col: str = "item_id", item_text_col: str = "text", block: int = ITEM_BLOCK) -> DataFrame:
     """What judge() returns, from an index that build() made and that was kept."""
-    blocks = _shared(index, benchmark, item_id_col, item_text_col, block, window)
-    if len(blocks) == 1:
-        return index.mapInArrow(_judge(blocks[0], window, False), _JUDGED)
+    blocks = item_blocks(benchmark, item_id_col, item_text_col, block)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return index.mapInArrow(_judge(index.sparkSession.sparkContext.broadcast(Phrases(first, window)), window, False), _JUDGED)
     # Each block marks its own hits; a document's marks of all blocks meet by its place in the index.
     own = cut(index.withColumn("row", F.monotonically_increasing_id()))
-    marks = None
-    for shared in blocks:
-        part = own.mapInArrow(_judge(shared, window, True), "row long, place int, doc_id long, n_words long, hits array<int>, items array<string>")
-        marks = part if marks is None else marks.unionByName(part)
+    marks = _each_block(own, chain((first, second), blocks), window, lambda shared: _judge(shared, window, True), "row long, place int, doc_id long, n_words long, hits array<int>, items array<string>")
     met = marks.groupBy("row", "place").agg(F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.size(F.array_distinct(F.flatten(F.collect_list("hits")))).cast("long").alias("n_hit"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     return met.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
@@ -299,9 +304,19 @@ def _judge(shared, window: int, marks: bool):
 
 
 def keep(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", block: int = ITEM_BLOCK) -> DataFrame:
-    """The rows of docs in which no window of any item occurs; each block of rows is indexed in its task and dropped."""
-    for shared in _shared(docs, benchmark, item_id_col, item_text_col, block, window):
+    """The rows of docs in which no window of any item occurs; each block of rows is indexed in its task and dropped.
+
+    Null texts have no words and stay, rows that repeat stay or go alike, and an empty benchmark keeps all. With more
+    than one block of items, what a block leaves is kept in the shared folder before the next.
+    """
+    blocks = item_blocks(benchmark, item_id_col, item_text_col, block)
+    first, second = next(blocks), next(blocks, None)
+    for items in chain((first,) if second is None else (first, second), blocks):
+        shared = docs.sparkSession.sparkContext.broadcast(Phrases(items, window))
         docs = keep_where(docs, _clean(shared, window), text_col, DOC_BLOCK)
+        if second is not None:
+            docs = cut(docs)
+            shared.destroy()
     return docs
 
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import cut
+from sluice.llm.common import cut, fresh
 
 #: Keys that an open interval offers as candidates in a round, about.
 PROBES = 48
@@ -153,8 +153,13 @@ def _placed(keyed: DataFrame, shards: int, tolerance: float) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", "shard", slot.cast("long").alias("slot"), "u")
 
 
-def write(df: DataFrame, path: str, shards: int = 40, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """The rows of df as files by shard, each row once: rows meet their place by a number, so ids can be null or repeat."""
-    rows = cut(df.withColumn("_row", F.monotonically_increasing_id()))
-    placed = _placed(keys(rows, id_col, text_col, "_row"), shards, TOLERANCE).select(F.col("u").alias("_row"), "shard", "slot")
-    rows.join(placed, "_row").drop("_row").repartition(shards, "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+def write(df: DataFrame, path: str, shards: int = 40, id_col: str = "doc_id", text_col: str = "text", file_rows: int = 1_000_000) -> None:
+    """The rows of df as files by shard, each row once: rows meet their place by a number, so ids can be null or repeat.
+
+    A shard's files are of ``file_rows`` slots each, in order, so the exchange has as many parts as the rows need and not
+    as many as there are shards.
+    """
+    own, part = fresh(df, "_row"), fresh(df, "_file")
+    rows = cut(df.withColumn(own, F.monotonically_increasing_id()))
+    placed = _placed(keys(rows, id_col, text_col, own), shards, TOLERANCE).select(F.col("u").alias(own), "shard", "slot", F.floor(F.col("slot") / file_rows).alias(part))
+    rows.join(placed, own).drop(own).repartition("shard", part).sortWithinPartitions("shard", "slot").drop(part).write.option("maxRecordsPerFile", file_rows).partitionBy("shard").parquet(path)

@@ -81,6 +81,34 @@ def test_many_edits_of_a_long_text(own):
     assert tree.text() == text and len(tree) == len(recount.Tree.of(text, own))
 
 
+def test_digests_are_those_of_tiktoken(spark, odd, own):
+    """Both digests of whole texts against the library's ids and their bytes."""
+    library = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(VOCABULARY), special_tokens={})
+    want = []
+    for r in odd.collect():
+        ids = library.encode_ordinary(r.text or "")
+        want.append((r.doc_id, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((r.text or "").encode()).hexdigest()))
+    got = [(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.digests(odd, VOCABULARY).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_ids_that_are_not_in_the_vocabulary(spark, own):
+    df = spark.createDataFrame([(1, [-1, None, 0, len(own.table)]), (2, None), (None, [])], "doc_id long, ids array<int>")
+    got = {r.doc_id: bytes(r.bytes) for r in bpe.decode(df, VOCABULARY).collect()}
+    bad = "\ufffd".encode()
+    assert got == {1: bad + bad + own.table[0] + bad, 2: b"", None: b""}
+
+
+def test_shards_are_written_in_bounded_files(spark, tmp_path):
+    df = spark.range(500).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), (F.col("id") % 50).cast("int")).alias("text"), F.lit(1).alias("_row"), F.lit(2).alias("_file"))
+    sharding.write(df, str(tmp_path / "out"), 3, file_rows=40)
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.count() == 500 and set(got.columns) == {"doc_id", "text", "_row", "_file", "slot", "shard"}
+    for shard in range(3):
+        assert sorted(r.slot for r in got.where(F.col("shard") == shard).collect()) == list(range(got.where(F.col("shard") == shard).count()))
+    assert len(list(tmp_path.glob("out/shard=0/*.parquet"))) > 1
+
+
 # ---- samples -------------------------------------------------------------------------------------------------------
 
 
