@@ -73,8 +73,8 @@ OUTCOMES = f"""SELECT id AS deliverable_id, target_table AS pipeline, (['acked',
 
 
 def deliverables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events whose number is divisible by 3 as waiting deliverables with k % 14 attempts."""
-    return queue(spark, sf_dir).where("id % 3 = 0").select("id", F.col("target_table").alias("pipeline"), F.col("ts").alias("enqueued_at"), (F.col("k") % 14).cast("int").alias("attempts"), F.timestamp_seconds(F.unix_timestamp("ts") + (F.col("k") % 14) * 60).alias("next_attempt_at"), F.col("id").alias("cursor_after"))
+    """events with a k under 40 as waiting deliverables with k % 14 attempts."""
+    return queue(spark, sf_dir).where("k < 40").select("id", F.col("target_table").alias("pipeline"), F.col("ts").alias("enqueued_at"), (F.col("k") % 14).cast("int").alias("attempts"), F.timestamp_seconds(F.unix_timestamp("ts") + (F.col("k") % 14) * 60).alias("next_attempt_at"), F.col("id").alias("cursor_after"))
 
 
-DELIVERABLES = f"SELECT id, target_table AS pipeline, e AS enqueued_at, k % 14 AS attempts, e + (k % 14) * 60 AS next_attempt_at, id AS cursor_after FROM ({QUEUE}) WHERE id % 3 = 0"
+DELIVERABLES = f"SELECT id, target_table AS pipeline, e AS enqueued_at, k % 14 AS attempts, e + (k % 14) * 60 AS next_attempt_at, id AS cursor_after FROM ({QUEUE}) WHERE k < 40"

@@ -134,10 +134,10 @@ def payload_where(spark, sf_dir):
     return predicates.payload_where(ready(spark, sf_dir), [("k", ">=", 10), ("k", "<", 60), ("k", "!=", 33), ("k", "NOT IN", [11, 12])]).select("id", "k")
 
 
-@query(f"SELECT id FROM ({QUEUE}) WHERE ts <= (SELECT max(ts) FROM ({QUEUE}) WHERE id % 1000 = 1 AND user_id < 50)")
+@query(f"SELECT id FROM ({QUEUE}) WHERE ts <= (SELECT max(ts) FROM ({QUEUE}) WHERE k = 7 AND user_id < 50)")
 def ceiling(spark, sf_dir):
     rows = queue(spark, sf_dir)
-    return predicates.ceiling(rows, "ts", rows.where("id % 1000 = 1 AND user_id < 50").agg(F.max("ts").alias("ts"))).select("id")
+    return predicates.ceiling(rows, "ts", rows.where("k = 7 AND user_id < 50").agg(F.max("ts").alias("ts"))).select("id")
 
 
 @query(f"SELECT id, CAST(k AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS absent FROM ({QUEUE})")
@@ -235,10 +235,10 @@ def missing_reporters(spark, sf_dir):
     return seconds(joins.missing_reporters(_hours(spark, sf_dir), ["0", "1", " 2", "3", "4"]), "cycle")
 
 
-@query(f"SELECT id, target_table AS pipeline FROM ({QUEUE}) WHERE target_table NOT IN (SELECT pipeline FROM ({DELIVERABLES}) WHERE id < 10)")
+@query(f"SELECT id, target_table AS pipeline FROM ({QUEUE}) WHERE target_table NOT IN (SELECT pipeline FROM ({DELIVERABLES}) WHERE pipeline IN ('click', 'error'))")
 def drain_gate(spark, sf_dir):
     owed_ = queue(spark, sf_dir).select("id", F.col("target_table").alias("pipeline"))
-    return joins.drain_gate(owed_, deliverables(spark, sf_dir).where("id < 10")).select("id", "pipeline")
+    return joins.drain_gate(owed_, deliverables(spark, sf_dir).where("pipeline IN ('click', 'error')")).select("id", "pipeline")
 
 
 @query(f"SELECT id, CASE target_table WHEN 'click' THEN 1 WHEN 'view' THEN 2 ELSE 9999 END AS code FROM ({QUEUE})")
@@ -929,12 +929,12 @@ def attempts_log(spark, sf_dir):
     return seconds(state.apply_outcomes(outcomes(spark, sf_dir), POLICY)["attempts"], "ts")
 
 
-_REPLAYS = f"""WITH d AS ({DELIVERABLES}), o AS (SELECT deliverable_id AS id, kind, reason, n_bytes, e AS ts FROM ({OUTCOMES}) WHERE deliverable_id % 4 <> 0),
+_REPLAYS = f"""WITH d AS ({DELIVERABLES}), o AS (SELECT deliverable_id AS id, kind, reason, n_bytes, e AS ts FROM ({OUTCOMES}) WHERE k < 20 OR k >= 50),
  f AS (SELECT *, CASE WHEN kind IS NULL THEN 'waits' WHEN kind = 'retry_later' AND attempts + 1 >= 8 THEN 'dead_letter' WHEN kind IN ('retry_later', 'permanent') THEN kind ELSE 'acked' END AS fate FROM d LEFT JOIN o USING (id))"""
 
 
 def _replays(spark, sf_dir, once: bool = False):
-    return state.apply_replays(outcomes(spark, sf_dir).where("deliverable_id % 4 <> 0"), deliverables(spark, sf_dir), POLICY, once)
+    return state.apply_replays(outcomes(spark, sf_dir).where("k < 20 OR k >= 50"), deliverables(spark, sf_dir), POLICY, once)
 
 
 @query(f"{_REPLAYS} SELECT id AS seq, pipeline, cursor_after AS cursor FROM f WHERE fate = 'acked'")
