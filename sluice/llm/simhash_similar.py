@@ -241,6 +241,17 @@ def checked(families: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
     return dealt.repartition("family", "one", "two").sortWithinPartitions("family", "one", "two").mapInArrow(_linked, "a long, b long")
 
 
+def contracted(edges: DataFrame) -> DataFrame:
+    """Edges (a, b) with the same components, nearly as few as nodes: each node's to its least neighbour, and of all
+    others what is left between these. In a dense group most nodes have the same least neighbour."""
+    edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    sides = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = cut(least_of(sides, "a", "b").select("a", F.least("a", "b").alias("least")))
+    one, two = least.select("a", F.col("least").alias("x")), least.select(F.col("a").alias("b"), F.col("least").alias("y"))
+    left = edges.join(one, "a").join(two, "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    return left.unionByName(least.where("a <> least").select("a", F.col("least").alias("b")))
+
+
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component of near copies: that of the least id, null ids last, then of the least text digest.
 
@@ -266,7 +277,7 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     met = cut(grid.mapInArrow(_meet, "a long, b long").distinct())
     one, two = rep.select(F.col("word").alias("a"), F.col("rep").alias("x"), F.col("fp_b").alias("fp")), rep.select(F.col("word").alias("b"), F.col("rep").alias("y"), "fp_b")
     nodes = met.join(one, "a").join(two, "b").where((F.col("x") != F.col("y")) & (near <= most_bits)).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    families = stars(nodes.unionByName(equal))
+    families = stars(contracted(nodes.unionByName(equal)))
     families = families.select(F.col("a").alias("node"), F.col("b").alias("family")).unionByName(families.select(F.col("b").alias("node"), F.col("b").alias("family")).distinct())
     labels = stars(checked(families, sets, docs))
     rooted = sets.join(labels, F.col("node") == F.col("a"), "left").select("first", F.coalesce("b", "node").alias("root"))
