@@ -87,6 +87,8 @@ def ngram_counts(counted: DataFrame, orders: tuple[int, ...] = ORDERS) -> DataFr
 def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE, size: int = SAMPLE_BYTES) -> dict:
     """The tables {langs, grams, shares, floors} by order (0: words), learnt from a sample of the rows with a language.
 
+    ``shares`` has only what exists: where each gram's entries start, and their languages and values.
+
     Of each language the texts of the least hashes are learnt from, as many as its part of ``rows`` and of ``size``
     bytes allows. A gram has its log10 share in each language; where a language doesn't have it, that is the floor: half
     an occurrence in the largest language. With no rows, or no words, there are no languages.
@@ -103,9 +105,11 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", rows: int
         found = found.combine_chunks() if isinstance(found, pa.ChunkedArray) else found
         totals = np.bincount(of_lang[own], n[own], len(lang))
         floor = math.log10(0.5 / max(1.0, totals.max(initial=0.0)))
-        shares = np.full((len(found.dictionary), len(lang)), floor)
-        shares[found.indices.to_numpy(), of_lang[own]] = np.log10(n[own] / totals[of_lang[own]])
-        model["grams"][k], model["shares"][k], model["floors"][k] = found.dictionary.to_pylist(), shares, floor
+        at = found.indices.to_numpy()
+        order_by = np.argsort(at, kind="stable")
+        of = of_lang[own][order_by]
+        starts = np.searchsorted(at[order_by], np.arange(len(found.dictionary) + 1))
+        model["grams"][k], model["shares"][k], model["floors"][k] = found.dictionary.to_pylist(), (starts, of.astype(np.int32), np.log10(n[own][order_by] / totals[of])), floor
     return model
 
 
@@ -117,15 +121,24 @@ class Scorer:
         self.known = {k: {gram: i for i, gram in enumerate(grams)} for k, grams in model["grams"].items()}
         self.rows, self.values = _Rows(self), np.zeros((1024, len(self.langs) + 1))
 
+    def summed(self, k: int, rows: list[int]) -> np.ndarray:
+        """The sum of log10 shares of some grams of an order, by language."""
+        starts, langs, values = self.shares[k]
+        out = np.full(len(self.langs), len(rows) * self.floors[k])
+        for at in rows:
+            here = slice(starts[at], starts[at + 1])
+            out[langs[here]] += values[here] - self.floors[k]
+        return out
+
     def word(self, word: str) -> np.ndarray | None:
         """Log10 shares of a word by language; None if no order knows any part of it."""
         if (at := self.known[0].get(word)) is not None:
-            return self.shares[0][at]
+            return self.summed(0, [at])
         for k in ORDERS:
             known = self.known[k]
             grams = ngrams(word, k)
             if hits := [known[g] for g in grams if g in known]:
-                return (self.shares[k][hits].sum(axis=0) + (len(grams) - len(hits)) * self.floors[k]) / len(grams)
+                return (self.summed(k, hits) + (len(grams) - len(hits)) * self.floors[k]) / len(grams)
         return None
 
     def score(self, text: str | None) -> tuple[str, float]:
