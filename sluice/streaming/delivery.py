@@ -111,7 +111,8 @@ def deliver_stream(df: DataFrame, send: Send, log: str, checkpoint: str, batch_r
     Batches are those of a pipeline, which is a name or a column of rows; their ids are unique over its epochs and the
     same whenever an epoch is tried again. Outcomes and payloads of the try before are overwritten. The rest of a
     partial_ack waits as a deliverable of its batch's id, since a stream doesn't offer rows again. Rows are frozen before
-    outcomes are written, so an outcome that waits always has its rows.
+    outcomes are written, so an outcome that waits always has its rows. Columns pipeline, deliverable_id and batch_id of
+    the rows give way to the delivery's own; ids have to be unique in a pipeline, and rows without one come first.
     """
     def epoch(rows: DataFrame, n: int) -> None:
         with passing():
