@@ -98,10 +98,10 @@ KEYS = ("pipeline", "deliverable_id")
 
 def unsettled(rows: DataFrame, outcomes: DataFrame, id_col: str = "id") -> DataFrame:
     """Of rows (pipeline, deliverable_id and more) those that no destination has: all of a batch that is to be tried
-    again, and of a partial_ack those after its accepted cursor, all if it names none."""
-    left = outcomes.where("kind IN ('retry_later', 'partial_ack')").select(*KEYS, "kind", "accepted_cursor")
+    again or is dead, and of a partial_ack those after its accepted cursor, all if it names none."""
+    left = outcomes.where("kind IN ('retry_later', 'permanent', 'partial_ack')").select(*KEYS, "kind", "accepted_cursor")
     met = rows.alias("l").join(left.alias("r"), same(KEYS))
-    return met.where((F.col("r.kind") == "retry_later") | F.col("r.accepted_cursor").isNull() | (F.col(f"l.{id_col}") > F.col("r.accepted_cursor"))).select("l.*")
+    return met.where((F.col("r.kind") != "partial_ack") | F.col("r.accepted_cursor").isNull() | (F.col(f"l.{id_col}") > F.col("r.accepted_cursor"))).select("l.*")
 
 
 def deliver_stream(df: DataFrame, send: Send, log: str, checkpoint: str, batch_rows: int = 1000, id_col: str = "id", pipeline: str | Column = "stream", now: datetime | None = None) -> DataStreamWriter:
@@ -112,8 +112,10 @@ def deliver_stream(df: DataFrame, send: Send, log: str, checkpoint: str, batch_r
     same whenever an epoch is tried again. Outcomes and payloads of the try before are overwritten. The rest of a
     partial_ack waits as a deliverable of its batch's id, since a stream doesn't offer rows again. Rows are frozen before
     outcomes are written, so an outcome that waits always has its rows. Columns pipeline, deliverable_id and batch_id of
-    the rows give way to the delivery's own; ids have to be unique in a pipeline, and rows without one come first.
+    the rows give way to the delivery's own; ids have to be unique in a pipeline, and rows without one come first. Dead
+    letters' rows are frozen as well.
     """
+
     def epoch(rows: DataFrame, n: int) -> None:
         with passing():
             named = rows.withColumn("pipeline", F.lit(pipeline) if isinstance(pipeline, str) else pipeline.cast("string"))

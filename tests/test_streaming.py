@@ -243,3 +243,13 @@ def test_ride_along_of_streams_ends_without_state(spark, tmp_path):
         assert sorted(map(str, got.select("station", "cycle", "time", "n").collect())) == sorted(map(str, want.select("station", "cycle", "time", "n").collect()))
         left = query.lastProgress["stateOperators"]
         assert sum(o["numRowsTotal"] for o in left) <= 3  # the rows that pushed the time on, and no others
+
+
+def test_dead_letters_keep_their_rows(spark, tmp_path):
+    log = str(tmp_path / "log")
+    _arrive(spark, tmp_path / "in", range(1, 5), ("a",))
+    stream = spark.readStream.schema(QUEUE).parquet(str(tmp_path / "in")).drop("deliverable_id", "pipeline")
+    delivery.drain(delivery.deliver_stream(stream, lambda i, rows: ("permanent", "refused") if rows["id"].min() == 1 else "acked", log, str(tmp_path / "check"), 3), 120)
+    ended = delivery.logged(spark, log)
+    assert [(r.pipeline, r.deliverable_id, r.final_error) for r in ended["dead_letters"].collect()] == [("stream", 0, "refused")] and ended["deliverables"].isEmpty()
+    assert sorted((r.deliverable_id, r.id) for r in spark.read.parquet(f"{log}/_payloads").collect()) == [(0, 1), (0, 2), (0, 3)]
