@@ -70,10 +70,13 @@ def bundle_spots(df: DataFrame, time: str = "time", order: Sequence[str] = ("id"
     return grouped.select(*keys, F.concat_ws("/", F.lit("spots"), "rx_site", "receiver", F.col("band").cast("string"), name).alias("arcname"), "n_lines", "content")
 
 
-def bundle_digital(df: DataFrame, fields: Sequence[str], time: str = "time", hz: str = "frequency", keys: tuple[str, ...] = ()) -> DataFrame:
-    """A JSON-lines file for each mode, site, receiver, band and cycle, its fields by name, its rows by time and frequency."""
+def bundle_digital(df: DataFrame, fields: Sequence[str], time: str = "time", hz: str = "frequency", keys: tuple[str, ...] = (), order: Sequence[str] = ()) -> DataFrame:
+    """A JSON-lines file for each mode, site, receiver, band and cycle, its fields by name, its rows by time and frequency.
+
+    Rows of one time and frequency are in order of the columns ``order``, by their own types, and then of their text.
+    """
     ready = supported_modes(df).withColumns({"mode": F.lower("mode"), "line": F.to_json(F.struct(*sorted(fields)), {"ignoreNullFields": "false"}), "cycle": cycle_floor(F.col(time))})
-    grouped = ready.groupBy(*keys, "mode", "rx_site", "receiver", "band", "cycle").agg(F.count("*").alias("n_lines"), joined_lines((time, hz)).alias("content"))
+    grouped = ready.groupBy(*keys, "mode", "rx_site", "receiver", "band", "cycle").agg(F.count("*").alias("n_lines"), joined_lines((time, hz, *order)).alias("content"))
     name = F.concat(F.date_format("cycle", "yyMMdd_HHmm"), F.lit("_"), "mode", F.lit(".jsonl"))
     return grouped.select(*keys, F.concat_ws("/", "mode", "rx_site", "receiver", F.col("band").cast("string"), name).alias("arcname"), "n_lines", "content")
 

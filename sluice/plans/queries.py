@@ -395,7 +395,7 @@ def bundle_spots(spark, sf_dir):
  string_agg('{{"call":"' || call || '","frequency":' || frequency || ',"id":' || id || '}}', chr(10) ORDER BY t, frequency, call, id) || chr(10) AS content FROM l GROUP BY lower(mode), rx_site, receiver, band, t""")
 def bundle_digital(spark, sf_dir):
     rows = _labelled(spark, sf_dir).withColumn("frequency", F.round(F.col("mhz") * 1e6).cast("long"))
-    return bundles.bundle_digital(rows, ["id", "call", "frequency"], "ts")
+    return bundles.bundle_digital(rows, ["id", "call", "frequency"], "ts", order=("call", "id"))
 
 
 @query(f"""WITH l AS (SELECT *, make_timestamp((e // {HOUR}) * {HOUR} * 1000000) AS t, row_number() OVER (PARTITION BY rx_site, receiver, band, e // {HOUR} ORDER BY id DESC) rn FROM ({_LABELLED}))

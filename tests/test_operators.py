@@ -371,3 +371,10 @@ def test_columns_that_operators_use_inside_stay(spark):
         return "acked"
 
     assert rows(delivery.deliver(cut, send, now=T0), "deliverable_id", "kind", "reason", "records") == [(0, "acked", "", 3), (1, "acked", "", 3), (2, "acked", "", 1)]
+
+
+def test_digital_rows_of_one_time_and_frequency_by_number(spark):
+    data = [(10, "K1A"), (9, "K1A"), (100, "K0B")]
+    df = spark.createDataFrame([(T0, "FT8", "s", "rx", 20, 14074000, *r) for r in data], "ts timestamp, mode string, rx_site string, receiver string, band int, frequency long, id long, call string")
+    content = bundles.bundle_digital(df, ["id", "call", "frequency"], "ts", order=("call", "id")).first().content
+    assert [line.split('"id":')[1] for line in content.splitlines()] == ["100}", "9}", "10}"]
