@@ -50,7 +50,7 @@ class Tree:
         if not n:
             return np.zeros(0, dtype=np.int64), np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
         starts = np.arange(0, n, LEAF)
-        tokens = np.add.reduceat(np.fromiter((len(own.cache[t]) for t in found), dtype=np.int64, count=n), starts)
+        tokens = np.add.reduceat(np.fromiter(map(len, map(own.cache.__getitem__, found)), dtype=np.int64, count=n), starts)
         return np.fromiter(map(len, found), dtype=np.int64, count=n), np.diff(np.r_[starts, n]), tokens
 
     @staticmethod
@@ -185,6 +185,8 @@ class Tree:
 
 #: What personal() replaces: addresses of mail and network, long numbers and keys.
 _PERSONAL = regex.compile(r"[\w.+-]+@[\w-]+\.[\w.-]+|\b\d{1,3}(?:\.\d{1,3}){3}\b|\b[0-9a-fA-F]{32,}\b|\b\d(?:[ -]?\d){8,}\b")
+#: What every match has in it but an address of mail, which has an @.
+_DIGITS = regex.compile(r"\d[\d. -]{6}|[0-9a-fA-F]{32}")
 #: Edits of a text: (start, end, text), each of the text as those before have left it.
 Edits = list[tuple[int, int, str]]
 
@@ -192,8 +194,11 @@ Edits = list[tuple[int, int, str]]
 def personal(text: str) -> Edits:
     """Edits, last place first, that replace personal data by a tag; none reaches over the end of a line."""
     found, at = [], 0
+    if "@" not in text and not _DIGITS.search(text):
+        return found
     for line in text.splitlines(keepends=True):
-        found += [(at + m.start(), at + m.end(), "<redacted>") for m in _PERSONAL.finditer(line)]
+        if "@" in line or _DIGITS.search(line):
+            found += [(at + m.start(), at + m.end(), "<redacted>") for m in _PERSONAL.finditer(line)]
         at += len(line)
     return found[::-1]
 

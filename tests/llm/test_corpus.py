@@ -1042,3 +1042,16 @@ def test_long_fingerprints_by_plain_counts():
                 h = (h ^ h >> 32) * int(simhash_similar._ODD[j]) % (1 << 64)
                 hashes.append(h ^ h >> 29)
             assert int(value) == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_personal_data_is_looked_for_where_it_can_be():
+    """Lines without an @ or enough digits are passed over, and a long word costs no more than its length."""
+    rng, parts = random.Random(9), ["a.b+c@d-e.org", "@", "1.22.3.4", "12 345-678 9", "0123456789", "deadbeef" * 4, "١" * 9, "word", "x-1", " ", " ", "\n", " ", ".", "-", "a@b.c+x@y.zz"]
+    for _ in range(3000):
+        text, plain, at = "".join(rng.choices(parts, k=rng.randrange(12))), [], 0
+        for line in text.splitlines(keepends=True):
+            plain += [(at + m.start(), at + m.end(), "<redacted>") for m in recount._PERSONAL.finditer(line)]
+            at += len(line)
+        assert recount.personal(text) == plain[::-1]
+    start = time.process_time()
+    assert recount.personal("xy" * 50_000) == [] and time.process_time() - start < 5
