@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -109,25 +110,80 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", rows: int
     return model
 
 
+def packed(model: dict) -> dict:
+    """A model as tasks are sent it: for each order the sorted 64-bit hashes of its grams, and their shares by row.
+
+    Python keeps over 150 bytes for each entry of a dict of texts, an array 8; each worker has a copy of its own.
+    """
+    out = {"langs": model["langs"], "floors": model["floors"], "hashes": {}, "shares": {}}
+    for k, grams in model["grams"].items():
+        hashes = np.array(list(map(_hash, grams)), dtype=np.uint64)
+        order = np.argsort(hashes)
+        out["hashes"][k], out["shares"][k] = hashes[order], model["shares"][k][order]
+        if (np.diff(out["hashes"][k]) == 0).any():
+            raise ValueError("two grams have one hash")
+    return out
+
+
+def _hash(gram: str) -> int:
+    return xxhash.xxh3_64_intdigest(gram.encode("utf-8", "surrogatepass"))
+
+
+class Grams:
+    """The grams of one order by their sorted hashes."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = hashes
+
+    def find(self, grams: list[str]) -> np.ndarray:
+        """The row of each gram; -1 if it isn't known."""
+        wanted = np.array(list(map(_hash, grams)), dtype=np.uint64)
+        if not len(self.hashes):
+            return np.full(len(wanted), -1)
+        at = np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == wanted, at, -1)
+
+    def __contains__(self, gram: str) -> bool:
+        return self.find([gram])[0] >= 0
+
+
 class Scorer:
-    """Scores texts; the scores of words are rows of a matrix, which starts anew when it has grown large."""
+    """Scores texts by a packed model; the scores of words are rows of a matrix, which starts anew when it has grown large."""
 
     def __init__(self, model: dict, limit: int = 400_000):
+        model = model if "hashes" in model else packed(model)
         self.langs, self.floors, self.shares, self.limit = model["langs"], model["floors"], model["shares"], limit
-        self.known = {k: {gram: i for i, gram in enumerate(grams)} for k, grams in model["grams"].items()}
-        self.rows, self.values = _Rows(self), np.zeros((1024, len(self.langs) + 1))
+        self.known = {k: Grams(hashes) for k, hashes in model["hashes"].items()}
+        self.rows: dict[str, int] = {}
+        self.values = np.zeros((1024, len(self.langs) + 1))
+
+    def words(self, words: list[str]) -> list[np.ndarray | None]:
+        """word() of each."""
+        return [self.shares[0][at] if at >= 0 else self.parts(word) for word, at in zip(words, self.known[0].find(words).tolist(), strict=True)]
 
     def word(self, word: str) -> np.ndarray | None:
         """Log10 shares of a word by language; None if no order knows any part of it."""
-        if (at := self.known[0].get(word)) is not None:
-            return self.shares[0][at]
+        return self.words([word])[0]
+
+    def parts(self, word: str) -> np.ndarray | None:
         for k in ORDERS:
-            known = self.known[k]
             grams = ngrams(word, k)
-            if hits := [known[g] for g in grams if g in known]:
+            hits = self.known[k].find(grams)
+            if len(hits := hits[hits >= 0]):
                 return (self.shares[k][hits].sum(axis=0) + (len(grams) - len(hits)) * self.floors[k]) / len(grams)
         return None
 
+    def read(self, words: list[str]) -> None:
+        """A row for each new word: its scores, and 1 if any part of it is known."""
+        first, most = len(self.rows), len(self.rows) + len(words)
+        while most > len(self.values):
+            self.values = np.concatenate([self.values, np.zeros_like(self.values)])
+        self.values[first:most] = 0.0
+        for at, (word, found) in enumerate(zip(words, self.words(words), strict=True), first):
+            if found is not None:
+                self.values[at, :-1], self.values[at, -1] = found, 1.0
+            self.rows[word] = at
+
     def score(self, text: str | None) -> tuple[str, float]:
         """The likeliest language and its share among all, by word evidence that grows with the root of the words."""
         if len(self.rows) > self.limit:
@@ -135,39 +191,21 @@ class Scorer:
         found = words(text or "")
         if not found or not self.langs:
             return "und", 0.0
-        rows = [self.rows[w] for w in found]  # may replace the matrix
+        self.read([w for w in dict.fromkeys(found) if w not in self.rows])  # may replace the matrix
+        rows = [self.rows[w] for w in found]
         *total, known = self.values[rows].sum(axis=0)
         odds = np.exp((np.array(total) - max(total)) * math.log(10) / math.sqrt(max(1, known)))
         best = int(odds.argmax())
         return self.langs[best], float(odds[best] / odds.sum())
 
 
-class _Rows(dict):
-    """Words to rows of a scorer's matrix; a row has the word's scores, and 1 if any part of it is known."""
-
-    def __init__(self, scorer: Scorer):
-        super().__init__()
-        self.scorer = scorer
-
-    def __missing__(self, word: str) -> int:
-        own, at = self.scorer, len(self)
-        if at == len(own.values):
-            own.values = np.concatenate([own.values, np.zeros_like(own.values)])
-        found = own.word(word)
-        own.values[at] = 0.0
-        if found is not None:
-            own.values[at, :-1], own.values[at, -1] = found, 1.0
-        self[word] = at
-        return at
-
-
 def predict(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score of each whole text.
 
     A text that is null or has no letter is ``und`` with score 0; so is every text if nothing was learnt. Among equal
     scores the first language by name wins. Repeated rows are scored each.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast(packed(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Scorer(shared.value)
@@ -180,7 +218,7 @@ def predict(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
 
 def keep(df: DataFrame, model: dict, least: float, text_col: str = "text") -> DataFrame:
     """The rows whose text has a likeliest language with a score of ``least`` or more; ``und`` rows go."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast(packed(model))
 
     def decide():
         own = Scorer(shared.value)

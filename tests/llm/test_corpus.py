@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import pickle
 import random
 import time
 import zlib
@@ -1055,3 +1056,14 @@ def test_personal_data_is_looked_for_where_it_can_be():
         assert recount.personal(text) == plain[::-1]
     start = time.process_time()
     assert recount.personal("xy" * 50_000) == [] and time.process_time() - start < 5
+
+
+def test_language_tables_of_tasks_are_arrays():
+    """A task holds a hash and the shares of a gram and no text of it, and finds the same rows, also past the last hash."""
+    grams = [f"w{i}" for i in range(5000)]
+    model = {"langs": ["a", "b"], "grams": {0: grams} | {k: [] for k in langid.ORDERS}, "shares": {0: np.arange(10_000.0).reshape(-1, 2)} | {k: np.zeros((0, 2)) for k in langid.ORDERS}, "floors": dict.fromkeys((0, *langid.ORDERS), -9.0)}
+    sent = langid.packed(model)
+    assert len(pickle.dumps(sent)) < 5000 * (8 + 2 * 8) + 2000
+    scorer = langid.Scorer(sent)
+    assert [x.tolist() for x in scorer.words(grams[::-1])] == model["shares"][0][::-1].tolist()
+    assert scorer.words([f"x{i}" for i in range(500)]) == [None] * 500
