@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import io
+from collections.abc import Callable, Iterator
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -583,8 +584,9 @@ def _spool(spark, sf_dir) -> str:
     return at
 
 
-def _click_lines(path: str, content: bytes) -> list[dict]:
-    return [dict(zip(("id", "time"), line.split(","), strict=True)) for line in content.decode().splitlines()]
+def _click_lines(path: str, content: bytes) -> Iterator[dict]:
+    for line in io.BytesIO(content):
+        yield dict(zip(("id", "time"), line.decode().rstrip("\n").split(","), strict=True))
 
 
 def _view_line(path: str, content: bytes) -> dict:

@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import islice
 from urllib.parse import quote, unquote
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow.fs import FileSelector, FileSystem, FileType, LocalFileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,8 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from sluice.operators.chunk import chunk_by_count
 from sluice.shared import cut, exists, filesystem
 
+#: Records of a file that are Python objects at a time.
+RECORDS = 10_000
 #: path, modified, length and content of a file.
 FILES = "path string, modificationTime timestamp, length long, content binary"
 
@@ -81,24 +85,32 @@ def spool_stream(spark: SparkSession, root: str, retention: str = "keep", files_
 def parse_spool(files: DataFrame, parsers: dict[str, Callable[[str, bytes], Iterable[dict] | dict]]) -> tuple[DataFrame, DataFrame]:
     """Records of files by their table's parser: path, table, time, columns; and files that a parser failed on.
 
-    A parser gives a record or several; a record's time is its ``time`` field, else the file's. Files without a parser
+    A parser gives a record or several, best as a generator: a task then holds one file's bytes and its records in Arrow's
+    form, and hands them on in parts once the whole file was read without a failure. A record's time is its ``time``
+    field, else the file's. Files without a parser
     are one record of their path. A failed file is a row of the rejects with the reason, and nothing else stops.
     """
     schema = "path string, table string, mtime timestamp, columns map<string,string>, error string"
+    kind = pa.map_(pa.string(), pa.string())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for path, table, mtime, content in zip(batch["path"], batch["table"], batch["mtime"], batch["content"], strict=True):
+            named = batch.select(["path", "table", "mtime"])
+            for i in range(batch.num_rows):  # one file's bytes at a time
+                path, table, error = named.column(0)[i].as_py(), named.column(1)[i].as_py(), None
                 try:
-                    found = parsers[table](path, bytes(content)) if table in parsers else {"path": path}
-                    found = [found] if isinstance(found, dict) else list(found)
-                    rows += [(path, table, mtime, {k: None if v is None else str(v) for k, v in r.items()}, None) for r in found]
+                    found = parsers[table](path, bytes(batch.column("content")[i].as_py())) if table in parsers else {"path": path}
+                    found = iter([found] if isinstance(found, dict) else found)
+                    held = []  # Arrow's form takes a fraction of a dict
+                    while part := list(islice(found, RECORDS)):
+                        held.append(pa.array([[(k, None if v is None else str(v)) for k, v in r.items()] for r in part], kind))
                 except Exception as e:  # a user's parser can fail in any way; the file is reported
-                    rows.append((path, table, mtime, None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(rows, columns=["path", "table", "mtime", "columns", "error"])
+                    held, error = [pa.nulls(1, kind)], f"{type(e).__name__}: {e}"
+                for columns in held:
+                    of = named.take(pa.array([i] * len(columns)))
+                    yield pa.RecordBatch.from_arrays([*of.columns, columns, pa.array([error] * len(columns), pa.string())], [*of.schema.names, "columns", "error"])
 
-    read = files.select("path", "table", "mtime", "content").mapInPandas(run, schema)
+    read = files.select("path", "table", "mtime", "content").mapInArrow(run, schema)
     time = F.coalesce(F.try_element_at("columns", F.lit("time")).try_cast("timestamp"), F.col("mtime"))
     return read.where("error is null").select("path", "table", time.alias("time"), "columns"), read.where("error is not null").select("path", "table", "error")
 

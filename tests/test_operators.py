@@ -1,6 +1,7 @@
 """Cases of single operators: ties, nulls, cursors that must lose nothing, and plans that must stay distributed."""
 
 import random
+import weakref
 from datetime import datetime, timedelta
 
 import pytest
@@ -378,3 +379,28 @@ def test_digital_rows_of_one_time_and_frequency_by_number(spark):
     df = spark.createDataFrame([(T0, "FT8", "s", "rx", 20, 14074000, *r) for r in data], "ts timestamp, mode string, rx_site string, receiver string, band int, frequency long, id long, call string")
     content = bundles.bundle_digital(df, ["id", "call", "frequency"], "ts", order=("call", "id")).first().content
     assert [line.split('"id":')[1] for line in content.splitlines()] == ["100}", "9}", "10}"]
+
+
+def test_parsed_files_are_handed_on_in_parts(spark):
+    """A file's records are never all Python objects at once, and none is handed on of a file that fails at its end."""
+
+    def many(path, content):
+        alive = set()
+        for i in range(30_000):
+            record = Held({"n": i})
+            alive.add(id(record))
+            weakref.finalize(record, alive.discard, id(record))
+            if len(alive) > 20_000:
+                raise MemoryError("too many at once")
+            yield record
+            del record
+        if content == b"bad":
+            raise ValueError("bad end")
+
+    class Held(dict):
+        pass
+
+    files = spark.createDataFrame([("a", "t", T0, bytearray(b"good")), ("b", "t", T0, bytearray(b"bad"))], "path string, table string, mtime timestamp, content binary").coalesce(1)
+    records, rejects = spool.parse_spool(files, {"t": many})
+    assert records.groupBy("path", "time").count().collect() == [Row(path="a", time=T0, count=30_000)]
+    assert rows(rejects) == [("b", "t", "ValueError: bad end")]
