@@ -647,6 +647,24 @@ def test_url_verdicts_by_plain_dictionaries(spark):
     assert min(errors(t) for t in np.arange(highest - step, lowest + step, step / 4)) <= min(errors(s) for s, _ in held) + 1e-9
 
 
+def test_url_models_learn_from_all_labelled_urls(spark):
+    """Scores are those of the counts of all labelled URLs, each once, in lots of any size."""
+    pages = [f"http://a{i}.org/w{i % 97}/{i * 7919 % 10007}" for i in range(7000)] + [f"https://b{i}.com/de/{i % 89}?q={i * 31 % 9973}" for i in range(7000)] + [f"http://c{i}.net/{i}" for i in range(500)]
+    got = urls.judge(spark.createDataFrame([(i, u) for i, u in enumerate(pages * 2)], "page_id long, url string").repartition(5))
+    counts = {"allow": Counter(), "block": Counter()}
+    for u in pages[:14_000]:
+        if zlib.crc32(u.encode()) % 5:
+            m = "\x02" * 4 + u
+            counts["allow" if ".org" in u else "block"].update(m[i - k : i + 1] for i in range(4, len(m)) for k in range(5))
+    ratio = urls.Ratio(counts)
+    rows = got.collect()
+    assert sorted(r.page_id for r in rows) == list(range(len(pages) * 2))
+    assert max(abs(r.score - ratio.score(pages[r.page_id % len(pages)])) for r in rows) < 1e-9
+    lots = urls.in_lots(spark.createDataFrame([(i, "x" * (i % 50)) for i in range(2000)], "page_id long, url string").repartition(3), 100, 1000)
+    most = lots.groupBy("lot").agg(F.count("*").alias("n"), F.sum(F.octet_length("url")).alias("size")).agg(F.max("n"), F.max("size"), F.sum("n")).first()
+    assert most[0] <= 100 and most[1] <= 1000 and most[2] == 2000
+
+
 def test_url_shares():
     grams = {"allow": dict(Counter(g for w in ("abab", "abc") for m in ["\x02" * 4 + w] for i in range(4, len(m)) for g in (m[i - k : i + 1] for k in range(5))))}
     ratio = urls.Ratio(grams)
