@@ -25,6 +25,8 @@ from sluice.llm.common import cut, documents, packs
 BITS, SEGMENTS, WIDTH = 4, 16, 2
 #: A grid point with more fingerprints than this is dealt again by more of their bits instead of paired off.
 CROWD = 1024
+#: Links of a task of the components.
+PART = 50_000
 _SHIFTS = np.arange(SEGMENTS, dtype=np.uint64) * np.uint64(WIDTH)
 _PLACES = np.array([(WIDTH + 1) ** i for i in range(SEGMENTS)], dtype=np.int64)
 _POINTS = (WIDTH + 1) ** SEGMENTS
@@ -237,13 +239,21 @@ def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     return all_.unionByName(points.join(least, "point").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct())
 
 
-def least_of(df: DataFrame, key: str, value: str) -> DataFrame:
-    """key and its least value, dealt out by another number than the key.
+def packed(df: DataFrame, rows: int | None) -> DataFrame:
+    """df of about so many rows in no more partitions than these fill; as it is for None.
+
+    Components take many rounds of small tables, and of each exchange every task leaves files, however few its rows.
+    """
+    return df if rows is None else df.coalesce(1 + rows // PART)
+
+
+def least_of(df: DataFrame, key: str, value: str, rows: int | None = None) -> DataFrame:
+    """key and its least value, dealt out by another number than the key; ``rows`` as in packed().
 
     A join on the key then shuffles both sides for itself, and of such a join Spark can split a key that holds a large
     part of all rows; on top of an aggregate that is dealt by the same key it can't.
     """
-    other = df.groupBy(F.bitwise_not(F.col(key)).alias("_other")).agg(F.min(value).alias(value))
+    other = packed(df.groupBy(F.bitwise_not(F.col(key)).alias("_other")).agg(F.min(value).alias(value)), rows)
     return other.select(F.bitwise_not("_other").alias(key), value)
 
 
@@ -257,16 +267,18 @@ def stars(edges: DataFrame) -> DataFrame:
 
     def settled(df: DataFrame) -> bool:
         ends = df.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(df.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
-        return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1").isEmpty()
+        return packed(ends, n).groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1").isEmpty()
 
     def star(df: DataFrame, large: bool) -> DataFrame:
         sides = df.unionByName(df.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else df.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = least_of(sides, "a", "b").select("a", F.least("b", "a").alias("least"))
-        joined = sides.join(least, "a")
+        sides = packed(sides, n)
+        least = least_of(sides, "a", "b", n).select("a", F.least("b", "a").alias("least"))
+        joined = packed(sides.join(least, "a"), n)
         moved = joined.where("b > a" if large else "b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        return (moved if large else moved.unionByName(least.select("a", F.col("least").alias("b")))).where("a <> b").distinct()
+        return packed((moved if large else moved.unionByName(least.select("a", F.col("least").alias("b")))).where("a <> b").distinct(), n)
 
     now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    n = now.count()
     while not settled(now):
         now = cut(star(star(now, True), False))
     return now

@@ -3,8 +3,8 @@
 A similarity of 0.8 puts about 15 of 100 bits of a fingerprint apart, too many for one 64-bit value to be searched, so a
 text has ``WORDS64`` of them. Each half of each goes to the grid as in ``simhash``: two texts meet in a half whose
 segment popcounts are within a Manhattan distance of 2. Where they meet, the bits of another of their values are
-compared, then those of all. Texts that are near in these bits, directly or by others between them, are a family, and
-within a family the exact Jaccard similarity of all whole texts decides, which alone makes a link. A family's sets of
+compared, then those of all. Texts that are near in these bits, directly or by others between them, are a family: the
+first value gives most of each, and of the other values only what meets between families is looked at. Within a family the exact Jaccard similarity of all whole texts decides, which alone makes a link. A family's sets of
 shingles are put together once; a large family is cut into blocks, and tasks get pairs of blocks.
 
 Of pairs at 0.8 the grid misses about one in fourteen, of those at 0.85 one in a hundred; groups lose less, since any
@@ -13,7 +13,7 @@ link to one of their members is enough. Texts with the same set of shingles are
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 from itertools import accumulate
 
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import cut, documents, fresh, packs, slices
-from sluice.llm.simhash import cells, least_of, runs, stars
+from sluice.llm.simhash import cells, least_of, packed, runs, stars
 
 SHINGLE, WORDS64 = 5, 8
 #: Similarity from which two texts are near copies, as a fraction.
@@ -81,14 +81,20 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "same", "fp"])
 
 
-def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Grid points of both halves of every value, each with the next value of the same text."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, 2048):
-            prints = np.array(batch.column("fp").slice(at, 2048).to_pylist(), dtype=np.int64).reshape(-1, WORDS64)
-            for j in range(WORDS64):
-                cell, who = cells(prints[:, j], np.ascontiguousarray(prints[:, (j + 1) % WORDS64]), j)
-                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(who)], ["cell", "word"])
+def _spread(values: Sequence[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Grid points of both halves of these values, each with the next value of the same text and its family."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                prints = np.array(part.column("fp").to_pylist(), dtype=np.int64).reshape(-1, WORDS64)
+                for j in values:
+                    cell, who = cells(prints[:, j], np.arange(len(prints)), j)
+                    word, family = prints[:, (j + 1) % WORDS64][who], part.column("family").to_numpy(zero_copy_only=False)[who]
+                    yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(word), pa.array(family)], ["cell", "word", "family"])
+
+    return run
 
 
 def _leaders(words: np.ndarray) -> np.ndarray:
@@ -99,6 +105,11 @@ def _leaders(words: np.ndarray) -> np.ndarray:
     return leader
 
 
+def _apart(family: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether members are not known to be of one family; 0 is none."""
+    return (family[i] != family[j]) | (family[i] == 0)
+
+
 def _near(words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs of places in one point that are near."""
     step = max(1, (1 << 22) // len(words))
@@ -108,13 +119,15 @@ def _near(words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield i[before] + at, j[before]
 
 
-def _closest(words: np.ndarray, leader: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each two leaders' groups with near members, the places of the two that are closest."""
+def _closest(words: np.ndarray, leader: np.ndarray, family: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each two leaders' groups with near members of two families, the places of the two that are closest."""
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
     step = max(1, (1 << 22) // len(words))
     for at in range(0, len(words), step):
         bits = np.bitwise_count(words[at : at + step, None] ^ words[None, :])
         i, j = np.nonzero((bits <= NEAR) & (leader[at : at + step, None] > leader[None, :]))
+        other = _apart(family, i + at, j)
+        i, j = i[other], j[other]
         order = np.lexsort((bits[i, j], leader[j], leader[i + at]))
         i, j = i[order], j[order]
         new = np.flatnonzero(np.r_[True, (leader[i[1:] + at] != leader[i[:-1] + at]) | (leader[j[1:]] != leader[j[:-1]])]) if len(i) else order
@@ -125,32 +138,34 @@ def _closest(words: np.ndarray, leader: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Near pairs (a, b) of the points' words; of dense points those that keep its near members together."""
+    """Near pairs (a, b) of the points' words, but of one family; of dense points those that keep its near members together."""
 
     def out(a: np.ndarray, b: np.ndarray):
         return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
-    for _, starts, sizes, words in runs(batches, "word"):
+    for _, starts, sizes, words, family in runs(batches, "word", "family"):
         words = words.view(np.uint64)
         end = np.repeat(starts + sizes, sizes)
         place, shift = np.flatnonzero((np.repeat(sizes, sizes) > 1) & (np.repeat(sizes, sizes) <= DENSE)), 1
         while len(place := place[place + shift < end[place]]):
             bits = np.bitwise_count(words[place] ^ words[place + shift])
-            near = place[(bits <= NEAR) & (bits > 0)]
+            near = place[(bits <= NEAR) & (bits > 0) & _apart(family, place, place + shift)]
             if len(near):
                 yield out(words[near], words[near + shift])
             shift += 1
         for i in np.flatnonzero(sizes > DENSE):
-            own = np.unique(words[starts[i] : starts[i] + sizes[i]])
+            here = slice(starts[i], starts[i] + sizes[i])
+            own, of = np.unique(np.stack([words[here], family[here].view(np.uint64)]), axis=1)
             leader = _leaders(own)
             if np.bincount(leader).max() > DENSE:
-                others = np.flatnonzero(leader != np.arange(len(own)))
+                others = np.flatnonzero((leader != np.arange(len(own))) & _apart(of, np.arange(len(own)), leader))
                 yield out(own[others], own[leader[others]])
-                a, b = _closest(own, leader)
+                a, b = _closest(own, leader, of)
                 yield out(own[a], own[b])
                 continue
             for a, b in _near(own):
-                yield out(own[a], own[b])
+                other = _apart(of, a, b)
+                yield out(own[a[other]], own[b[other]])
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -245,13 +260,20 @@ def contracted(edges: DataFrame) -> DataFrame:
     """Edges (a, b) with the same components, nearly as few as nodes: each node's to its least neighbour, and of all
     others what is left between these. In a dense group most nodes have the same least neighbour."""
     edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    n = edges.count()
+    edges = packed(edges, n)
     sides = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = cut(least_of(sides, "a", "b").select("a", F.least("a", "b").alias("least")))
+    least = cut(packed(least_of(packed(sides, n), "a", "b", n).select("a", F.least("a", "b").alias("least")), n))
     one, two = least.select("a", F.col("least").alias("x")), least.select(F.col("a").alias("b"), F.col("least").alias("y"))
-    left = edges.join(one, "a").join(two, "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    left = packed(packed(edges.join(one, "a"), n).join(two, "b"), n).where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
     return left.unionByName(least.where("a <> least").select("a", F.col("least").alias("b")))
 
 
+def members(stars_: DataFrame) -> DataFrame:
+    """node and family, which is its least node, of all nodes in stars (a, b)."""
+    return stars_.select(F.col("a").alias("node"), F.col("b").alias("family")).unionByName(stars_.select(F.col("b").alias("node"), F.col("b").alias("family")).distinct())
+
+
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component of near copies: that of the least id, null ids last, then of the least text digest.
 
@@ -273,12 +295,17 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     shared = rep.where("rep < last").select("word", F.col("rep").alias("b"), "fp_b")
     equal = named.join(shared, "word").where((F.col("node") != F.col("b")) & (near <= most_bits)).select(F.col("node").alias("a"), "b")
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grid = full.select("fp").mapInArrow(_spread, "cell long, word long").repartition(n, "cell").sortWithinPartitions("cell")
-    met = cut(grid.mapInArrow(_meet, "a long, b long").distinct())
-    one, two = rep.select(F.col("word").alias("a"), F.col("rep").alias("x"), F.col("fp_b").alias("fp")), rep.select(F.col("word").alias("b"), F.col("rep").alias("y"), "fp_b")
-    nodes = met.join(one, "a").join(two, "b").where((F.col("x") != F.col("y")) & (near <= most_bits)).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    families = stars(contracted(nodes.unionByName(equal)))
-    families = families.select(F.col("a").alias("node"), F.col("b").alias("family")).unionByName(families.select(F.col("b").alias("node"), F.col("b").alias("family")).distinct())
+
+    def links(of: DataFrame, values: Sequence[int]) -> DataFrame:
+        grid = of.select("fp", "family").mapInArrow(_spread(values), "cell long, word long, family long").repartition(n, "cell").sortWithinPartitions("cell")
+        met = cut(grid.mapInArrow(_meet, "a long, b long").distinct())
+        one, two = rep.select(F.col("word").alias("a"), F.col("rep").alias("x"), F.col("fp_b").alias("fp")), rep.select(F.col("word").alias("b"), F.col("rep").alias("y"), "fp_b")
+        return met.join(one, "a").join(two, "b").where((F.col("x") != F.col("y")) & (near <= most_bits)).select(F.col("x").alias("a"), F.col("y").alias("b"))
+
+    # Of a large group of near copies almost all pairs meet somewhere: with its members joined by one value, few are left.
+    begun = stars(contracted(links(full.withColumn("family", F.lit(0).cast("long")), range(1)).unionByName(equal)))
+    known = full.join(members(begun), "node", "left").select("fp", F.coalesce(F.col("family") + 1, F.lit(0)).alias("family"))
+    families = members(stars(contracted(links(known, range(1, WORDS64)).unionByName(begun))))
     labels = stars(checked(families, sets, docs))
     rooted = sets.join(labels, F.col("node") == F.col("a"), "left").select("first", F.coalesce("b", "node").alias("root"))
     id_, digest, n_rows, own = (fresh(df, c) for c in ("id", "digest", "n", "own_digest"))

@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -1040,6 +1041,31 @@ def test_a_dense_group_of_near_copies(spark):
     assert near == {(i, j) for i in range(len(words)) for j in range(i) if int(words[i] ^ words[j]).bit_count() <= simhash_similar.NEAR}
 
 
+def test_pairs_of_known_families_are_left_out(spark, monkeypatch):
+    """In small and in dense points pairs between families stay, those within one don't; a large group leaves few links in all."""
+    rng = np.random.default_rng(5)
+    for n in (6, 40):
+        word = rng.integers(0, 1 << 63)
+        words = np.array([word ^ (1 << int(i)) for i in rng.permutation(63)[:n]], np.int64)
+        family = np.array([1, 2, 0] * n, np.int64)[:n]
+        batch = lambda f: pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int64)), pa.array(words), pa.array(f)], ["cell", "word", "family"])  # noqa: E731, B023
+        links = lambda f: [(a, b) for r in simhash_similar._meet(iter([batch(f)])) for a, b in zip(*(r.column(c).to_pylist() for c in "ab"), strict=True)]  # noqa: E731, B023
+        of = dict(zip(words.tolist(), family.tolist(), strict=True))
+        assert links(family) and all(of[a] != of[b] or not of[a] for a, b in links(family))
+        assert links(np.zeros(n, np.int64)) and not links(np.ones(n, np.int64))
+    seen = []
+    monkeypatch.setattr(simhash_similar, "contracted", lambda edges, own=simhash_similar.contracted: seen.append(edges.count()) or own(edges))
+    rnd = random.Random(23)
+    new = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    base, texts = [new() for _ in range(120)], []
+    for _ in range(500):
+        copy = list(base)
+        copy[rnd.randrange(120)] = new()
+        texts.append(" ".join(copy))
+    assert simhash_similar.keep_first(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)).count() == 1
+    assert len(seen) == 2 and sum(seen) < 40 * 500
+
+
 def test_stage_keeps_one_row_of_null_and_repeated_ids(spark):
     import corpus_pipeline
 
