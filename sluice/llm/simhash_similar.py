@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import cut, documents, fresh, packs, slices
-from sluice.llm.simhash import cells, least_of, packed, runs, stars
+from sluice.llm.simhash import SEGMENTS, WIDTH, embedding, least_of, packed, runs, stars
 
 SHINGLE, WORDS64 = 5, 8
 #: Similarity from which two texts are near copies, as a fraction.
@@ -35,10 +35,14 @@ NEAR, NEAR_ALL = 20, 0.22
 #: A point with more members than this around one of them, within so many bits, gives a link of each to that one, and of
 #: any two such groups the closest members, not all pairs; unrelated texts are hardly ever so close.
 DENSE, CLOSE = 8, 12
+#: Segments of a half that say nothing of where a point is dealt: a task adds the points next to a row's in these by itself.
+INNER = 10
 #: Texts, and bytes of hashed shingles, of a block of a family.
 BLOCK, BLOCK_BYTES = 512, 16 << 20
 #: Texts' digests are broadcast up to this number (16 bytes each and a number), else joined.
 BROADCAST = 500_000
+_PLACES = np.array([(WIDTH + 1) ** i for i in range(SEGMENTS)], dtype=np.int64)
+_INNER, _POINTS = (WIDTH + 1) ** INNER, (WIDTH + 1) ** SEGMENTS
 _ODD = np.random.default_rng(8).integers(0, 1 << 63, WORDS64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -81,8 +85,36 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "same", "fp"])
 
 
+def _outer(values: np.ndarray, grid: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of both halves' grid points the values' own, as 2 * point, and those next to them outside the inner segments, as
+    2 * point + 1; and the places of the values. Points of grids with other numbers never meet."""
+    at, who = [], []
+    for half in (0, 1):
+        counts = embedding(values, half)
+        own = counts @ _PLACES + (2 * grid + half) * _POINTS
+        at.append(2 * own)
+        who.append(np.arange(len(values)))
+        for step, open_ in ((1, counts < WIDTH), (-1, counts > 0)):
+            row, place = np.nonzero(open_[:, INNER:])
+            at.append(2 * (own[row] + step * _PLACES[INNER + place]) + 1)
+            who.append(row)
+    return np.concatenate(at), np.concatenate(who)
+
+
+def _inner(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The points of what _outer() gives, of an own point also those next to it in the inner segments; and the places."""
+    cell, moved = at >> 1, (at & 1).astype(bool)
+    counts = cell[:, None] // _PLACES[:INNER] % (WIDTH + 1)
+    points, who = [cell], [np.arange(len(at))]
+    for step, open_ in ((1, counts < WIDTH), (-1, counts > 0)):
+        row, place = np.nonzero(open_ & ~moved[:, None])
+        points.append(cell[row] + step * _PLACES[place])
+        who.append(row)
+    return np.concatenate(points), np.concatenate(who)
+
+
 def _spread(values: Sequence[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Grid points of both halves of these values, each with the next value of the same text and its family."""
+    """Outer grid points of both halves of these values, each with the next value of the same text and its family."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,13 +122,22 @@ def _spread(values: Sequence[int]) -> Callable[[Iterator[pa.RecordBatch]], Itera
                 part = batch.slice(at, 2048)
                 prints = np.array(part.column("fp").to_pylist(), dtype=np.int64).reshape(-1, WORDS64)
                 for j in values:
-                    cell, who = cells(prints[:, j], np.arange(len(prints)), j)
+                    point, who = _outer(prints[:, j], j)
                     word, family = prints[:, (j + 1) % WORDS64][who], part.column("family").to_numpy(zero_copy_only=False)[who]
-                    yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(word), pa.array(family)], ["cell", "word", "family"])
+                    yield pa.RecordBatch.from_arrays([pa.array(point), pa.array(word), pa.array(family)], ["at", "word", "family"])
 
     return run
 
 
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All grid points of the rows that were dealt, each with its word and family."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 8192):
+            at, word, family = (batch.column(c).slice(lo, 8192).to_numpy(zero_copy_only=False) for c in ("at", "word", "family"))
+            cell, who = _inner(at)
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(word[who]), pa.array(family[who])], ["cell", "word", "family"])
+
+
 def _leaders(words: np.ndarray) -> np.ndarray:
     """For each of one point's members the place of a leader within CLOSE bits: the first that none before leads."""
     leader = np.full(len(words), -1)
@@ -287,25 +328,30 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     sets = cut(rows.groupBy("same").agg(F.min(order).alias("first"), F.first("fp").alias("fp")).drop("same").withColumn("node", F.monotonically_increasing_id()))
     full = sets.where("fp is not null")
     # A node is known by its values in the grid; of nodes that share a value the least stands for all, and all meet it.
-    named = full.select("node", "fp", F.explode("fp").alias("word"))
-    first_of = F.min_by(F.struct("node", "fp"), "node")
-    rep = cut(named.groupBy("word").agg(first_of.alias("rep"), F.max("node").alias("last")).select("word", F.col("rep.node").alias("rep"), F.col("rep.fp").alias("fp_b"), "last"))
-    near = apart("fp", "fp_b")
+    # Values are many, so they go with numbers of nodes only; the bits of pairs that met are looked up at their nodes.
+    named = full.select("node", F.explode("fp").alias("word"))
+    rep = cut(named.groupBy("word").agg(F.min("node").alias("rep"), F.max("node").alias("last")))
+    shared = rep.where("rep < last").select("word", F.col("rep").alias("b"))
+    equal = named.join(shared, "word").where(F.col("node") != F.col("b")).select(F.col("node").alias("a"), "b")
     most_bits = int(NEAR_ALL * 64 * WORDS64)
-    shared = rep.where("rep < last").select("word", F.col("rep").alias("b"), "fp_b")
-    equal = named.join(shared, "word").where((F.col("node") != F.col("b")) & (near <= most_bits)).select(F.col("node").alias("a"), "b")
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
+    def near(pairs: DataFrame) -> DataFrame:
+        one, two = full.select(F.col("node").alias("a"), F.col("fp").alias("fp_a")), full.select(F.col("node").alias("b"), F.col("fp").alias("fp_b"))
+        return pairs.join(one, "a").join(two, "b").where(apart("fp_a", "fp_b") <= most_bits).select("a", "b")
+
     def links(of: DataFrame, values: Sequence[int]) -> DataFrame:
-        grid = of.select("fp", "family").mapInArrow(_spread(values), "cell long, word long, family long").repartition(n, "cell").sortWithinPartitions("cell")
+        # Points that differ in inner segments alone are dealt together, as one row of each text until they are.
+        dealt = of.select("fp", "family").mapInArrow(_spread(values), "at long, word long, family long").repartition(n, F.expr(f"at div {2 * _INNER}"))
+        grid = dealt.mapInArrow(_opened, "cell long, word long, family long").sortWithinPartitions("cell")
         met = cut(grid.mapInArrow(_meet, "a long, b long").distinct())
-        one, two = rep.select(F.col("word").alias("a"), F.col("rep").alias("x"), F.col("fp_b").alias("fp")), rep.select(F.col("word").alias("b"), F.col("rep").alias("y"), "fp_b")
-        return met.join(one, "a").join(two, "b").where((F.col("x") != F.col("y")) & (near <= most_bits)).select(F.col("x").alias("a"), F.col("y").alias("b"))
+        one, two = rep.select(F.col("word").alias("a"), F.col("rep").alias("x")), rep.select(F.col("word").alias("b"), F.col("rep").alias("y"))
+        return met.join(one, "a").join(two, "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b"))
 
     # Of a large group of near copies almost all pairs meet somewhere: with its members joined by one value, few are left.
-    begun = stars(contracted(links(full.withColumn("family", F.lit(0).cast("long")), range(1)).unionByName(equal)))
+    begun = stars(contracted(near(links(full.withColumn("family", F.lit(0).cast("long")), range(1)).unionByName(equal))))
     known = full.join(members(begun), "node", "left").select("fp", F.coalesce(F.col("family") + 1, F.lit(0)).alias("family"))
-    families = members(stars(contracted(links(known, range(1, WORDS64)).unionByName(begun))))
+    families = members(stars(contracted(near(links(known, range(1, WORDS64))).unionByName(begun))))
     labels = stars(checked(families, sets, docs))
     rooted = sets.join(labels, F.col("node") == F.col("a"), "left").select("first", F.coalesce("b", "node").alias("root"))
     id_, digest, n_rows, own = (fresh(df, c) for c in ("id", "digest", "n", "own_digest"))
