@@ -101,18 +101,6 @@ def _outer(values: np.ndarray, grid: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(at), np.concatenate(who)
 
 
-def _inner(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The points of what _outer() gives, of an own point also those next to it in the inner segments; and the places."""
-    cell, moved = at >> 1, (at & 1).astype(bool)
-    counts = cell[:, None] // _PLACES[:INNER] % (WIDTH + 1)
-    points, who = [cell], [np.arange(len(at))]
-    for step, open_ in ((1, counts < WIDTH), (-1, counts > 0)):
-        row, place = np.nonzero(open_ & ~moved[:, None])
-        points.append(cell[row] + step * _PLACES[place])
-        who.append(row)
-    return np.concatenate(points), np.concatenate(who)
-
-
 def _spread(values: Sequence[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Outer grid points of both halves of these values, each with the next value of the same text and its family."""
 
@@ -129,13 +117,13 @@ def _spread(values: Sequence[int]) -> Callable[[Iterator[pa.RecordBatch]], Itera
     return run
 
 
-def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All grid points of the rows that were dealt, each with its word and family."""
-    for batch in batches:
-        for lo in range(0, batch.num_rows, 8192):
-            at, word, family = (batch.column(c).slice(lo, 8192).to_numpy(zero_copy_only=False) for c in ("at", "word", "family"))
-            cell, who = _inner(at)
-            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(word[who]), pa.array(family[who])], ["cell", "word", "family"])
+def opened(dealt: DataFrame) -> DataFrame:
+    """All grid points (cell) of rows (at, word, family) of _spread(): of an own point also those next to it in the inner segments."""
+    cell, places = F.expr("at div 2"), [(WIDTH + 1) ** i for i in range(INNER)]
+    count = lambda place: F.expr(f"at div {2 * place} % {WIDTH + 1}")
+    around = [F.when(count(p) < WIDTH, cell + p) for p in places] + [F.when(count(p) > 0, cell - p) for p in places]
+    points = F.when(F.expr("at % 2 = 1"), F.array(cell)).otherwise(F.array(cell, *around))
+    return dealt.select(F.explode(points).alias("cell"), "word", "family").where("cell is not null")
 
 
 def _leaders(words: np.ndarray) -> np.ndarray:
@@ -343,7 +331,7 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     def links(of: DataFrame, values: Sequence[int]) -> DataFrame:
         # Points that differ in inner segments alone are dealt together, as one row of each text until they are.
         dealt = of.select("fp", "family").mapInArrow(_spread(values), "at long, word long, family long").repartition(n, F.expr(f"at div {2 * _INNER}"))
-        grid = dealt.mapInArrow(_opened, "cell long, word long, family long").sortWithinPartitions("cell")
+        grid = opened(dealt).sortWithinPartitions("cell")
         met = cut(grid.mapInArrow(_meet, "a long, b long").distinct())
         one, two = rep.select(F.col("word").alias("a"), F.col("rep").alias("x")), rep.select(F.col("word").alias("b"), F.col("rep").alias("y"))
         return met.join(one, "a").join(two, "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b"))

@@ -1078,7 +1078,7 @@ def test_stage_keeps_one_row_of_null_and_repeated_ids(spark):
     assert corpus_pipeline.near_copies(spark, df.limit(0), "").count() == 0
 
 
-def test_points_are_dealt_in_few_rows():
+def test_points_are_dealt_in_few_rows(spark):
     """A text has under 11 rows a half on average instead of 25, and tasks make all its points of them: the same texts meet as by all points."""
     rng = np.random.default_rng(31)
     prints = rng.integers(-(1 << 63), 1 << 63, (400, simhash_similar.WORDS64))
@@ -1087,14 +1087,11 @@ def test_points_are_dealt_in_few_rows():
     dealt = list(simhash_similar._spread(range(1, 3))(iter([batch])))
     assert sum(b.num_rows for b in dealt) < 11 * 2 * 2 * 400
     points, where = {}, {}
-    for rows in dealt:
-        for part in simhash_similar._opened(iter([rows])):
-            for cell, word, who in zip(*(part.column(c).to_pylist() for c in ("cell", "word", "family")), strict=True):
-                points.setdefault(cell, []).append(who)
-                assert word in prints[who]
-        for at in rows.column("at").to_pylist():
-            for cell in simhash_similar._inner(np.array([at]))[0].tolist():
-                assert where.setdefault(cell, at // (2 * simhash_similar._INNER)) == at // (2 * simhash_similar._INNER)
+    rows = spark.createDataFrame(pa.Table.from_batches(dealt).to_pandas())
+    for at, cell, word, who in simhash_similar.opened(rows.withColumn("family", F.struct("at", "family"))).select("family.at", "cell", "word", "family.family").collect():
+        points.setdefault(cell, []).append(who)
+        assert word in prints[who]
+        assert where.setdefault(cell, at // (2 * simhash_similar._INNER)) == at // (2 * simhash_similar._INNER)
     want = {}
     for j in (1, 2):
         for cell, who in zip(*simhash.cells(prints[:, j], np.arange(400), j), strict=True):
