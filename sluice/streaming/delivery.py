@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegralType, LongType, StringType, StructField, StructType
 
 from sluice.operators.chunk import chunk_by_count
 from sluice.operators.state import KINDS, RetryPolicy, apply_outcomes, due, fold_replays, same
@@ -47,24 +48,67 @@ def said(send: Send, deliverable: int, rows: pd.DataFrame) -> Sent:
     return answer if answer.kind in KINDS else Sent("retry_later", f"unknown outcome kind: {answer.kind}")
 
 
+def _batches(frames: Iterator[pd.DataFrame], keys: Sequence[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
+    """Keys (None for null) and rows of each run of equal keys in sorted frames; a run can go on in the next frame."""
+    key, held = None, []
+    for frame in frames:
+        if not len(frame):
+            continue
+        columns = [frame[k].astype(object).where(frame[k].notna(), None).to_numpy(object) for k in keys]
+        new = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+        starts = np.flatnonzero(np.r_[True, new])
+        for lo, hi in zip(starts, [*starts[1:], len(frame)], strict=True):
+            own = tuple(c[lo] for c in columns)
+            if held and own != key:
+                yield key, pd.concat(held, ignore_index=True)
+                held = []
+            key, held = own, [*held, frame.iloc[lo:hi]]
+    if held:
+        yield key, pd.concat(held, ignore_index=True)
+
+
 def deliver(df: DataFrame, send: Send, batch: str = "batch_id", id_col: str = "id", order: Sequence[str] = ("id",), pipeline: Column | None = None, now: datetime | None = None) -> DataFrame:
     """An outcome for each batch of each pipeline, as apply_outcomes() and apply_replays() take them: tasks call ``send``
     with a batch's rows, which keep all their columns.
 
     A batch is one call, so cap batches by count before. A failure of the function is retry_later with its reason.
     Tasks can run twice: send should know a batch by its id, which has to be unique over all deliveries of a pipeline.
-    ``now`` is the time of the call unless given.
+    ``now`` is the time of the call unless given. Batches are runs of sorted rows, of which many come to Python at once.
     """
-    of = fresh(df, "_pipeline")
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(list(order), kind="stable")
-        answer, ts = said(send, key[0], rows.drop(columns=of)), now or datetime.now(timezone.utc)
-        row = (key[0], key[1], answer.kind, answer.reason, answer.accepted_cursor, len(rows), answer.rejected, answer.n_bytes, rows[id_col].max(), ts.replace(tzinfo=timezone.utc) if ts.tzinfo is None else ts)
-        return pd.DataFrame([row], columns=[c.split()[0] for c in OUTCOME.split(", ")]).astype({"accepted_cursor": "Int64", "n_bytes": "Int64"})
+    of, key = fresh(df, "_pipeline"), fresh(df, "_batch")
+    types = dict(c.split() for c in OUTCOME.split(", "))
+    # Whole numbers and booleans come without nulls, so that a null in one batch changes no type in another.
+    whole = {f.name: fresh(df, f"_null_{f.name}") for f in df.schema if f.nullable and isinstance(f.dataType, (IntegralType, BooleanType))}
+    plain = [F.coalesce(F.col(f"`{f.name}`"), F.lit(False if isinstance(f.dataType, BooleanType) else 0).cast(f.dataType)).alias(f.name) if f.name in whole else F.col(f"`{f.name}`") for f in df.schema]
+    marks = [F.col(f"`{c}`").isNull().alias(mark) for c, mark in whole.items()]
+
+    def outcome(keys: tuple, rows: pd.DataFrame) -> tuple:
+        deliverable, name = None if keys[0] is None else int(keys[0]), keys[1]
+        last = rows[id_col][~rows[whole[id_col]]].max() if id_col in whole else rows[id_col].max()
+        for c, mark in whole.items():
+            if (none := rows[mark]).any():
+                rows[c] = rows[c].astype(object if rows[c].dtype == bool else float).where(~none, None)
+        answer, ts = said(send, deliverable, rows.drop(columns=[of, key, *whole.values()])), now or datetime.now(timezone.utc)
+        return deliverable, name, answer.kind, answer.reason, answer.accepted_cursor, len(rows), answer.rejected, answer.n_bytes, None if pd.isna(last) else last, ts.replace(tzinfo=timezone.utc) if ts.tzinfo is None else ts
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        done: list[tuple] = []
+
+        def out() -> pd.DataFrame:
+            return pd.DataFrame({c: pd.array(x, dtype="Int64") if kind == "long" else x for (c, kind), x in zip(types.items(), map(list, zip(*done, strict=True)), strict=True)})
+
+        for keys, rows in _batches(frames, (key, of)):
+            done.append(outcome(keys, rows))
+            if len(done) == 1000:
+                yield out()
+                done.clear()
+        if done:
+            yield out()
 
     name = F.lit(None).cast("string") if pipeline is None else pipeline.cast("string")
-    return df.withColumn(of, name).groupBy(F.col(batch).cast("long").alias(batch), of).applyInPandas(run, OUTCOME)
+    ready = df.withColumns({of: name, key: F.col(batch).cast("long").cast("string")}).select(*plain, *marks, of, key)
+    last = [c for one in order for c in ([F.col(whole[one])] if one in whole else []) + [F.col(one).asc_nulls_last()]]
+    return ready.repartition(key, of).sortWithinPartitions(of, key, *last).mapInPandas(run, OUTCOME)
 
 
 def replay(due: DataFrame, payloads: DataFrame, send: Send, key: str = "deliverable_id", id_col: str = "id", order: Sequence[str] = ("id",), now: datetime | None = None) -> DataFrame:

@@ -148,6 +148,33 @@ def test_micro_batches_leave_no_checkpoints(spark, tmp_path):
     assert count() == before and spark.read.parquet(str(tmp_path / "log")).count() == 2
 
 
+def test_batches_reach_send_whole_and_apart(spark):
+    """Runs of sorted rows over several Arrow batches: each batch is one call, a null in one changes no type in another, ids stay exact."""
+    big = (1 << 60) + 1
+    rows = [(i // 5, big + i, "p", True, "x") for i in range(23)] + [(0, big, None, None, "y"), (0, None, None, True, "y"), (None, 7, "p", False, "z")]
+    df = spark.createDataFrame(rows, "batch_id long, id long, pipeline string, flag boolean, text string").repartition(3)
+
+    columns = df.columns
+
+    def send(batch, got):
+        assert list(got.columns) == columns and list(got.index) == list(range(len(got)))
+        ids = got["id"].dropna()
+        assert ids.is_monotonic_increasing and got["id"].isna().tolist() == [False] * len(ids) + [True] * (len(got) - len(ids))
+        return delivery.Sent("acked", f"{got['id'].dtype} {got['flag'].dtype} {','.join(got['text'].unique())}", n_bytes=big)
+
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        sent = delivery.deliver(df, send, pipeline=F.col("pipeline"), now=T0)
+        assert "FlatMapGroups" not in sent._jdf.queryExecution().toString()  # a pandas frame made for each group took most of the time
+        got = {(r.pipeline, r.deliverable_id): (r.kind, r.reason, r.records, r.cursor_after, r.n_bytes, r.accepted_cursor) for r in sent.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    want = {("p", b): ("acked", "int64 bool x", min(5, 23 - 5 * b), big + min(5 * b + 4, 22), big, None) for b in range(5)}
+    assert got == want | {(None, 0): ("acked", "float64 object y", 2, big, big, None), ("p", None): ("acked", "int64 bool z", 1, 7, big, None)}
+    assert delivery.deliver(df.limit(0), send, now=T0).count() == 0
+
+
 def test_kinds_that_are_not_known(spark):
     """A send that answers with something else is tried again; a fold that reads such a kind fails."""
     df = spark.createDataFrame([(0, 1), (0, 2)], "batch_id long, id long")
