@@ -4,7 +4,9 @@ A similarity of 0.8 puts about 15 of 100 bits of a fingerprint apart, too many f
 text has ``WORDS64`` of them. Each half of each goes to the grid as in ``simhash``: two texts meet in a half whose
 segment popcounts are within a Manhattan distance of 2. Where they meet, the bits of another of their values are
 compared, then those of all. Texts that are near in these bits, directly or by others between them, are a family: the
-first value gives most of each, and of the other values only what meets between families is looked at. Within a family the exact Jaccard similarity of all whole texts decides, which alone makes a link. A family's sets of
+first value begins families by a link or so of each member of a point, then all values are looked at for what meets
+between families: as pairs where an outer point has no more of these than members in them, else its members are dealt
+again with the bits of all values, which leave a tree of links. So rows grow with members, never with pairs. Within a family the exact Jaccard similarity of all whole texts decides, which alone makes a link. A family's sets of
 shingles are put together once; a large family is cut into blocks, and tasks get pairs of blocks.
 
 Of pairs at 0.8 the grid misses about one in fourteen, of those at 0.85 one in a hundred; groups lose less, since any
@@ -32,8 +34,7 @@ SIMILAR = (4, 5)
 #: Most differing bits of one 64-bit value, and share of all bits, of a pair that is checked: at 0.8 they are 9.7 and
 #: 0.15 on average, and both limits lie over three standard deviations above.
 NEAR, NEAR_ALL = 20, 0.22
-#: A point with more members than this around one of them, within so many bits, gives a link of each to that one, and of
-#: any two such groups the closest members, not all pairs; unrelated texts are hardly ever so close.
+#: A point with more members than this begins families by links to leaders within CLOSE bits, not by all its pairs.
 DENSE, CLOSE = 8, 12
 #: Segments of a half that say nothing of where a point is dealt: a task adds the points next to a row's in these by itself.
 INNER = 10
@@ -41,6 +42,7 @@ INNER = 10
 BLOCK, BLOCK_BYTES = 512, 16 << 20
 #: Texts' digests are broadcast up to this number (16 bytes each and a number), else joined.
 BROADCAST = 500_000
+_MOST = int(NEAR_ALL * 64 * WORDS64)
 _PLACES = np.array([(WIDTH + 1) ** i for i in range(SEGMENTS)], dtype=np.int64)
 _INNER, _POINTS = (WIDTH + 1) ** INNER, (WIDTH + 1) ** SEGMENTS
 _ODD = np.random.default_rng(8).integers(0, 1 << 63, WORDS64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -148,53 +150,149 @@ def _near(words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield i[before] + at, j[before]
 
 
-def _closest(words: np.ndarray, leader: np.ndarray, family: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each two leaders' groups with near members of two families, the places of the two that are closest."""
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    step = max(1, (1 << 22) // len(words))
-    for at in range(0, len(words), step):
-        bits = np.bitwise_count(words[at : at + step, None] ^ words[None, :])
-        i, j = np.nonzero((bits <= NEAR) & (leader[at : at + step, None] > leader[None, :]))
-        other = _apart(family, i + at, j)
-        i, j = i[other], j[other]
-        order = np.lexsort((bits[i, j], leader[j], leader[i + at]))
-        i, j = i[order], j[order]
-        new = np.flatnonzero(np.r_[True, (leader[i[1:] + at] != leader[i[:-1] + at]) | (leader[j[1:]] != leader[j[:-1]])]) if len(i) else order
-        for x, y in zip(i[new], j[new], strict=True):
-            key, value = (int(leader[x + at]), int(leader[y])), (int(bits[x, y]), int(x + at), int(y))
-            best[key] = min(best.get(key, value), value)
-    return np.array([v[1] for v in best.values()], np.int64), np.array([v[2] for v in best.values()], np.int64)
+def _leads(words: np.ndarray, leader: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A link of each member to its leader, and of each leader but the first to the closest before it, if that is near."""
+    heads, others = np.flatnonzero(leader == np.arange(len(words))), np.flatnonzero(leader != np.arange(len(words)))
+    a, b = [others], [leader[others]]
+    step = max(1, (1 << 22) // len(heads))
+    for at in range(0, len(heads), step):
+        bits = np.bitwise_count(words[heads[at : at + step], None] ^ words[heads][None, :])
+        bits[np.arange(at, at + len(bits))[:, None] <= np.arange(len(heads))[None, :]] = 64 + 1
+        closest = bits.argmin(axis=1)
+        near = bits[np.arange(len(bits)), closest] <= NEAR
+        a.append(heads[at : at + step][near])
+        b.append(heads[closest[near]])
+    return np.concatenate(a), np.concatenate(b)
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Near pairs (a, b) of the points' words, but of one family; of dense points those that keep its near members together."""
+def _small(starts: np.ndarray, sizes: np.ndarray, words: np.ndarray, family: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the near pairs, but of one family, of all points with at most DENSE members."""
+    end = np.repeat(starts + sizes, sizes)
+    place, shift = np.flatnonzero((np.repeat(sizes, sizes) > 1) & (np.repeat(sizes, sizes) <= DENSE)), 1
+    while len(place := place[place + shift < end[place]]):
+        bits = np.bitwise_count(words[place] ^ words[place + shift])
+        near = place[(bits <= NEAR) & (bits > 0) & _apart(family, place, place + shift)]
+        yield near, near + shift
+        shift += 1
+
+
+def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each row once, in order of the columns."""
+    order = np.lexsort(columns[::-1])
+    columns = tuple(c[order] for c in columns)
+    new = np.ones(len(order), bool)
+    new[1:] = reduce(np.logical_or, [c[1:] != c[:-1] for c in columns])
+    return tuple(c[new] for c in columns)
+
 
-    def out(a: np.ndarray, b: np.ndarray):
-        return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+def _members(words: np.ndarray, family: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    own, of = np.unique(np.stack([words, family.view(np.uint64)]), axis=1)
+    return own, of
 
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of the points' words that begin families: of small points all near ones but of one family, of dense
+    ones a link or so of each member. What meets in several points is mostly one row, as these lie side by side."""
     for _, starts, sizes, words, family in runs(batches, "word", "family"):
         words = words.view(np.uint64)
-        end = np.repeat(starts + sizes, sizes)
-        place, shift = np.flatnonzero((np.repeat(sizes, sizes) > 1) & (np.repeat(sizes, sizes) <= DENSE)), 1
-        while len(place := place[place + shift < end[place]]):
-            bits = np.bitwise_count(words[place] ^ words[place + shift])
-            near = place[(bits <= NEAR) & (bits > 0) & _apart(family, place, place + shift)]
-            if len(near):
-                yield out(words[near], words[near + shift])
-            shift += 1
+        pairs = [(words[i], words[j]) for i, j in _small(starts, sizes, words, family)]
+        for i in np.flatnonzero(sizes > DENSE):
+            own, of = _members(words[starts[i] : starts[i] + sizes[i]], family[starts[i] : starts[i] + sizes[i]])
+            a, b = _leads(own, _leaders(own))
+            other = _apart(of, a, b)
+            pairs.append((own[a[other]], own[b[other]]))
+        a, b = (np.concatenate([words[:0], *(p[i] for p in pairs)]) for i in (0, 1))
+        a, b = _distinct(np.maximum(a, b), np.minimum(a, b))
+        yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+
+
+def _between(words: np.ndarray, family: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """Places of one point's near pairs between families, and none; if they are more than its members, no pairs, and
+    the places of all that are in one. Within its largest family no two are compared."""
+    known, size = np.unique(family[family != 0], return_counts=True)
+    largest = family == (known[size.argmax()] if len(known) else 1)
+    rest, inside = np.flatnonzero(~largest), np.zeros(len(words), bool)
+    order = np.concatenate([rest, np.flatnonzero(largest)])
+    a, b, found = [order[:0]], [order[:0]], 0
+    step = max(1, (1 << 22) // len(words))
+    for at in range(0, len(rest), step):
+        i, j = np.nonzero(np.bitwise_count(words[rest[at : at + step], None] ^ words[order][None, :]) <= NEAR)
+        after = j > i + at
+        i, j = rest[i[after] + at], order[j[after]]
+        other = _apart(family, i, j) & (words[i] != words[j])
+        i, j = i[other], j[other]
+        inside[i] = inside[j] = True
+        found += len(i)
+        if found <= len(words):
+            a.append(i)
+            b.append(j)
+    if found > len(words):
+        return order[:0], order[:0], np.flatnonzero(inside)
+    return np.concatenate(a), np.concatenate(b), None
+
+
+def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All near pairs (a, b, null) of the points' words between families. Of an outer point with more pairs than members in
+    them, or with a point like that, (a, null, outer) for each such member instead."""
+    for cell, starts, sizes, words, family in runs(batches, "word", "family"):
+        words, outer = words.view(np.uint64), cell // _INNER
+        pairs = [(outer[i], words[i], words[j]) for i, j in _small(starts, sizes, words, family)]
+        at, who = [outer[:0]], [words[:0]]
         for i in np.flatnonzero(sizes > DENSE):
-            here = slice(starts[i], starts[i] + sizes[i])
-            own, of = np.unique(np.stack([words[here], family[here].view(np.uint64)]), axis=1)
-            leader = _leaders(own)
-            if np.bincount(leader).max() > DENSE:
-                others = np.flatnonzero((leader != np.arange(len(own))) & _apart(of, np.arange(len(own)), leader))
-                yield out(own[others], own[leader[others]])
-                a, b = _closest(own, leader, of)
-                yield out(own[a], own[b])
-                continue
-            for a, b in _near(own):
-                other = _apart(of, a, b)
-                yield out(own[a[other]], own[b[other]])
+            own, of = _members(words[starts[i] : starts[i] + sizes[i]], family[starts[i] : starts[i] + sizes[i]])
+            a, b, crowd = _between(own, of)
+            pairs.append((np.full(len(a), outer[starts[i]]), own[a], own[b]))
+            if crowd is not None:
+                who.append(own[crowd])
+                at.append(np.full(len(crowd), outer[starts[i]]))
+        point, a, b = (np.concatenate([none, *(p[i] for p in pairs)]) for i, none in enumerate((outer[:0], words[:0], words[:0])))
+        point, a, b = _distinct(point, np.maximum(a, b), np.minimum(a, b))
+        ends = _distinct(np.r_[point, point], np.r_[a, b])
+        each, n = np.unique(point, return_counts=True)
+        many = np.union1d(each[n > np.unique(ends[0], return_counts=True)[1]], np.concatenate(at))
+        again = np.isin(ends[0], many)
+        at, who = _distinct(np.concatenate([*at, ends[0][again]]), np.concatenate([*who, ends[1][again]]))
+        few = ~np.isin(point, many)
+        a, b = _distinct(a[few], b[few])
+        none = lambda x: pa.nulls(len(x), pa.int64())
+        columns = [pa.array(np.r_[a, who].view(np.int64)), pa.concat_arrays([pa.array(b.view(np.int64)), none(who)]), pa.concat_arrays([none(a), pa.array(at)])]
+        yield pa.RecordBatch.from_arrays(columns, ["a", "b", "outer"])
+
+
+def tree(prints: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of what is within _MOST bits among long fingerprints (a row each) the places of links that join the same groups,
+    fewer than there are groups; members of a group count as joined."""
+    group = np.unique(group, return_inverse=True)[1]
+    by, free, a, b = np.argsort(group, kind="stable"), np.ones(len(group), bool), [], []
+    first = np.searchsorted(group[by], np.arange(group.max(initial=-1) + 2))
+    for g in range(len(first) - 1):
+        ahead = by[first[g] : first[g + 1]]
+        if not free[ahead[0]]:
+            continue
+        free[ahead] = False
+        while len(ahead) and len(left := np.flatnonzero(free)):
+            step = max(1, (1 << 20) // len(left))
+            here, ahead = ahead[:step], ahead[step:]
+            bits = sum(np.bitwise_count(prints[here, None, j] ^ prints[None, left, j]).astype(np.uint16) for j in range(prints.shape[1]))
+            near = bits <= _MOST
+            hit = np.flatnonzero(near.any(axis=0))
+            joined, one = np.unique(group[left[hit]], return_index=True)
+            a += left[hit[one]].tolist()
+            b += here[near[:, hit[one]].argmax(axis=0)].tolist()
+            new = np.concatenate([here[:0], *(by[first[x] : first[x + 1]] for x in joined)])
+            free[new] = False
+            ahead = np.concatenate([ahead, new])
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of nodes that join what is near in all bits at each crowded outer point (cell), from rows sorted by it."""
+    for _, starts, sizes, node, family, *prints in runs(batches, "node", "family", *(f"fp{j}" for j in range(WORDS64))):
+        prints = np.stack(prints, axis=1).view(np.uint64)
+        for start, size in zip(starts, sizes, strict=True):
+            here = slice(start, start + size)
+            a, b = tree(prints[here], np.where(family[here] > 0, family[here], -1 - node[here]))
+            yield pa.RecordBatch.from_arrays([pa.array(node[here][a]), pa.array(node[here][b])], ["a", "b"])
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -321,25 +419,34 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rep = cut(named.groupBy("word").agg(F.min("node").alias("rep"), F.max("node").alias("last")))
     shared = rep.where("rep < last").select("word", F.col("rep").alias("b"))
     equal = named.join(shared, "word").where(F.col("node") != F.col("b")).select(F.col("node").alias("a"), "b")
-    most_bits = int(NEAR_ALL * 64 * WORDS64)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def near(pairs: DataFrame) -> DataFrame:
         one, two = full.select(F.col("node").alias("a"), F.col("fp").alias("fp_a")), full.select(F.col("node").alias("b"), F.col("fp").alias("fp_b"))
-        return pairs.join(one, "a").join(two, "b").where(apart("fp_a", "fp_b") <= most_bits).select("a", "b")
+        return pairs.join(one, "a").join(two, "b").where(apart("fp_a", "fp_b") <= _MOST).select("a", "b")
 
-    def links(of: DataFrame, values: Sequence[int]) -> DataFrame:
+    def points(of: DataFrame, values: Sequence[int]) -> DataFrame:
         # Points that differ in inner segments alone are dealt together, as one row of each text until they are.
         dealt = of.select("fp", "family").mapInArrow(_spread(values), "at long, word long, family long").repartition(n, F.expr(f"at div {2 * _INNER}"))
-        grid = opened(dealt).sortWithinPartitions("cell")
-        met = cut(grid.mapInArrow(_meet, "a long, b long").distinct())
+        return opened(dealt).sortWithinPartitions("cell")
+
+    def at_nodes(met: DataFrame) -> DataFrame:
         one, two = rep.select(F.col("word").alias("a"), F.col("rep").alias("x")), rep.select(F.col("word").alias("b"), F.col("rep").alias("y"))
         return met.join(one, "a").join(two, "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b"))
 
     # Of a large group of near copies almost all pairs meet somewhere: with its members joined by one value, few are left.
-    begun = stars(contracted(near(links(full.withColumn("family", F.lit(0).cast("long")), range(1)).unionByName(equal))))
-    known = full.join(members(begun), "node", "left").select("fp", F.coalesce(F.col("family") + 1, F.lit(0)).alias("family"))
-    families = members(stars(contracted(near(links(known, range(1, WORDS64))).unionByName(begun))))
+    met = cut(points(full.withColumn("family", F.lit(0).cast("long")), range(1)).mapInArrow(_meet, "a long, b long").distinct())
+    begun = stars(contracted(near(at_nodes(met).unionByName(equal))))
+    known = full.join(members(begun), "node", "left").select("node", "fp", F.coalesce(F.col("family") + 1, F.lit(0)).alias("family"))
+    met = cut(points(known, range(WORDS64)).mapInArrow(_cross, "a long, b long, outer long").distinct())
+    found = near(at_nodes(met.where("b is not null").select("a", "b"))).unionByName(begun)
+    # Members that are dealt again with all bits meet at least as often as before, and no pair of them is a row.
+    crowded = met.where("b is null").select(F.col("outer").alias("cell"), F.col("a").alias("word"))
+    if not crowded.isEmpty():
+        named = crowded.join(rep.select("word", F.col("rep").alias("node")), "word").select("cell", "node").distinct()
+        all_bits = named.join(known, "node").select("cell", "node", "family", *[F.col("fp")[j].alias(f"fp{j}") for j in range(WORDS64)])
+        found = found.unionByName(all_bits.repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(_joined, "a long, b long").distinct())
+    families = members(stars(contracted(found)))
     labels = stars(checked(families, sets, docs))
     rooted = sets.join(labels, F.col("node") == F.col("a"), "left").select("first", F.coalesce("b", "node").alias("root"))
     id_, digest, n_rows, own = (fresh(df, c) for c in ("id", "digest", "n", "own_digest"))

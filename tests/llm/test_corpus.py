@@ -1066,6 +1066,41 @@ def test_pairs_of_known_families_are_left_out(spark, monkeypatch):
     assert len(seen) == 2 and sum(seen) < 40 * 500
 
 
+def test_rows_of_a_point_grow_with_its_members():
+    """Members that are all near each other, but few within a leader's reach: no more rows than members at either pass, at any
+    size, and what is dealt again with all bits has the components that all near pairs have."""
+    rng = np.random.default_rng(41)
+    bits = lambda n, k: np.bitwise_or.reduce(np.uint64(1) << rng.permuted(np.tile(np.arange(63, dtype=np.uint64), (n, 1)), axis=1)[:, :k], axis=1)
+    for n in (100, 800):
+        words = np.unique(bits(n, 8))
+        for family in (np.zeros(len(words), np.int64), rng.integers(0, 4, len(words)), np.r_[0, np.ones(len(words) - 1, np.int64)]):
+            batch = pa.RecordBatch.from_arrays([pa.array(np.zeros(len(words), np.int64)), pa.array(words.view(np.int64)), pa.array(family)], ["cell", "word", "family"])
+            pairs = np.bitwise_count(words[:, None] ^ words[None, :]) <= simhash_similar.NEAR
+            pairs &= (family[:, None] != family[None, :]) | (family[:, None] == 0)
+            np.fill_diagonal(pairs, False)
+            assert 0 < sum(r.num_rows for r in simhash_similar._meet(iter([batch]))) <= len(words)
+            rows = [r for b in simhash_similar._cross(iter([batch])) for r in b.to_pylist()]
+            assert len(rows) <= len(words)
+            if pairs.sum() // 2 > len(words):  # each member of a pair, with its point
+                assert {r["a"] for r in rows} == set(words[pairs.any(axis=1)].view(np.int64).tolist()) and all(r["b"] is None and r["outer"] == 0 for r in rows)
+            else:
+                at = {int(w): i for i, w in enumerate(words.view(np.int64))}
+                assert {frozenset((at[r["a"]], at[r["b"]])) for r in rows} == {frozenset(map(int, x)) for x in zip(*np.nonzero(pairs), strict=True)}
+    for groups in (1, 60, 300):
+        bases = rng.integers(0, 1 << 63, (groups, simhash_similar.WORDS64)).astype(np.uint64)
+        prints = bases[rng.integers(0, groups, 300)] ^ bits(300 * simhash_similar.WORDS64, 8).reshape(300, -1)
+        group = np.r_[np.zeros(5, np.int64), np.arange(1, 296)]
+        a, b = simhash_similar.tree(prints, group)
+        near = sum(np.bitwise_count(prints[:, None, j] ^ prints[None, :, j]).astype(int) for j in range(simhash_similar.WORDS64)) <= simhash_similar.NEAR_ALL * 512
+        near |= group[:, None] == group[None, :]
+        links = np.eye(300, dtype=bool) | (group[:, None] == group[None, :])
+        assert near[a, b].all() and len(a) < 296
+        links[a, b] = links[b, a] = True
+        for _ in range(9):
+            near, links = near.astype(np.float32) @ near > 0, links.astype(np.float32) @ links > 0
+        assert (near == links).all()
+
+
 def test_stage_keeps_one_row_of_null_and_repeated_ids(spark):
     import corpus_pipeline
 
