@@ -50,6 +50,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def renewed(df: DataFrame) -> DataFrame:
+    """cut() for rounds of joins: it also forgets Spark's estimate of the size, which a checkpoint keeps.
+
+    A join is taken to be as large as the product of its sides. Over rounds the digits of that number multiply (by four
+    in a round of ``stars``), until it takes the driver's memory. Here the size is unknown; adaptive plans see the true one.
+    """
+    spark, out = df.sparkSession, cut(df)
+    return DataFrame(spark._jsparkSession.createDataFrame(out._jdf.toJavaRDD(), out._jdf.schema()), spark)
+
+
 def sample(df: DataFrame, class_col: str, text_col: str, rows: int, size: int) -> DataFrame:
     """class_col and text_col of a bounded sample of distinct texts in which all classes have the same part.
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import cut, documents, packs
+from sluice.llm.common import cut, documents, packs, renewed
 
 BITS, SEGMENTS, WIDTH = 4, 16, 2
 #: A grid point with more fingerprints than this is dealt again by more of their bits instead of paired off.
@@ -277,10 +277,10 @@ def stars(edges: DataFrame) -> DataFrame:
         moved = joined.where("b > a" if large else "b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
         return packed((moved if large else moved.unionByName(least.select("a", F.col("least").alias("b")))).where("a <> b").distinct(), n)
 
-    now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    now = renewed(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     n = now.count()
     while not settled(now):
-        now = cut(star(star(now, True), False))
+        now = renewed(star(star(now, True), False))
     return now
 
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import cut, documents, fresh, packs, slices
+from sluice.llm.common import cut, documents, fresh, packs, renewed, slices
 from sluice.llm.simhash import SEGMENTS, WIDTH, embedding, least_of, packed, runs, stars
 
 SHINGLE, WORDS64 = 5, 8
@@ -386,7 +386,7 @@ def checked(families: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
 def contracted(edges: DataFrame) -> DataFrame:
     """Edges (a, b) with the same components, nearly as few as nodes: each node's to its least neighbour, and of all
     others what is left between these. In a dense group most nodes have the same least neighbour."""
-    edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    edges = renewed(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     n = edges.count()
     edges = packed(edges, n)
     sides = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

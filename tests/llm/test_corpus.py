@@ -736,6 +736,15 @@ def test_chains_become_one_component(spark):
     assert simhash.components(chain.limit(0)).count() == 0
 
 
+def test_assumed_sizes_stay_small_over_rounds(spark):
+    """To Spark a join is as large as the product of its sides, and a checkpoint keeps that: over rounds its digits would multiply."""
+    chain = spark.createDataFrame([(i, i + 1) for i in range(100)], "a long, b long")
+    assumed = lambda df: int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    found = simhash.stars(chain)
+    assert assumed(found) < 1 << 64 and sorted(map(tuple, found.collect())) == [(i, 0) for i in range(1, 101)]
+    assert assumed(simhash_similar.contracted(simhash_similar.contracted(found))) < 1 << 512
+
+
 def brute_roots(fps, bits=4):
     parent = {f: f for f in fps.tolist()}
 
