@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import cut
+from sluice.llm.common import cut, renewed
 
 #: Nodes of a component that a task cuts by itself, and bytes of ids that are hashed at once.
 SMALL, CHUNK = 8192, 1 << 20
@@ -218,7 +218,7 @@ def _cut_large(runs: DataFrame, paths: DataFrame, nodes: DataFrame, small: int)
         stays = runs.join(sizes.select(*name), name, "left_anti").select(*[(F.col(c) + 0).alias(c) for c in runs.columns])  # a union can't carry on how checkpoints lie
         done = cut(stays if done is None else done.unionByName(stays))
         large = cut(runs.join(sizes.select(*name), name, "left_semi"))
-        search = cut(sizes.select(*name, "n", F.col("top_depth").alias("low_d"), F.col("deepest").alias("high_d"), F.col("top").alias("centroid"), F.lit(1).cast("long").alias("step")))
+        search = renewed(sizes.select(*name, "n", F.col("top_depth").alias("low_d"), F.col("deepest").alias("high_d"), F.col("top").alias("centroid"), F.lit(1).cast("long").alias("step")))
         while not search.where("low_d < high_d").isEmpty():
             probe = search.withColumn("d", F.least(F.expr("(low_d + high_d + 1) div 2"), F.expr("low_d + step"))).where("low_d < high_d")
             deep = large.join(probe.select(*name, "n", "d"), name).where("high >= d").select(*name, "n", "conv_id", "d", (F.col("high") - F.greatest("low", "d") + 1).alias("size"))
@@ -226,7 +226,7 @@ def _cut_large(runs: DataFrame, paths: DataFrame, nodes: DataFrame, small: int)
             best = heavy.groupBy(*name).agg(F.min("node").alias("found"))  # two halves of equal size: either will do
             step = search.join(probe.select(*name, "d"), name, "left").join(best, name, "left")
             met, missed = F.col("found").isNotNull(), F.col("found").isNull() & F.col("d").isNotNull()
-            search = cut(step.select(*name, "n", F.when(met, F.col("d")).otherwise(F.col("low_d")).alias("low_d"), F.when(missed, F.col("d") - 1).otherwise(F.col("high_d")).alias("high_d"), F.when(met, F.col("found")).otherwise(F.col("centroid")).alias("centroid"), (F.col("step") * 2).alias("step")))
+            search = renewed(step.select(*name, "n", F.when(met, F.col("d")).otherwise(F.col("low_d")).alias("low_d"), F.when(missed, F.col("d") - 1).otherwise(F.col("high_d")).alias("high_d"), F.when(met, F.col("found")).otherwise(F.col("centroid")).alias("centroid"), (F.col("step") * 2).alias("step")))
         split = search.select(*name, F.col("low_d").alias("d"), "centroid")
         met = large.join(split, name).join(at_depth("d", "on"), ["conv_id", "d"], "left")
         met = cut(met.withColumn("through", (F.col("high") >= F.col("d")) & F.coalesce(F.col("on") == F.col("centroid"), F.lit(False))))

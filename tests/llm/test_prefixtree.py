@@ -71,6 +71,20 @@ def test_components_of_any_size(spark, small):
     assert got(tree(table(spark, rows), small=small)) == brute(rows)
 
 
+def test_assumed_sizes_stay_small_over_steps(spark, monkeypatch):
+    """Each step of the search joins what the last one found: the size that Spark assumes must not grow by its square."""
+    real, bits = prefixtree.cut, []
+
+    def cut(df):
+        out = real(df)
+        bits.append(int(out._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()).bit_length())
+        return out
+
+    monkeypatch.setattr(prefixtree, "cut", cut)
+    rows = branching(3)
+    assert got(tree(table(spark, rows), small=70)) == brute(rows) and max(bits) < 2048
+
+
 def test_odd_rows(spark):
     """Null turns, roles, texts and ids, ties, repeated rows, long texts, negative ids, and copies of a conversation."""
     rows = [(1, None, "u", "n"), (1, 0, None, None), (1, 0, "u", None), (1, 0, "u", "b"), (1, 0, "u", "b"), (None, 1, "u", "lost"), (-150, 0, "u", "x" * 300_000), (-150, 1, "", "1:uy")]
